@@ -1,0 +1,8 @@
+"""Nothing streams in this warehouse.
+
+The reference runs three daily batch jobs and has no stream source, sink,
+watermark, window or state, so this package holds no operator. The column
+functions in ``accesslake.functions`` and the ODS/DWD operators are plain
+column expressions, so they also apply unchanged to a DataFrame from
+``spark.readStream.text(...)`` should a stream ever be wanted.
+"""
