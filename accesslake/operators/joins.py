@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,26 +95,23 @@ def hot_keys(
     sample only decides the plan; every row still goes through the join.
     """
     max_keys = int(1 / share) + 1
-    obs = Observation("hot_key_sample")
-    sample = (
+    # rollup adds the grand total as one more row (grouping = 1), so the sample
+    # size and the top keys come back from a single job.
+    top = (
         fact.select(F.col(key).alias("k"))
         .sample(withReplacement=False, fraction=fraction, seed=seed)
-        .observe(obs, F.count(F.lit(1)).alias("n"))
-    )
-    top = (
-        sample.where(F.col("k").isNotNull())
-        .groupBy("k")
-        .agg(F.count(F.lit(1)).alias("c"))
+        .rollup("k")
+        .agg(F.count(F.lit(1)).alias("c"), F.grouping("k").alias("g"))
         .orderBy(F.desc("c"))
-        .limit(max_keys)
+        .limit(max_keys + 2)
         .collect()
     )
-    n = obs.get.get("n", 0)
+    n = next((r["c"] for r in top if r["g"] == 1), 0)
     if n == 0:
         return []
     # With a tiny sample, a key needs a few hits before it counts as hot.
     need = max(share * n, 3)
-    return [r["k"] for r in top if r["c"] >= need]
+    return [r["k"] for r in top if r["g"] == 0 and r["k"] is not None and r["c"] >= need]
 
 
 def _salted(fact: DataFrame, dim: DataFrame, key: str, how: str, hot: list, buckets: int) -> DataFrame:

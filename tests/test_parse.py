@@ -1,0 +1,120 @@
+"""Column functions against the hand-made edge rows of FIXTURES.md section 5."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from accesslake.functions import parse
+from accesslake.operators import ods
+
+
+def _one(spark, col, value, dtype="string"):
+    df = spark.createDataFrame([(value,)], f"v {dtype}")
+    return df.select(col(F.col("v")).alias("r")).first()["r"]
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("7", 7), ("+5", 5), ("-12", -12), ("007", 7), ("-1", -1),
+        (" 7 ", None), ("1.5", None), ("1e3", None), ("", None), ("-", None), (None, None),
+        ("9223372036854775807", 9223372036854775807), ("9223372036854775808", None),
+        ("-9223372036854775808", -9223372036854775808), ("5\n", None), ("+", None), ("0x10", None),
+    ],
+)
+def test_parse_long_is_long_parselong(spark, text, expected):
+    assert _one(spark, parse.parse_long, text) == expected
+
+
+def test_long_or_default(spark):
+    assert _one(spark, lambda c: parse.long_or(c, 0), "n/a") == 0
+    assert _one(spark, lambda c: parse.long_or(c, 0), None) == 0
+    assert _one(spark, lambda c: parse.long_or(c, -1), "42") == 42
+
+
+@pytest.mark.parametrize(
+    "time, expected",
+    [
+        ("[2022/04/22 00:30:00 +0800]", ("2022", "04", "22")),
+        ("[15/04/2022:15:00:12 +0800]", ("2022", "04", "15")),
+        ("[2022/04/17/:23:08:09 +0800]", ("2022", "04", "17")),
+        ("[bad +0800]", ("-", "-", "-")),
+        ("", ("-", "-", "-")),
+        (None, ("-", "-", "-")),
+        ("[22/4/2022:1:2:3 +0800]", ("-", "-", "-")),
+    ],
+)
+def test_time_parts(spark, time, expected):
+    df = spark.createDataFrame([(time,)], "t string")
+    y, m, d = parse.time_parts(F.col("t"))
+    assert tuple(df.select(y, m, d).first()) == expected
+
+
+@pytest.mark.parametrize(
+    "url, expected",
+    [
+        ("HTTP://H/p", ("http", "H", "/p", "-")),
+        ("http://u:p@h:8/p?a=1#z", ("http", "h", "/p", "a=1")),
+        ("http://h?x=1", ("http", "h", "", "x=1")),
+        ("http://h/p?", ("http", "h", "/p", "-")),
+        ("http://h/a b", ("http", "h", "/a b", "-")),
+        ("http://h/p|x", ("http", "h", "/p|x", "-")),
+        ("http://my_host/x", ("http", "my_host", "/x", "-")),
+        ("http://a_b:8080/x y?", ("http", "a_b", "/x y", "-")),
+        ("https://plain.example.com", ("https", "plain.example.com", "", "-")),
+        ("https://m.x.example.net/en/25#top", ("https", "m.x.example.net", "/en/25", "-")),
+        ("http://x.example.com/fr/825?page=2&ref=x", ("http", "x.example.com", "/fr/825", "page=2&ref=x")),
+        (" http://h/p ", ("http", "h", "/p", "-")),
+        ("not a url", ("-", "-", "-", "-")),
+        ("", ("-", "-", "-", "-")),
+        (None, ("-", "-", "-", "-")),
+    ],
+)
+def test_url_parts(spark, url, expected):
+    df = spark.createDataFrame([(url,)], "u string")
+    assert tuple(df.select(*parse.url_parts(F.col("u"))).first()) == expected
+
+
+def test_text_line_prints_null(spark):
+    df = spark.createDataFrame([("h", None, 2)], "host string, area string, count bigint")
+    assert df.select(parse.text_line("host", "area", "count")).first()[0] == "h\tnull\t2"
+
+
+def test_day_from_path(spark):
+    df = spark.createDataFrame([("/dw/ads/access/d=20220426",), ("/x/d=20220427/",), ("/x/y",)], "p string")
+    assert [r[0] for r in df.select(parse.day_from_path(F.col("p"))).collect()] == ["20220426", "20220427", ""]
+
+
+def _line(*fields):
+    return "\t".join(fields)
+
+
+FULL = ["[2022/04/22 10:11:12 +0800]", "1.2.3.4", "-", "12", "7", "GET", "http://h/p", "200", "5", "99", "HIT"]
+
+
+@pytest.mark.parametrize(
+    "line, reason, size, cache",
+    [
+        (_line(*FULL), None, 99, "HIT"),
+        (_line(*FULL[:9], " 7 ", "HIT"), "dirty_size", None, None),
+        (_line(*FULL[:9], "1.5", "HIT"), "dirty_size", None, None),
+        (_line(*FULL[:9], "1e3", "HIT"), "dirty_size", None, None),
+        (_line(*FULL[:9], "9223372036854775808", "HIT"), "dirty_size", None, None),
+        (_line(*FULL[:9], "-", "HIT"), "dirty_size", None, None),
+        (_line(*FULL[:9], "-1", "HIT"), "dirty_size", None, None),
+        (_line(*FULL[:9], "+5", "HIT"), None, 5, "HIT"),
+        (_line(*FULL[:10]) + "\t", None, 99, ""),
+        (_line(*FULL, "extra"), None, 99, "HIT"),
+        (_line(*FULL[:10]), "short", None, None),
+        (_line(*FULL[:3]), "short", None, None),
+        ("", "short", None, None),
+    ],
+)
+def test_ods_edge_rows(spark, line, reason, size, cache):
+    raw = spark.createDataFrame([(line,)], "value string")
+    good, rej = ods.clean(raw)
+    g, r = good.collect(), rej.collect()
+    if reason is None:
+        assert len(g) == 1 and not r
+        assert g[0]["responseSize"] == size and g[0]["cache"] == cache
+    else:
+        assert not g and [(x["value"], x["reason"]) for x in r] == [(line, reason)]
