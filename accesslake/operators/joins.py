@@ -123,7 +123,10 @@ def _salted(fact: DataFrame, dim: DataFrame, key: str, how: str, hot: list, buck
     salts = F.when(is_hot, F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))).otherwise(
         F.array(F.lit(0).cast("bigint"))
     )
-    dim_s = dim.withColumn(SALT, F.explode(salts))
+    # The exact check already ruled out a broadcast: keep Spark's estimate-based
+    # auto-broadcast from choosing one anyway. Sort-merge spills instead of
+    # holding a lookup partition in memory.
+    dim_s = dim.withColumn(SALT, F.explode(salts)).hint("shuffle_merge")
     return fact_s.join(dim_s, on=[key, SALT], how=how).drop(SALT)
 
 

@@ -97,3 +97,13 @@ def test_inner_lookup_join(spark):
     for opts in ({}, {"max_broadcast_rows": 0}):
         got = sorted(tuple(r) for r in joins.lookup_join(fact, dim, "k", "inner", dim_key="key", **opts).collect())
         assert got == [(1, "a", "x"), (1, "a", "y")]
+
+
+def test_shuffle_plan_is_sort_merge_on_key_and_salt(spark):
+    fact = spark.range(100).select(F.concat(F.lit("10.0.0."), (F.col("id") % 7).cast("string")).alias("ip"), "id")
+    dim = spark.createDataFrame([(f"10.0.0.{i}", "p", "c", "i") for i in range(7)],
+                                "ip string, province string, city string, isp string")
+    df = joins.lookup_join(fact, dim, "ip", "left", max_broadcast_rows=0)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "_salt" in plan
+    assert df.count() == 100
