@@ -36,6 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="accesslake-wh-"))
     )
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

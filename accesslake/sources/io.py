@@ -15,10 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from accesslake.schemas import DAY, with_day
+from accesslake.schemas import ADS_SCHEMA, DAY, DWD_SCHEMA, ODS_SCHEMA, ddl, with_day
 
-# Rows per output file. The reference's default (128 MB blocks); its submit
-# lines use 5,000,000.
+# Rows per output file by default (5,000,000 is the other usual setting).
 DEFAULT_ROWS_PER_FILE = 2_500_000
 _DAY_DIR = re.compile(r"d=([^/]+)/?$")
 
@@ -118,8 +117,6 @@ def create_day_table(
     spark: SparkSession, table: str, schema: T.StructType, location: str, *, if_not_exists: bool = True
 ) -> None:
     """External parquet table partitioned by string `d` at `location`."""
-    from accesslake.schemas import ddl
-
     guard = "IF NOT EXISTS " if if_not_exists else ""
     spark.sql(
         f"CREATE TABLE {guard}{table} ({ddl(with_day(schema))}) "
@@ -127,6 +124,27 @@ def create_day_table(
     )
 
 
+# The three warehouse tables and their schemas (without `d`).
+WAREHOUSE_TABLES = {"ods_access": ODS_SCHEMA, "dwd_access": DWD_SCHEMA, "ads_areatrafstat": ADS_SCHEMA}
+
+
+def create_warehouse_tables(spark: SparkSession, locations: dict[str, str], database: str | None = None) -> None:
+    """CREATE the ODS, DWD and ADS tables (`name -> location`) if missing."""
+    for name, location in locations.items():
+        full = f"{database}.{name}" if database else name
+        create_day_table(spark, full, WAREHOUSE_TABLES[name], location)
+
+
+def register_day_views(spark: SparkSession, roots: dict[str, str], d: str) -> None:
+    """Temp views `ods_access`, `dwd_access`, `ads_areatrafstat` over day `d`.
+
+    For SQL over one day, e.g.
+    `SELECT city, host, count(1) AS count FROM dwd_access GROUP BY city, host`.
+    """
+    for name, root in roots.items():
+        read_day(spark, root, WAREHOUSE_TABLES[name], d).createOrReplaceTempView(name)
+
+
 def add_day_partition(spark: SparkSession, table: str, d: str, location: str | None = None) -> None:
     """Register day `d` of `table` (files already in place)."""
     loc = f" LOCATION '{location}'" if location else ""
