@@ -23,6 +23,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from accesslake.plans import jobs
+from accesslake.session import apply_cluster_conf
 from accesslake.sources import io
 
 PREFIX = "spark.app."
@@ -85,6 +86,7 @@ def main(argv: list[str] | None = None) -> None:
     if len(argv) != 1:
         raise SystemExit("usage: submit.py ods|dwd|ads|report|export  (settings via --conf spark.app.*)")
     spark = SparkSession.builder.appName(f"accesslake-{argv[0]}").getOrCreate()
+    apply_cluster_conf(spark)
     report = run(spark, argv[0])
     if report is not None:
         print(report)

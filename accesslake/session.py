@@ -26,6 +26,14 @@ CLUSTER_CONF = {
 }
 
 
+def apply_cluster_conf(spark: SparkSession) -> None:
+    """Set CLUSTER_CONF entries the user did not pass with --conf."""
+    given = spark.sparkContext.getConf()
+    for key, value in CLUSTER_CONF.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "accesslake") -> SparkSession:
     """Local session; sets a checkpoint folder only when none is configured."""
     b = (
