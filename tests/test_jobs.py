@@ -97,3 +97,37 @@ def test_no_python_in_any_query_plan(spark):
     for name in ("ods_access", "dwd_access", "dwd_lookup_default", "ads_area_traffic", "ads_preview"):
         plan = _executed(E.queries()[name](spark, SF_SMALL))
         assert "EvalPython" not in plan and "PythonUDF" not in plan, name
+
+
+def _stages(spark, group, fn):
+    """(jobs, stages) Spark ran for fn, from the status tracker (no UI)."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        fn()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    jobs = tracker.getJobIdsForGroup(group)
+    stages = set()
+    for j in jobs:
+        info = tracker.getJobInfo(j)
+        if info:
+            # a stage reused from an earlier job is listed again but skipped
+            stages.update(s for s in info.stageIds
+                          if (st := tracker.getStageInfo(s)) is not None and st.numCompletedTasks > 0)
+    return len(jobs), len(stages)
+
+
+def test_jobs_run_few_passes(spark, landed):
+    base, raw, ip = landed
+    ods_root, dwd_root, ads_root = (f"{base}/{x}5" for x in ("ods", "dwd", "ads"))
+    # ODS: one job, one stage (scan -> parse -> filter -> write, counts observed)
+    assert _stages(spark, "t-ods", lambda: ods_job(spark, raw, ods_root, D)) == (1, 1)
+    # DWD: the size probe of the IP library (partial + final aggregate), the
+    # broadcast build, then one map-only write; with AQE each stage is a job.
+    n_jobs, n_stages = _stages(spark, "t-dwd", lambda: dwd_job(spark, ip, ods_root, dwd_root, D))
+    assert n_jobs <= 4 and n_stages <= 4, (n_jobs, n_stages)
+    # ADS: partial aggregate stage + final aggregate/write stage
+    n_jobs, n_stages = _stages(spark, "t-ads", lambda: ads_job(spark, dwd_root, D, ads_root=ads_root))
+    assert n_stages <= 2, (n_jobs, n_stages)
