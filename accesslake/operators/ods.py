@@ -34,7 +34,7 @@ def raw_fields(raw: DataFrame, value: str = "value") -> DataFrame:
     fields = split_fields(F.col(value))
     return raw.select(
         F.col(value).alias("value"),
-        F.size(fields).alias(N_FIELDS),
+        F.size(fields).cast("bigint").alias(N_FIELDS),
         *raw_field_columns(fields),
     )
 
