@@ -144,6 +144,13 @@ def q_ods_parquet_roundtrip(spark, sf):
     return io.read_days(spark, root, ODS_SCHEMA)
 
 
+def q_ods_text_roundtrip(spark, sf):
+    """ODS written as V1 text lines (trailing tab), read back and parsed."""
+    path = io.scratch_dir(spark, "ods_text")
+    io.write_text(ods.text_lines(_ods(spark, sf)), path, compression=None)
+    return ods.clean(io.read_lines(spark, path))[0]
+
+
 def q_ads_partition_rerun(spark, sf):
     """insertInto a partitioned table for day 1, day 2, day 1 again."""
     table = f"ads_areatrafstat_{uuid.uuid4().hex[:8]}"
@@ -187,6 +194,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ads_from_tsv": q_ads_from_tsv,
     "ads_preview": q_ads_preview,
     "ods_parquet_roundtrip": q_ods_parquet_roundtrip,
+    "ods_text_roundtrip": q_ods_text_roundtrip,
     "ads_partition_rerun": q_ads_partition_rerun,
     "ads_partition_register": q_ads_partition_register,
 }
@@ -383,6 +391,7 @@ _ORACLE_BODIES = {
   LIMIT """ + str(PREVIEW_ROWS),
     "ods_parquet_roundtrip": f"""SELECT {_ODS_SEL}, '{DAY_1}' AS d FROM ods
   UNION ALL SELECT {_ODS_SEL}, '{DAY_2}' AS d FROM ods""",
+    "ods_text_roundtrip": "SELECT * FROM ods",
     "ads_partition_rerun": f"""SELECT city, host, "count", '{DAY_1}' AS d FROM ads
   UNION ALL SELECT city, host, "count", '{DAY_2}' AS d FROM ads""",
     "ads_partition_register": f"""SELECT city, host, "count", '{DAY_1}' AS d FROM ads""",

@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from accesslake.functions.parse import (
     DIRTY_SIZE,
+    FIELD_SEP,
     REASON_DIRTY,
     REASON_SHORT,
     field,
     long_or,
     raw_field_columns,
     split_fields,
+    text_line,
 )
 from accesslake.schemas import N_RAW_FIELDS, ODS_COLS, RAW_FIELDS
 
@@ -83,3 +85,12 @@ def count_columns() -> list[Column]:
 def counts(raw: DataFrame, value: str = "value") -> DataFrame:
     """One row: total, good, short, dirty_size."""
     return tag(raw, value).agg(*count_columns())
+
+
+def text_lines(ods_rows: DataFrame) -> DataFrame:
+    """ODS rows as V1 text lines: the 11 fields, tab-separated, plus a trailing tab.
+
+    Read back with `clean`, the trailing tab is a 12th (empty) field, which is
+    ignored, so the rows come back unchanged.
+    """
+    return ods_rows.select(F.concat(text_line(*ODS_COLS), F.lit(FIELD_SEP)).alias("value"))

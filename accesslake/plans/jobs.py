@@ -122,3 +122,30 @@ def report_job(spark: SparkSession, dwd_lines_path: str, out_path: str) -> None:
 def export_job(spark: SparkSession, table: str, **jdbc) -> None:
     """Catalog table -> JDBC table (re-runnable: overwrite with truncate)."""
     io.write_jdbc(spark.table(table), **jdbc)
+
+
+# ------------------------------------------------------------------ V1 text chain
+def ods_text_job(spark: SparkSession, raw_path: str, out_path: str) -> JobReport:
+    """V1 ODS: raw lines -> cleaned ODS rows as text lines (overwrite the folder)."""
+    tagged = ods.tag(io.read_lines(spark, raw_path))
+    observed, obs = _observed(tagged, "ods_text", *ods.count_columns())
+    io.write_text(ods.text_lines(ods.good(observed)), out_path, compression=None)
+    return JobReport("ods_text", "", dict(obs.get))
+
+
+def dwd_text_job(spark: SparkSession, ip_path: str, ods_text_path: str, out_path: str, **join_opts) -> JobReport:
+    """V1 DWD: ODS text lines -> DWD text lines, one IP row per ip, '-' on a miss."""
+    pre = dwd.widen(ods.good(ods.tag(io.read_lines(spark, ods_text_path))))
+    plan: list = []
+    wide = dwd.enrich_lookup(pre, dwd.ip_dim(io.read_lines(spark, ip_path)), plan=plan, **join_opts)
+    observed, obs = _observed(wide, "dwd_text", F.count(F.lit(1)).alias("rows"))
+    io.write_text(ads.dwd_lines(observed), out_path, compression=None)
+    return JobReport("dwd_text", "", dict(obs.get), plan)
+
+
+def ads_from_text_job(spark: SparkSession, dwd_text_path: str, ads_root: str, d: str) -> JobReport:
+    """V1 ADS: DWD text lines (city field 11, host field 14) -> ADS day, parquet."""
+    result = ads.area_traffic_from_lines(io.read_lines(spark, dwd_text_path))
+    observed, obs = _observed(result, f"ads_text_{d}", F.count(F.lit(1)).alias("groups"))
+    io.write_day(observed, ads_root, d)
+    return JobReport("ads_text", d, dict(obs.get))

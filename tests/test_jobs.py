@@ -131,3 +131,17 @@ def test_jobs_run_few_passes(spark, landed):
     # ADS: partial aggregate stage + final aggregate/write stage
     n_jobs, n_stages = _stages(spark, "t-ads", lambda: ads_job(spark, dwd_root, D, ads_root=ads_root))
     assert n_stages <= 2, (n_jobs, n_stages)
+
+
+def test_v1_text_chain(spark, landed):
+    from accesslake.plans import ads_from_text_job, dwd_text_job, ods_text_job
+
+    base, raw, ip = landed
+    r1 = ods_text_job(spark, raw, f"{base}/v1_ods")
+    assert r1.counts["good"] == 878
+    lines = io.read_lines(spark, f"{base}/v1_ods").collect()
+    assert len(lines) == 878 and all(r[0].endswith("\t") and len(r[0].split("\t")) == 12 for r in lines)
+    r2 = dwd_text_job(spark, ip, f"{base}/v1_ods", f"{base}/v1_dwd")
+    assert r2.counts == {"rows": 878}
+    r3 = ads_from_text_job(spark, f"{base}/v1_dwd", f"{base}/v1_ads", D)
+    assert r3.counts == {"groups": 241}
