@@ -44,6 +44,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Small local inputs: let a few MB still split across all cores
+        # (the 4 MB default open cost is the floor of a file split).
+        .config("spark.sql.files.openCostInBytes", str(1 << 20))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="accesslake-wh-"))
     )
     spark = b.getOrCreate()

@@ -180,16 +180,25 @@ def write_jdbc(
     password: str | None = None,
     mode: str = "overwrite",
     truncate: bool = True,
+    num_partitions: int = 16,
     **options: str,
 ) -> None:
     """Export a table over JDBC; one connection per task, opened by executors.
 
     `mode="overwrite"` with `truncate=True` empties the target table and keeps
-    its definition, so a re-run replaces the rows. Other writer options
-    (batchsize, createTableOptions, createTableColumnTypes, numPartitions,
-    isolationLevel, ...) pass through. There is no default password.
+    its definition, so a re-run replaces the rows. Spark coalesces the rows to
+    at most `num_partitions` tasks, so the database sees at most that many
+    connections however many partitions the table has. Other writer options
+    (batchsize, createTableOptions, createTableColumnTypes, isolationLevel,
+    ...) pass through. There is no default password.
     """
-    w = df.write.format("jdbc").option("url", url).option("dbtable", dbtable).mode(mode)
+    w = (
+        df.write.format("jdbc")
+        .option("url", url)
+        .option("dbtable", dbtable)
+        .option("numPartitions", str(num_partitions))
+        .mode(mode)
+    )
     if user is not None:
         w = w.option("user", user)
     if password is not None:

@@ -107,8 +107,8 @@ def test_jdbc_options_are_honoured():
     opts = {a[0]: a[1] for n, a in calls if n == "option"}
     assert ("format", ("jdbc",)) in calls and ("mode", ("overwrite",)) in calls and calls[-1][0] == "save"
     assert opts == {"url": "jdbc:mysql://db:3306/bigdata", "dbtable": "bigdata.test", "user": "u",
-                    "password": "p", "truncate": "true", "batchsize": "5000"}
+                    "password": "p", "truncate": "true", "batchsize": "5000", "numPartitions": "16"}
     df2 = _FakeFrame()
     io.write_jdbc(df2, url="jdbc:x", dbtable="t", mode="append")
     opts2 = {a[0]: a[1] for n, a in df2.write.calls if n == "option"}
-    assert opts2 == {"url": "jdbc:x", "dbtable": "t"}
+    assert opts2 == {"url": "jdbc:x", "dbtable": "t", "numPartitions": "16"}
