@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from accesslake.operators import ads, dwd, ods
-from accesslake.schemas import ADS_SCHEMA, DWD_SCHEMA, ODS_SCHEMA
+from accesslake.schemas import ADS_SCHEMA, DWD_SCHEMA, ODS_SCHEMA, REJECTS_SCHEMA
 from accesslake.sources import io
 
 
@@ -52,8 +52,12 @@ def ods_job(
     observed, obs = _observed(tagged, f"ods_{d}", *ods.count_columns())
     io.write_day(ods.good(observed), ods_root, d, rows_per_file=rows_per_file)
     report = JobReport("ods", d, dict(obs.get))
+    if report.counts["good"] == 0:
+        io.clear_day(spark, ods_root, ODS_SCHEMA, d)
     if rejects_root:
         io.write_day(ods.rejects(tagged), rejects_root, d, rows_per_file=rows_per_file)
+        if report.counts["good"] == report.counts["total"]:
+            io.clear_day(spark, rejects_root, REJECTS_SCHEMA, d)
     return report
 
 
@@ -84,7 +88,10 @@ def dwd_job(
         raise ValueError(f"lookup must be 'join' or 'default', not {lookup!r}")
     observed, obs = _observed(wide, f"dwd_{d}", F.count(F.lit(1)).alias("rows"))
     io.write_day(observed, dwd_root, d, rows_per_file=rows_per_file)
-    return JobReport("dwd", d, dict(obs.get), plan)
+    report = JobReport("dwd", d, dict(obs.get), plan)
+    if report.counts["rows"] == 0:
+        io.clear_day(spark, dwd_root, DWD_SCHEMA, d)
+    return report
 
 
 def area_traffic_day(spark: SparkSession, dwd_root: str, d: str) -> DataFrame:
@@ -109,7 +116,13 @@ def ads_job(
         io.insert_day(result, table, d)
     else:
         io.write_day(result, ads_root, d, rows_per_file=rows_per_file)
-    return JobReport("ads", d, dict(obs.get))
+    report = JobReport("ads", d, dict(obs.get))
+    if report.counts["groups"] == 0:
+        if table:
+            io.clear_table_day(spark, table, d)
+        else:
+            io.clear_day(spark, ads_root, ADS_SCHEMA, d)
+    return report
 
 
 def report_job(spark: SparkSession, dwd_lines_path: str, out_path: str) -> None:
@@ -148,4 +161,7 @@ def ads_from_text_job(spark: SparkSession, dwd_text_path: str, ads_root: str, d:
     result = ads.area_traffic_from_lines(io.read_lines(spark, dwd_text_path))
     observed, obs = _observed(result, f"ads_text_{d}", F.count(F.lit(1)).alias("groups"))
     io.write_day(observed, ads_root, d)
-    return JobReport("ads_text", d, dict(obs.get))
+    report = JobReport("ads_text", d, dict(obs.get))
+    if report.counts["groups"] == 0:
+        io.clear_day(spark, ads_root, ADS_SCHEMA, d)
+    return report

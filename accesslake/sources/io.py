@@ -93,6 +93,15 @@ def write_day(
     )
 
 
+def clear_day(spark: SparkSession, root: str, schema: T.StructType, d: str) -> None:
+    """Make day `d` of the table at `root` empty (other days untouched).
+
+    Dynamic overwrite only replaces days that receive rows, so a re-run whose
+    result is empty must empty the day itself.
+    """
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(day_path(root, d))
+
+
 def write_text(
     lines: DataFrame,
     path: str,
@@ -170,6 +179,14 @@ def insert_day(df: DataFrame, table: str, d: str) -> None:
         spark.conf.set(key, before)
 
 
+def clear_table_day(spark: SparkSession, table: str, d: str) -> None:
+    """Make day `d` of a catalog table empty: a static-partition overwrite with no rows."""
+    cols = [c for c in spark.table(table).columns if c != DAY]
+    types = dict(spark.table(table).dtypes)
+    nulls = ", ".join(f"CAST(NULL AS {types[c]})" for c in cols)
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({DAY}='{d}') SELECT {nulls} WHERE 1 = 0")
+
+
 # ---------------------------------------------------------------------- jdbc
 def write_jdbc(
     df: DataFrame,

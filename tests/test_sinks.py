@@ -112,3 +112,35 @@ def test_jdbc_options_are_honoured():
     io.write_jdbc(df2, url="jdbc:x", dbtable="t", mode="append")
     opts2 = {a[0]: a[1] for n, a in df2.write.calls if n == "option"}
     assert opts2 == {"url": "jdbc:x", "dbtable": "t", "numPartitions": "16"}
+
+
+def test_clear_day_empties_only_that_day(spark, scratch):
+    io.write_day(_ads(spark, "a"), scratch, "20240101")
+    io.write_day(_ads(spark, "b"), scratch, "20240102")
+    io.write_day(spark.createDataFrame([], ADS_SCHEMA), scratch, "20240101")
+    assert io.read_day(spark, scratch, ADS_SCHEMA, "20240101").count() == 2  # dynamic overwrite kept it
+    io.clear_day(spark, scratch, ADS_SCHEMA, "20240101")
+    assert io.read_day(spark, scratch, ADS_SCHEMA, "20240101").count() == 0
+    assert _rows(io.read_days(spark, scratch, ADS_SCHEMA)) == [("20240102", "h-b", 1), ("20240102", "h-b", 2)]
+
+
+def test_clear_table_day(spark, scratch):
+    table = f"t_{uuid.uuid4().hex[:8]}"
+    io.create_day_table(spark, table, ADS_SCHEMA, scratch)
+    io.insert_day(_ads(spark, "a"), table, "20240101")
+    io.insert_day(_ads(spark, "b"), table, "20240102")
+    io.clear_table_day(spark, table, "20240101")
+    assert _rows(spark.table(table)) == [("20240102", "h-b", 1), ("20240102", "h-b", 2)]
+
+
+def test_empty_rerun_of_a_day_job(spark, scratch):
+    from accesslake.plans import ads_job
+    from accesslake.schemas import DWD_SCHEMA
+
+    dwd_root, ads_root = f"{scratch}/dwd", f"{scratch}/ads"
+    row = tuple(1 if f.dataType.simpleString() == "bigint" else "x" for f in DWD_SCHEMA.fields)
+    io.write_day(spark.createDataFrame([row], DWD_SCHEMA), dwd_root, "20240101")
+    assert ads_job(spark, dwd_root, "20240101", ads_root=ads_root).counts == {"groups": 1}
+    io.clear_day(spark, dwd_root, DWD_SCHEMA, "20240101")
+    assert ads_job(spark, dwd_root, "20240101", ads_root=ads_root).counts == {"groups": 0}
+    assert io.read_day(spark, ads_root, ADS_SCHEMA, "20240101").count() == 0
