@@ -6,12 +6,14 @@ Two physical strategies, chosen per call:
   row and byte budget (``fits_broadcast``). The fact side is then never
   shuffled, so its key skew does not matter.
 * **Shuffle join** otherwise. Keys that hold a large share of the fact rows are
-  found on a sample of the fact's key column; their fact rows get a salt in
-  ``[0, buckets)`` and their lookup rows are replicated once per salt, so one
-  hot key is spread over ``buckets`` tasks instead of one. Fact rows with a
-  NULL key (which can never match) are salted too, so they do not pile up in
-  the single partition that NULL hashes to. AQE's skew-join split stays on as a
-  second line of defence.
+  found on a sample of the fact's key column. A key is hot when it holds a few
+  times the share of an average shuffle partition; each hot key gets about
+  `share x shuffle partitions` salts, so every salt of it is about one
+  average partition, and its lookup rows are replicated once per salt. A key
+  with a third of all rows thus spreads over a third of the reducers instead
+  of landing in one. Fact rows with a NULL key (which can never match) are
+  spread over all partitions instead of the single one NULL hashes to. AQE's
+  skew-join split stays on for whatever skew is left.
 
 The salt is a hash of the row and of the input partition id. It is the same
 when a task is re-run after an executor loss, so no row is lost or duplicated
@@ -20,6 +22,7 @@ on retry (``rand()`` would not be).
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,10 +32,11 @@ from pyspark.sql import types as T
 # Lookup sides up to this size are broadcast (after an exact check).
 DEFAULT_MAX_BROADCAST_ROWS = 5_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-# A key is hot when it holds at least this share of the sampled fact rows.
-DEFAULT_HOT_SHARE = 0.01
+# Hot key: at least HOT_FACTOR times an average partition's share of the rows.
+HOT_FACTOR = 4
+# At most this many hot keys are salted (the heaviest); AQE splits the rest.
+MAX_HOT_KEYS = 1000
 DEFAULT_SAMPLE_FRACTION = 0.01
-DEFAULT_SALT_BUCKETS = 64
 SALT = "_salt"
 
 
@@ -44,6 +48,7 @@ class JoinPlan:
     lookup_rows: int | None = None
     lookup_bytes: int | None = None
     hot_keys: tuple = ()
+    salts: tuple = ()
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -80,21 +85,28 @@ def fits_broadcast(
     return rows <= max_rows and size <= max_bytes, rows, size
 
 
+def shuffle_partitions(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def hot_keys(
     fact: DataFrame,
     key: str,
     *,
-    share: float = DEFAULT_HOT_SHARE,
+    share: float | None = None,
     fraction: float = DEFAULT_SAMPLE_FRACTION,
     seed: int = 7,
-) -> list:
-    """Keys holding at least `share` of the fact rows, estimated on a sample.
+) -> list[tuple]:
+    """(key, share of rows) of the keys holding at least `share` of the fact rows.
 
-    Only the key column is read. At most 1/share keys can qualify, so the list
-    brought back to the driver is bounded by `share`, not by the data. The
-    sample only decides the plan; every row still goes through the join.
+    `share` defaults to HOT_FACTOR / shuffle partitions. Estimated on a
+    sample of the key column only. At most MAX_HOT_KEYS keys come back to the
+    driver, so the list is bounded whatever the data. The sample only decides
+    the plan; every row still goes through the join.
     """
-    max_keys = int(1 / share) + 1
+    if share is None:
+        share = HOT_FACTOR / shuffle_partitions(fact.sparkSession)
+    max_keys = min(MAX_HOT_KEYS, int(1 / share) + 1)
     # rollup adds the grand total as one more row (grouping = 1), so the sample
     # size and the top keys come back from a single job.
     top = (
@@ -111,22 +123,35 @@ def hot_keys(
         return []
     # With a tiny sample, a key needs a few hits before it counts as hot.
     need = max(share * n, 3)
-    return [r["k"] for r in top if r["g"] == 0 and r["k"] is not None and r["c"] >= need]
+    return [(r["k"], r["c"] / n) for r in top if r["g"] == 0 and r["k"] is not None and r["c"] >= need]
+
 
+def salts_for(key_share: float, partitions: int) -> int:
+    """Salts of a hot key: about one average partition of rows per salt."""
+    return max(2, min(partitions, math.ceil(key_share * partitions)))
 
-def _salted(fact: DataFrame, dim: DataFrame, key: str, how: str, hot: list, buckets: int) -> DataFrame:
+
+def _salted(fact: DataFrame, dim: DataFrame, key: str, how: str, salts: dict, null_salts: int) -> DataFrame:
     k = F.col(key)
-    is_hot = k.isin(hot) if hot else F.lit(False)
-    spread = is_hot | k.isNull()
+    if salts:
+        table = F.create_map(*[F.lit(x) for kv in salts.items() for x in kv])
+        n = F.try_element_at(table, k)  # NULL for a cold (or NULL) key
+    else:
+        n = F.lit(None).cast("int")
     row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in fact.columns])
-    fact_s = fact.withColumn(SALT, F.when(spread, F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0).cast("bigint")))
-    salts = F.when(is_hot, F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))).otherwise(
+    salt = (
+        F.when(n.isNotNull(), F.pmod(row_hash, n.cast("bigint")))
+        .when(k.isNull(), F.pmod(row_hash, F.lit(null_salts).cast("bigint")))
+        .otherwise(F.lit(0).cast("bigint"))
+    )
+    fact_s = fact.withColumn(SALT, salt)
+    replicas = F.when(n.isNotNull(), F.sequence(F.lit(0).cast("bigint"), n.cast("bigint") - 1)).otherwise(
         F.array(F.lit(0).cast("bigint"))
     )
     # The exact check already ruled out a broadcast: keep Spark's estimate-based
     # auto-broadcast from choosing one anyway. Sort-merge spills instead of
     # holding a lookup partition in memory.
-    dim_s = dim.withColumn(SALT, F.explode(salts)).hint("shuffle_merge")
+    dim_s = dim.withColumn(SALT, F.explode(replicas)).hint("shuffle_merge")
     return fact_s.join(dim_s, on=[key, SALT], how=how).drop(SALT)
 
 
@@ -139,17 +164,18 @@ def lookup_join(
     dim_key: str | None = None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-    hot_share: float = DEFAULT_HOT_SHARE,
+    hot_share: float | None = None,
     sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    salt_buckets: int | None = None,
     plan: list | None = None,
 ) -> DataFrame:
     """`fact JOIN dim USING (key)` with a size-checked broadcast or a salted shuffle.
 
     `how` is "left" or "inner" (the fact side is always kept whole for
     "left"). `dim_key` names the key on the lookup side if it differs; it is
-    renamed to `key` so the result has one key column, like SQL's USING. If
-    `plan` is a list, the chosen JoinPlan is appended to it.
+    renamed to `key` so the result has one key column, like SQL's USING.
+    `salt_buckets` fixes the salts per hot key instead of deriving them from
+    the key's share. If `plan` is a list, the chosen JoinPlan is appended.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join supports left and inner joins, not {how!r}")
@@ -162,7 +188,9 @@ def lookup_join(
             plan.append(JoinPlan("broadcast", rows, size))
         return fact.join(F.broadcast(dim), on=key, how=how)
 
+    partitions = shuffle_partitions(fact.sparkSession)
     hot = hot_keys(fact, key, share=hot_share, fraction=sample_fraction)
+    salts = {k: salt_buckets or salts_for(sh, partitions) for k, sh in hot}
     if plan is not None:
-        plan.append(JoinPlan("shuffle", rows, size, tuple(hot)))
-    return _salted(fact, dim, key, how, hot, salt_buckets)
+        plan.append(JoinPlan("shuffle", rows, size, tuple(salts), tuple(salts.values())))
+    return _salted(fact, dim, key, how, salts, salt_buckets or partitions)

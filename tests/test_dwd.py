@@ -58,7 +58,14 @@ def test_hot_keys_finds_the_heavy_key(spark):
     df = spark.range(20000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k")
     )
-    assert joins.hot_keys(df, "k", share=0.05, fraction=0.2) == ["hot"]
+    got = joins.hot_keys(df, "k", share=0.05, fraction=0.2)
+    assert [k for k, _ in got] == ["hot"] and abs(got[0][1] - 1 / 3) < 0.05
+
+
+def test_salts_follow_the_key_share():
+    assert joins.salts_for(1 / 3, 8000) == 2667
+    assert joins.salts_for(0.001, 8000) == 8
+    assert joins.salts_for(0.9, 8) == 8 and joins.salts_for(0.01, 8) == 2
 
 
 def test_salted_join_equals_broadcast_join(spark):
@@ -107,3 +114,21 @@ def test_shuffle_plan_is_sort_merge_on_key_and_salt(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "_salt" in plan
     assert df.count() == 100
+
+
+def test_salts_derived_from_share(spark):
+    fact = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("ip"), "id"
+    )
+    dim = spark.createDataFrame([("hot", "H")] + [(str(i), f"c{i}") for i in range(500)], "ip string, city string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")  # hot = 4/64 of the rows or more
+    try:
+        plan = []
+        s = joins.lookup_join(fact, dim, "ip", "left", max_broadcast_rows=0, sample_fraction=0.5, plan=plan)
+        assert plan[0].hot_keys == ("hot",) and 18 <= plan[0].salts[0] <= 25  # about a third of 64
+        b = joins.lookup_join(fact, dim, "ip", "left")
+        key = lambda df: sorted((r["id"], r["city"]) for r in df.collect())
+        assert key(s) == key(b)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
