@@ -83,8 +83,9 @@ def enrich(pre: DataFrame, dim: DataFrame, **join_opts) -> DataFrame:
 def dedupe_dim(dim: DataFrame) -> DataFrame:
     """One row per ip: the greatest (province, city, isp); NULL sorts lowest.
 
-    A hash aggregate with partial aggregation, so an ip repeated in a third of
-    the library is combined map-side and never lands whole in one task.
+    An aggregate with a map-side partial step, so an ip repeated in a third of
+    the library is combined per task and never lands whole in one task (Spark
+    runs a maximum over strings as a sort-based aggregate).
     """
     best = F.max(F.struct(*[F.col(c) for c in IP_ATTRS])).alias("best")
     return dim.groupBy("ip").agg(best).select("ip", *[F.col(f"best.{c}").alias(c) for c in IP_ATTRS])
