@@ -132,3 +132,23 @@ def test_salts_derived_from_share(spark):
         assert key(s) == key(b)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_hot_key_spreads_over_reducers_at_run_time(spark):
+    fact = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 997).cast("string")).alias("ip"), "id"
+    )
+    dim = spark.createDataFrame([("hot", "H")] + [(str(i), f"c{i}") for i in range(997)], "ip string, city string")
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        j = joins.lookup_join(fact, dim, "ip", "left", max_broadcast_rows=0, sample_fraction=0.2)
+        tasks = j.where(F.col("ip") == "hot").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks >= 16, tasks  # about a third of the 64 reducers, not one
+        plain = fact.join(dim.hint("shuffle_merge"), "ip", "left")
+        assert plain.where(F.col("ip") == "hot").select(F.spark_partition_id()).distinct().count() == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
