@@ -33,6 +33,18 @@ def _observed(df: DataFrame, name: str, *aggs) -> tuple[DataFrame, Observation]:
     return df.observe(obs, *aggs), obs
 
 
+def _metrics(obs: Observation, *names: str) -> dict:
+    """The observed counts; zeros when Spark removed the observation.
+
+    The optimizer drops the observation node of a plan it proves empty (an
+    empty day folder), and then no metrics arrive: the count is zero.
+    """
+    try:
+        return dict(obs.get)
+    except Exception:  # noqa: BLE001 - py4j raises a generic error here
+        return {n: 0 for n in names}
+
+
 def ods_job(
     spark: SparkSession,
     raw_path: str,
@@ -51,7 +63,7 @@ def ods_job(
     tagged = ods.tag(io.read_lines(spark, raw_path))
     observed, obs = _observed(tagged, f"ods_{d}", *ods.count_columns())
     io.write_day(ods.good(observed), ods_root, d, rows_per_file=rows_per_file)
-    report = JobReport("ods", d, dict(obs.get))
+    report = JobReport("ods", d, _metrics(obs, "total", "good", "short", "dirty_size"))
     if report.counts["good"] == 0:
         io.clear_day(spark, ods_root, ODS_SCHEMA, d)
     if rejects_root:
@@ -78,7 +90,9 @@ def dwd_job(
     `lookup="default"` the V1 rule (one row per ip, '-' on a miss).
     """
     dim = dwd.ip_dim(io.read_lines(spark, ip_path))
-    pre = dwd.widen(io.read_day(spark, ods_root, ODS_SCHEMA, d).drop("d"))
+    pre, obs_in = _observed(
+        dwd.widen(io.read_day(spark, ods_root, ODS_SCHEMA, d).drop("d")), f"dwd_in_{d}", F.count(F.lit(1)).alias("input")
+    )
     plan: list = []
     if lookup == "join":
         wide = dwd.enrich(pre, dim, plan=plan, **join_opts)
@@ -88,15 +102,21 @@ def dwd_job(
         raise ValueError(f"lookup must be 'join' or 'default', not {lookup!r}")
     observed, obs = _observed(wide, f"dwd_{d}", F.count(F.lit(1)).alias("rows"))
     io.write_day(observed, dwd_root, d, rows_per_file=rows_per_file)
-    report = JobReport("dwd", d, dict(obs.get), plan)
+    report = JobReport("dwd", d, {**_metrics(obs_in, "input"), **_metrics(obs, "rows")}, plan)
     if report.counts["rows"] == 0:
         io.clear_day(spark, dwd_root, DWD_SCHEMA, d)
     return report
 
 
-def area_traffic_day(spark: SparkSession, dwd_root: str, d: str) -> DataFrame:
-    """ADS rows of day `d` (reads only `city` and `host` of that day)."""
-    return ads.area_traffic(io.read_day(spark, dwd_root, DWD_SCHEMA, d))
+def area_traffic_day(spark: SparkSession, dwd_root: str, d: str, observation: Observation | None = None) -> DataFrame:
+    """ADS rows of day `d` (reads only `city` and `host` of that day).
+
+    With `observation`, the DWD rows read are counted (`input`) in the same pass.
+    """
+    day = io.read_day(spark, dwd_root, DWD_SCHEMA, d)
+    if observation is not None:
+        day = day.observe(observation, F.count(F.lit(1)).alias("input"))
+    return ads.area_traffic(day)
 
 
 def ads_job(
@@ -111,12 +131,15 @@ def ads_job(
     """DWD day -> ADS day, to a parquet folder (`ads_root`) or a catalog table."""
     if (ads_root is None) == (table is None):
         raise ValueError("give exactly one of ads_root and table")
-    result, obs = _observed(area_traffic_day(spark, dwd_root, d), f"ads_{d}", F.count(F.lit(1)).alias("groups"))
+    obs_in = Observation(f"ads_in_{d}")
+    result, obs = _observed(
+        area_traffic_day(spark, dwd_root, d, obs_in), f"ads_{d}", F.count(F.lit(1)).alias("groups")
+    )
     if table:
         io.insert_day(result, table, d)
     else:
         io.write_day(result, ads_root, d, rows_per_file=rows_per_file)
-    report = JobReport("ads", d, dict(obs.get))
+    report = JobReport("ads", d, {**_metrics(obs_in, "input"), **_metrics(obs, "groups")})
     if report.counts["groups"] == 0:
         if table:
             io.clear_table_day(spark, table, d)
@@ -143,7 +166,7 @@ def ods_text_job(spark: SparkSession, raw_path: str, out_path: str) -> JobReport
     tagged = ods.tag(io.read_lines(spark, raw_path))
     observed, obs = _observed(tagged, "ods_text", *ods.count_columns())
     io.write_text(ods.text_lines(ods.good(observed)), out_path, compression=None)
-    return JobReport("ods_text", "", dict(obs.get))
+    return JobReport("ods_text", "", _metrics(obs, "total", "good", "short", "dirty_size"))
 
 
 def dwd_text_job(spark: SparkSession, ip_path: str, ods_text_path: str, out_path: str, **join_opts) -> JobReport:
@@ -153,7 +176,7 @@ def dwd_text_job(spark: SparkSession, ip_path: str, ods_text_path: str, out_path
     wide = dwd.enrich_lookup(pre, dwd.ip_dim(io.read_lines(spark, ip_path)), plan=plan, **join_opts)
     observed, obs = _observed(wide, "dwd_text", F.count(F.lit(1)).alias("rows"))
     io.write_text(ads.dwd_lines(observed), out_path, compression=None)
-    return JobReport("dwd_text", "", dict(obs.get), plan)
+    return JobReport("dwd_text", "", _metrics(obs, "rows"), plan)
 
 
 def ads_from_text_job(spark: SparkSession, dwd_text_path: str, ads_root: str, d: str) -> JobReport:
@@ -161,7 +184,7 @@ def ads_from_text_job(spark: SparkSession, dwd_text_path: str, ads_root: str, d:
     result = ads.area_traffic_from_lines(io.read_lines(spark, dwd_text_path))
     observed, obs = _observed(result, f"ads_text_{d}", F.count(F.lit(1)).alias("groups"))
     io.write_day(observed, ads_root, d)
-    report = JobReport("ads_text", d, dict(obs.get))
+    report = JobReport("ads_text", d, _metrics(obs, "groups"))
     if report.counts["groups"] == 0:
         io.clear_day(spark, ads_root, ADS_SCHEMA, d)
     return report

@@ -13,7 +13,8 @@ Paths that end in `d=YYYYMMDD` give the day and the table root; otherwise set
 * `report`: inputPath (V1 DWD text) -> outputPath (gzip text report, one file)
 * `export`: spark.app.table -> JDBC (spark.app.url, dbtable, user, password)
 
-`spark.app.perBlockRowsForSnappy` sets the rows per output file.
+`spark.app.perBlockRowsForSnappy` sets the rows per output file;
+`spark.app.printSchema=true` prints the output's schema and one row.
 """
 
 from __future__ import annotations
@@ -23,10 +24,12 @@ import sys
 from pyspark.sql import SparkSession
 
 from accesslake.plans import jobs
+from accesslake.schemas import ADS_SCHEMA, DWD_SCHEMA, ODS_SCHEMA
 from accesslake.session import apply_cluster_conf
 from accesslake.sources import io
 
 PREFIX = "spark.app."
+OUTPUT_SCHEMAS = {"ods": ODS_SCHEMA, "dwd": DWD_SCHEMA, "ads": ADS_SCHEMA}
 
 
 def _conf(spark: SparkSession, name: str, default: str | None = None) -> str | None:
@@ -49,7 +52,25 @@ def _root_and_day(spark: SparkSession, path: str) -> tuple[str, str]:
         return path, _need(spark, "day")
 
 
+def _show_output(spark: SparkSession, path: str, schema) -> None:
+    """printSchema and a one-row preview of the day just written."""
+    root, d = _root_and_day(spark, path)
+    out = io.read_day(spark, root, schema, d)
+    out.printSchema()
+    out.show(1, truncate=False)
+
+
 def run(spark: SparkSession, job: str) -> jobs.JobReport | None:
+    report = _run(spark, job)
+    if _conf(spark, "printSchema", "false").lower() == "true" and job in OUTPUT_SCHEMAS:
+        if job == "ads" and _conf(spark, "table"):
+            spark.table(_need(spark, "table")).printSchema()
+        else:
+            _show_output(spark, _need(spark, "outputPath"), OUTPUT_SCHEMAS[job])
+    return report
+
+
+def _run(spark: SparkSession, job: str) -> jobs.JobReport | None:
     rows = int(_conf(spark, "perBlockRowsForSnappy", str(io.DEFAULT_ROWS_PER_FILE)))
     if job == "ods":
         out_root, d = _root_and_day(spark, _need(spark, "outputPath"))

@@ -31,12 +31,12 @@ def test_pipeline_counts(spark, landed):
     assert io.read_day(spark, rej_root, REJECTS_SCHEMA, D).count() == 122
 
     r2 = dwd_job(spark, ip, ods_root, dwd_root, D)
-    assert r2.counts == {"rows": 981} and r2.joins[0].strategy == "broadcast"
+    assert r2.counts == {"input": 878, "rows": 981} and r2.joins[0].strategy == "broadcast"
     dwd = io.read_day(spark, dwd_root, DWD_SCHEMA, D)
     assert dwd.where("city IS NULL").count() == 177
 
     r3 = ads_job(spark, dwd_root, D, ads_root=ads_root)
-    assert r3.counts == {"groups": 271}
+    assert r3.counts == {"input": 981, "groups": 271}
     assert io.read_day(spark, ads_root, ADS_SCHEMA, D).count() == 271
 
     # re-run of the same day: same rows, no duplicates
@@ -51,11 +51,11 @@ def test_lookup_default_and_shuffle_plans(spark, landed):
     ods_root = f"{base}/ods2"
     ods_job(spark, raw, ods_root, D)
     r = dwd_job(spark, ip, ods_root, f"{base}/dwd_v1", D, lookup="default")
-    assert r.counts == {"rows": 878}
+    assert r.counts == {"input": 878, "rows": 878}
     dwd = io.read_day(spark, f"{base}/dwd_v1", DWD_SCHEMA, D)
     assert dwd.where("city = '-'").count() == 177 and dwd.where("city IS NULL").count() == 0
     r = dwd_job(spark, ip, ods_root, f"{base}/dwd_s", D, max_broadcast_rows=0)
-    assert r.joins[0].strategy == "shuffle" and r.counts == {"rows": 981}
+    assert r.joins[0].strategy == "shuffle" and r.counts == {"input": 878, "rows": 981}
 
 
 def test_table_target_and_report(spark, landed):

@@ -140,7 +140,7 @@ def test_empty_rerun_of_a_day_job(spark, scratch):
     dwd_root, ads_root = f"{scratch}/dwd", f"{scratch}/ads"
     row = tuple(1 if f.dataType.simpleString() == "bigint" else "x" for f in DWD_SCHEMA.fields)
     io.write_day(spark.createDataFrame([row], DWD_SCHEMA), dwd_root, "20240101")
-    assert ads_job(spark, dwd_root, "20240101", ads_root=ads_root).counts == {"groups": 1}
+    assert ads_job(spark, dwd_root, "20240101", ads_root=ads_root).counts == {"input": 1, "groups": 1}
     io.clear_day(spark, dwd_root, DWD_SCHEMA, "20240101")
-    assert ads_job(spark, dwd_root, "20240101", ads_root=ads_root).counts == {"groups": 0}
+    assert ads_job(spark, dwd_root, "20240101", ads_root=ads_root).counts == {"input": 0, "groups": 0}
     assert io.read_day(spark, ads_root, ADS_SCHEMA, "20240101").count() == 0

@@ -26,7 +26,7 @@ def app_conf(spark):
         spark.conf.unset(k)
 
 
-def test_submit_chain(spark, scratch, app_conf):
+def test_submit_chain(spark, scratch, app_conf, capsys):
     raw, ip = f"{scratch}/raw/d={D}", f"{scratch}/ip"
     io.write_text(fixtures.raw_access(spark, SF_SMALL), raw, compression=None)
     io.write_text(fixtures.ip_lines(spark, SF_SMALL), ip, compression=None)
@@ -35,10 +35,15 @@ def test_submit_chain(spark, scratch, app_conf):
     app_conf(inputPath=raw, outputPath=ods, perBlockRowsForSnappy="5000000")
     assert submit.run(spark, "ods").counts["good"] == 878
     app_conf(inputPath=ods, outputPath=dwd, ipResourcePath=ip)
-    assert submit.run(spark, "dwd").counts == {"rows": 981}
+    assert submit.run(spark, "dwd").counts == {"input": 878, "rows": 981}
     app_conf(inputPath=dwd, outputPath=ads_root)
-    assert submit.run(spark, "ads").counts == {"groups": 271}
+    assert submit.run(spark, "ads").counts == {"input": 981, "groups": 271}
     assert io.read_day(spark, f"{scratch}/ads", ADS_SCHEMA, D).count() == 271
+    app_conf(printSchema="true")
+    submit.run(spark, "ads")
+    out = capsys.readouterr().out
+    assert "|-- city: string" in out and "|-- count: long" in out
+    app_conf(printSchema="false")
 
     app_conf(inputPath=dwd, outputPath=f"{scratch}/ads/d=20240109")
     with pytest.raises(ValueError):
