@@ -1,0 +1,93 @@
+"""The parsing rules give the same answers in Spark and in the DuckDB oracle.
+
+Random URL-, number- and time-like strings (no line breaks: lines never hold
+one) go through the Spark column functions and through the oracle's SQL
+expressions; both must agree on every string.
+"""
+
+import os
+
+import duckdb
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from accesslake.functions import parse
+
+URL_CHARS = "aZ09:/?#@.-_+% |~=&[]"
+NUM_CHARS = "0123456789+-. e"
+TIME_CHARS = "[]/0123456789: +bad"
+
+url_like = st.one_of(
+    st.text(alphabet=URL_CHARS, max_size=30),
+    st.builds(
+        lambda scheme, user, host, port, path, query, frag: f"{scheme}://{user}{host}{port}{path}{query}{frag}",
+        st.sampled_from(["http", "HTTPS", "ftp", "x+y", "1a", ""]),
+        st.sampled_from(["", "u:p@", "@"]),
+        st.text(alphabet="ab_.-9", max_size=8),
+        st.sampled_from(["", ":80", ":", ":x"]),
+        st.text(alphabet="/ab |%", max_size=8),
+        st.sampled_from(["", "?", "?a=1", "?a=1&b=2"]),
+        st.sampled_from(["", "#", "#top", "#a?b"]),
+    ),
+)
+num_like = st.one_of(st.text(alphabet=NUM_CHARS, max_size=22), st.integers(-(2**64), 2**64).map(str))
+time_like = st.one_of(
+    st.text(alphabet=TIME_CHARS, max_size=28),
+    st.builds(
+        lambda a, b, c, rest: f"[{a}/{b}/{c}{rest}",
+        st.sampled_from(["2022", "15", "1", "20224"]),
+        st.sampled_from(["04", "4", "12"]),
+        st.sampled_from(["22", "2022", "17/", "1"]),
+        st.sampled_from([" 10:11:12 +0800]", ":15:00:12 +0800]", "/:23:08:09 +0800]", ""]),
+    ),
+)
+
+# PORTABLE_EXAMPLES=200 searches harder (each example is a batch of strings).
+SETTINGS = settings(
+    max_examples=int(os.environ.get("PORTABLE_EXAMPLES", "8")),
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+
+
+def _duck(values, expr_sql):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (i INTEGER, v VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))
+    return {r[0]: tuple(r[1:]) for r in con.execute(f"SELECT i, {expr_sql} FROM t").fetchall()}
+
+
+def _spark(spark, values, cols):
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v string")
+    return {r[0]: tuple(r[1:]) for r in df.select("i", *cols(F.col("v"))).collect()}
+
+
+@SETTINGS
+@given(st.lists(url_like, min_size=50, max_size=150))
+def test_url_parts_agree(spark, urls):
+    def g(i):
+        return f"regexp_extract(trim(v), '{E._URL}', {i})"
+
+    ok = f"coalesce({g(1)} <> '', false)"
+    sql = (f"CASE WHEN {ok} THEN lower({g(1)}) ELSE '-' END, CASE WHEN {ok} THEN {g(2)} ELSE '-' END, "
+           f"CASE WHEN {ok} THEN {g(3)} ELSE '-' END, CASE WHEN {ok} AND {g(4)} <> '' THEN {g(4)} ELSE '-' END")
+    assert _spark(spark, urls, lambda c: parse.url_parts(c)) == _duck(urls, sql)
+
+
+@SETTINGS
+@given(st.lists(num_like, min_size=50, max_size=150))
+def test_parse_long_agrees(spark, texts):
+    assert _spark(spark, texts, lambda c: [parse.parse_long(c)]) == _duck(texts, E._long("v"))
+
+
+@SETTINGS
+@given(st.lists(time_like, min_size=50, max_size=150))
+def test_time_parts_agree(spark, times):
+    def part(a, b):
+        return (f"CASE WHEN regexp_matches(v, '{E._YMD}') THEN regexp_extract(v, '{E._YMD}', {a}) "
+                f"WHEN regexp_matches(v, '{E._DMY}') THEN regexp_extract(v, '{E._DMY}', {b}) ELSE '-' END")
+
+    sql = ", ".join([part(1, 3), part(2, 2), part(3, 1)])
+    assert _spark(spark, times, lambda c: parse.time_parts(c)) == _duck(times, sql)
