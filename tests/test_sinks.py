@@ -144,3 +144,11 @@ def test_empty_rerun_of_a_day_job(spark, scratch):
     io.clear_day(spark, dwd_root, DWD_SCHEMA, "20240101")
     assert ads_job(spark, dwd_root, "20240101", ads_root=ads_root).counts == {"input": 0, "groups": 0}
     assert io.read_day(spark, ads_root, ADS_SCHEMA, "20240101").count() == 0
+
+
+def test_jdbc_reaches_spark_writer_without_a_database(spark):
+    # No database is started: an unknown JDBC scheme stops Spark at the
+    # driver lookup, after it has taken and checked the writer options.
+    df = _ads(spark, "a")
+    with pytest.raises(Exception, match="(?i)suitable driver"):
+        io.write_jdbc(df, url="jdbc:nothing-here://none/db", dbtable="t", user="u", password="p")
