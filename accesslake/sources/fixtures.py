@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accesslake.operators.joins import lookup_join
+from accesslake.sources import io
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture rules (FIXTURES.md section 3).
@@ -66,7 +67,9 @@ def _ip_text(prefix: str, n: Column) -> Column:
 
 def raw_access(spark: SparkSession, sf_dir: str, **join_opts) -> DataFrame:
     """One raw log line (`value`) per event."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type")
+    events = io.spread_small_input(
+        spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type")
+    )
     # Only pages whose id can equal event_id % 60 can join; the result is the same.
     pages = (
         spark.read.parquet(f"{sf_dir}/pages.parquet")
@@ -120,7 +123,9 @@ def raw_access(spark: SparkSession, sf_dir: str, **join_opts) -> DataFrame:
 
 def ip_lines(spark: SparkSession, sf_dir: str, **join_opts) -> DataFrame:
     """One IP library line (`value`) per customer, plus `DUP` duplicates."""
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey", "c_mktsegment")
+    customer = io.spread_small_input(
+        spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey", "c_mktsegment")
+    )
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name", "n_regionkey")
     region = spark.read.parquet(f"{sf_dir}/region.parquet").select("r_regionkey", "r_name")
     geo = lookup_join(nation, region, "n_regionkey", "inner", dim_key="r_regionkey", **join_opts)

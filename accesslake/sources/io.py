@@ -68,6 +68,21 @@ def read_days(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(with_day(schema)).parquet(root)
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Spread an input that scans as fewer tasks than there are cores.
+
+    A parquet file that is a single row group is one scan task however many
+    cores there are, and every narrow step after it stays in that task. Such
+    an input is spread round-robin over `defaultParallelism` tasks; an input
+    with at least that many splits (any large input) is returned as it is, so
+    no shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 # ------------------------------------------------------------------- writers
 def write_day(
     df: DataFrame,

@@ -152,3 +152,12 @@ def test_jdbc_reaches_spark_writer_without_a_database(spark):
     df = _ads(spark, "a")
     with pytest.raises(Exception, match="(?i)suitable driver"):
         io.write_jdbc(df, url="jdbc:nothing-here://none/db", dbtable="t", user="u", password="p")
+
+
+def test_spread_small_input_only_when_few_splits(spark):
+    target = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    spread = io.spread_small_input(one)
+    assert spread.rdd.getNumPartitions() == target and spread.count() == 100
+    many = spark.range(0, 100, 1, target * 2)
+    assert io.spread_small_input(many) is many  # enough splits: no shuffle added
