@@ -13,9 +13,17 @@ the work of every query grows with those tables.
 
 from __future__ import annotations
 
+import os
+import sys
 import uuid
 from collections.abc import Callable
 
+# Importable however this file is loaded (by path or as a module). Executors
+# never import the package: every expression runs in the JVM.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
