@@ -57,8 +57,9 @@ def ods_job(
     """Raw lines of day `d` -> ODS day partition.
 
     Counts (total, good, short, dirty_size) come from the same pass as the
-    write. Rejected lines are written only if `rejects_root` is given; that is
-    a second scan of the raw text, used when the lines themselves are wanted.
+    write. Rejected lines are written only if `rejects_root` is given and the
+    counts show any: that is a second scan of the raw text, for when the lines
+    themselves are wanted.
     """
     tagged = ods.tag(io.read_lines(spark, raw_path))
     observed, obs = _observed(tagged, f"ods_{d}", *ods.count_columns())
@@ -67,8 +68,9 @@ def ods_job(
     if report.counts["good"] == 0:
         io.clear_day(spark, ods_root, ODS_SCHEMA, d)
     if rejects_root:
-        io.write_day(ods.rejects(tagged), rejects_root, d, rows_per_file=rows_per_file)
-        if report.counts["good"] == report.counts["total"]:
+        if report.counts["good"] < report.counts["total"]:
+            io.write_day(ods.rejects(tagged), rejects_root, d, rows_per_file=rows_per_file)
+        else:  # nothing rejected: no second scan, just an empty day
             io.clear_day(spark, rejects_root, REJECTS_SCHEMA, d)
     return report
 

@@ -145,3 +145,15 @@ def test_v1_text_chain(spark, landed):
     assert r2.counts == {"rows": 878}
     r3 = ads_from_text_job(spark, f"{base}/v1_dwd", f"{base}/v1_ads", D)
     assert r3.counts == {"groups": 241}
+
+
+def test_no_rejects_no_second_scan(spark, scratch):
+    raw = f"{scratch}/raw"
+    io.write_text(spark.createDataFrame(
+        [("\t".join(["[2022/04/22 10:11:12 +0800]", "1.2.3.4", "-", "1", "2", "GET", "http://h/p", "200",
+                     "3", "4", "HIT"]),)], "value string"), raw, compression=None)
+    rej = f"{scratch}/rejects"
+    io.write_day(spark.createDataFrame([("old line", "short")], REJECTS_SCHEMA), rej, D)
+    n_jobs, _ = _stages(spark, "t-norej", lambda: ods_job(spark, raw, f"{scratch}/ods", D, rejects_root=rej))
+    assert io.read_day(spark, rej, REJECTS_SCHEMA, D).count() == 0  # stale rejects of the day are gone
+    assert n_jobs == 2  # the ODS pass and the empty rejects day; no scan for rejects
