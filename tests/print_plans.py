@@ -36,7 +36,8 @@ NOTES = {
     "and their library rows are replicated per salt (Generate explode). NULL ips spread over "
     "all partitions.",
     "DWD job, V1 lookup (one row per ip, '-' on a miss)": "The library is deduplicated by a "
-    "hash aggregate (partial + final), then broadcast after the size check.",
+    "partial + final aggregate (sort-based: a maximum over strings), then broadcast after the "
+    "size check.",
     "ADS job": "Reads only city and host of one day; partial aggregate before the exchange, "
     "so a hot (city, host) sends one row per task.",
     "ADS preview (top 55)": "TakeOrderedAndProject: per-task top-n, merged once; no full sort.",
@@ -44,15 +45,25 @@ NOTES = {
 
 
 def _tree(df) -> str:
+    """The final AQE plan (after running the frame): operators with their
+    codegen stage `*(n)`, long expressions cut, plus the scan schemas."""
+    df.collect()
     buf = _io.StringIO()
     with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
+        df.explain()
     text = buf.getvalue()
-    tree = text.split("\n\n")[0]
-    scans = re.findall(r"\((\d+)\) Scan \w+.*?\n(?:.*\n)*?ReadSchema: (.*)", text)
-    body = tree.replace("== Physical Plan ==\n", "")
-    lines = [body] + [f"scan ({n}) ReadSchema: {schema}" for n, schema in scans]
-    return "\n".join(lines)
+    final = text.split("+- == Initial Plan ==")[0]
+    lines = []
+    for line in final.splitlines():
+        if not line.strip() or line.startswith("== Physical Plan =="):
+            continue
+        line = re.sub(r"#\d+L?", "", line)
+        lines.append(line if len(line) <= 110 else line[:107] + "...")
+    buf = _io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    schemas = re.findall(r"^ReadSchema: (.*)$", buf.getvalue(), flags=re.M)
+    return "\n".join(lines + [f"ReadSchema: {x}" for x in dict.fromkeys(schemas)])
 
 
 def main() -> None:
@@ -81,12 +92,13 @@ def main() -> None:
         "# Physical plans of the day jobs",
         "",
         f"Generated by `python tests/print_plans.py {sf}` (local[8], AQE on; paths shortened).",
-        "Plans are the initial AQE plans; at run time AQE may coalesce shuffle partitions",
-        "and split skewed ones.",
+        "Plans are the final AQE plans after running each frame: `*(n)` marks a whole-stage",
+        "codegen stage; `ShuffleQueryStage`/`BroadcastQueryStage` are AQE's stage boundaries.",
         "",
     ]
     for name, df in frames.items():
         tree = re.sub(r"file:[^\s,\]]*/plans-[0-9a-f]+", "<scratch>", _tree(df))
+        tree = re.sub(r"\[plan_id=\d+\]", "", tree)
         out += [f"## {name}", "", NOTES[name], "", "```", tree, "```", ""]
     Path(ROOT / "PLANS.md").write_text("\n".join(out))
     spark.stop()
