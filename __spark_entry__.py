@@ -230,6 +230,18 @@ _URL = (
 )
 
 
+_URL_OK = (
+    "^[A-Za-z][A-Za-z0-9+.-]*:(?://(?:[^/?#@]*@)?[^/?#:]*(?::[0-9]*)?(?:[/?#].*)?|[^/].*|/[^/].*|/)?$"
+)
+_URL_PROTOCOLS = "'http', 'https', 'ftp', 'file', 'jar', 'mailto', 'netdoc'"
+
+
+def _url_valid(u: str) -> str:
+    """DuckDB: the URL has a known scheme and a well-formed authority."""
+    return (f"coalesce(lower(regexp_extract({u}, '{_URL}', 1)) IN ({_URL_PROTOCOLS}) "
+            f"AND regexp_matches({u}, '{_URL_OK}'), false)")
+
+
 def _long(x: str) -> str:
     return f"(CASE WHEN regexp_full_match({x}, '{_NUM}') THEN TRY_CAST({x} AS BIGINT) END)"
 
@@ -309,10 +321,10 @@ pre AS (
     coalesce({_long('"requestSize"')}, 0) AS "requestSize",
     coalesce("responseSize", -1) AS "responseSize",
     cache,
-    CASE WHEN coalesce({_url_part(1)} <> '', false) THEN lower({_url_part(1)}) ELSE '-' END AS protocol,
-    CASE WHEN coalesce({_url_part(1)} <> '', false) THEN {_url_part(2)} ELSE '-' END AS host,
-    CASE WHEN coalesce({_url_part(1)} <> '', false) THEN {_url_part(3)} ELSE '-' END AS path,
-    CASE WHEN coalesce({_url_part(1)} <> '', false) AND {_url_part(4)} <> '' THEN {_url_part(4)} ELSE '-' END AS params,
+    CASE WHEN {_url_valid('trim(url)')} THEN lower({_url_part(1)}) ELSE '-' END AS protocol,
+    CASE WHEN {_url_valid('trim(url)')} THEN {_url_part(2)} ELSE '-' END AS host,
+    CASE WHEN {_url_valid('trim(url)')} THEN {_url_part(3)} ELSE '-' END AS path,
+    CASE WHEN {_url_valid('trim(url)')} AND {_url_part(4)} <> '' THEN {_url_part(4)} ELSE '-' END AS params,
     CASE WHEN regexp_matches("time", '{_YMD}') THEN regexp_extract("time", '{_YMD}', 1)
          WHEN regexp_matches("time", '{_DMY}') THEN regexp_extract("time", '{_DMY}', 3) ELSE '-' END AS year,
     CASE WHEN regexp_matches("time", '{_YMD}') THEN regexp_extract("time", '{_YMD}', 2)

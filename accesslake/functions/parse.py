@@ -53,6 +53,15 @@ URL_PATTERN = (
     r"(?://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?)?"
     r"([^?#]*)(?:[?]([^#]*))?(?:#.*)?$"
 )
+# java.net.URL accepts a URL only when it has a handler for the scheme (these
+# are the handlers of Java 8) and, for `scheme://`, a whole authority: optional
+# user-info, a host, and a port of digits only, ended by `/`, `?`, `#` or the
+# end. Anything else is malformed.
+URL_PROTOCOLS = ["http", "https", "ftp", "file", "jar", "mailto", "netdoc"]
+URL_WELL_FORMED = (
+    r"^[A-Za-z][A-Za-z0-9+.-]*:"
+    r"(?://(?:[^/?#@]*@)?[^/?#:]*(?::[0-9]*)?(?:[/?#].*)?|[^/].*|/[^/].*|/)?$"
+)
 # ---------------------------------------------------------------------------
 
 
@@ -104,16 +113,17 @@ def time_parts(time: Column) -> tuple[Column, Column, Column]:
 def url_parts(url: Column) -> tuple[Column, Column, Column, Column]:
     """(protocol, host, path, params) with java.net.URL meaning.
 
-    A URL without a scheme (or NULL / empty) is malformed: all four are '-'.
-    The protocol is lower-cased; a missing path is ''; a missing or empty
-    query is '-'.
+    A malformed URL gives '-' for all four: no scheme (or NULL / empty), a
+    scheme java.net.URL has no handler for, or a broken authority such as a
+    non-numeric port. The protocol is lower-cased; a missing path is ''; a
+    missing or empty query is '-'.
     """
     u = F.trim(url)
 
     def g(i: int) -> Column:
         return F.regexp_extract(u, URL_PATTERN, i)
 
-    valid = F.coalesce(g(1) != F.lit(""), F.lit(False))
+    valid = F.coalesce(F.lower(g(1)).isin(URL_PROTOCOLS) & u.rlike(URL_WELL_FORMED), F.lit(False))
     missing = F.lit(MISSING)
     protocol = F.when(valid, F.lower(g(1))).otherwise(missing)
     host = F.when(valid, g(2)).otherwise(missing)
@@ -136,4 +146,4 @@ def text_line(*cols: Column | str, sep: str = FIELD_SEP) -> Column:
 
 def day_from_path(path: Column) -> Column:
     """`YYYYMMDD` from a path ending in `d=YYYYMMDD` (optional trailing slash)."""
-    return F.regexp_extract(path, r"d=([^/]+)/?$", 1)
+    return F.regexp_extract(path, r"(?:^|/)d=([^/]+)/?$", 1)

@@ -19,7 +19,7 @@ from accesslake.schemas import ADS_SCHEMA, DAY, DWD_SCHEMA, ODS_SCHEMA, ddl, wit
 
 # Rows per output file by default (5,000,000 is the other usual setting).
 DEFAULT_ROWS_PER_FILE = 2_500_000
-_DAY_DIR = re.compile(r"d=([^/]+)/?$")
+_DAY_DIR = re.compile(r"(?:^|/)d=([^/]+)/?$")
 
 
 # --------------------------------------------------------------------- paths

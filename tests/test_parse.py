@@ -64,6 +64,13 @@ def test_time_parts(spark, time, expected):
         ("https://m.x.example.net/en/25#top", ("https", "m.x.example.net", "/en/25", "-")),
         ("http://x.example.com/fr/825?page=2&ref=x", ("http", "x.example.com", "/fr/825", "page=2&ref=x")),
         (" http://h/p ", ("http", "h", "/p", "-")),
+        ("foo://x/y?q=1", ("-", "-", "-", "-")),
+        ("javascript:void(0)", ("-", "-", "-", "-")),
+        ("http://host:abc/path", ("-", "-", "-", "-")),
+        ("http://h:/p", ("http", "h", "/p", "-")),
+        ("http:/p", ("http", "", "/p", "-")),
+        ("ftp://u@h/f.txt", ("ftp", "h", "/f.txt", "-")),
+        ("mailto:x@y.org", ("mailto", "", "x@y.org", "-")),
         ("not a url", ("-", "-", "-", "-")),
         ("", ("-", "-", "-", "-")),
         (None, ("-", "-", "-", "-")),
@@ -80,8 +87,9 @@ def test_text_line_prints_null(spark):
 
 
 def test_day_from_path(spark):
-    df = spark.createDataFrame([("/dw/ads/access/d=20220426",), ("/x/d=20220427/",), ("/x/y",)], "p string")
-    assert [r[0] for r in df.select(parse.day_from_path(F.col("p"))).collect()] == ["20220426", "20220427", ""]
+    df = spark.createDataFrame([("/dw/ads/access/d=20220426",), ("/x/d=20220427/",), ("/x/y",), ("/x/old=2",)],
+                               "p string")
+    assert [r[0] for r in df.select(parse.day_from_path(F.col("p"))).collect()] == ["20220426", "20220427", "", ""]
 
 
 def _line(*fields):

@@ -23,10 +23,10 @@ url_like = st.one_of(
     st.text(alphabet=URL_CHARS, max_size=30),
     st.builds(
         lambda scheme, user, host, port, path, query, frag: f"{scheme}://{user}{host}{port}{path}{query}{frag}",
-        st.sampled_from(["http", "HTTPS", "ftp", "x+y", "1a", ""]),
+        st.sampled_from(["http", "HTTPS", "ftp", "x+y", "1a", "", "file", "mailto", "Jar", "javascript"]),
         st.sampled_from(["", "u:p@", "@"]),
         st.text(alphabet="ab_.-9", max_size=8),
-        st.sampled_from(["", ":80", ":", ":x"]),
+        st.sampled_from(["", ":80", ":", ":x", ":8a", "::1"]),
         st.text(alphabet="/ab |%", max_size=8),
         st.sampled_from(["", "?", "?a=1", "?a=1&b=2"]),
         st.sampled_from(["", "#", "#top", "#a?b"]),
@@ -70,7 +70,7 @@ def test_url_parts_agree(spark, urls):
     def g(i):
         return f"regexp_extract(trim(v), '{E._URL}', {i})"
 
-    ok = f"coalesce({g(1)} <> '', false)"
+    ok = E._url_valid("trim(v)")
     sql = (f"CASE WHEN {ok} THEN lower({g(1)}) ELSE '-' END, CASE WHEN {ok} THEN {g(2)} ELSE '-' END, "
            f"CASE WHEN {ok} THEN {g(3)} ELSE '-' END, CASE WHEN {ok} AND {g(4)} <> '' THEN {g(4)} ELSE '-' END")
     assert _spark(spark, urls, lambda c: parse.url_parts(c)) == _duck(urls, sql)

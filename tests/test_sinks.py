@@ -70,6 +70,9 @@ def test_day_of_path():
     assert io.day_of_path("hdfs://nn/x/d=20220426/") == "20220426"
     with pytest.raises(ValueError):
         io.day_of_path("/x/y")
+    with pytest.raises(ValueError):
+        io.day_of_path("hdfs:///dw/ods/old=2")
+    assert io.day_of_path("d=20240101") == "20240101"
 
 
 def test_text_gzip_single_file(spark, scratch):
