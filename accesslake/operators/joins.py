@@ -38,6 +38,7 @@ HOT_FACTOR = 4
 MAX_HOT_KEYS = 1000
 DEFAULT_SAMPLE_FRACTION = 0.01
 SALT = "_salt"
+NSALTS = "_nsalts"
 
 
 @dataclass(frozen=True)
@@ -133,25 +134,33 @@ def salts_for(key_share: float, partitions: int) -> int:
 
 def _salted(fact: DataFrame, dim: DataFrame, key: str, how: str, salts: dict, null_salts: int) -> DataFrame:
     k = F.col(key)
+    n = F.col(NSALTS)
     if salts:
-        table = F.create_map(*[F.lit(x) for kv in salts.items() for x in kv])
-        n = F.try_element_at(table, k)  # NULL for a cold (or NULL) key
+        # (key, salt count) of the hot keys: at most MAX_HOT_KEYS rows, so it is
+        # broadcast; each row then finds its count with one hash probe.
+        counts = fact.sparkSession.createDataFrame(
+            list(salts.items()),
+            T.StructType([T.StructField(key, fact.schema[key].dataType), T.StructField(NSALTS, T.LongType())]),
+        )
+        fact_n = fact.join(F.broadcast(counts), on=key, how="left")
+        dim_n = dim.join(F.broadcast(counts), on=key, how="left")
     else:
-        n = F.lit(None).cast("int")
+        fact_n = fact.withColumn(NSALTS, F.lit(None).cast("bigint"))
+        dim_n = dim.withColumn(NSALTS, F.lit(None).cast("bigint"))
     row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in fact.columns])
     salt = (
-        F.when(n.isNotNull(), F.pmod(row_hash, n.cast("bigint")))
+        F.when(n.isNotNull(), F.pmod(row_hash, n))
         .when(k.isNull(), F.pmod(row_hash, F.lit(null_salts).cast("bigint")))
         .otherwise(F.lit(0).cast("bigint"))
     )
-    fact_s = fact.withColumn(SALT, salt)
-    replicas = F.when(n.isNotNull(), F.sequence(F.lit(0).cast("bigint"), n.cast("bigint") - 1)).otherwise(
+    fact_s = fact_n.withColumn(SALT, salt).drop(NSALTS)
+    replicas = F.when(n.isNotNull(), F.sequence(F.lit(0).cast("bigint"), n - 1)).otherwise(
         F.array(F.lit(0).cast("bigint"))
     )
     # The exact check already ruled out a broadcast: keep Spark's estimate-based
     # auto-broadcast from choosing one anyway. Sort-merge spills instead of
     # holding a lookup partition in memory.
-    dim_s = dim.withColumn(SALT, F.explode(replicas)).hint("shuffle_merge")
+    dim_s = dim_n.withColumn(SALT, F.explode(replicas)).drop(NSALTS).hint("shuffle_merge")
     return fact_s.join(dim_s, on=[key, SALT], how=how).drop(SALT)
 
 
