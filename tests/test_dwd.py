@@ -146,7 +146,8 @@ def test_hot_key_spreads_over_reducers_at_run_time(spark):
     try:
         j = joins.lookup_join(fact, dim, "ip", "left", max_broadcast_rows=0, sample_fraction=0.2)
         tasks = j.where(F.col("ip") == "hot").select(F.spark_partition_id().alias("p")).distinct().count()
-        assert tasks >= 16, tasks  # about a third of the 64 reducers, not one
+        # ~22 salts hash into 64 reducers, some into the same one: ~19 expected
+        assert tasks >= 12, tasks
         plain = fact.join(dim.hint("shuffle_merge"), "ip", "left")
         assert plain.where(F.col("ip") == "hot").select(F.spark_partition_id()).distinct().count() == 1
     finally:
