@@ -150,11 +150,12 @@ def ads_job(
     return report
 
 
-def report_job(spark: SparkSession, dwd_lines_path: str, out_path: str) -> None:
+def report_job(spark: SparkSession, dwd_lines_path: str, out_path: str) -> JobReport:
     """V1 text report: DWD text lines -> `host<TAB>area<TAB>count` gzip text, one file."""
-    lines = io.read_lines(spark, dwd_lines_path)
-    report = ads.area_report(ads.tsv_city_host(lines))
+    lines, obs_in = _observed(io.read_lines(spark, dwd_lines_path), "report_in", F.count(F.lit(1)).alias("input"))
+    report, obs = _observed(ads.area_report(ads.tsv_city_host(lines)), "report", F.count(F.lit(1)).alias("rows"))
     io.write_text(ads.report_lines(report), out_path, compression="gzip", single_file=True)
+    return JobReport("report", "", {**_metrics(obs_in, "input"), **_metrics(obs, "rows")})
 
 
 def export_job(spark: SparkSession, table: str, **jdbc) -> None:

@@ -93,8 +93,7 @@ def _run(spark: SparkSession, job: str) -> jobs.JobReport | None:
             raise ValueError(f"input day {d} and output day {d_out} differ")
         return jobs.ads_job(spark, in_root, d, ads_root=out_root, rows_per_file=rows)
     if job == "report":
-        jobs.report_job(spark, _need(spark, "inputPath"), _need(spark, "outputPath"))
-        return None
+        return jobs.report_job(spark, _need(spark, "inputPath"), _need(spark, "outputPath"))
     if job == "export":
         jobs.export_job(spark, _need(spark, "table"), url=_need(spark, "url"), dbtable=_need(spark, "dbtable"),
                         user=_conf(spark, "user"), password=_conf(spark, "password"))

@@ -70,7 +70,7 @@ def test_table_target_and_report(spark, landed):
 
     tsv = f"{base}/dwd_tsv"
     io.write_text(ads.dwd_lines(io.read_day(spark, dwd_root, DWD_SCHEMA, D).drop("d")), tsv, compression=None)
-    report_job(spark, tsv, f"{base}/report")
+    assert report_job(spark, tsv, f"{base}/report").counts == {"input": 878, "rows": 241}
     lines = io.read_lines(spark, f"{base}/report").collect()
     assert len(lines) == 241 and all(len(r[0].split("\t")) == 3 for r in lines)
 
