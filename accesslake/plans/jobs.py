@@ -20,7 +20,12 @@ from accesslake.sources import io
 
 @dataclass
 class JobReport:
-    """Row counts of one job run (the reference logs input/output rows)."""
+    """Row counts of one job run (input and output rows, as the jobs log them).
+
+    Counts observed in the writing stage are exact. An `input` count observed
+    before a shuffle can over-count if that map stage is re-run after an
+    executor loss.
+    """
 
     job: str
     d: str
