@@ -115,15 +115,9 @@ def dwd_job(
     return report
 
 
-def area_traffic_day(spark: SparkSession, dwd_root: str, d: str, observation: Observation | None = None) -> DataFrame:
-    """ADS rows of day `d` (reads only `city` and `host` of that day).
-
-    With `observation`, the DWD rows read are counted (`input`) in the same pass.
-    """
-    day = io.read_day(spark, dwd_root, DWD_SCHEMA, d)
-    if observation is not None:
-        day = day.observe(observation, F.count(F.lit(1)).alias("input"))
-    return ads.area_traffic(day)
+def area_traffic_day(spark: SparkSession, dwd_root: str, d: str) -> DataFrame:
+    """ADS rows of day `d` (reads only `city` and `host` of that day)."""
+    return ads.area_traffic(io.read_day(spark, dwd_root, DWD_SCHEMA, d))
 
 
 def ads_job(
@@ -138,15 +132,19 @@ def ads_job(
     """DWD day -> ADS day, to a parquet folder (`ads_root`) or a catalog table."""
     if (ads_root is None) == (table is None):
         raise ValueError("give exactly one of ads_root and table")
-    obs_in = Observation(f"ads_in_{d}")
+    # Both counts are taken in the writing stage: the DWD rows read are the
+    # sum of the group counts.
     result, obs = _observed(
-        area_traffic_day(spark, dwd_root, d, obs_in), f"ads_{d}", F.count(F.lit(1)).alias("groups")
+        area_traffic_day(spark, dwd_root, d),
+        f"ads_{d}",
+        F.coalesce(F.sum("count"), F.lit(0).cast("bigint")).alias("input"),
+        F.count(F.lit(1)).alias("groups"),
     )
     if table:
         io.insert_day(result, table, d)
     else:
         io.write_day(result, ads_root, d, rows_per_file=rows_per_file)
-    report = JobReport("ads", d, {**_metrics(obs_in, "input"), **_metrics(obs, "groups")})
+    report = JobReport("ads", d, _metrics(obs, "input", "groups"))
     if report.counts["groups"] == 0:
         if table:
             io.clear_table_day(spark, table, d)
