@@ -1,4 +1,10 @@
-"""URL parts against the JDK's own java.net.URL (called through the Spark JVM).
+"""Parsing rules against the JDK's own classes (called through the Spark JVM).
+
+Numbers: `parse_long` against java.lang.Long.parseLong on random strings of
+signs, ASCII digits, spaces, dots and letters (Long.parseLong also reads
+non-ASCII digits; log fields do not hold them).
+
+URLs: `url_parts` against java.net.URL.
 
 Random URLs of the shapes access logs hold: schemes with and without a Java
 handler, user-info, hosts, good and bad ports, paths with spaces and pipes,
@@ -52,3 +58,22 @@ def test_url_parts_equal_java_net_url(spark):
     jvm = spark.sparkContext._jvm
     diff = [(u, j, o) for u, o in zip(urls, ours) if (j := _java_parts(jvm, u)) != o]
     assert not diff, diff[:5]
+
+
+def _java_long(jvm, text):
+    try:
+        return jvm.java.lang.Long.parseLong(text)
+    except Exception:  # noqa: BLE001 - NumberFormatException through py4j
+        return None
+
+
+def test_parse_long_equals_long_parselong(spark):
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("+-0123456789 .e") for _ in range(rnd.randint(0, 21))) for _ in range(1500)]
+    texts += ["9223372036854775807", "9223372036854775808", "-9223372036854775808", "-9223372036854775809",
+              "+0", "-0", "007", "+", "-", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    ours = [r[0] for r in df.select(parse.parse_long(F.col("t"))).collect()]
+    jvm = spark.sparkContext._jvm
+    diff = [(t, j, o) for t, o in zip(texts, ours) if (j := _java_long(jvm, t)) != o]
+    assert not diff, diff[:5]
