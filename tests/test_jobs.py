@@ -1,5 +1,7 @@
 """The day jobs end to end on files, plus plan checks."""
 
+import os
+
 import pytest
 
 from accesslake.plans import ads_job, dwd_job, ods_job, report_job
@@ -157,3 +159,21 @@ def test_no_rejects_no_second_scan(spark, scratch):
     n_jobs, _ = _stages(spark, "t-norej", lambda: ods_job(spark, raw, f"{scratch}/ods", D, rejects_root=rej))
     assert io.read_day(spark, rej, REJECTS_SCHEMA, D).count() == 0  # stale rejects of the day are gone
     assert n_jobs == 2  # the ODS pass and the empty rejects day; no scan for rejects
+
+
+def test_crlf_raw_text_gives_the_same_rows(spark, scratch):
+    line = "\t".join(["[2022/04/22 10:11:12 +0800]", "1.2.3.4", "-", "1", "2", "GET", "http://h/p?a=1", "200",
+                      "3", "4", "HIT"])
+    short = "\t".join(["[bad +0800]", "1.2.3.4", "-"])
+    for name, eol in (("lf", "\n"), ("crlf", "\r\n")):
+        folder = f"{scratch}/{name}"
+        path = folder[len("file:"):] if folder.startswith("file:") else folder
+        os.makedirs(path, exist_ok=True)
+        with open(f"{path}/part-0.txt", "w", newline="") as fh:
+            fh.write(eol.join([line, short, line]) + eol)
+    lf = ods_job(spark, f"{scratch}/lf", f"{scratch}/ods_lf", D)
+    crlf = ods_job(spark, f"{scratch}/crlf", f"{scratch}/ods_crlf", D)
+    assert lf.counts == crlf.counts == {"total": 3, "good": 2, "short": 1, "dirty_size": 0}
+    rows = lambda root: sorted(map(tuple, io.read_day(spark, root, ODS_SCHEMA, D).drop("d").collect()))
+    assert rows(f"{scratch}/ods_lf") == rows(f"{scratch}/ods_crlf")
+    assert rows(f"{scratch}/ods_crlf")[0][-1] == "HIT"  # no trailing \r in the last field
