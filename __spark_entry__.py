@@ -229,13 +229,16 @@ _NUM = "[+-]?[0-9]+"
 _YMD = "^.([0-9]{4})/([0-9]{2})/([0-9]{2})"
 _DMY = "^.([0-9]{2})/([0-9]{2})/([0-9]{4})"
 _URL = (
-    "^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?)?"
+    "^(?:([A-Za-z][A-Za-z0-9+.-]*):)?"
+    "(?://(?:([^/?#]*@[^/?#]*@[^/?#]*)|(?:[^/?#@]*@)?([^/?#:@]*)(?::[0-9]*)?))?"
     "([^?#]*)(?:[?]([^#]*))?(?:#.*)?$"
 )
 
 
 _URL_OK = (
-    "^[A-Za-z][A-Za-z0-9+.-]*:(?://(?:[^/?#@]*@)?[^/?#:]*(?::[0-9]*)?(?:[/?#].*)?|[^/].*|/[^/].*|/)?$"
+    "^[A-Za-z][A-Za-z0-9+.-]*:"
+    "(?://(?:[^/?#]*@[^/?#]*@[^/?#]*|(?:[^/?#@]*@)?[^/?#:@]*(?::[0-9]*)?)(?:[/?#].*)?"
+    "|[^/].*|/[^/].*|/)?$"
 )
 _URL_PROTOCOLS = "'http', 'https', 'ftp', 'file', 'jar', 'mailto', 'netdoc'"
 
@@ -326,9 +329,9 @@ pre AS (
     coalesce("responseSize", -1) AS "responseSize",
     cache,
     CASE WHEN {_url_valid('trim(url)')} THEN lower({_url_part(1)}) ELSE '-' END AS protocol,
-    CASE WHEN {_url_valid('trim(url)')} THEN {_url_part(2)} ELSE '-' END AS host,
-    CASE WHEN {_url_valid('trim(url)')} THEN {_url_part(3)} ELSE '-' END AS path,
-    CASE WHEN {_url_valid('trim(url)')} AND {_url_part(4)} <> '' THEN {_url_part(4)} ELSE '-' END AS params,
+    CASE WHEN {_url_valid('trim(url)')} THEN {_url_part(3)} ELSE '-' END AS host,
+    CASE WHEN {_url_valid('trim(url)')} THEN {_url_part(4)} ELSE '-' END AS path,
+    CASE WHEN {_url_valid('trim(url)')} AND {_url_part(5)} <> '' THEN {_url_part(5)} ELSE '-' END AS params,
     CASE WHEN regexp_matches("time", '{_YMD}') THEN regexp_extract("time", '{_YMD}', 1)
          WHEN regexp_matches("time", '{_DMY}') THEN regexp_extract("time", '{_DMY}', 3) ELSE '-' END AS year,
     CASE WHEN regexp_matches("time", '{_YMD}') THEN regexp_extract("time", '{_YMD}', 2)

@@ -46,21 +46,24 @@ _LONG_TEXT = r"^[+-]?[0-9]+\z"
 _YMD = r"^.([0-9]{4})/([0-9]{2})/([0-9]{2})"
 _DMY = r"^.([0-9]{2})/([0-9]{2})/([0-9]{4})"
 
-# URL parts as java.net.URL reports them: scheme, host (without user-info and
-# port), path (without query), query (without fragment).
+# URL parts as java.net.URL reports them. Groups: 1 scheme; 2 an authority
+# with two or more `@` (java.net.URL then reports an empty host and reads no
+# port); 3 host (without user-info and port); 4 path (without query);
+# 5 query (without fragment).
 URL_PATTERN = (
     r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?"
-    r"(?://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?)?"
+    r"(?://(?:([^/?#]*@[^/?#]*@[^/?#]*)|(?:[^/?#@]*@)?([^/?#:@]*)(?::[0-9]*)?))?"
     r"([^?#]*)(?:[?]([^#]*))?(?:#.*)?$"
 )
 # java.net.URL accepts a URL only when it has a handler for the scheme (these
 # are the handlers of Java 8) and, for `scheme://`, a whole authority: optional
 # user-info, a host, and a port of digits only, ended by `/`, `?`, `#` or the
-# end. Anything else is malformed.
+# end (or any authority with two or more `@`). Anything else is malformed.
 URL_PROTOCOLS = ["http", "https", "ftp", "file", "jar", "mailto", "netdoc"]
 URL_WELL_FORMED = (
     r"^[A-Za-z][A-Za-z0-9+.-]*:"
-    r"(?://(?:[^/?#@]*@)?[^/?#:]*(?::[0-9]*)?(?:[/?#].*)?|[^/].*|/[^/].*|/)?$"
+    r"(?://(?:[^/?#]*@[^/?#]*@[^/?#]*|(?:[^/?#@]*@)?[^/?#:@]*(?::[0-9]*)?)(?:[/?#].*)?"
+    r"|[^/].*|/[^/].*|/)?$"
 )
 # ---------------------------------------------------------------------------
 
@@ -126,9 +129,9 @@ def url_parts(url: Column) -> tuple[Column, Column, Column, Column]:
     valid = F.coalesce(F.lower(g(1)).isin(URL_PROTOCOLS) & u.rlike(URL_WELL_FORMED), F.lit(False))
     missing = F.lit(MISSING)
     protocol = F.when(valid, F.lower(g(1))).otherwise(missing)
-    host = F.when(valid, g(2)).otherwise(missing)
-    path = F.when(valid, g(3)).otherwise(missing)
-    params = F.when(valid & (g(4) != F.lit("")), g(4)).otherwise(missing)
+    host = F.when(valid, g(3)).otherwise(missing)  # '' when group 2 (several `@`) matched
+    path = F.when(valid, g(4)).otherwise(missing)
+    params = F.when(valid & (g(5) != F.lit("")), g(5)).otherwise(missing)
     return protocol, host, path, params
 
 

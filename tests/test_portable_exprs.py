@@ -24,7 +24,7 @@ url_like = st.one_of(
     st.builds(
         lambda scheme, user, host, port, path, query, frag: f"{scheme}://{user}{host}{port}{path}{query}{frag}",
         st.sampled_from(["http", "HTTPS", "ftp", "x+y", "1a", "", "file", "mailto", "Jar", "javascript"]),
-        st.sampled_from(["", "u:p@", "@"]),
+        st.sampled_from(["", "u:p@", "@", "a@b@", "@@"]),
         st.text(alphabet="ab_.-9", max_size=8),
         st.sampled_from(["", ":80", ":", ":x", ":8a", "::1"]),
         st.text(alphabet="/ab |%", max_size=8),
@@ -71,8 +71,8 @@ def test_url_parts_agree(spark, urls):
         return f"regexp_extract(trim(v), '{E._URL}', {i})"
 
     ok = E._url_valid("trim(v)")
-    sql = (f"CASE WHEN {ok} THEN lower({g(1)}) ELSE '-' END, CASE WHEN {ok} THEN {g(2)} ELSE '-' END, "
-           f"CASE WHEN {ok} THEN {g(3)} ELSE '-' END, CASE WHEN {ok} AND {g(4)} <> '' THEN {g(4)} ELSE '-' END")
+    sql = (f"CASE WHEN {ok} THEN lower({g(1)}) ELSE '-' END, CASE WHEN {ok} THEN {g(3)} ELSE '-' END, "
+           f"CASE WHEN {ok} THEN {g(4)} ELSE '-' END, CASE WHEN {ok} AND {g(5)} <> '' THEN {g(5)} ELSE '-' END")
     assert _spark(spark, urls, lambda c: parse.url_parts(c)) == _duck(urls, sql)
 
 
