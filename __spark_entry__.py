@@ -241,6 +241,7 @@ _URL_OK = (
     "|[^/].*|/[^/].*|/)?$"
 )
 _URL_PROTOCOLS = "'http', 'https', 'ftp', 'file', 'jar', 'mailto', 'netdoc'"
+_URL_UNC = "^[A-Za-z][A-Za-z0-9+.-]*:////"
 
 
 def _url_valid(u: str) -> str:
@@ -330,7 +331,8 @@ pre AS (
     cache,
     CASE WHEN {_url_valid('trim(url)')} THEN lower({_url_part(1)}) ELSE '-' END AS protocol,
     CASE WHEN {_url_valid('trim(url)')} THEN {_url_part(3)} ELSE '-' END AS host,
-    CASE WHEN {_url_valid('trim(url)')} THEN {_url_part(4)} ELSE '-' END AS path,
+    CASE WHEN {_url_valid('trim(url)')} AND regexp_matches(trim(url), '{_URL_UNC}') THEN '//' || {_url_part(4)}
+         WHEN {_url_valid('trim(url)')} THEN {_url_part(4)} ELSE '-' END AS path,
     CASE WHEN {_url_valid('trim(url)')} AND {_url_part(5)} <> '' THEN {_url_part(5)} ELSE '-' END AS params,
     CASE WHEN regexp_matches("time", '{_YMD}') THEN regexp_extract("time", '{_YMD}', 1)
          WHEN regexp_matches("time", '{_DMY}') THEN regexp_extract("time", '{_DMY}', 3) ELSE '-' END AS year,

@@ -60,6 +60,9 @@ URL_PATTERN = (
 # user-info, a host, and a port of digits only, ended by `/`, `?`, `#` or the
 # end (or any authority with two or more `@`). Anything else is malformed.
 URL_PROTOCOLS = ["http", "https", "ftp", "file", "jar", "mailto", "netdoc"]
+# `scheme:////...` is a UNC name to java.net.URL: no authority is read and the
+# path keeps all four slashes.
+URL_UNC = r"^[A-Za-z][A-Za-z0-9+.-]*:////"
 URL_WELL_FORMED = (
     r"^[A-Za-z][A-Za-z0-9+.-]*:"
     r"(?://(?:[^/?#]*@[^/?#]*@[^/?#]*|(?:[^/?#@]*@)?[^/?#:@]*(?::[0-9]*)?)(?:[/?#].*)?"
@@ -130,7 +133,11 @@ def url_parts(url: Column) -> tuple[Column, Column, Column, Column]:
     missing = F.lit(MISSING)
     protocol = F.when(valid, F.lower(g(1))).otherwise(missing)
     host = F.when(valid, g(3)).otherwise(missing)  # '' when group 2 (several `@`) matched
-    path = F.when(valid, g(4)).otherwise(missing)
+    path = (
+        F.when(valid & u.rlike(URL_UNC), F.concat(F.lit("//"), g(4)))
+        .when(valid, g(4))
+        .otherwise(missing)
+    )
     params = F.when(valid & (g(5) != F.lit("")), g(5)).otherwise(missing)
     return protocol, host, path, params
 

@@ -71,8 +71,10 @@ def test_url_parts_agree(spark, urls):
         return f"regexp_extract(trim(v), '{E._URL}', {i})"
 
     ok = E._url_valid("trim(v)")
+    unc = f"regexp_matches(trim(v), '{E._URL_UNC}')"
     sql = (f"CASE WHEN {ok} THEN lower({g(1)}) ELSE '-' END, CASE WHEN {ok} THEN {g(3)} ELSE '-' END, "
-           f"CASE WHEN {ok} THEN {g(4)} ELSE '-' END, CASE WHEN {ok} AND {g(5)} <> '' THEN {g(5)} ELSE '-' END")
+           f"CASE WHEN {ok} AND {unc} THEN '//' || {g(4)} WHEN {ok} THEN {g(4)} ELSE '-' END, "
+           f"CASE WHEN {ok} AND {g(5)} <> '' THEN {g(5)} ELSE '-' END")
     assert _spark(spark, urls, lambda c: parse.url_parts(c)) == _duck(urls, sql)
 
 
