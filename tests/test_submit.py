@@ -70,3 +70,20 @@ def test_create_warehouse_tables(spark, scratch):
     assert spark.table("wh_test.dwd_access").columns[-1] == "d"
     assert len(spark.table("wh_test.dwd_access").columns) == 21
     assert spark.table("wh_test.ads_areatrafstat").columns == ["city", "host", "count", "d"]
+
+
+def test_submit_report_and_export(spark, scratch, app_conf):
+    from accesslake.operators import dwd as dwd_ops
+    from accesslake.operators import ods as ods_ops
+
+    pre = dwd_ops.widen(ods_ops.clean(fixtures.raw_access(spark, SF_SMALL))[0])
+    dwd_rows = dwd_ops.enrich_lookup(pre, dwd_ops.ip_dim(fixtures.ip_lines(spark, SF_SMALL)))
+    io.write_text(ads.dwd_lines(dwd_rows), f"{scratch}/dwd_text", compression=None)
+    app_conf(inputPath=f"{scratch}/dwd_text", outputPath=f"{scratch}/report")
+    assert submit.run(spark, "report").counts == {"input": 878, "rows": 241}
+
+    table = "submit_export_src"
+    io.create_day_table(spark, table, ADS_SCHEMA, f"{scratch}/export_src")
+    app_conf(table=table, url="jdbc:nothing-here://none/db", dbtable="t", user="u", password="p")
+    with pytest.raises(Exception, match="(?i)suitable driver"):
+        submit.run(spark, "export")
