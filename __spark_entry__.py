@@ -230,14 +230,14 @@ _YMD = "^.([0-9]{4})/([0-9]{2})/([0-9]{2})"
 _DMY = "^.([0-9]{2})/([0-9]{2})/([0-9]{4})"
 _URL = (
     "^(?:([A-Za-z][A-Za-z0-9+.-]*):)?"
-    "(?://(?:([^/?#]*@[^/?#]*@[^/?#]*)|(?:[^/?#@]*@)?([^/?#:@]*)(?::[0-9]*)?))?"
+    "(?://(?:([^/?#]*@[^/?#]*@[^/?#]*)|(?:[^/?#@]*@)?([^/?#:@]*)(?::([+-]?[0-9]*))?))?"
     "([^?#]*)(?:[?]([^#]*))?(?:#.*)?$"
 )
 
 
 _URL_OK = (
     "^[A-Za-z][A-Za-z0-9+.-]*:"
-    "(?://(?:[^/?#]*@[^/?#]*@[^/?#]*|(?:[^/?#@]*@)?[^/?#:@]*(?::[0-9]*)?)(?:[/?#].*)?"
+    "(?://(?:[^/?#]*@[^/?#]*@[^/?#]*|(?:[^/?#@]*@)?[^/?#:@]*(?::[+-]?[0-9]*)?)(?:[/?#].*)?"
     "|[^/].*|/[^/].*|/)?$"
 )
 _URL_PROTOCOLS = "'http', 'https', 'ftp', 'file', 'jar', 'mailto', 'netdoc'"
@@ -245,9 +245,12 @@ _URL_UNC = "^[A-Za-z][A-Za-z0-9+.-]*:////"
 
 
 def _url_valid(u: str) -> str:
-    """DuckDB: the URL has a known scheme and a well-formed authority."""
+    """DuckDB: the URL has a known scheme and a well-formed authority and port."""
+    port = f"regexp_extract({u}, '{_URL}', 4)"
+    port_ok = (f"({port} = '' OR (regexp_full_match({port}, '{_NUM}') "
+               f"AND coalesce(TRY_CAST({port} AS INTEGER), -2) >= -1))")
     return (f"coalesce(lower(regexp_extract({u}, '{_URL}', 1)) IN ({_URL_PROTOCOLS}) "
-            f"AND regexp_matches({u}, '{_URL_OK}'), false)")
+            f"AND regexp_matches({u}, '{_URL_OK}') AND {port_ok}, false)")
 
 
 def _long(x: str) -> str:
@@ -331,9 +334,9 @@ pre AS (
     cache,
     CASE WHEN {_url_valid('trim(url)')} THEN lower({_url_part(1)}) ELSE '-' END AS protocol,
     CASE WHEN {_url_valid('trim(url)')} THEN {_url_part(3)} ELSE '-' END AS host,
-    CASE WHEN {_url_valid('trim(url)')} AND regexp_matches(trim(url), '{_URL_UNC}') THEN '//' || {_url_part(4)}
-         WHEN {_url_valid('trim(url)')} THEN {_url_part(4)} ELSE '-' END AS path,
-    CASE WHEN {_url_valid('trim(url)')} AND {_url_part(5)} <> '' THEN {_url_part(5)} ELSE '-' END AS params,
+    CASE WHEN {_url_valid('trim(url)')} AND regexp_matches(trim(url), '{_URL_UNC}') THEN '//' || {_url_part(5)}
+         WHEN {_url_valid('trim(url)')} THEN {_url_part(5)} ELSE '-' END AS path,
+    CASE WHEN {_url_valid('trim(url)')} AND {_url_part(6)} <> '' THEN {_url_part(6)} ELSE '-' END AS params,
     CASE WHEN regexp_matches("time", '{_YMD}') THEN regexp_extract("time", '{_YMD}', 1)
          WHEN regexp_matches("time", '{_DMY}') THEN regexp_extract("time", '{_DMY}', 3) ELSE '-' END AS year,
     CASE WHEN regexp_matches("time", '{_YMD}') THEN regexp_extract("time", '{_YMD}', 2)

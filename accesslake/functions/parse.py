@@ -48,24 +48,25 @@ _DMY = r"^.([0-9]{2})/([0-9]{2})/([0-9]{4})"
 
 # URL parts as java.net.URL reports them. Groups: 1 scheme; 2 an authority
 # with two or more `@` (java.net.URL then reports an empty host and reads no
-# port); 3 host (without user-info and port); 4 path (without query);
-# 5 query (without fragment).
+# port); 3 host (without user-info and port); 4 port text; 5 path (without
+# query); 6 query (without fragment).
 URL_PATTERN = (
     r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?"
-    r"(?://(?:([^/?#]*@[^/?#]*@[^/?#]*)|(?:[^/?#@]*@)?([^/?#:@]*)(?::[0-9]*)?))?"
+    r"(?://(?:([^/?#]*@[^/?#]*@[^/?#]*)|(?:[^/?#@]*@)?([^/?#:@]*)(?::([+-]?[0-9]*))?))?"
     r"([^?#]*)(?:[?]([^#]*))?(?:#.*)?$"
 )
 # java.net.URL accepts a URL only when it has a handler for the scheme (these
 # are the handlers of Java 8) and, for `scheme://`, a whole authority: optional
-# user-info, a host, and a port of digits only, ended by `/`, `?`, `#` or the
-# end (or any authority with two or more `@`). Anything else is malformed.
+# user-info, a host, and a port ended by `/`, `?`, `#` or the end (or any
+# authority with two or more `@`). The port is empty or a signed int of at
+# least -1, as Integer.parseInt reads it. Anything else is malformed.
 URL_PROTOCOLS = ["http", "https", "ftp", "file", "jar", "mailto", "netdoc"]
 # `scheme:////...` is a UNC name to java.net.URL: no authority is read and the
 # path keeps all four slashes.
 URL_UNC = r"^[A-Za-z][A-Za-z0-9+.-]*:////"
 URL_WELL_FORMED = (
     r"^[A-Za-z][A-Za-z0-9+.-]*:"
-    r"(?://(?:[^/?#]*@[^/?#]*@[^/?#]*|(?:[^/?#@]*@)?[^/?#:@]*(?::[0-9]*)?)(?:[/?#].*)?"
+    r"(?://(?:[^/?#]*@[^/?#]*@[^/?#]*|(?:[^/?#@]*@)?[^/?#:@]*(?::[+-]?[0-9]*)?)(?:[/?#].*)?"
     r"|[^/].*|/[^/].*|/)?$"
 )
 # ---------------------------------------------------------------------------
@@ -129,16 +130,20 @@ def url_parts(url: Column) -> tuple[Column, Column, Column, Column]:
     def g(i: int) -> Column:
         return F.regexp_extract(u, URL_PATTERN, i)
 
-    valid = F.coalesce(F.lower(g(1)).isin(URL_PROTOCOLS) & u.rlike(URL_WELL_FORMED), F.lit(False))
+    port = g(4)
+    port_ok = (port == F.lit("")) | (
+        port.rlike(_LONG_TEXT) & (F.coalesce(port.try_cast("int"), F.lit(-2)) >= F.lit(-1))
+    )
+    valid = F.coalesce(F.lower(g(1)).isin(URL_PROTOCOLS) & u.rlike(URL_WELL_FORMED) & port_ok, F.lit(False))
     missing = F.lit(MISSING)
     protocol = F.when(valid, F.lower(g(1))).otherwise(missing)
     host = F.when(valid, g(3)).otherwise(missing)  # '' when group 2 (several `@`) matched
     path = (
-        F.when(valid & u.rlike(URL_UNC), F.concat(F.lit("//"), g(4)))
-        .when(valid, g(4))
+        F.when(valid & u.rlike(URL_UNC), F.concat(F.lit("//"), g(5)))
+        .when(valid, g(5))
         .otherwise(missing)
     )
-    params = F.when(valid & (g(5) != F.lit("")), g(5)).otherwise(missing)
+    params = F.when(valid & (g(6) != F.lit("")), g(6)).otherwise(missing)
     return protocol, host, path, params
 
 

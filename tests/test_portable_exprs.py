@@ -26,7 +26,8 @@ url_like = st.one_of(
         st.sampled_from(["http", "HTTPS", "ftp", "x+y", "1a", "", "file", "mailto", "Jar", "javascript"]),
         st.sampled_from(["", "u:p@", "@", "a@b@", "@@"]),
         st.text(alphabet="ab_.-9", max_size=8),
-        st.sampled_from(["", ":80", ":", ":x", ":8a", "::1"]),
+        st.sampled_from(["", ":80", ":", ":x", ":8a", "::1", ":+80", ":-1", ":-2", ":+", ":99999999999",
+                         ":2147483647", ":2147483648"]),
         st.text(alphabet="/ab |%", max_size=8),
         st.sampled_from(["", "?", "?a=1", "?a=1&b=2"]),
         st.sampled_from(["", "#", "#top", "#a?b"]),
@@ -73,8 +74,8 @@ def test_url_parts_agree(spark, urls):
     ok = E._url_valid("trim(v)")
     unc = f"regexp_matches(trim(v), '{E._URL_UNC}')"
     sql = (f"CASE WHEN {ok} THEN lower({g(1)}) ELSE '-' END, CASE WHEN {ok} THEN {g(3)} ELSE '-' END, "
-           f"CASE WHEN {ok} AND {unc} THEN '//' || {g(4)} WHEN {ok} THEN {g(4)} ELSE '-' END, "
-           f"CASE WHEN {ok} AND {g(5)} <> '' THEN {g(5)} ELSE '-' END")
+           f"CASE WHEN {ok} AND {unc} THEN '//' || {g(5)} WHEN {ok} THEN {g(5)} ELSE '-' END, "
+           f"CASE WHEN {ok} AND {g(6)} <> '' THEN {g(6)} ELSE '-' END")
     assert _spark(spark, urls, lambda c: parse.url_parts(c)) == _duck(urls, sql)
 
 

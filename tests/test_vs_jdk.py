@@ -40,7 +40,8 @@ def _urls(n, seed=11):
         sep = rnd.choice(["://", "://", "://", ":", ":/", ":////"])
         user = rnd.choice(["", "", "", "u@", "u:p@", "user:pa ss@", "a@b@", "@@", "a@"])
         host = text("abcxyz0189.-_", 0, 12)
-        port = rnd.choice(["", "", ":80", ":", ":8080", ":x1", ":1x"])
+        port = rnd.choice(["", "", ":80", ":", ":8080", ":x1", ":1x", ":+80", ":-1", ":-2", ":-", ":+0",
+                           ":99999999999", ":2147483647", ":2147483648", ":007"])
         path = rnd.choice(["", "/", "/a", "/a/b.html", "/x y", "/p|q", "/a;b=c", "/%20"]) + text("ab/", 0, 3)
         query = rnd.choice(["", "", "?", "?a=1", "?a=1&b=2", "?q=a?b", "?x=/y"])
         frag = rnd.choice(["", "", "#", "#top", "#a?b", "#/x"])
