@@ -87,3 +87,21 @@ def test_submit_report_and_export(spark, scratch, app_conf):
     app_conf(table=table, url="jdbc:nothing-here://none/db", dbtable="t", user="u", password="p")
     with pytest.raises(Exception, match="(?i)suitable driver"):
         submit.run(spark, "export")
+
+
+def test_cluster_conf_fills_only_missing_settings(spark):
+    from accesslake.session import CLUSTER_CONF, apply_cluster_conf
+
+    given = spark.sparkContext.getConf()
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    try:
+        apply_cluster_conf(spark)
+        for key, value in CLUSTER_CONF.items():
+            expected = given.get(key) if given.contains(key) else value
+            assert spark.conf.get(key) == expected, key
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
