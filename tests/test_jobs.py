@@ -177,3 +177,17 @@ def test_crlf_raw_text_gives_the_same_rows(spark, scratch):
     rows = lambda root: sorted(map(tuple, io.read_day(spark, root, ODS_SCHEMA, D).drop("d").collect()))
     assert rows(f"{scratch}/ods_lf") == rows(f"{scratch}/ods_crlf")
     assert rows(f"{scratch}/ods_crlf")[0][-1] == "HIT"  # no trailing \r in the last field
+
+
+def test_dwd_broadcast_plan_never_shuffles_the_logs(spark, landed):
+    from accesslake.operators import dwd
+
+    base, raw, ip = landed
+    ods_root = f"{base}/ods6"
+    ods_job(spark, raw, ods_root, D)
+    pre = dwd.widen(io.read_day(spark, ods_root, ODS_SCHEMA, D).drop("d"))
+    wide = dwd.enrich(pre, dwd.ip_dim(io.read_lines(spark, ip)))
+    wide.collect()
+    plan = _executed(wide)
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+    assert "hashpartitioning" not in plan  # no shuffle exchange anywhere
