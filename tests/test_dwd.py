@@ -153,3 +153,19 @@ def test_hot_key_spreads_over_reducers_at_run_time(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_lookup_join_edge_inputs(spark):
+    fact = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "ip string, id long")
+    dim = spark.createDataFrame([("a", "A")], "ip string, city string")
+    empty_dim = spark.createDataFrame([], "ip string, city string")
+    empty_fact = spark.createDataFrame([], "ip string, id long")
+    nulls = spark.createDataFrame([(None, i) for i in range(50)], "ip string, id long")
+    for opts in ({}, {"max_broadcast_rows": 0, "sample_fraction": 1.0}):
+        got = sorted((r["id"], r["city"]) for r in joins.lookup_join(fact, empty_dim, "ip", **opts).collect())
+        assert got == [(1, None), (2, None), (3, None)]
+        assert joins.lookup_join(empty_fact, dim, "ip", **opts).count() == 0
+        j = joins.lookup_join(nulls, dim, "ip", **opts)
+        assert j.count() == 50 and j.where(F.col("city").isNotNull()).count() == 0
+        assert joins.lookup_join(nulls, dim, "ip", "inner", **opts).count() == 0
+    assert joins.hot_keys(empty_fact, "ip") == [] and joins.hot_keys(nulls, "ip", share=0.1, fraction=1.0) == []
