@@ -228,29 +228,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _NUM = "[+-]?[0-9]+"
 _YMD = "^.([0-9]{4})/([0-9]{2})/([0-9]{2})"
 _DMY = "^.([0-9]{2})/([0-9]{2})/([0-9]{4})"
-_URL = (
-    "^(?:([A-Za-z][A-Za-z0-9+.-]*):)?"
-    "(?://(?:([^/?#]*@[^/?#]*@[^/?#]*)|(?:[^/?#@]*@)?([^/?#:@]*)(?::([+-]?[0-9]*))?))?"
-    "([^?#]*)(?:[?]([^#]*))?(?:#.*)?$"
-)
-
-
-_URL_OK = (
-    "^[A-Za-z][A-Za-z0-9+.-]*:"
-    "(?://(?:[^/?#]*@[^/?#]*@[^/?#]*|(?:[^/?#@]*@)?[^/?#:@]*(?::[+-]?[0-9]*)?)(?:[/?#].*)?"
-    "|[^/].*|/[^/].*|/)?$"
-)
+_URL_SCHEME = "^([A-Za-z][A-Za-z0-9+.-]*):"
+_URL_AUTHORITY = "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
+_URL_HOSTPORT = "^(?:[^@]*@)?([^@]*)$"
+_URL_PATH = "^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/?#]*)?([^?#]*)"
+_URL_QUERY = "^[^?#]*[?]([^#]*)"
 _URL_PROTOCOLS = "'http', 'https', 'ftp', 'file', 'jar', 'mailto', 'netdoc'"
 _URL_UNC = "^[A-Za-z][A-Za-z0-9+.-]*:////"
 
 
-def _url_valid(u: str) -> str:
-    """DuckDB: the URL has a known scheme and a well-formed authority and port."""
-    port = f"regexp_extract({u}, '{_URL}', 4)"
+def _url_sql(u: str) -> tuple[str, str, str, str]:
+    """DuckDB: (protocol, host, path, params) of the URL text `u`."""
+    scheme = f"regexp_extract({u}, '{_URL_SCHEME}', 1)"
+    hp = f"regexp_extract(regexp_extract({u}, '{_URL_AUTHORITY}', 1), '{_URL_HOSTPORT}', 1)"
+    colon = f"instr({hp}, ':')"
+    host = f"(CASE WHEN {colon} > 0 THEN substr({hp}, 1, {colon} - 1) ELSE {hp} END)"
+    port = f"(CASE WHEN {colon} > 0 THEN substr({hp}, {colon} + 1) ELSE '' END)"
     port_ok = (f"({port} = '' OR (regexp_full_match({port}, '{_NUM}') "
                f"AND coalesce(TRY_CAST({port} AS INTEGER), -2) >= -1))")
-    return (f"coalesce(lower(regexp_extract({u}, '{_URL}', 1)) IN ({_URL_PROTOCOLS}) "
-            f"AND regexp_matches({u}, '{_URL_OK}') AND {port_ok}, false)")
+    ok = f"coalesce(lower({scheme}) IN ({_URL_PROTOCOLS}) AND {port_ok}, false)"
+    path = f"regexp_extract({u}, '{_URL_PATH}', 1)"
+    query = f"regexp_extract({u}, '{_URL_QUERY}', 1)"
+    return (
+        f"CASE WHEN {ok} THEN lower({scheme}) ELSE '-' END",
+        f"CASE WHEN {ok} THEN {host} ELSE '-' END",
+        f"CASE WHEN {ok} AND regexp_matches({u}, '{_URL_UNC}') THEN '//' || {path} WHEN {ok} THEN {path} ELSE '-' END",
+        f"CASE WHEN {ok} AND {query} <> '' THEN {query} ELSE '-' END",
+    )
 
 
 def _long(x: str) -> str:
@@ -320,9 +324,7 @@ ods AS (
 )"""
 
 
-def _url_part(i: int) -> str:
-    return f"regexp_extract(trim(url), '{_URL}', {i})"
-
+_URL_COLS = _url_sql("trim(url)")
 
 _PRE_CTE = f"""
 pre AS (
@@ -332,11 +334,10 @@ pre AS (
     coalesce({_long('"requestSize"')}, 0) AS "requestSize",
     coalesce("responseSize", -1) AS "responseSize",
     cache,
-    CASE WHEN {_url_valid('trim(url)')} THEN lower({_url_part(1)}) ELSE '-' END AS protocol,
-    CASE WHEN {_url_valid('trim(url)')} THEN {_url_part(3)} ELSE '-' END AS host,
-    CASE WHEN {_url_valid('trim(url)')} AND regexp_matches(trim(url), '{_URL_UNC}') THEN '//' || {_url_part(5)}
-         WHEN {_url_valid('trim(url)')} THEN {_url_part(5)} ELSE '-' END AS path,
-    CASE WHEN {_url_valid('trim(url)')} AND {_url_part(6)} <> '' THEN {_url_part(6)} ELSE '-' END AS params,
+    {_URL_COLS[0]} AS protocol,
+    {_URL_COLS[1]} AS host,
+    {_URL_COLS[2]} AS path,
+    {_URL_COLS[3]} AS params,
     CASE WHEN regexp_matches("time", '{_YMD}') THEN regexp_extract("time", '{_YMD}', 1)
          WHEN regexp_matches("time", '{_DMY}') THEN regexp_extract("time", '{_DMY}', 3) ELSE '-' END AS year,
     CASE WHEN regexp_matches("time", '{_YMD}') THEN regexp_extract("time", '{_YMD}', 2)

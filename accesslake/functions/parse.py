@@ -46,29 +46,25 @@ _LONG_TEXT = r"^[+-]?[0-9]+\z"
 _YMD = r"^.([0-9]{4})/([0-9]{2})/([0-9]{2})"
 _DMY = r"^.([0-9]{2})/([0-9]{2})/([0-9]{4})"
 
-# URL parts as java.net.URL reports them. Groups: 1 scheme; 2 an authority
-# with two or more `@` (java.net.URL then reports an empty host and reads no
-# port); 3 host (without user-info and port); 4 port text; 5 path (without
-# query); 6 query (without fragment).
-URL_PATTERN = (
-    r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?"
-    r"(?://(?:([^/?#]*@[^/?#]*@[^/?#]*)|(?:[^/?#@]*@)?([^/?#:@]*)(?::([+-]?[0-9]*))?))?"
-    r"([^?#]*)(?:[?]([^#]*))?(?:#.*)?$"
-)
+# URL parts as java.net.URL reports them, each read by a short anchored
+# pattern: the scheme; the authority (after `//`, up to `/`, `?` or `#`);
+# host:port within the authority (after a single user-info `@`; two or more
+# `@` give no match, so an empty host and no port, as java.net.URL reads it);
+# the path (after the authority, up to `?` or `#`); the query (after the
+# first `?`, up to `#`).
+URL_SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
+URL_AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
+URL_HOSTPORT = r"^(?:[^@]*@)?([^@]*)$"
+URL_PATH = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/?#]*)?([^?#]*)"
+URL_QUERY = r"^[^?#]*[?]([^#]*)"
 # java.net.URL accepts a URL only when it has a handler for the scheme (these
-# are the handlers of Java 8) and, for `scheme://`, a whole authority: optional
-# user-info, a host, and a port ended by `/`, `?`, `#` or the end (or any
-# authority with two or more `@`). The port is empty or a signed int of at
-# least -1, as Integer.parseInt reads it. Anything else is malformed.
+# are the handlers of Java 8) and the port is empty or a signed int of at
+# least -1, as Integer.parseInt reads it (a second `:` in host:port makes the
+# port unreadable). Anything else is malformed.
 URL_PROTOCOLS = ["http", "https", "ftp", "file", "jar", "mailto", "netdoc"]
 # `scheme:////...` is a UNC name to java.net.URL: no authority is read and the
 # path keeps all four slashes.
 URL_UNC = r"^[A-Za-z][A-Za-z0-9+.-]*:////"
-URL_WELL_FORMED = (
-    r"^[A-Za-z][A-Za-z0-9+.-]*:"
-    r"(?://(?:[^/?#]*@[^/?#]*@[^/?#]*|(?:[^/?#@]*@)?[^/?#:@]*(?::[+-]?[0-9]*)?)(?:[/?#].*)?"
-    r"|[^/].*|/[^/].*|/)?$"
-)
 # ---------------------------------------------------------------------------
 
 
@@ -121,30 +117,29 @@ def url_parts(url: Column) -> tuple[Column, Column, Column, Column]:
     """(protocol, host, path, params) with java.net.URL meaning.
 
     A malformed URL gives '-' for all four: no scheme (or NULL / empty), a
-    scheme java.net.URL has no handler for, or a broken authority such as a
-    non-numeric port. The protocol is lower-cased; a missing path is ''; a
-    missing or empty query is '-'.
+    scheme java.net.URL has no handler for, or a port it cannot read. The
+    protocol is lower-cased; a missing path is ''; a missing or empty query
+    is '-'.
     """
     u = F.trim(url)
-
-    def g(i: int) -> Column:
-        return F.regexp_extract(u, URL_PATTERN, i)
-
-    port = g(4)
+    scheme = F.regexp_extract(u, URL_SCHEME, 1)
+    hostport = F.regexp_extract(F.regexp_extract(u, URL_AUTHORITY, 1), URL_HOSTPORT, 1)
+    colon = F.instr(hostport, ":")
+    host = F.when(colon > 0, F.substr(hostport, F.lit(1), colon - 1)).otherwise(hostport)
+    port = F.when(colon > 0, F.substr(hostport, colon + 1, F.length(hostport))).otherwise(F.lit(""))
     port_ok = (port == F.lit("")) | (
         port.rlike(_LONG_TEXT) & (F.coalesce(port.try_cast("int"), F.lit(-2)) >= F.lit(-1))
     )
-    valid = F.coalesce(F.lower(g(1)).isin(URL_PROTOCOLS) & u.rlike(URL_WELL_FORMED) & port_ok, F.lit(False))
+    valid = F.coalesce(F.lower(scheme).isin(URL_PROTOCOLS) & port_ok, F.lit(False))
+    path = F.regexp_extract(u, URL_PATH, 1)
+    query = F.regexp_extract(u, URL_QUERY, 1)
     missing = F.lit(MISSING)
-    protocol = F.when(valid, F.lower(g(1))).otherwise(missing)
-    host = F.when(valid, g(3)).otherwise(missing)  # '' when group 2 (several `@`) matched
-    path = (
-        F.when(valid & u.rlike(URL_UNC), F.concat(F.lit("//"), g(5)))
-        .when(valid, g(5))
-        .otherwise(missing)
+    return (
+        F.when(valid, F.lower(scheme)).otherwise(missing),
+        F.when(valid, host).otherwise(missing),
+        F.when(valid & u.rlike(URL_UNC), F.concat(F.lit("//"), path)).when(valid, path).otherwise(missing),
+        F.when(valid & (query != F.lit("")), query).otherwise(missing),
     )
-    params = F.when(valid & (g(6) != F.lit("")), g(6)).otherwise(missing)
-    return protocol, host, path, params
 
 
 def text_line(*cols: Column | str, sep: str = FIELD_SEP) -> Column:
