@@ -257,6 +257,16 @@ def _url_sql(u: str) -> tuple[str, str, str, str]:
     )
 
 
+def _time_sql(t: str) -> tuple[str, str, str]:
+    """DuckDB: (year, month, day) of the log time text `t`."""
+
+    def part(ymd_pos: int, dmy_pos: int, width: int) -> str:
+        return (f"CASE WHEN regexp_matches({t}, '{_YMD}') THEN substr({t}, {ymd_pos}, {width}) "
+                f"WHEN regexp_matches({t}, '{_DMY}') THEN substr({t}, {dmy_pos}, {width}) ELSE '-' END")
+
+    return part(2, 8, 4), part(7, 5, 2), part(10, 2, 2)
+
+
 def _long(x: str) -> str:
     return f"(CASE WHEN regexp_full_match({x}, '{_NUM}') THEN TRY_CAST({x} AS BIGINT) END)"
 
@@ -338,12 +348,9 @@ pre AS (
     {_URL_COLS[1]} AS host,
     {_URL_COLS[2]} AS path,
     {_URL_COLS[3]} AS params,
-    CASE WHEN regexp_matches("time", '{_YMD}') THEN regexp_extract("time", '{_YMD}', 1)
-         WHEN regexp_matches("time", '{_DMY}') THEN regexp_extract("time", '{_DMY}', 3) ELSE '-' END AS year,
-    CASE WHEN regexp_matches("time", '{_YMD}') THEN regexp_extract("time", '{_YMD}', 2)
-         WHEN regexp_matches("time", '{_DMY}') THEN regexp_extract("time", '{_DMY}', 2) ELSE '-' END AS month,
-    CASE WHEN regexp_matches("time", '{_YMD}') THEN regexp_extract("time", '{_YMD}', 3)
-         WHEN regexp_matches("time", '{_DMY}') THEN regexp_extract("time", '{_DMY}', 1) ELSE '-' END AS day
+    {_time_sql('"time"')[0]} AS year,
+    {_time_sql('"time"')[1]} AS month,
+    {_time_sql('"time"')[2]} AS day
   FROM ods
 )"""
 

@@ -99,18 +99,23 @@ def long_or(text: Column, default: int) -> Column:
 
 
 def time_parts(time: Column) -> tuple[Column, Column, Column]:
-    """(year, month, day) as zero-padded strings; '-' for all three if unknown."""
+    """(year, month, day) as zero-padded strings; '-' for all three if unknown.
+
+    Both layouts have fixed widths after the bracket, so once one matches the
+    parts are plain substrings (1-based: yyyy/MM/dd at 2, 7, 10; dd/MM/yyyy at
+    8, 5, 2).
+    """
     ymd = time.rlike(_YMD)
     dmy = time.rlike(_DMY)
 
-    def part(ymd_group: int, dmy_group: int) -> Column:
+    def part(ymd_pos: int, dmy_pos: int, width: int) -> Column:
         return (
-            F.when(ymd, F.regexp_extract(time, _YMD, ymd_group))
-            .when(dmy, F.regexp_extract(time, _DMY, dmy_group))
+            F.when(ymd, F.substring(time, ymd_pos, width))
+            .when(dmy, F.substring(time, dmy_pos, width))
             .otherwise(F.lit(MISSING))
         )
 
-    return part(1, 3), part(2, 2), part(3, 1)
+    return part(2, 8, 4), part(7, 5, 2), part(10, 2, 2)
 
 
 def url_parts(url: Column) -> tuple[Column, Column, Column, Column]:
