@@ -226,8 +226,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # Long.parseLong (DuckDB's TRY_CAST alone would round '1.5' and read '1e3').
 
 _NUM = "[+-]?[0-9]+"
-_YMD = "^.([0-9]{4})/([0-9]{2})/([0-9]{2})"
-_DMY = "^.([0-9]{2})/([0-9]{2})/([0-9]{4})"
+_YMD = "^.[0-9]{4}/[0-9]{2}/[0-9]{2}"
+_DMY = "^.[0-9]{2}/[0-9]{2}/[0-9]{4}"
 _URL_SCHEME = "^([A-Za-z][A-Za-z0-9+.-]*):"
 _URL_AUTHORITY = "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 _URL_HOSTPORT = "^(?:[^@]*@)?([^@]*)$"

@@ -43,8 +43,8 @@ _LONG_TEXT = r"^[+-]?[0-9]+\z"
 # Log time text: `[yyyy/MM/dd ...`, `[yyyy/MM/dd/:...` or `[dd/MM/yyyy:...`.
 # The leading `.` is the bracket. Digits are taken as text: going through a
 # timestamp would move rows before 08:00 +0800 to the previous UTC day.
-_YMD = r"^.([0-9]{4})/([0-9]{2})/([0-9]{2})"
-_DMY = r"^.([0-9]{2})/([0-9]{2})/([0-9]{4})"
+_YMD = r"^.[0-9]{4}/[0-9]{2}/[0-9]{2}"
+_DMY = r"^.[0-9]{2}/[0-9]{2}/[0-9]{4}"
 
 # URL parts as java.net.URL reports them, each read by a short anchored
 # pattern: the scheme; the authority (after `//`, up to `/`, `?` or `#`);
