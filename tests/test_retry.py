@@ -1,10 +1,11 @@
-"""A failed and retried task does not change a join's result.
+"""A failed and retried task does not change a join's result or a day write.
 
 Runs in a separate local Spark (`local[4,3]`: tasks may be retried) so the
 shared test session is untouched. A test-only Python UDF makes the first
 attempt of partition 0 fail in every job; the salted shuffle join must give
 exactly the rows of a run without failures (the salt depends on the row and
-the input partition, never on the attempt).
+the input partition, never on the attempt), and an ODS day write must leave
+the same rows and report the same observed counts.
 """
 
 import json
@@ -52,16 +53,47 @@ SCRIPT = textwrap.dedent(
         for j in tracker.getJobIdsForGroup("flaky") for s in tracker.getJobInfo(j).stageIds
     )
     print(json.dumps({{"rows": len(clean), "equal": clean == flaky, "failed_tasks": failed}}))
+
+    # An ODS write over raw lines whose first attempt fails: same files' rows, same counts.
+    from pyspark.sql import Observation
+    from accesslake.operators import ods
+    from accesslake.schemas import ODS_SCHEMA
+    from accesslake.sources import fixtures, io
+
+    def ods_write(flaky, root):
+        ident = F.udf(fail_first_attempt if flaky else (lambda x: x), T.StringType())
+        raw = fixtures.raw_access(spark, {sf!r}).repartition(4).select(ident("value").alias("value"))
+        obs = Observation("ods_" + str(flaky))
+        tagged = ods.tag(raw).observe(obs, *ods.count_columns())
+        io.write_day(ods.good(tagged), root, "20240101")
+        rows = sorted(tuple(r) for r in io.read_day(spark, root, ODS_SCHEMA, "20240101").collect())
+        return rows, obs.get
+
+    base = io.scratch_dir(spark, "retry")
+    rows_clean, counts_clean = ods_write(False, base + "/clean")
+    sc.setJobGroup("flaky_ods", "flaky_ods")
+    rows_flaky, counts_flaky = ods_write(True, base + "/flaky")
+    failed_ods = sum(
+        (tracker.getStageInfo(s).numFailedTasks if tracker.getStageInfo(s) else 0)
+        for j in tracker.getJobIdsForGroup("flaky_ods") for s in tracker.getJobInfo(j).stageIds
+    )
+    print(json.dumps({{"ods_rows": len(rows_clean), "ods_equal": rows_clean == rows_flaky,
+                       "counts_equal": counts_clean == counts_flaky, "counts": counts_flaky,
+                       "failed_tasks": failed_ods}}))
     """
 )
 
 
 def test_retried_tasks_give_the_same_join_rows(tmp_path):
     script = tmp_path / "retry.py"
-    script.write_text(SCRIPT.format(root=str(ROOT)))
+    script.write_text(SCRIPT.format(root=str(ROOT), sf="/root/testdata/sf0.001"))
     out = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, timeout=600)
     last = [line for line in out.stdout.splitlines() if line.startswith("{")]
     assert last, out.stderr[-2000:]
-    res = json.loads(last[-1])
+    res = json.loads(last[-2])
     assert res["failed_tasks"] > 0, res  # the injected failures did happen and were retried
     assert res["rows"] == 20000 + 20000 // 3 + 1 and res["equal"], res
+    ods_res = json.loads(last[-1])
+    assert ods_res["failed_tasks"] > 0, ods_res
+    assert ods_res["ods_rows"] == 878 and ods_res["ods_equal"] and ods_res["counts_equal"], ods_res
+    assert ods_res["counts"] == {"total": 1000, "good": 878, "short": 5, "dirty_size": 117}
