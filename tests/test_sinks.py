@@ -164,3 +164,12 @@ def test_spread_small_input_only_when_few_splits(spark):
     assert spread.rdd.getNumPartitions() == target and spread.count() == 100
     many = spark.range(0, 100, 1, target * 2)
     assert io.spread_small_input(many) is many  # enough splits: no shuffle added
+
+
+def test_day_filter_prunes_folders(spark, scratch):
+    for d in ("20240101", "20240102", "20240103"):
+        io.write_day(_ads(spark, d), scratch, d)
+    one = io.read_days(spark, scratch, ADS_SCHEMA).where(F.col("d") == "20240102")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan and "(d#" in plan and "= 20240102)" in plan
+    assert {r["d"] for r in one.collect()} == {"20240102"}
