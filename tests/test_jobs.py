@@ -191,3 +191,14 @@ def test_dwd_broadcast_plan_never_shuffles_the_logs(spark, landed):
     plan = _executed(wide)
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
     assert "hashpartitioning" not in plan  # no shuffle exchange anywhere
+
+
+def test_dwd_job_on_an_empty_ods_day(spark, landed, scratch):
+    base, raw, ip = landed
+    ods_root, dwd_root = f"{scratch}/ods", f"{scratch}/dwd"
+    io.clear_day(spark, ods_root, ODS_SCHEMA, D)
+    io.write_day(spark.createDataFrame([tuple("x" if f.dataType.simpleString() == "string" else 1
+                                              for f in DWD_SCHEMA.fields)], DWD_SCHEMA), dwd_root, D)
+    report = dwd_job(spark, ip, ods_root, dwd_root, D)
+    assert report.counts == {"input": 0, "rows": 0}
+    assert io.read_day(spark, dwd_root, DWD_SCHEMA, D).count() == 0  # the old day is gone
