@@ -87,6 +87,10 @@ def fits_broadcast(
 
 
 def shuffle_partitions(spark) -> int:
+    """Reducers a shuffle starts with (AQE's initial number when it is set)."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    if initial and spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        return int(initial)
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 

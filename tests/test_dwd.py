@@ -169,3 +169,18 @@ def test_lookup_join_edge_inputs(spark):
         assert j.count() == 50 and j.where(F.col("city").isNotNull()).count() == 0
         assert joins.lookup_join(nulls, dim, "ip", "inner", **opts).count() == 0
     assert joins.hot_keys(empty_fact, "ip") == [] and joins.hot_keys(nulls, "ip", share=0.1, fraction=1.0) == []
+
+
+def test_shuffle_partitions_follows_aqe_initial_number(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, "123")
+        assert joins.shuffle_partitions(spark) == 123
+        spark.conf.unset(key)
+        assert joins.shuffle_partitions(spark) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
