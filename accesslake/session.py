@@ -17,8 +17,11 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    # Start high and let AQE coalesce: a 100 TB day needs thousands of reducers.
-    "spark.sql.shuffle.partitions": "8000",
+    # Start high and let AQE coalesce: AQE can merge reducers but never split
+    # them, so this is sized for the largest shuffle, a salted DWD join of a
+    # ~5 TB day at ~256 MB per reducer. Small shuffles (the ADS aggregate)
+    # coalesce to a few reducers; salt counts follow this number.
+    "spark.sql.shuffle.partitions": "20000",
     "spark.sql.files.maxPartitionBytes": "256m",
     # Day folders are strings such as 20240101, never ints.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
