@@ -188,9 +188,14 @@ def dwd_text_job(spark: SparkSession, ip_path: str, ods_text_path: str, out_path
 def ads_from_text_job(spark: SparkSession, dwd_text_path: str, ads_root: str, d: str) -> JobReport:
     """V1 ADS: DWD text lines (city field 11, host field 14) -> ADS day, parquet."""
     result = ads.area_traffic_from_lines(io.read_lines(spark, dwd_text_path))
-    observed, obs = _observed(result, f"ads_text_{d}", F.count(F.lit(1)).alias("groups"))
+    observed, obs = _observed(
+        result,
+        f"ads_text_{d}",
+        F.coalesce(F.sum("count"), F.lit(0).cast("bigint")).alias("input"),
+        F.count(F.lit(1)).alias("groups"),
+    )
     io.write_day(observed, ads_root, d)
-    report = JobReport("ads_text", d, _metrics(obs, "groups"))
+    report = JobReport("ads_text", d, _metrics(obs, "input", "groups"))
     if report.counts["groups"] == 0:
         io.clear_day(spark, ads_root, ADS_SCHEMA, d)
     return report

@@ -146,7 +146,7 @@ def test_v1_text_chain(spark, landed):
     r2 = dwd_text_job(spark, ip, f"{base}/v1_ods", f"{base}/v1_dwd")
     assert r2.counts == {"rows": 878}
     r3 = ads_from_text_job(spark, f"{base}/v1_dwd", f"{base}/v1_ads", D)
-    assert r3.counts == {"groups": 241}
+    assert r3.counts == {"input": 878, "groups": 241}
 
 
 def test_no_rejects_no_second_scan(spark, scratch):
