@@ -184,3 +184,27 @@ def test_shuffle_partitions_follows_aqe_initial_number(spark):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def test_inner_join_with_hot_key_on_both_plans(spark):
+    fact = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 40).cast("string")).alias("ip"), "id"
+    )
+    dim = spark.createDataFrame([("hot", "H"), ("hot", "H2")] + [(str(i), f"c{i}") for i in range(0, 40, 2)],
+                                "ip string, city string")
+    key = lambda df: sorted((r["id"], r["city"]) for r in df.collect())
+    plan = []
+    salted = joins.lookup_join(fact, dim, "ip", "inner", max_broadcast_rows=0, hot_share=0.05,
+                               sample_fraction=0.5, plan=plan)
+    assert plan[0].hot_keys == ("hot",)
+    assert key(salted) == key(joins.lookup_join(fact, dim, "ip", "inner"))
+
+
+def test_v1_lookup_on_the_shuffle_plan(spark):
+    pre = _pre(spark, ["1.1.1.1"] * 30 + ["2.2.2.2", "3.3.3.3"])
+    dim = _dim(spark, [("1.1.1.1", "P", "C", "I"), ("1.1.1.1", "DUP", "DUP", "DUP"), ("3.3.3.3", "Q", "D", "J")])
+    rows = lambda df: sorted((r["ip"], r["province"], r["city"], r["isp"], r["responseTime"]) for r in df.collect())
+    b = dwd.enrich_lookup(pre, dim)
+    s = dwd.enrich_lookup(pre, dim, max_broadcast_rows=0, hot_share=0.05, sample_fraction=1.0)
+    assert rows(b) == rows(s) and len(rows(s)) == 32
+    assert {r[1] for r in rows(s) if r[0] == "2.2.2.2"} == {"-"}
