@@ -120,7 +120,7 @@ def hot_keys(
         .rollup("k")
         .agg(F.count(F.lit(1)).alias("c"), F.grouping("k").alias("g"))
         .orderBy(F.desc("c"))
-        .limit(max_keys + 2)
+        .limit(max_keys + 2)  # bounds the candidate list sent to the driver; no join row is dropped
         .collect()
     )
     n = next((r["c"] for r in top if r["g"] == 1), 0)
