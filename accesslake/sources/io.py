@@ -180,7 +180,11 @@ def insert_day(df: DataFrame, table: str, d: str) -> None:
 
     insertInto is positional and only obeys the *session* setting for dynamic
     overwrite (the writer option is ignored there), so the columns are put in
-    table order and the setting is set around the write and restored.
+    table order and the setting is set around the write and restored. The
+    setting is session-wide: do not run two `insert_day` calls at once on one
+    session. `write_day` (a writer option per write) has no such limit; the
+    V2 writer's `overwritePartitions` would avoid it but refuses V1 (session
+    catalog parquet) tables.
     """
     spark = df.sparkSession
     cols = spark.table(table).columns
