@@ -140,14 +140,29 @@ def write_text(
 def create_day_table(
     spark: SparkSession, table: str, schema: T.StructType, location: str, *, if_not_exists: bool = True
 ) -> None:
-    """External parquet table partitioned by string `d` at `location`."""
+    """External parquet table partitioned by string `d` at `location`.
+
+    The table carries the option `partitionOverwriteMode=dynamic`, so every
+    overwrite into it (insertInto or SQL `INSERT OVERWRITE`) replaces only the
+    days it writes, whatever the session setting.
+    """
     guard = "IF NOT EXISTS " if if_not_exists else ""
     spark.sql(
-        f"CREATE TABLE {guard}{table} ({ddl(with_day(schema))}) "
-        f"USING parquet PARTITIONED BY ({DAY}) LOCATION '{location}'"
+        f"CREATE TABLE {guard}{table} ({ddl(with_day(schema))}) USING parquet "
+        f"OPTIONS ('{_OVERWRITE_MODE}'='dynamic') PARTITIONED BY ({DAY}) LOCATION '{location}'"
     )
 
 
+_OVERWRITE_MODE = "partitionOverwriteMode"
+
+
+def _overwrites_by_day(spark: SparkSession, table: str) -> bool:
+    """Whether the table itself asks for dynamic partition overwrite."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    props = " ".join(str(r["data_type"]) for r in rows if r["col_name"] == "Storage Properties")
+    return f"{_OVERWRITE_MODE}=dynamic" in props
+
+
 # The three warehouse tables and their schemas (without `d`).
 WAREHOUSE_TABLES = {"ods_access": ODS_SCHEMA, "dwd_access": DWD_SCHEMA, "ads_areatrafstat": ADS_SCHEMA}
 
@@ -178,17 +193,21 @@ def add_day_partition(spark: SparkSession, table: str, d: str, location: str | N
 def insert_day(df: DataFrame, table: str, d: str) -> None:
     """Overwrite day `d` of a catalog table, leaving its other days.
 
-    insertInto is positional and only obeys the *session* setting for dynamic
-    overwrite (the writer option is ignored there), so the columns are put in
-    table order and the setting is set around the write and restored. The
-    setting is session-wide: do not run two `insert_day` calls at once on one
-    session. `write_day` (a writer option per write) has no such limit; the
-    V2 writer's `overwritePartitions` would avoid it but refuses V1 (session
+    insertInto is positional, so the columns are put in table order. Tables
+    made by `create_day_table` carry `partitionOverwriteMode=dynamic`, so the
+    write replaces only day `d` and touches no session setting. For a table
+    without that option, insertInto obeys only the *session* setting (the
+    writer option is ignored there): it is set around the write and restored,
+    which makes such calls unsafe to run at once on one session. The V2
+    writer's `overwritePartitions` would avoid that but refuses V1 (session
     catalog parquet) tables.
     """
     spark = df.sparkSession
     cols = spark.table(table).columns
     out = df.withColumn(DAY, F.lit(d)).select(*cols)
+    if _overwrites_by_day(spark, table):
+        out.write.insertInto(table, overwrite=True)
+        return
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
     spark.conf.set(key, "dynamic")

@@ -173,3 +173,34 @@ def test_day_filter_prunes_folders(spark, scratch):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(d" in plan and "(d#" in plan and "= 20240102)" in plan
     assert {r["d"] for r in one.collect()} == {"20240102"}
+
+
+def test_day_tables_overwrite_by_day_without_session_setting(spark, scratch):
+    table = f"t_{uuid.uuid4().hex[:8]}"
+    io.create_day_table(spark, table, ADS_SCHEMA, scratch)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "static")  # the table's own option must win
+    try:
+        io.insert_day(_ads(spark, "a"), table, "20240101")
+        io.insert_day(_ads(spark, "b"), table, "20240102")
+        spark.sql(f"INSERT OVERWRITE TABLE {table} SELECT 'c', 'h-c', 5, '20240101'")
+        assert spark.conf.get(key) == "static"
+    finally:
+        spark.conf.set(key, before)
+    assert _rows(spark.table(table)) == [("20240101", "h-c", 5), ("20240102", "h-b", 1), ("20240102", "h-b", 2)]
+
+
+def test_insert_day_into_a_table_without_the_option(spark, scratch):
+    from accesslake.schemas import ddl, with_day
+
+    table = f"t_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE TABLE {table} ({ddl(with_day(ADS_SCHEMA))}) USING parquet PARTITIONED BY (d) "
+              f"LOCATION '{scratch}'")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    io.insert_day(_ads(spark, "a"), table, "20240101")
+    io.insert_day(_ads(spark, "b"), table, "20240102")
+    io.insert_day(_ads(spark, "c"), table, "20240101")
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    assert _rows(spark.table(table)) == [("20240101", "h-c", 1), ("20240101", "h-c", 2), ("20240102", "h-b", 1),
+                                         ("20240102", "h-b", 2)]
