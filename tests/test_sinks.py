@@ -45,6 +45,7 @@ def test_max_records_per_file(spark, scratch):
 def test_insert_day_is_dynamic_and_restores_conf(spark, scratch):
     table = f"t_{uuid.uuid4().hex[:8]}"
     io.create_day_table(spark, table, ADS_SCHEMA, scratch)
+    assert not io._overwrites_by_day(spark, table)  # the session-setting path
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     io.insert_day(_ads(spark, "a"), table, "20240101")
     io.insert_day(_ads(spark, "b"), table, "20240102")
@@ -178,6 +179,7 @@ def test_day_filter_prunes_folders(spark, scratch):
 def test_day_tables_overwrite_by_day_without_session_setting(spark, scratch):
     table = f"t_{uuid.uuid4().hex[:8]}"
     io.create_day_table(spark, table, ADS_SCHEMA, scratch)
+    assert io._overwrites_by_day(spark, table)  # insert_day writes without touching the session
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
     spark.conf.set(key, "static")  # the table's own option must win
@@ -197,6 +199,7 @@ def test_insert_day_into_a_table_without_the_option(spark, scratch):
     table = f"t_{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE TABLE {table} ({ddl(with_day(ADS_SCHEMA))}) USING parquet PARTITIONED BY (d) "
               f"LOCATION '{scratch}'")
+    assert not io._overwrites_by_day(spark, table)  # the session-setting path
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     io.insert_day(_ads(spark, "a"), table, "20240101")
     io.insert_day(_ads(spark, "b"), table, "20240102")
