@@ -22,7 +22,10 @@ CLUSTER_CONF = {
     # ~5 TB day at ~256 MB per reducer. Small shuffles (the ADS aggregate)
     # coalesce to a few reducers; salt counts follow this number.
     "spark.sql.shuffle.partitions": "20000",
-    "spark.sql.files.maxPartitionBytes": "256m",
+    # ODS and DWD are map-only: one input split becomes one output file. 512 MB
+    # of raw text is ~100 MB of parquet per file, and a 10 TB day still makes
+    # ~20,000 tasks.
+    "spark.sql.files.maxPartitionBytes": "512m",
     # Day folders are strings such as 20240101, never ints.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.parquet.compression.codec": "snappy",
