@@ -45,7 +45,6 @@ def test_max_records_per_file(spark, scratch):
 def test_insert_day_is_dynamic_and_restores_conf(spark, scratch):
     table = f"t_{uuid.uuid4().hex[:8]}"
     io.create_day_table(spark, table, ADS_SCHEMA, scratch)
-    assert not io._overwrites_by_day(spark, table)  # the session-setting path
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     io.insert_day(_ads(spark, "a"), table, "20240101")
     io.insert_day(_ads(spark, "b"), table, "20240102")
