@@ -13,6 +13,7 @@ the work of every query grows with those tables.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 import uuid
@@ -217,8 +218,32 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_ads_area_traffic(spark, FLAGSHIP_SF)
 
 
+# The training-data operators and their pipeline are optional: their folders
+# may be absent. Only their absence is excused; an import that fails inside
+# them is raised.
+_OPTIONAL = ("accesslake.llm", "accesslake.llm.entry", "corpus_pipeline")
+
+
+def _optional(module: str):
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as e:
+        if e.name not in _OPTIONAL:
+            raise
+        return None
+
+
+_LLM = _optional("accesslake.llm.entry")
+_PIPELINE = _optional("corpus_pipeline") if _LLM else None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    found = dict(_QUERIES)
+    if _LLM:
+        found |= _LLM.QUERIES
+    if _PIPELINE:
+        found["pipeline"] = _PIPELINE.run
+    return found
 
 
 # -------------------------------------------------------------------- oracle SQL
@@ -439,4 +464,9 @@ _ORACLE_BODIES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _ALL_CTES + v for k, v in _ORACLE_BODIES.items()}
+    found = {k: _ALL_CTES + v for k, v in _ORACLE_BODIES.items()}
+    if _LLM:
+        found |= _LLM.ORACLE_SQL
+    if _PIPELINE and _PIPELINE.ORACLE_SQL:
+        found["pipeline"] = _PIPELINE.ORACLE_SQL
+    return found
