@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from accesslake.llm import bpe
+from accesslake.llm import bpe, minhash
 from accesslake.llm.common import table
 
 
@@ -14,8 +14,13 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), vocabulary))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_size=3, percent=85)
+
+
 QUERIES = {
     "op6_bpe": op6_bpe,
+    "op10_minhash": op10_minhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
