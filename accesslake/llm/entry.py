@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from accesslake.llm import bpe, minhash
+from accesslake.llm import bpe, decontam, minhash
 from accesslake.llm.common import table
 
 
+def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.load(public_tokenizers.path("word_bpe_49k.json"))
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), vocabulary))
@@ -19,8 +23,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_decontam": op4_decontam,
     "op6_bpe": op6_bpe,
     "op10_minhash": op10_minhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_decontam": decontam.ORACLE_SQL,
+}

@@ -1,0 +1,79 @@
+"""Decontamination against the exhaustive SQL and on small cases."""
+
+import random
+from collections import Counter
+
+import duckdb
+import pytest
+
+from accesslake.llm import decontam
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_same_as_exhaustive_sql(spark):
+    docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    got = sorted(map(tuple, decontam.leaks(docs, bench).collect()))
+    assert got == sorted(con.execute(decontam.ORACLE_SQL).fetchall()) and got
+
+
+def brute_force(docs, items):
+    """Best similarity of every (document, item) that reaches 0.8."""
+    out = {}
+    for d, text in docs:
+        w = text.lower().split()
+        for i, item in items:
+            v = item.lower().split()
+            k = min(5, len(v))
+            grams = lambda x: Counter(tuple(x[j : j + k]) for j in range(len(x) - k + 1))
+            a = grams(v)
+            for s in range(max(1, len(w) - len(v) + 1)):
+                b = grams(w[s : s + len(v)])
+                if (both := sum((a & b).values())) and (sim := both / sum((a | b).values())) >= 0.8:
+                    out[d, i] = max(out.get((d, i), 0), sim)
+    return out
+
+
+def test_same_as_all_windows(spark):
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randint(0, 400)}"
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([1, 2, 4, 5, 6, 14, 30, 30, 59, 90])]
+    items += [(50, "the the the the the the the the the the the")]
+    docs = []
+    for d in range(120):
+        w = [word() for _ in range(rng.randint(0, 150))]
+        piece = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 3)):
+            edit = rng.randrange(len(piece) + 1)
+            piece[edit : edit + rng.randint(0, 1)] = [word()] * rng.randint(0, 1)
+        at = rng.randrange(len(w) + 1)
+        docs.append((d, " ".join(w[:at] + piece + w[at:])))
+    docs += [(200, items[8][1].upper()), (201, " ".join(items[8][1].split()[:-3]))]
+    out = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id): r.similarity for r in out.collect()} == pytest.approx(brute_force(docs, items))
+
+
+def test_odd_rows(spark):
+    item = "one two three four five six seven eight nine ten"
+    docs = [(1, None, 0), (2, "", 0), (3, "x " + item + " y", 0), (3, "x " + item + " y", 0), (None, item, 1), (4, ("zz " * 30000) + item, 2), (5, "ten nine eight", 0)]
+    bench = [(7, item, 1.0), (7, item, 1.0), (8, None, 0.0), (9, "!!", 0.0), (None, "unseen words here that are nowhere at all", 0.0)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, similarity int")
+    out = decontam.leaks(df, spark.createDataFrame(bench, "item_id long, text string, hashes double"))
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(3, 7, 1.0, 1, 10), (None, 7, 1.0, 0, 10), (4, 7, 1.0, 30000, 10)], key=str)
+
+
+@pytest.mark.parametrize("empty", ["documents", "benchmark"])
+def test_empty_tables(spark, empty):
+    docs = spark.createDataFrame([] if empty == "documents" else [(1, "a b c d e f")], "doc_id long, text string")
+    bench = spark.createDataFrame([] if empty == "benchmark" else [(1, "a b c d e f")], "item_id long, text string")
+    assert decontam.leaks(docs, bench).collect() == []
+
+
+def test_blocks_cover_a_fingerprint():
+    for radius in (0, 3, 19, 31):
+        layout = decontam.block_layout(radius)
+        assert len(layout) == radius + 1 and sum(w for _, w in layout) == 64
+        assert all(layout[i][0] + layout[i][1] == layout[i + 1][0] for i in range(radius))
