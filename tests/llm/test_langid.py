@@ -1,0 +1,62 @@
+"""Language identification: the forward sum against all segmentations, accuracy, odd rows."""
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from accesslake.llm import langid
+
+
+def segmentations(word, pieces, unknown):
+    if not word:
+        yield []
+        return
+    singles = {p for p in pieces if len(p) == 1}
+    for k in range(1, len(word) + 1):
+        if word[:k] in pieces:
+            for rest in segmentations(word[k:], pieces, unknown):
+                yield [pieces.index(word[:k]), *rest]
+    if word[0] not in singles:
+        for rest in segmentations(word[1:], pieces, unknown):
+            yield [unknown, *rest]
+
+
+def test_forward_and_expected_counts():
+    pieces = ["▁", "a", "b", "ab", "aba", "▁a", "ba", "▁ab"]
+    lattice = langid.Lattice(pieces)
+    rng = np.random.default_rng(1)
+    p = rng.dirichlet(np.ones(len(pieces) + 1), 3).T
+    words = ["▁abab", "▁a", "▁cab", "▁abba", "▁", "b"]
+    weights = np.array([2.0, 1, 3, 1, 1, 5])
+    got = lattice.log_probability(words, np.log(p))
+    expected = np.zeros(len(pieces) + 1)
+    for w, weight, row in zip(words, weights, got):
+        every = [(s, np.prod(p[s], axis=0)) for s in segmentations(w, pieces, len(pieces))]
+        total = sum(x for _, x in every)
+        assert np.allclose(np.exp(row), total)
+        for s, x in every:
+            np.add.at(expected, s, weight * x[0] / total[0])
+    assert np.allclose(lattice.expected(words, weights, np.log(p[:, :1])), expected)
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return langid.public_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def test_held_out_accuracy_and_odd_rows(spark, pieces):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.train(docs, pieces)
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    out = langid.identify(docs, model).collect()
+    assert sum(r.lang_pred == truth[r.doc_id] for r in out) >= 0.98 * len(out)
+    rows = [(1, None, 1.0), (2, "", 0.0), (3, "12 + 3!", 0.0), (None, "the and of", 0.0), (4, "the " * 50000, 0.0), (5, "z" * 5000, 0.0), (5, "漢字", 0.0), (5, "漢字", 0.0)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, score double"), model).collect()
+    assert len(got) == 8 and [r.lang_pred for r in got[:3]] == ["und"] * 3 and got[3].lang_pred == "en" and all(0 <= r.score <= 1 for r in got)
+    assert langid.identify(docs.limit(0), model).collect() == []
+
+
+def test_nothing_to_learn_from(spark, pieces):
+    docs = spark.createDataFrame([(1, "word", None), (2, None, "en")], "doc_id long, text string, lang string")
+    model = langid.train(docs, pieces)
+    assert [r.lang_pred for r in langid.identify(docs, model).collect()] == ["und", "und"]

@@ -1,0 +1,63 @@
+"""Sharding: differencing step by step, whole groups, gapless slots."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+
+from accesslake.llm import sharding
+
+
+def plain_differencing(sizes, shards):
+    """Karmarkar-Karp on full-length lists; the sorted sums."""
+    parts = [[0] * (shards - 1) + [s] for s in sizes]
+    while len(parts) > 1:
+        parts.sort(key=lambda p: p[0] - p[-1])
+        a, b, *rest = parts
+        parts = [*rest, sorted(x + y for x, y in zip(a, reversed(b)))]
+    return parts[0]
+
+
+def test_differencing():
+    rng = random.Random(1)
+    for shards in (1, 2, 3, 7):
+        for n in (1, 2, 5, 9, 40):
+            sizes = np.array(rng.sample(range(1, 100000), n))
+            place, sums = sharding.place_groups(sizes, shards)
+            assert list(sums) == plain_differencing(sizes.tolist(), shards)
+            assert list(np.bincount(place, weights=sizes, minlength=shards)) == list(sums)
+            single = [np.array([0] * (shards - 1) + [s]) for s in sizes]
+            placed, totals = sharding.difference(single, shards)
+            assert list(totals) == list(sums) and [p[-1] for p in placed] == list(place) or shards == 1 or n == 1
+
+
+def check(spark, rows, shards, **limits):
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard string").repartition(3)
+    out = sharding.shard(df, shards, **limits).collect()
+    assert len(out) == len(rows)
+    slots, of_text = defaultdict(list), defaultdict(set)
+    for r in out:
+        slots[r.shard].append(r.slot)
+        of_text[r.text_crc32, r.size].add(r.shard)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and all(len(s) == 1 for s in of_text.values())
+    assert sorted((r.doc_id or -1, r.size, r.text_crc32) for r in out) == sorted(
+        (i or -1, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t, _ in rows)
+    load = np.zeros(shards)
+    for r in out:
+        load[r.shard] += r.size
+    return load
+
+
+def test_balance_and_tree(spark):
+    rng = random.Random(3)
+    rows = [(i, "é" * rng.randint(0, 3000) + str(i), "x") for i in range(1200)] + [(2000 + i, "copy", None) for i in range(300)]
+    for limits in ({}, {"groups_per_bucket": 100, "fan_in": 3, "rows_per_piece": 20}):
+        load = check(spark, rows, 6, **limits)
+        assert load.max() - load.min() < 0.001 * load.mean()
+
+
+def test_odd_rows(spark):
+    load = check(spark, [(1, None, ""), (1, "", ""), (None, "a", ""), (5, "a", ""), (5, "a", ""), (6, "b " * 100000, None)], 40)
+    assert load.max() == 200016 and (load > 0).sum() == 3
+    assert sharding.shard(spark.createDataFrame([], "doc_id long, text string"), 40).collect() == []
