@@ -85,7 +85,7 @@ RULES = [
     ("CC0-1.0", ["Cc0"]),
 ]
 # A sentence without any of these matches no pattern.
-HINT = r"licens|licenc|permission|redistribut|warranty|software is provided|spdx|gnu|creative commons|cc0|public domain|all rights reserved|applicable law|(released|distributed) under"
+HINT = r"licens|licenc|permission|redistribut|warranty|software is provided|spdx|gnu|creative commons|cc0|public domain|all rights reserved|applicable law|endorse|(released|distributed) under"
 # ---------------------------------------------------------------------------
 
 # (pattern, replacement) steps that normalise a text before it is cut.
@@ -140,7 +140,6 @@ def oracle_sql() -> str:
     """The same in DuckDB."""
     normal = "lower(coalesce(text, ''))"
     for pattern, to in _NORMAL:
-        pattern = pattern.replace(r"‘’“”", "‘’“”").replace(r" ", " ")
         normal = f"regexp_replace({normal}, {_quoted(pattern)}, {_quoted(to)}, 'g')"
     cases = " ".join(f"WHEN regexp_matches(s, {_quoted(p)}) THEN {_quoted(i)}" for i, p in SENTENCES)
     steps, left = [], "'' || ',' || array_to_string(ids, ',,') || ','"
