@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from accesslake.llm.common import text_or_empty
+from accesslake.llm.common import carried, restored, text_or_empty
 
 # A tokenizer file is broadcast; larger ones are refused.
 MAX_TOKENIZER_BYTES = 64 << 20
@@ -312,12 +312,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", t
                 ids = [v.encode(t) for t in text_or_empty(part["text"])]
                 yield pd.DataFrame({"id": part["id"], "ids_le": ids, "decoded": [v.decode(x) for x in ids]})
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return (
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .mapInPandas(run, f"id {kind}, ids_le binary, decoded string")
-        .withColumnRenamed("id", id_col)
-    )
+    out = docs.select(carried(id_col), F.col(text_col).alias("text")).mapInPandas(run, "id string, ids_le binary, decoded string")
+    return restored(out, id_col, docs)
 
 
 def unpack(packed):
@@ -331,11 +327,12 @@ def unpack(packed):
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), (n - 1).cast("int")), one)).otherwise(F.array().cast("array<bigint>"))
 
 
-def digests(encoded: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
-    """n_tokens and the SHA-256 of the ids and of the decoded text."""
+def digests(encoded: DataFrame, *, id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """n_tokens and the SHA-256 of the ids and of the decoded text, and the columns `keep`."""
     return encoded.select(
         id_col,
         F.expr("length(ids_le) div 4").cast("bigint").alias("n_tokens"),
         F.sha2("ids_le", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        *keep,
     )

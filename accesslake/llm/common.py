@@ -42,5 +42,15 @@ def batches(fn: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[Iterator[pd
     return run
 
 
+def carried(name: str) -> Column:
+    """An id column as text: pandas would round large integers beside nulls."""
+    return F.col(name).cast("string").alias("id")
+
+
+def restored(df: DataFrame, name: str, like: DataFrame) -> DataFrame:
+    """`df` with its carried id back under its name and type."""
+    return df.withColumn("id", F.col("id").cast(like.schema[name].dataType)).withColumnRenamed("id", name)
+
+
 def text_or_empty(texts: pd.Series) -> list[str]:
     return [t if isinstance(t, str) else "" for t in texts]

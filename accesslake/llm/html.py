@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accesslake.llm.common import materialize
+from accesslake.llm.common import carried, materialize, restored
 
 # A class is part of the template when it has at least this many tokens, on at
 # least this many pages, and on this share of the host's pages.
@@ -253,7 +253,7 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     not looked at; an empty table gives an empty result.
     """
     host = F.lower(F.regexp_extract(F.coalesce(url_col, F.lit("")), _HOST, 1))
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
+    rows = pages.select(carried(id_col), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
     found = materialize(templates(rows.select("host", F.xxhash64("id", "url").alias("page"), "html")), "templates")
     size = found.agg(F.sum(F.size("fixed") + 10)).first()[0] or 0
     joined = rows.join(F.broadcast(found) if size <= MAX_BROADCAST_TOKENS else found, "host", "left")
@@ -266,6 +266,5 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
                 texts.append(main_text(source if isinstance(source, str) else "", known, None if pd.isna(container) else int(container)))
             yield pd.DataFrame({"id": pdf["id"].to_numpy(), "url": pdf["url"].to_numpy(), "text": texts, "n_chars": [len(t) for t in texts]})
 
-    kind = pages.schema[id_col].dataType.simpleString()
-    out = joined.select("id", "url", "html", "fixed", F.col("container").cast("string")).mapInPandas(run, f"id {kind}, url string, text string, n_chars long")
-    return out.withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)
+    out = joined.select("id", "url", "html", "fixed", F.col("container").cast("string")).mapInPandas(run, "id string, url string, text string, n_chars long")
+    return restored(out, id_col, pages).withColumnRenamed("url", url_col)

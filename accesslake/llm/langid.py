@@ -22,7 +22,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accesslake.llm.common import in_fold, text_or_empty
+from accesslake.llm.common import carried, in_fold, restored, text_or_empty
 
 HELD_OUT = (4, 2)
 UNDETERMINED = "und"
@@ -231,9 +231,5 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
                     scores.append(float(1 / np.exp(total - total[best]).sum()))
                 yield pd.DataFrame({"id": part["id"].to_numpy(), "lang_pred": langs, "score": scores})
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return (
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .mapInPandas(run, f"id {kind}, lang_pred string, score double")
-        .withColumnRenamed("id", id_col)
-    )
+    out = docs.select(carried(id_col), F.col(text_col).alias("text")).mapInPandas(run, "id string, lang_pred string, score double")
+    return restored(out, id_col, docs)

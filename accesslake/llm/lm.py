@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accesslake.llm.common import in_fold, materialize, text_or_empty
+from accesslake.llm.common import carried, in_fold, materialize, restored, text_or_empty
 from accesslake.llm.minhash import mixed
 
 HELD_OUT = (7, 2)
@@ -198,7 +198,7 @@ def learn_weights(cells: pd.DataFrame, n_types: int, rounds: int = EM_ROUNDS) ->
 
 def _scores(weights: np.ndarray, n_tokens: int, n_types: int):
     def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        columns = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+        columns = ["id", "held_out", "n_tokens", "n_known", "base_score", "score"]
         if not len(docs):
             return pd.DataFrame(columns=columns)
         t = Tables(_unpacked(docs["packed"]))
@@ -208,7 +208,7 @@ def _scores(weights: np.ndarray, n_tokens: int, n_types: int):
         w2, w1, w0 = weights[bucket_of(context)].T
         p = w2 * pairs[t.pair] / np.maximum(context, 1) + w1 * words[t.w] / max(n_tokens, 1) + w0 / (n_types + 1)
         return pd.DataFrame({
-            "doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": np.diff(t.ends, prepend=0),
+            "id": docs["id"], "held_out": docs["held_out"], "n_tokens": np.diff(t.ends, prepend=0),
             "n_known": t.per_text((words[t.w] > 0).astype(np.int64)), "base_score": t.per_text(base[t.w]), "score": t.per_text(np.log10(p)),
         })[columns]
 
@@ -228,12 +228,11 @@ def score(docs: DataFrame, *, held_out: tuple[int, int] = HELD_OUT, chunk_bytes:
     """
     n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-n_bytes // chunk_bytes))
-    kind = docs.schema["doc_id"].dataType.simpleString()
     dealt = docs.select(
-        "doc_id", in_fold(F.col("doc_id"), *held_out).alias("held_out"), in_fold(F.col("doc_id"), *DELETED).alias("deleted"),
+        carried("doc_id"), in_fold(F.col("doc_id"), *held_out).alias("held_out"), in_fold(F.col("doc_id"), *DELETED).alias("deleted"),
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"), "text",
     )
-    packed = dealt.mapInPandas(_pack, f"doc_id {kind}, held_out boolean, deleted boolean, chunk long, packed binary")
+    packed = dealt.mapInPandas(_pack, "id string, held_out boolean, deleted boolean, chunk long, packed binary")
     asked = packed.groupBy("chunk").applyInPandas(_ask(chunks), "chunk long, deleted boolean, kind int, part int, keys binary, counts binary")
     answered = asked.groupBy("kind", "part").applyInPandas(_answer, "chunk long, deleted boolean, kind int, part int, totals binary, types long, tokens long")
     answers = materialize(answered, "counts")
@@ -250,6 +249,6 @@ def score(docs: DataFrame, *, held_out: tuple[int, int] = HELD_OUT, chunk_bytes:
     weights = learn_weights(cells, n_types)
     scored = with_answers(
         packed, False, _scores(weights, n_tokens, n_types),
-        f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double",
+        "id string, held_out boolean, n_tokens long, n_known long, base_score double, score double",
     )
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
+    return restored(scored, "doc_id", docs).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("bigint").alias("train_tokens"), "base_score", "score")

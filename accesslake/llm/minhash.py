@@ -1,10 +1,10 @@
 """MinHash near-duplicates (operator 10).
 
 1. Each document's set of word shingles is hashed to 64 bits; documents with
-   equal sets form one class, and only classes go on. 252 minima of
-   multiply-add-shift functions form the signature; 36 bands of 7 minima each
-   name 36 buckets. A pair at the threshold of 0.85 misses every bucket with
-   probability 9e-7.
+   equal sets form one class, and only classes go on. Minima of many
+   multiply-add-shift functions form the signature; 36 bands of them name 36
+   buckets (7 minima each for a threshold of 0.85, 5 for 0.8). A pair at the
+   threshold misses every bucket with a probability of at most 2e-6.
 2. Each bucket ties its members to its least member, and components of these
    ties (alternating large-star and small-star) gather everything that could be
    linked, directly or not. No pairs are listed.
@@ -29,21 +29,31 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accesslake.llm.common import materialize, text_or_empty
+from accesslake.llm.common import carried, materialize, restored, text_or_empty
 from accesslake.llm.graph import components
 
-BANDS, ROWS = 36, 7
+BANDS = 36
+# A pair at the threshold shares no bucket with at most this probability.
+MAX_MISS = 2e-6
 # Members and hashed shingles that one task compares at a time.
 MAX_UNIT_CLASSES = 4096
 MAX_UNIT_SHINGLES = 8_000_000
-# A pair is compared in full from this share of equal signature bytes; at a
-# similarity of 0.85 the share lies below it with probability under 1e-8.
-SIGNATURE_SLACK = 0.13
+# A pair is compared in full unless its share of equal signature bytes lies this
+# many standard deviations below what the threshold gives (probability 1e-9).
+SIGNATURE_DEVIATIONS = 6
 SEED = 20_011
 KEPT_WORDS = 300_000
 _HASHES_AT_ONCE = 1 << 10
 
 
+def rows_per_band(similarity: float, bands: int) -> int:
+    """The most minima per band that keep a pair at the threshold within MAX_MISS."""
+    rows = 1
+    while (1 - similarity ** (rows + 1)) ** bands <= MAX_MISS:
+        rows += 1
+    return rows
+
+
 class Shingler:
     """Sets of hashed word shingles; words are cut at ASCII white space, A-Z lower-cased."""
 
@@ -99,8 +109,8 @@ def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return least >> np.uint64(32)
 
 
-def signatures(docs: DataFrame, shingle_size: int, *, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Per row: doc_id, n_shingles, and unless the set is empty its digest
+def signatures(docs: DataFrame, shingle_size: int, *, id_col: str = "doc_id", text_col: str = "text", bands: int, rows: int) -> DataFrame:
+    """Per row: doc_id, row_hash (xxhash64 of the text), n_shingles, and unless the set is empty its digest
     (equal for equal sets), signature (one byte per minimum) and bucket keys."""
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -120,12 +130,12 @@ def signatures(docs: DataFrame, shingle_size: int, *, id_col: str = "doc_id", te
                     keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + column)
                 out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), m.astype(np.uint8).tobytes(), keys.view(np.int64)))
             n, digest, sig, keys = zip(*out) if out else ((), (), (), ())
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_shingles": n, "digest": digest, "signature": sig, "buckets": keys})
+            yield pd.DataFrame({"id": pdf["id"], "row_hash": pdf["row_hash"], "n_shingles": n, "digest": digest, "signature": sig, "buckets": keys})
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(
-        run, f"doc_id {kind}, n_shingles long, digest binary, signature binary, buckets array<long>"
+    out = docs.select(carried(id_col), F.xxhash64(text_col).alias("row_hash"), F.col(text_col).alias("text")).mapInPandas(
+        run, "id string, row_hash long, n_shingles long, digest binary, signature binary, buckets array<long>"
     )
+    return restored(out, id_col, docs).withColumnRenamed(id_col, "doc_id")
 
 
 def forest(pdf: pd.DataFrame, percent: int, slack: float) -> pd.DataFrame:
@@ -193,13 +203,12 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
     bands: int = BANDS,
-    rows: int = ROWS,
     max_unit_classes: int = MAX_UNIT_CLASSES,
     max_unit_shingles: int = MAX_UNIT_SHINGLES,
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (the smallest
-    doc_id reachable over links of at least `percent`, itself included) and
-    kept (doc_id is component_id).
+    doc_id reachable over links of at least `percent`, itself included), kept
+    (doc_id is component_id) and row_hash (xxhash64 of the text).
 
     A null or blank text has the empty set: no shingles, no links, its own
     component. A text with fewer words than a shingle is one shingle. Repeated
@@ -208,6 +217,7 @@ def near_duplicates(
     component is null and it is kept. Columns besides the two named are not
     looked at. An empty table gives an empty result.
     """
+    rows = rows_per_band(percent / 100, bands)
     found = materialize(signatures(docs, shingle_size, id_col=id_col, text_col=text_col, bands=bands, rows=rows), "signatures")
     by_set = found.where("digest is not null and doc_id is not null").groupBy("digest").agg(
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.first("buckets").alias("buckets")
@@ -229,7 +239,8 @@ def near_duplicates(
             yield pd.DataFrame({"digest": [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in s], "shingles": [x.tobytes() for x in s]})
 
     whole = texts.mapInPandas(sets, "digest binary, shingles binary").join(classes.select("digest", "node", "signature"), "digest")
-    slack = SIGNATURE_SLACK
+    s = percent / 100
+    slack = SIGNATURE_DEVIATIONS * (s * (1 - s) / (bands * rows)) ** 0.5
     node_kind = classes.schema["node"].dataType.simpleString()
     links = (
         units.join(whole, "node")
@@ -239,9 +250,9 @@ def near_duplicates(
     )
     reached = components(links, "links")
 
-    classed = found.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "node"), "digest", "left")
+    classed = found.select("doc_id", "row_hash", "n_shingles", "digest").join(classes.select("digest", "node"), "digest", "left")
     named = classed.join(reached, "node", "left")
     component = F.coalesce("component", "node", "doc_id")
     return named.select(
-        F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "row_hash"
     )

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accesslake.llm.common import text_or_empty
+from accesslake.llm.common import carried, restored, text_or_empty
 
 MIN_WORDS = 20
 BASE_WINDOW, BASE_PERCENT = 8, 30
@@ -125,18 +125,13 @@ def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
                 out.insert(0, "id", part["id"].to_numpy())
                 yield out
 
-    kind = docs.schema[id_col].dataType.simpleString()
     shares = ["dup_line_share"] + [f"dup_{n}gram_share" for n in COVERAGE_LIMITS]
-    measured = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(
+    measured = docs.select(carried(id_col), F.col(text_col).alias("text")).mapInPandas(
         run,
-        f"id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, " + ", ".join(f"{s} double" for s in shares),
+        "id string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, " + ", ".join(f"{s} double" for s in shares),
     )
     limits = dict(zip(shares, [LINE_COVERAGE_LIMIT, *COVERAGE_LIMITS.values()]))
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > BASE_PERCENT * F.col("n_words"))
     reasons = F.array_compact(F.array(F.when(base, F.lit("base")), *[F.when(F.col(s) > x, F.lit(s)) for s, x in limits.items()]))
-    return (
-        measured.withColumn("base_failed", base)
-        .withColumn("reasons", reasons)
-        .withColumn("kept", F.size("reasons") == 0)
-        .withColumnRenamed("id", id_col)
-    )
+    judged = measured.withColumn("base_failed", base).withColumn("reasons", reasons).withColumn("kept", F.size("reasons") == 0)
+    return restored(judged, id_col, docs)

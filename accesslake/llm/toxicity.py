@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accesslake.llm.common import in_fold, text_or_empty
+from accesslake.llm.common import carried, in_fold, restored, text_or_empty
 
 HELD_OUT = (5, 0)
 # Labelled rows of each label that are trained on (chosen by a hash of the id);
@@ -169,12 +169,10 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
             found.insert(0, "id", pdf["id"].to_numpy())
             yield found
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return (
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .mapInPandas(run, f"id {kind}, score double, n_sentences long, worst_start long, worst_end long, worst_score double")
-        .withColumnRenamed("id", id_col)
+    out = docs.select(carried(id_col), F.col(text_col).alias("text")).mapInPandas(
+        run, "id string, score double, n_sentences long, worst_start long, worst_end long, worst_score double"
     )
+    return restored(out, id_col, docs)
 
 
 def offending(docs: DataFrame, model: Model, *, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -192,9 +190,5 @@ def offending(docs: DataFrame, model: Model, *, threshold: float = 0.5, id_col:
             if out:
                 yield pd.DataFrame(out, columns=["id", "start", "end", "sentence", "score"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return (
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .mapInPandas(run, f"id {kind}, start long, end long, sentence string, score double")
-        .withColumnRenamed("id", id_col)
-    )
+    out = docs.select(carried(id_col), F.col(text_col).alias("text")).mapInPandas(run, "id string, start long, end long, sentence string, score double")
+    return restored(out, id_col, docs)
