@@ -20,6 +20,7 @@ No document is shuffled: only windows found near the benchmark are.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -30,9 +31,9 @@ THRESHOLD = 0.8
 # At a similarity of 0.8 two fingerprints differ in 10 bits on average (standard
 # deviation 2.9): beyond 19 bits with probability 3e-4, and less for closer texts.
 RADIUS = 19
-# Bitmap bits for each benchmark shingle, and the most bits (a fuller bitmap
-# lets more windows through and never loses one).
-BITS_PER_SHINGLE = 8
+# Bitmap bits for each benchmark shingle (each sets two), and the most bits (a
+# fuller bitmap lets more windows through and never loses one).
+BITS_PER_SHINGLE = 64
 MAX_BITS = 1 << 20
 # Item fingerprint blocks are broadcast up to this many rows (under 100 bytes each).
 MAX_BROADCAST_BLOCKS = 1_000_000
@@ -66,23 +67,30 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def fingerprint(hashes: Column) -> Column:
-    """64-bit SimHash: a bit is set when more than half of the hashes have it."""
-    n = F.size(hashes)
+def counters(hashes: Column) -> Column:
+    """How many hashes have each bit, three counters to a 64-bit sum."""
 
-    def totals(g: int) -> Column:
+    def total(g: int) -> Column:
         return F.aggregate(hashes, F.lit(0).cast("bigint"), lambda acc, h: acc + F.shiftrightunsigned(h, g).bitwiseAND(F.lit(_MASK)))
 
+    return F.array(*[total(g) for g in range(_FIELDS[1])])
+
+
+def fingerprint(totals: Column, n: Column) -> Column:
+    """64-bit SimHash of n hashes: a bit is set when more than half of them have it."""
     out = []
-    for g in range(_FIELDS[1]):
-        total = totals(g)
-        for f, width in zip(_FIELDS, (22, 22, 20)):
-            if g + f < 64:
-                count = F.shiftrightunsigned(total, f).bitwiseAND(F.lit((1 << width) - 1))
-                out.append(F.when(count * 2 > n, F.shiftleft(F.lit(1).cast("bigint"), g + f)).otherwise(F.lit(0).cast("bigint")))
+    for f, width in zip(_FIELDS, (22, 22, 20)):
+        for g in range(width):
+            count = F.shiftrightunsigned(F.get(totals, F.lit(g)), f).bitwiseAND(F.lit((1 << width) - 1))
+            out.append(F.when(count * 2 > n, F.lit(1 << (g + f) if g + f < 63 else -(1 << 63)).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
     return reduce(lambda a, b: a.bitwiseOR(b), out)
 
 
+def with_fingerprint(df: DataFrame, hashes: str, name: str) -> DataFrame:
+    counted = _once(df, "totals", counters(F.col(hashes)))
+    return counted.withColumn(name, fingerprint(F.col("totals"), F.size(hashes))).drop("totals")
+
+
 def block_layout(radius: int) -> list[tuple[int, int]]:
     """(offset, width) of radius + 1 blocks of a 64-bit fingerprint."""
     n = radius + 1
@@ -94,20 +102,27 @@ def block_values(fp: Column, radius: int) -> list[Column]:
     return [F.shiftrightunsigned(fp, o).bitwiseAND(F.lit((1 << w) - 1)) for o, w in block_layout(radius)]
 
 
+def _places(h: Column, bits: int) -> list[Column]:
+    return [h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1))]
+
+
 def _bitmap(hashes: DataFrame, bits: int) -> Column:
     """Array literal of `bits` bits (at most MAX_BITS) in which column `h` of `hashes` is marked."""
-    place = F.col("h").bitwiseAND(F.lit(bits - 1))
-    mask = F.expr("shiftleft(1L, cast(h & 63 as int))")
-    rows = hashes.groupBy(F.shiftrightunsigned(place, 6).alias("at")).agg(F.bit_or(mask).alias("mask")).collect()
-    words_ = [0] * (bits // 64)
+    places = hashes.select(F.explode(F.array(*_places(F.col("h"), bits))).alias("p"))
+    rows = places.groupBy(F.shiftrightunsigned("p", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("mask")).collect()
+    masks = [0] * (bits // 64)
     for r in rows:
-        words_[r["at"]] = r["mask"]
-    return F.expr(f"array({', '.join(f'bigint({str(x)!r})' for x in words_)})")
+        masks[r["at"]] = r["mask"]
+    return F.expr(f"array({', '.join(f'bigint({str(x)!r})' if x else '0L' for x in masks)})")
 
 
 def _marked(bitmap: Column, h: Column, bits: int) -> Column:
-    word = F.get(bitmap, F.shiftrightunsigned(h.bitwiseAND(F.lit(bits - 1)), 6).cast("int"))
-    return F.call_function("shiftrightunsigned", word, h.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    def bit(p: Column) -> Column:
+        word = F.get(bitmap, F.shiftrightunsigned(p, 6).cast("int"))
+        return F.call_function("shiftrightunsigned", word, p.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+    low, high = _places(h, bits)
+    return bit(low) & bit(high)
 
 
 def _bits_for(n: int) -> int:
@@ -129,9 +144,15 @@ def _with_size(documents: DataFrame, items: DataFrame, k: int, n_shingles: int,
     n = F.size("hashes")
     marks = F.filter(F.sequence(F.lit(0), n - 1), lambda i: _marked(any_item, F.get(F.col("hashes"), i), bits))
     docs = _once(docs, "marks", F.when(n > 0, marks).otherwise(F.array().cast("array<int>")))
-    # No window of m shingles can reach the threshold with fewer than
-    # threshold * m of its own in the item.
-    docs = docs.where(F.size("marks") >= F.ceil(F.lit(threshold * min(lengths) - 1e-9)))
+    # A window of s shingles matches an item of m with share * (m + s) common ones
+    # at least, so with `few` at least, and some `few` marks in a row lie within
+    # `span`: s is at most need / (2 share), and holds (need - 1) div (few - 1) such
+    # rows side by side.
+    few = max(1, math.ceil(threshold * min(lengths) - 1e-9))
+    span = math.ceil((2 * few - 1) / (2 * share))
+    docs = docs.where(F.size("marks") >= few)
+    dense = F.exists(F.sequence(F.lit(0), F.size("marks") - few), lambda a: F.get(F.col("marks"), a + (few - 1)) - F.get(F.col("marks"), a) <= span)
+    docs = docs.where(F.when(F.size("marks") >= few, dense))
 
     per_length = docs.select("*", F.explode(F.array(*[F.lit(m) for m in lengths])).alias("m"))
     per_length = per_length.where(F.size("marks") >= F.ceil(threshold * F.col("m") - 1e-9))
@@ -149,13 +170,13 @@ def _with_size(documents: DataFrame, items: DataFrame, k: int, n_shingles: int,
     runs = runs.select("doc_id", "row_key", "m", "size", "hashes", low.alias("low"), high.alias("high")).where("low <= high")
     windows = runs.select("doc_id", "row_key", "m", "size", "hashes", F.explode(F.sequence("low", "high")).alias("start"))
     windows = windows.select("doc_id", "row_key", "m", "start", F.slice("hashes", F.col("start") + 1, F.col("size")).alias("window"))
-    windows = _once(windows, "fp", fingerprint(F.col("window")))
+    windows = with_fingerprint(windows, "window", "fp")
 
     def blocks(df: DataFrame, fp: str) -> DataFrame:
         values = [F.struct(F.lit(b).alias("block"), v.alias("value")) for b, v in enumerate(block_values(F.col(fp), radius))]
         return df.select("*", F.inline(F.array(*values)))
 
-    item_blocks = blocks(_once(items, "item_fp", fingerprint(F.col("hashes"))).withColumnRenamed("hashes", "item_hashes"), "item_fp")
+    item_blocks = blocks(with_fingerprint(items, "hashes", "item_fp").withColumnRenamed("hashes", "item_hashes"), "item_fp")
     if item_blocks.count() <= MAX_BROADCAST_BLOCKS:
         item_blocks = F.broadcast(item_blocks)
     pairs = blocks(windows, "fp").join(item_blocks, ["m", "block", "value"])
