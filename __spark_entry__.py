@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from accesslake.functions.parse import long_or
 from accesslake.operators import ads, dwd, ods
+from accesslake.plans import jobs
 from accesslake.schemas import ADS_SCHEMA, ODS_SCHEMA
 from accesslake.sources import fixtures, io
 
@@ -131,12 +132,44 @@ def q_ads_area_report(spark, sf):
 
 
 def q_ads_report_lines(spark, sf):
-    """A2 + P14 + S9: gzip text report in one file, read back."""
+    """A2 + P14 + S9: gzip text report in parts, read back."""
     path = io.scratch_dir(spark, "report")
-    io.write_text(ads.report_lines(ads.area_report(_dwd(spark, sf))), path, compression="gzip", single_file=True)
+    io.write_text(ads.report_lines(ads.area_report(_dwd(spark, sf))), path, compression="gzip")
     return io.read_lines(spark, path)
 
 
+def q_ads_report_from_tsv(spark, sf):
+    """The report job over V1 DWD text, read back."""
+    tsv, path = io.scratch_dir(spark, "dwd_tsv"), io.scratch_dir(spark, "report")
+    io.write_text(ads.dwd_lines(_dwd_v1(spark, sf)), tsv, compression=None)
+    jobs.report_job(spark, tsv, path)
+    return io.read_lines(spark, path)
+
+
+def q_ads_from_dwd_day(spark, sf):
+    """A DWD day written, other rows first, and read by day and two columns."""
+    root = io.scratch_dir(spark, "dwd")
+    io.write_day(_dwd_v1(spark, sf).where("city = '-'"), root, DAY_1)
+    io.write_day(_dwd(spark, sf), root, DAY_1)
+    return jobs.area_traffic_day(spark, root, DAY_1)
+
+
+def q_ads_from_day_view(spark, sf):
+    """SQL over the view of a DWD day."""
+    root = io.scratch_dir(spark, "dwd")
+    io.write_day(_dwd_v1(spark, sf), root, DAY_1)
+    io.register_day_views(spark, {"dwd_access": root}, DAY_1)
+    return spark.sql("SELECT city, host, count(1) AS count FROM dwd_access GROUP BY city, host")
+
+
+def q_ods_job_counts(spark, sf):
+    """The counts that the ODS job reports for a day of raw text."""
+    raw, root = io.scratch_dir(spark, "raw"), io.scratch_dir(spark, "ods")
+    io.write_text(_raw(spark, sf), raw, compression=None)
+    counts = jobs.ods_job(spark, raw, root, DAY_1).counts
+    return spark.read.text(raw).limit(1).select(*[F.lit(counts[c]).cast("bigint").alias(c) for c in ("total", "good", "short", "dirty_size")])
+
+
 def q_ads_from_tsv(spark, sf):
     """V1 DWD written as tab-separated text, read back, counted."""
     path = io.scratch_dir(spark, "dwd_tsv")
@@ -149,11 +182,12 @@ def q_ads_preview(spark, sf):
 
 
 def q_ods_parquet_roundtrip(spark, sf):
-    """ODS written to day 1, day 2, day 1 again; all read back."""
+    """Some rows written to day 1, then all to day 2 and to day 1; all read back."""
     root = io.scratch_dir(spark, "ods")
     good = _ods(spark, sf)
-    for d in (DAY_1, DAY_2, DAY_1):
-        io.write_day(good, root, d, rows_per_file=1000)
+    io.write_day(good.where("httpCode = '200'"), root, DAY_1)
+    for d in (DAY_2, DAY_1):
+        io.write_day(good, root, d)
     return io.read_days(spark, root, ODS_SCHEMA)
 
 
@@ -165,14 +199,15 @@ def q_ods_text_roundtrip(spark, sf):
 
 
 def q_ads_partition_rerun(spark, sf):
-    """insertInto a partitioned table for day 1, day 2, day 1 again."""
+    """insertInto a table: other rows for day 1, then day 2 and day 1."""
     table = f"ads_areatrafstat_{uuid.uuid4().hex[:8]}"
     io.create_day_table(spark, table, ADS_SCHEMA, io.scratch_dir(spark, "ads_table"))
     # One aggregated result (one row per city and host) feeds three writes:
     # computed once and kept, instead of re-running the pipeline per write.
     result = ads.area_traffic(_dwd(spark, sf)).cache()
     try:
-        for d in (DAY_1, DAY_2, DAY_1):
+        io.insert_day(result.withColumn("count", -F.col("count")).where("count < -1"), table, DAY_1)
+        for d in (DAY_2, DAY_1):
             io.insert_day(result, table, d)
     finally:
         result.unpersist()
@@ -204,6 +239,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ads_area_traffic": q_ads_area_traffic,
     "ads_area_report": q_ads_area_report,
     "ads_report_lines": q_ads_report_lines,
+    "ads_report_from_tsv": q_ads_report_from_tsv,
+    "ads_from_dwd_day": q_ads_from_dwd_day,
+    "ads_from_day_view": q_ads_from_day_view,
+    "ods_job_counts": q_ods_job_counts,
     "ads_from_tsv": q_ads_from_tsv,
     "ads_preview": q_ads_preview,
     "ods_parquet_roundtrip": q_ods_parquet_roundtrip,
@@ -260,6 +299,8 @@ _URL_PATH = "^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/?#]*)?([^?#]*)"
 _URL_QUERY = "^[^?#]*[?]([^#]*)"
 _URL_PROTOCOLS = "'http', 'https', 'ftp', 'file', 'jar', 'mailto', 'netdoc'"
 _URL_UNC = "^[A-Za-z][A-Za-z0-9+.-]*:////"
+_IPV6_FULL = "^\\[([0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}\\]$"
+_IPV6_SHORT = "^\\[([0-9A-Fa-f]{1,4}(:[0-9A-Fa-f]{1,4})*)?::([0-9A-Fa-f]{1,4}(:[0-9A-Fa-f]{1,4})*)?\\]$"
 
 
 def _url_sql(u: str) -> tuple[str, str, str, str]:
@@ -267,11 +308,15 @@ def _url_sql(u: str) -> tuple[str, str, str, str]:
     scheme = f"regexp_extract({u}, '{_URL_SCHEME}', 1)"
     hp = f"regexp_extract(regexp_extract({u}, '{_URL_AUTHORITY}', 1), '{_URL_HOSTPORT}', 1)"
     colon = f"instr({hp}, ':')"
-    host = f"(CASE WHEN {colon} > 0 THEN substr({hp}, 1, {colon} - 1) ELSE {hp} END)"
-    port = f"(CASE WHEN {colon} > 0 THEN substr({hp}, {colon} + 1) ELSE '' END)"
+    v6, after = (f"regexp_extract({hp}, '^(\\[[^\\]]*\\])(.*)$', {g})" for g in (1, 2))
+    v6_ok = (f"(NOT starts_with({hp}, '[') OR ((regexp_matches({v6}, '{_IPV6_FULL}') OR (regexp_matches({v6}, '{_IPV6_SHORT}') "
+             f"AND len(regexp_extract_all({v6}, '[0-9A-Fa-f]+')) <= 7)) AND ({after} = '' OR starts_with({after}, ':'))))")
+    host = f"(CASE WHEN starts_with({hp}, '[') THEN {v6} WHEN {colon} > 0 THEN substr({hp}, 1, {colon} - 1) ELSE {hp} END)"
+    port = f"(CASE WHEN starts_with({hp}, '[') THEN substr({after}, 2) WHEN {colon} > 0 THEN substr({hp}, {colon} + 1) ELSE '' END)"
     port_ok = (f"({port} = '' OR (regexp_full_match({port}, '{_NUM}') "
                f"AND coalesce(TRY_CAST({port} AS INTEGER), -2) >= -1))")
-    ok = f"coalesce(lower({scheme}) IN ({_URL_PROTOCOLS}) AND {port_ok}, false)"
+    jar_ok = f"(lower({scheme}) <> 'jar' OR contains({u}, '!/'))"
+    ok = f"coalesce(lower({scheme}) IN ({_URL_PROTOCOLS}) AND {port_ok} AND {v6_ok} AND {jar_ok}, false)"
     path = f"regexp_extract({u}, '{_URL_PATH}', 1)"
     query = f"regexp_extract({u}, '{_URL_QUERY}', 1)"
     return (
@@ -303,7 +348,7 @@ def _two(part: str) -> str:
 _RAW_CTE = f"""
 ev AS (
   SELECT e.event_id AS id, e.ts, e.user_id AS uid, e.event_type, p.url AS page_url
-  FROM events e LEFT JOIN pages p ON p.page_id = e.event_id % 60
+  FROM events e LEFT JOIN pages p ON p.page_id = e.event_id % (SELECT max(page_id) + 1 FROM pages)
 ),
 evp AS (
   SELECT *,
@@ -359,7 +404,7 @@ ods AS (
 )"""
 
 
-_URL_COLS = _url_sql("trim(url)")
+_URL_COLS = _url_sql("regexp_replace(regexp_replace(url, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g'), '^[uU][rR][lL]:', '')")
 
 _PRE_CTE = f"""
 pre AS (
@@ -451,6 +496,13 @@ _ORACLE_BODIES = {
     "ads_area_report": "SELECT * FROM report",
     "ads_report_lines": """SELECT concat_ws(chr(9), coalesce(host, 'null'), coalesce(area, 'null'),
   CAST("count" AS VARCHAR)) AS value FROM report""",
+    "ads_report_from_tsv": """SELECT concat_ws(chr(9), coalesce(host, 'null'), city, CAST(count(*) AS VARCHAR)) AS value
+  FROM dwd1 GROUP BY host, city""",
+    "ads_from_dwd_day": "SELECT * FROM ads",
+    "ads_from_day_view": """SELECT city, host, count(*) AS "count" FROM dwd1 GROUP BY city, host""",
+    "ods_job_counts": """SELECT count(*) AS total, count(*) FILTER (WHERE reason IS NULL) AS good,
+  count(*) FILTER (WHERE reason = 'short') AS short,
+  count(*) FILTER (WHERE reason = 'dirty_size') AS dirty_size FROM tagged2""",
     "ads_from_tsv": """SELECT city, host, count(*) AS "count" FROM dwd1 GROUP BY city, host""",
     "ads_preview": """SELECT * FROM ads ORDER BY "count" DESC, city ASC NULLS FIRST, host ASC NULLS FIRST
   LIMIT """ + str(PREVIEW_ROWS),

@@ -65,6 +65,17 @@ URL_PROTOCOLS = ["http", "https", "ftp", "file", "jar", "mailto", "netdoc"]
 # `scheme:////...` is a UNC name to java.net.URL: no authority is read and the
 # path keeps all four slashes.
 URL_UNC = r"^[A-Za-z][A-Za-z0-9+.-]*:////"
+# java.net.URL drops characters up to the space at both ends, then one leading
+# `url:` in any case.
+URL_TRIM = "^[\\x00-\\x20]+|[\\x00-\\x20]+$"
+URL_PREFIX = "^[uU][rR][lL]:"
+# A host in brackets is an IPv6 address: eight groups, or fewer around one `::`.
+URL_BRACKETS = r"^(\[[^\]]*\])(.*)$"
+IPV6_FULL = r"^\[([0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}\]$"
+IPV6_SHORT = r"^\[([0-9A-Fa-f]{1,4}(:[0-9A-Fa-f]{1,4})*)?::([0-9A-Fa-f]{1,4}(:[0-9A-Fa-f]{1,4})*)?\]$"
+IPV6_GROUP = r"[0-9A-Fa-f]+"
+# A `jar:` URL names an entry after `!/`.
+JAR_ENTRY = "!/"
 # ---------------------------------------------------------------------------
 
 
@@ -122,20 +133,30 @@ def url_parts(url: Column) -> tuple[Column, Column, Column, Column]:
     """(protocol, host, path, params) with java.net.URL meaning.
 
     A malformed URL gives '-' for all four: no scheme (or NULL / empty), a
-    scheme java.net.URL has no handler for, or a port it cannot read. The
-    protocol is lower-cased; a missing path is ''; a missing or empty query
-    is '-'.
+    scheme java.net.URL has no handler for, a port it cannot read, a bracketed
+    host that is no IPv6 address, or a `jar:` without an entry. The protocol is
+    lower-cased; a missing path is ''; a missing or empty query is '-'.
     """
-    u = F.trim(url)
+    u = F.regexp_replace(F.regexp_replace(url, URL_TRIM, ""), URL_PREFIX, "")
     scheme = F.regexp_extract(u, URL_SCHEME, 1)
     hostport = F.regexp_extract(F.regexp_extract(u, URL_AUTHORITY, 1), URL_HOSTPORT, 1)
+    bracketed = hostport.startswith("[")
+    ipv6 = F.regexp_extract(hostport, URL_BRACKETS, 1)
+    after = F.regexp_extract(hostport, URL_BRACKETS, 2)
+    groups = F.size(F.regexp_extract_all(ipv6, F.lit(IPV6_GROUP), F.lit(0)))
+    ipv6_ok = (ipv6.rlike(IPV6_FULL) | (ipv6.rlike(IPV6_SHORT) & (groups <= 7))) & ((after == "") | after.startswith(":"))
     colon = F.instr(hostport, ":")
-    host = F.when(colon > 0, F.substr(hostport, F.lit(1), colon - 1)).otherwise(hostport)
-    port = F.when(colon > 0, F.substr(hostport, colon + 1, F.length(hostport))).otherwise(F.lit(""))
+    host = F.when(bracketed, ipv6).when(colon > 0, F.substr(hostport, F.lit(1), colon - 1)).otherwise(hostport)
+    port = (
+        F.when(bracketed, F.substr(after, F.lit(2), F.length(after)))
+        .when(colon > 0, F.substr(hostport, colon + 1, F.length(hostport)))
+        .otherwise(F.lit(""))
+    )
     port_ok = (port == F.lit("")) | (
         port.rlike(_LONG_TEXT) & (F.coalesce(port.try_cast("int"), F.lit(-2)) >= F.lit(-1))
     )
-    valid = F.coalesce(F.lower(scheme).isin(URL_PROTOCOLS) & port_ok, F.lit(False))
+    jar_ok = (F.lower(scheme) != "jar") | F.contains(u, F.lit(JAR_ENTRY))
+    valid = F.coalesce(F.lower(scheme).isin(URL_PROTOCOLS) & port_ok & (~bracketed | ipv6_ok) & jar_ok, F.lit(False))
     path = F.regexp_extract(u, URL_PATH, 1)
     query = F.regexp_extract(u, URL_QUERY, 1)
     missing = F.lit(MISSING)

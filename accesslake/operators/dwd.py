@@ -93,7 +93,9 @@ def dedupe_dim(dim: DataFrame) -> DataFrame:
 
 def enrich_lookup(pre: DataFrame, dim: DataFrame, **join_opts) -> DataFrame:
     """V1: one library row per ip, '-' when the ip is unknown."""
-    joined = lookup_join(pre, dedupe_dim(dim.select(*IP_DIM_COLS)), "ip", "left", **join_opts)
+    lines = dim.select(*IP_DIM_COLS)
+    # The lines bound the deduplicated rows, so the library is aggregated once.
+    joined = lookup_join(pre, dedupe_dim(lines), "ip", "left", size_of=lines, **join_opts)
     return joined.select(
         *[F.coalesce(F.col(c), F.lit(MISSING)).alias(c) if c in IP_ATTRS else F.col(c) for c in DWD_COLS]
     )

@@ -29,13 +29,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Lookup sides up to this size are broadcast (after an exact check).
+# Lookup sides up to this size are broadcast (after an exact check). Bytes are
+# those of the relation as built on the driver: see _row_bytes.
 DEFAULT_MAX_BROADCAST_ROWS = 5_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+# A hashed relation holds, for each row, a hash slot and a pointer at half load,
+# the row's header, and 8 bytes a column besides the padded text.
+ROW_OVERHEAD_BYTES = 48
 # Hot key: at least HOT_FACTOR times an average partition's share of the rows.
 HOT_FACTOR = 4
-# At most this many hot keys are salted (the heaviest); AQE splits the rest.
-MAX_HOT_KEYS = 1000
 DEFAULT_SAMPLE_FRACTION = 0.01
 SALT = "_salt"
 NSALTS = "_nsalts"
@@ -50,21 +52,22 @@ class JoinPlan:
     lookup_bytes: int | None = None
     hot_keys: tuple = ()
     salts: tuple = ()
+    lookup_hot_keys: tuple = ()
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    """Payload bytes of one row: string lengths plus 8 per other column."""
-    parts = []
+    """Upper bound of a row's bytes in a built hash relation."""
+    size = F.lit(ROW_OVERHEAD_BYTES)
     for f in df.schema.fields:
+        size = size + F.lit(8)
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
-        else:
-            parts.append(F.lit(8))
-    return sum(parts[1:], parts[0]) if parts else F.lit(0)
+            # padded to a word; once more for the copy that is the key
+            size = size + 2 * (F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 7)
+    return size
 
 
 def lookup_size(df: DataFrame) -> tuple[int, int]:
-    """Exact (rows, payload bytes) of a DataFrame.
+    """Exact row count and the bytes of its rows in a built hash relation, at most.
 
     One pass with partial aggregation: every task sends one row to the final
     aggregate, so this costs a scan of the lookup side and nothing more.
@@ -105,13 +108,14 @@ def hot_keys(
     """(key, share of rows) of the keys holding at least `share` of the fact rows.
 
     `share` defaults to HOT_FACTOR / shuffle partitions. Estimated on a
-    sample of the key column only. At most MAX_HOT_KEYS keys come back to the
-    driver, so the list is bounded whatever the data. The sample only decides
-    the plan; every row still goes through the join.
+    sample of the key column only. No more than 1 / share keys can each hold
+    `share` of the sample, so the list that comes back to the driver is bounded
+    whatever the data, and complete. The sample only decides the plan; every row
+    still goes through the join.
     """
     if share is None:
         share = HOT_FACTOR / shuffle_partitions(fact.sparkSession)
-    max_keys = min(MAX_HOT_KEYS, int(1 / share) + 1)
+    max_keys = int(1 / share) + 1
     # rollup adds the grand total as one more row (grouping = 1), so the sample
     # size and the top keys come back from a single job.
     top = (
@@ -140,7 +144,7 @@ def _salted(fact: DataFrame, dim: DataFrame, key: str, how: str, salts: dict, nu
     k = F.col(key)
     n = F.col(NSALTS)
     if salts:
-        # (key, salt count) of the hot keys: at most MAX_HOT_KEYS rows, so it is
+        # (key, salt count) of the hot keys: bounded by their share, so it is
         # broadcast; each row then finds its count with one hash probe.
         counts = fact.sparkSession.createDataFrame(
             list(salts.items()),
@@ -168,6 +172,23 @@ def _salted(fact: DataFrame, dim: DataFrame, key: str, how: str, salts: dict, nu
     return fact_s.join(dim_s, on=[key, SALT], how=how).drop(SALT)
 
 
+def _lookup_heavy(fact: DataFrame, dim: DataFrame, key: str, salts: dict) -> DataFrame:
+    """Inner join on the hot keys of the lookup side.
+
+    The lookup rows of a key are dealt over its salts and its fact rows go to
+    each. Every key here has lookup rows, so "left" and "inner" are the same.
+    """
+    counts = F.broadcast(fact.sparkSession.createDataFrame(
+        list(salts.items()),
+        T.StructType([T.StructField(key, dim.schema[key].dataType), T.StructField(NSALTS, T.LongType())]),
+    ))
+    row_hash = F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id(), *[F.col(f"`{c}`") for c in dim.columns])
+    dim_s = dim.join(counts, on=key).withColumn(SALT, F.pmod(row_hash, F.col(NSALTS))).drop(NSALTS)
+    every = F.sequence(F.lit(0).cast("bigint"), F.col(NSALTS) - 1)
+    fact_s = fact.join(counts, on=key).withColumn(SALT, F.explode(every)).drop(NSALTS)
+    return fact_s.join(dim_s.hint("shuffle_merge"), on=[key, SALT], how="inner").drop(SALT)
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -180,6 +201,7 @@ def lookup_join(
     hot_share: float | None = None,
     sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
     salt_buckets: int | None = None,
+    size_of: DataFrame | None = None,
     plan: list | None = None,
 ) -> DataFrame:
     """`fact JOIN dim USING (key)` with a size-checked broadcast or a salted shuffle.
@@ -188,14 +210,20 @@ def lookup_join(
     "left"). `dim_key` names the key on the lookup side if it differs; it is
     renamed to `key` so the result has one key column, like SQL's USING.
     `salt_buckets` fixes the salts per hot key instead of deriving them from
-    the key's share. If `plan` is a list, the chosen JoinPlan is appended.
+    the key's share. `size_of` is checked in place of `dim` where it bounds it
+    and is cheaper to size (the rows `dim` aggregates). If `plan` is a list, the
+    chosen JoinPlan is appended.
+
+    Keys that are hot on the lookup side alone (their rows would meet in one
+    task, whatever the fact side holds) are joined apart, their lookup rows
+    dealt over salts.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join supports left and inner joins, not {how!r}")
     if dim_key and dim_key != key:
         dim = dim.withColumnRenamed(dim_key, key)
 
-    ok, rows, size = fits_broadcast(dim, max_broadcast_rows, max_broadcast_bytes)
+    ok, rows, size = fits_broadcast(dim if size_of is None else size_of, max_broadcast_rows, max_broadcast_bytes)
     if ok:
         if plan is not None:
             plan.append(JoinPlan("broadcast", rows, size))
@@ -204,6 +232,16 @@ def lookup_join(
     partitions = shuffle_partitions(fact.sparkSession)
     hot = hot_keys(fact, key, share=hot_share, fraction=sample_fraction)
     salts = {k: salt_buckets or salts_for(sh, partitions) for k, sh in hot}
+    heavy = {
+        k: salt_buckets or salts_for(sh, partitions)
+        for k, sh in hot_keys(dim, key, share=hot_share, fraction=sample_fraction)
+        if k not in salts
+    }
     if plan is not None:
-        plan.append(JoinPlan("shuffle", rows, size, tuple(salts), tuple(salts.values())))
-    return _salted(fact, dim, key, how, salts, salt_buckets or partitions)
+        plan.append(JoinPlan("shuffle", rows, size, tuple(salts), tuple(salts.values()), tuple(heavy)))
+    if not heavy:
+        return _salted(fact, dim, key, how, salts, salt_buckets or partitions)
+    names = fact.sparkSession.createDataFrame([(k,) for k in heavy], T.StructType([T.StructField(key, dim.schema[key].dataType)]))
+    rest_fact, rest_dim = (df.join(F.broadcast(names), on=key, how="left_anti") for df in (fact, dim))
+    apart = _lookup_heavy(fact, dim, key, heavy)
+    return _salted(rest_fact, rest_dim, key, how, salts, salt_buckets or partitions).unionByName(apart)

@@ -38,16 +38,20 @@ def _observed(df: DataFrame, name: str, *aggs) -> tuple[DataFrame, Observation]:
     return df.observe(obs, *aggs), obs
 
 
-def _metrics(obs: Observation, *names: str) -> dict:
-    """The observed counts; zeros when Spark removed the observation.
+def _metrics(obs: Observation, observed: DataFrame, *names: str) -> dict:
+    """The observed counts of a frame that was just written.
 
-    The optimizer drops the observation node of a plan it proves empty (an
-    empty day folder), and then no metrics arrive: the count is zero.
+    The optimizer drops the observation of a plan it proves empty (an empty day
+    folder), and then no metrics arrive. Lost metrics are never read as zero:
+    the frame itself says whether it is empty, and if it is not, the counts are
+    unknown and the job fails, leaving what it wrote as it is.
     """
     try:
         return dict(obs.get)
-    except Exception:  # noqa: BLE001 - py4j raises a generic error here
-        return {n: 0 for n in names}
+    except Exception as e:  # py4j raises a generic error here
+        if not observed.isEmpty():
+            raise RuntimeError(f"the row counts {', '.join(names)} were lost; the rows are written") from e
+        return dict.fromkeys(names, 0)
 
 
 def ods_job(
@@ -69,7 +73,7 @@ def ods_job(
     tagged = ods.tag(io.read_lines(spark, raw_path))
     observed, obs = _observed(tagged, f"ods_{d}", *ods.count_columns())
     io.write_day(ods.good(observed), ods_root, d, rows_per_file=rows_per_file)
-    report = JobReport("ods", d, _metrics(obs, "total", "good", "short", "dirty_size"))
+    report = JobReport("ods", d, _metrics(obs, tagged, "total", "good", "short", "dirty_size"))
     if report.counts["good"] == 0:
         io.clear_day(spark, ods_root, ODS_SCHEMA, d)
     if rejects_root:
@@ -97,19 +101,18 @@ def dwd_job(
     `lookup="default"` the V1 rule (one row per ip, '-' on a miss).
     """
     dim = dwd.ip_dim(io.read_lines(spark, ip_path))
-    pre, obs_in = _observed(
-        dwd.widen(io.read_day(spark, ods_root, ODS_SCHEMA, d).drop("d")), f"dwd_in_{d}", F.count(F.lit(1)).alias("input")
-    )
+    pre = dwd.widen(io.read_day(spark, ods_root, ODS_SCHEMA, d).drop("d"))
+    read, obs_in = _observed(pre, f"dwd_in_{d}", F.count(F.lit(1)).alias("input"))
     plan: list = []
     if lookup == "join":
-        wide = dwd.enrich(pre, dim, plan=plan, **join_opts)
+        wide = dwd.enrich(read, dim, plan=plan, **join_opts)
     elif lookup == "default":
-        wide = dwd.enrich_lookup(pre, dim, plan=plan, **join_opts)
+        wide = dwd.enrich_lookup(read, dim, plan=plan, **join_opts)
     else:
         raise ValueError(f"lookup must be 'join' or 'default', not {lookup!r}")
     observed, obs = _observed(wide, f"dwd_{d}", F.count(F.lit(1)).alias("rows"))
     io.write_day(observed, dwd_root, d, rows_per_file=rows_per_file)
-    report = JobReport("dwd", d, {**_metrics(obs_in, "input"), **_metrics(obs, "rows")}, plan)
+    report = JobReport("dwd", d, {**_metrics(obs_in, pre, "input"), **_metrics(obs, wide, "rows")}, plan)
     if report.counts["rows"] == 0:
         io.clear_day(spark, dwd_root, DWD_SCHEMA, d)
     return report
@@ -127,15 +130,24 @@ def ads_job(
     *,
     ads_root: str | None = None,
     table: str | None = None,
+    register_in: str | None = None,
     rows_per_file: int = io.DEFAULT_ROWS_PER_FILE,
 ) -> JobReport:
-    """DWD day -> ADS day, to a parquet folder (`ads_root`) or a catalog table."""
+    """DWD day -> ADS day, to a parquet folder (`ads_root`) or a catalog table.
+
+    With `register_in`, a catalog table over the folder, the day is added to it.
+    The file size of a catalog table is the table's own option
+    (`io.create_day_table`), so `rows_per_file` goes with a folder only.
+    """
     if (ads_root is None) == (table is None):
         raise ValueError("give exactly one of ads_root and table")
+    if table and (register_in or rows_per_file != io.DEFAULT_ROWS_PER_FILE):
+        raise ValueError("register_in and rows_per_file go with ads_root; a table has its own rows_per_file")
     # Both counts are taken in the writing stage: the DWD rows read are the
     # sum of the group counts.
+    traffic = area_traffic_day(spark, dwd_root, d)
     result, obs = _observed(
-        area_traffic_day(spark, dwd_root, d),
+        traffic,
         f"ads_{d}",
         F.coalesce(F.sum("count"), F.lit(0).cast("bigint")).alias("input"),
         F.count(F.lit(1)).alias("groups"),
@@ -144,21 +156,26 @@ def ads_job(
         io.insert_day(result, table, d)
     else:
         io.write_day(result, ads_root, d, rows_per_file=rows_per_file)
-    report = JobReport("ads", d, _metrics(obs, "input", "groups"))
+    report = JobReport("ads", d, _metrics(obs, traffic, "input", "groups"))
     if report.counts["groups"] == 0:
         if table:
             io.clear_table_day(spark, table, d)
         else:
             io.clear_day(spark, ads_root, ADS_SCHEMA, d)
+    if register_in:
+        io.add_day_partition(spark, register_in, d, io.day_path(ads_root, d))
     return report
 
 
 def report_job(spark: SparkSession, dwd_lines_path: str, out_path: str) -> JobReport:
-    """V1 text report: DWD text lines -> `host<TAB>area<TAB>count` gzip text, one file."""
-    lines, obs_in = _observed(io.read_lines(spark, dwd_lines_path), "report_in", F.count(F.lit(1)).alias("input"))
-    report, obs = _observed(ads.area_report(ads.tsv_city_host(lines)), "report", F.count(F.lit(1)).alias("rows"))
-    io.write_text(ads.report_lines(report), out_path, compression="gzip", single_file=True)
-    return JobReport("report", "", {**_metrics(obs_in, "input"), **_metrics(obs, "rows")})
+    """V1 text report: DWD text lines -> `host<TAB>area<TAB>count` gzip text parts."""
+    # Both counts are taken in the writing stage.
+    counted = ads.area_report(ads.tsv_city_host(io.read_lines(spark, dwd_lines_path)))
+    report, obs = _observed(
+        counted, "report", F.coalesce(F.sum("count"), F.lit(0).cast("bigint")).alias("input"), F.count(F.lit(1)).alias("rows")
+    )
+    io.write_text(ads.report_lines(report), out_path, compression="gzip")
+    return JobReport("report", "", _metrics(obs, counted, "input", "rows"))
 
 
 def export_job(spark: SparkSession, table: str, **jdbc) -> None:
@@ -172,7 +189,7 @@ def ods_text_job(spark: SparkSession, raw_path: str, out_path: str) -> JobReport
     tagged = ods.tag(io.read_lines(spark, raw_path))
     observed, obs = _observed(tagged, "ods_text", *ods.count_columns())
     io.write_text(ods.text_lines(ods.good(observed)), out_path, compression=None)
-    return JobReport("ods_text", "", _metrics(obs, "total", "good", "short", "dirty_size"))
+    return JobReport("ods_text", "", _metrics(obs, tagged, "total", "good", "short", "dirty_size"))
 
 
 def dwd_text_job(spark: SparkSession, ip_path: str, ods_text_path: str, out_path: str, **join_opts) -> JobReport:
@@ -182,7 +199,7 @@ def dwd_text_job(spark: SparkSession, ip_path: str, ods_text_path: str, out_path
     wide = dwd.enrich_lookup(pre, dwd.ip_dim(io.read_lines(spark, ip_path)), plan=plan, **join_opts)
     observed, obs = _observed(wide, "dwd_text", F.count(F.lit(1)).alias("rows"))
     io.write_text(ads.dwd_lines(observed), out_path, compression=None)
-    return JobReport("dwd_text", "", _metrics(obs, "rows"), plan)
+    return JobReport("dwd_text", "", _metrics(obs, wide, "rows"), plan)
 
 
 def ads_from_text_job(spark: SparkSession, dwd_text_path: str, ads_root: str, d: str) -> JobReport:
@@ -195,7 +212,7 @@ def ads_from_text_job(spark: SparkSession, dwd_text_path: str, ads_root: str, d:
         F.count(F.lit(1)).alias("groups"),
     )
     io.write_day(observed, ads_root, d)
-    report = JobReport("ads_text", d, _metrics(obs, "input", "groups"))
+    report = JobReport("ads_text", d, _metrics(obs, result, "input", "groups"))
     if report.counts["groups"] == 0:
         io.clear_day(spark, ads_root, ADS_SCHEMA, d)
     return report

@@ -9,12 +9,18 @@ Paths that end in `d=YYYYMMDD` give the day and the table root; otherwise set
 
 * `ods`:   inputPath (raw text) -> outputPath (ODS day); optional spark.app.rejectsPath (root)
 * `dwd`:   ipResourcePath, inputPath (ODS day) -> outputPath (DWD day); spark.app.lookup=join|default
-* `ads`:   inputPath (DWD day) -> outputPath (ADS day), or spark.app.table (catalog table)
-* `report`: inputPath (V1 DWD text) -> outputPath (gzip text report, one file)
-* `export`: spark.app.table -> JDBC (spark.app.url, dbtable, user, password)
-
-`spark.app.perBlockRowsForSnappy` sets the rows per output file;
-`spark.app.printSchema=true` prints the output's schema and one row.
+* `ads`:   inputPath (DWD day) -> outputPath (ADS day; with spark.app.registerIn the
+  day is added to that catalog table), or spark.app.table (catalog table)
+* `report`: inputPath (V1 DWD text) -> outputPath (gzip text report)
+* `export`: spark.app.table -> JDBC (spark.app.url, dbtable, user, password, mode,
+  truncate, numPartitions, batchsize, isolationLevel, createTableOptions,
+  createTableColumnTypes, customSchema)
+* V1 text chain: `ods_text` (inputPath -> outputPath), `dwd_text` (ipResourcePath,
+  inputPath -> outputPath), `ads_text` (inputPath -> outputPath, an ADS day)
+
+`spark.app.perBlockRowsForSnappy` sets the rows per output file of a folder;
+`spark.app.printSchema=true` prints the output's schema and one row (the busiest
+55 groups for ADS).
 """
 
 from __future__ import annotations
@@ -22,14 +28,20 @@ from __future__ import annotations
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from accesslake.operators import ads
 from accesslake.plans import jobs
 from accesslake.schemas import ADS_SCHEMA, DWD_SCHEMA, ODS_SCHEMA
 from accesslake.session import apply_cluster_conf
 from accesslake.sources import io
 
 PREFIX = "spark.app."
-OUTPUT_SCHEMAS = {"ods": ODS_SCHEMA, "dwd": DWD_SCHEMA, "ads": ADS_SCHEMA}
+JOBS = ("ods", "dwd", "ads", "report", "export", "ods_text", "dwd_text", "ads_text")
+OUTPUT_SCHEMAS = {"ods": ODS_SCHEMA, "dwd": DWD_SCHEMA, "ads": ADS_SCHEMA, "ads_text": ADS_SCHEMA}
+ADS_PREVIEW_ROWS = 55
+# JDBC writer options by the name of their setting.
+JDBC_OPTIONS = ("batchsize", "isolationLevel", "createTableOptions", "createTableColumnTypes", "customSchema")
 
 
 def _conf(spark: SparkSession, name: str, default: str | None = None) -> str | None:
@@ -53,18 +65,25 @@ def _root_and_day(spark: SparkSession, path: str) -> tuple[str, str]:
 
 
 def _show_output(spark: SparkSession, path: str, schema) -> None:
-    """printSchema and a one-row preview of the day just written."""
+    """printSchema and a preview of the day just written."""
     root, d = _root_and_day(spark, path)
-    out = io.read_day(spark, root, schema, d)
+    _show(io.read_day(spark, root, schema, d), schema)
+
+
+def _show(out, schema) -> None:
     out.printSchema()
-    out.show(1, truncate=False)
+    if schema is ADS_SCHEMA:
+        ads.preview(out, ADS_PREVIEW_ROWS).show(ADS_PREVIEW_ROWS, truncate=False)
+    else:
+        out.show(1, truncate=False)
 
 
 def run(spark: SparkSession, job: str) -> jobs.JobReport | None:
     report = _run(spark, job)
     if _conf(spark, "printSchema", "false").lower() == "true" and job in OUTPUT_SCHEMAS:
         if job == "ads" and _conf(spark, "table"):
-            spark.table(_need(spark, "table")).printSchema()
+            _, d = _root_and_day(spark, _need(spark, "inputPath"))
+            _show(spark.table(_need(spark, "table")).where(F.col("d") == d), ADS_SCHEMA)
         else:
             _show_output(spark, _need(spark, "outputPath"), OUTPUT_SCHEMAS[job])
     return report
@@ -91,20 +110,31 @@ def _run(spark: SparkSession, job: str) -> jobs.JobReport | None:
         out_root, d_out = _root_and_day(spark, _need(spark, "outputPath"))
         if d_out != d:
             raise ValueError(f"input day {d} and output day {d_out} differ")
-        return jobs.ads_job(spark, in_root, d, ads_root=out_root, rows_per_file=rows)
+        return jobs.ads_job(spark, in_root, d, ads_root=out_root, register_in=_conf(spark, "registerIn"), rows_per_file=rows)
+    if job == "ods_text":
+        return jobs.ods_text_job(spark, _need(spark, "inputPath"), _need(spark, "outputPath"))
+    if job == "dwd_text":
+        return jobs.dwd_text_job(spark, _need(spark, "ipResourcePath"), _need(spark, "inputPath"), _need(spark, "outputPath"))
+    if job == "ads_text":
+        out_root, d = _root_and_day(spark, _need(spark, "outputPath"))
+        return jobs.ads_from_text_job(spark, _need(spark, "inputPath"), out_root, d)
     if job == "report":
         return jobs.report_job(spark, _need(spark, "inputPath"), _need(spark, "outputPath"))
     if job == "export":
+        parts = _conf(spark, "numPartitions")
         jobs.export_job(spark, _need(spark, "table"), url=_need(spark, "url"), dbtable=_need(spark, "dbtable"),
-                        user=_conf(spark, "user"), password=_conf(spark, "password"))
+                        user=_conf(spark, "user"), password=_conf(spark, "password"), mode=_conf(spark, "mode", "overwrite"),
+                        truncate=_conf(spark, "truncate", "true").lower() == "true",
+                        num_partitions=int(parts) if parts else None,
+                        **{o: v for o in JDBC_OPTIONS if (v := _conf(spark, o)) is not None})
         return None
-    raise ValueError(f"unknown job {job!r}; use ods, dwd, ads, report or export")
+    raise ValueError(f"unknown job {job!r}; use one of {', '.join(JOBS)}")
 
 
 def main(argv: list[str] | None = None) -> None:
     argv = sys.argv[1:] if argv is None else argv
     if len(argv) != 1:
-        raise SystemExit("usage: submit.py ods|dwd|ads|report|export  (settings via --conf spark.app.*)")
+        raise SystemExit(f"usage: submit.py {'|'.join(JOBS)}  (settings via --conf spark.app.*)")
     spark = SparkSession.builder.appName(f"accesslake-{argv[0]}").getOrCreate()
     apply_cluster_conf(spark)
     report = run(spark, argv[0])

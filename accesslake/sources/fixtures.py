@@ -5,8 +5,8 @@
 * ``ip_lines``: one pipe-separated IP library line per customer (some left
   out, some duplicated with province/city/isp `DUP`).
 
-These are Spark jobs over the given tables, so they grow with them; the
-`pages` and `nation`/`region` sides go through the size-checked lookup join.
+These are Spark jobs over the given tables, so they grow with them; how to join
+`pages`, `nation` and `region` is left to Spark.
 """
 
 from __future__ import annotations
@@ -14,13 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accesslake.operators.joins import lookup_join
-from accesslake.sources import io
-
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture rules (FIXTURES.md section 3).
 # ---------------------------------------------------------------------------
-PAGE_MOD = 60
 SHORT_LINE = (211, 7)      # id % 211 = 7 -> only the first 3 fields
 BAD_TIME = (97, 5)         # id % 97 = 5 -> time text `bad`
 PROXY = (10, 5)            # id % 10 = 5 -> proxy ip
@@ -65,19 +61,14 @@ def _ip_text(prefix: str, n: Column) -> Column:
     return F.concat(F.lit(prefix), F.floor(n / 256).cast("string"), F.lit("."), (n % 256).cast("string"))
 
 
-def raw_access(spark: SparkSession, sf_dir: str, **join_opts) -> DataFrame:
+def raw_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw log line (`value`) per event."""
-    events = io.spread_small_input(
-        spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type")
-    )
-    # Only pages whose id can equal event_id % 60 can join; the result is the same.
-    pages = (
-        spark.read.parquet(f"{sf_dir}/pages.parquet")
-        .select("page_id", "url")
-        .where((F.col("page_id") > -PAGE_MOD) & (F.col("page_id") < PAGE_MOD))
-    )
-    e = events.withColumn("_page", F.col("event_id") % PAGE_MOD)
-    j = lookup_join(e, pages, "_page", "left", dim_key="page_id", **join_opts)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    # Events go round all pages, however many there are.
+    n_pages = pages.agg((F.max("page_id") + 1).alias("n")).scalar()
+    e = events.withColumn("_page", F.col("event_id") % n_pages)
+    j = e.join(pages, F.col("_page") == F.col("page_id"), "left")
 
     eid, uid = F.col("event_id"), F.col("user_id")
     method = (
@@ -121,15 +112,13 @@ def raw_access(spark: SparkSession, sf_dir: str, **join_opts) -> DataFrame:
     return j.select(F.explode(F.array(line)).alias("value"))
 
 
-def ip_lines(spark: SparkSession, sf_dir: str, **join_opts) -> DataFrame:
+def ip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One IP library line (`value`) per customer, plus `DUP` duplicates."""
-    customer = io.spread_small_input(
-        spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey", "c_mktsegment")
-    )
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name", "n_regionkey")
     region = spark.read.parquet(f"{sf_dir}/region.parquet").select("r_regionkey", "r_name")
-    geo = lookup_join(nation, region, "n_regionkey", "inner", dim_key="r_regionkey", **join_opts)
-    c = lookup_join(customer, geo, "c_nationkey", "inner", dim_key="n_nationkey", **join_opts)
+    geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    c = customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     ip = _ip_text("10.0.", F.col("c_custkey"))
 
     def line(province: Column, city: Column, isp: Column) -> Column:

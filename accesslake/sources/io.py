@@ -68,21 +68,6 @@ def read_days(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(with_day(schema)).parquet(root)
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Spread an input that scans as fewer tasks than there are cores.
-
-    A parquet file that is a single row group is one scan task however many
-    cores there are, and every narrow step after it stays in that task. Such
-    an input is spread round-robin over `defaultParallelism` tasks; an input
-    with at least that many splits (any large input) is returned as it is, so
-    no shuffle is added at scale.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
 # ------------------------------------------------------------------- writers
 def write_day(
     df: DataFrame,
@@ -122,15 +107,13 @@ def write_text(
     path: str,
     *,
     compression: str | None = "gzip",
-    single_file: bool = False,
 ) -> None:
     """Write a one-column string DataFrame as text lines (overwrite).
 
-    `single_file` moves the rows into one task first; use it only for small,
-    already aggregated results (a report), never for a layer.
+    Every task writes its own part, so no task holds the whole output; parts of
+    an aggregated result are few, as AQE joins small shuffle partitions.
     """
-    out = lines.repartition(1) if single_file else lines
-    w = out.write.mode("overwrite")
+    w = lines.write.mode("overwrite")
     if compression:
         w = w.option("compression", compression)
     w.text(path)
@@ -138,10 +121,14 @@ def write_text(
 
 # -------------------------------------------------------------------- tables
 def create_day_table(
-    spark: SparkSession, table: str, schema: T.StructType, location: str, *, if_not_exists: bool = True
+    spark: SparkSession, table: str, schema: T.StructType, location: str, *, if_not_exists: bool = True,
+    rows_per_file: int = DEFAULT_ROWS_PER_FILE,
 ) -> None:
     """External parquet table partitioned by string `d` at `location`.
 
+    Files written into it hold `rows_per_file` rows at most: insertInto heeds
+    the table's options, not the writer's, so the limit is one of them.
+
     The table carries the option `partitionOverwriteMode=dynamic`, so every
     overwrite into it (insertInto or SQL `INSERT OVERWRITE`) replaces only the
     days it writes, whatever the session setting.
@@ -149,18 +136,19 @@ def create_day_table(
     guard = "IF NOT EXISTS " if if_not_exists else ""
     spark.sql(
         f"CREATE TABLE {guard}{table} ({ddl(with_day(schema))}) USING parquet "
-        f"OPTIONS ('{_OVERWRITE_MODE}'='dynamic') PARTITIONED BY ({DAY}) LOCATION '{location}'"
+        f"OPTIONS ('{_OVERWRITE_MODE}'='dynamic', 'maxRecordsPerFile'='{rows_per_file}') PARTITIONED BY ({DAY}) LOCATION '{location}'"
     )
 
 
 _OVERWRITE_MODE = "partitionOverwriteMode"
 
 
-def _overwrites_by_day(spark: SparkSession, table: str) -> bool:
+def overwrites_by_day(spark: SparkSession, table: str) -> bool:
     """Whether the table itself asks for dynamic partition overwrite."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    props = " ".join(str(r["data_type"]) for r in rows if r["col_name"] == "Storage Properties")
-    return f"{_OVERWRITE_MODE}=dynamic" in props
+    props = next((r["data_type"] for r in rows if r["col_name"] == "Storage Properties"), "")
+    options = dict(x.strip().split("=", 1) for x in props.strip("[]").split(",") if "=" in x)
+    return options.get(_OVERWRITE_MODE, "").lower() == "dynamic"
 
 
 # The three warehouse tables and their schemas (without `d`).
@@ -193,28 +181,19 @@ def add_day_partition(spark: SparkSession, table: str, d: str, location: str | N
 def insert_day(df: DataFrame, table: str, d: str) -> None:
     """Overwrite day `d` of a catalog table, leaving its other days.
 
-    insertInto is positional, so the columns are put in table order. Tables
-    made by `create_day_table` carry `partitionOverwriteMode=dynamic`, so the
-    write replaces only day `d` and touches no session setting. For a table
-    without that option, insertInto obeys only the *session* setting (the
-    writer option is ignored there): it is set around the write and restored,
-    which makes such calls unsafe to run at once on one session. The V2
-    writer's `overwritePartitions` would avoid that but refuses V1 (session
-    catalog parquet) tables.
+    insertInto is positional, so the columns are put in table order. The table
+    must carry `partitionOverwriteMode=dynamic`, as those of `create_day_table`
+    do: the write then replaces only day `d` and touches no session setting.
+    Without that option an overwrite would obey the session setting and could
+    replace every day, so such a table is refused.
     """
     spark = df.sparkSession
+    if not overwrites_by_day(spark, table):
+        raise ValueError(
+            f"set the option first: ALTER TABLE {table} SET SERDEPROPERTIES ('{_OVERWRITE_MODE}'='dynamic')"
+        )
     cols = spark.table(table).columns
-    out = df.withColumn(DAY, F.lit(d)).select(*cols)
-    if _overwrites_by_day(spark, table):
-        out.write.insertInto(table, overwrite=True)
-        return
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        out.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+    df.withColumn(DAY, F.lit(d)).select(*cols).write.insertInto(table, overwrite=True)
 
 
 def clear_table_day(spark: SparkSession, table: str, d: str) -> None:
@@ -235,15 +214,16 @@ def write_jdbc(
     password: str | None = None,
     mode: str = "overwrite",
     truncate: bool = True,
-    num_partitions: int = 16,
+    num_partitions: int | None = None,
     **options: str,
 ) -> None:
     """Export a table over JDBC; one connection per task, opened by executors.
 
     `mode="overwrite"` with `truncate=True` empties the target table and keeps
-    its definition, so a re-run replaces the rows. Spark coalesces the rows to
-    at most `num_partitions` tasks, so the database sees at most that many
-    connections however many partitions the table has. Other writer options
+    its definition, so a re-run replaces the rows. With `num_partitions`, Spark
+    coalesces the rows to at most that many tasks, and the database sees at most
+    that many connections; without it every partition of the table writes on its
+    own. Other writer options
     (batchsize, createTableOptions, createTableColumnTypes, isolationLevel,
     ...) pass through. There is no default password.
     """
@@ -251,9 +231,10 @@ def write_jdbc(
         df.write.format("jdbc")
         .option("url", url)
         .option("dbtable", dbtable)
-        .option("numPartitions", str(num_partitions))
         .mode(mode)
     )
+    if num_partitions is not None:
+        w = w.option("numPartitions", str(num_partitions))
     if user is not None:
         w = w.option("user", user)
     if password is not None:

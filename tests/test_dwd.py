@@ -48,10 +48,12 @@ def test_dedupe_prefers_non_null(spark):
 
 def test_fits_broadcast_counts_exactly(spark):
     df = spark.createDataFrame([("ab", 1), ("c", 2), (None, 3)], "s string, n bigint")
-    ok, rows, size = joins.fits_broadcast(df, max_rows=3, max_bytes=100)
-    assert ok and rows == 3 and size == 3 + 3 * 8
+    # two columns of 8 bytes, the text padded and once more as the key, the row's overhead
+    built = 3 * (joins.ROW_OVERHEAD_BYTES + 16) + 2 * (3 + 3 * 7)
+    ok, rows, size = joins.fits_broadcast(df, max_rows=3, max_bytes=built)
+    assert ok and rows == 3 and size == built
     assert not joins.fits_broadcast(df, max_rows=2)[0]
-    assert not joins.fits_broadcast(df, max_bytes=20)[0]
+    assert not joins.fits_broadcast(df, max_bytes=built - 1)[0]
 
 
 def test_hot_keys_finds_the_heavy_key(spark):
@@ -200,6 +202,34 @@ def test_inner_join_with_hot_key_on_both_plans(spark):
     assert key(salted) == key(joins.lookup_join(fact, dim, "ip", "inner"))
 
 
+def test_every_hot_key_is_found(spark):
+    df = spark.range(30000).select((F.col("id") % 3000).cast("string").alias("k"))
+    assert len(joins.hot_keys(df, "k", share=1 / 4000, fraction=1.0)) == 3000
+
+
+def test_hot_key_of_the_lookup_side_spreads_over_tasks(spark):
+    dim = spark.range(100_000).select(
+        F.when(F.col("id") < 99_000, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("ip"), F.col("id").alias("city"))
+    fact = spark.createDataFrame([("hot", 1), ("hot", 2), ("99500", 3), ("none", 4), (None, 5)], "ip string, id bigint")
+    for how in ("left", "inner"):
+        plan = []
+        j = joins.lookup_join(fact, dim, "ip", how, max_broadcast_rows=0, hot_share=0.3, sample_fraction=0.2, salt_buckets=6, plan=plan)
+        assert plan[0].lookup_hot_keys == ("hot",) or plan[0].hot_keys == ("hot",)
+        expected = fact.join(dim, "ip", how)
+        rows = lambda df: sorted(map(tuple, df.groupBy("id").agg(F.count("city"), F.sum("city"), F.count("*")).collect()))
+        assert rows(j) == rows(expected)
+    cold = fact.where("id = 1").unionByName(spark.range(10, 500).select(F.col("id").cast("string").alias("ip"), "id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        plan = []
+        j = joins.lookup_join(cold, dim, "ip", "left", max_broadcast_rows=0, hot_share=0.3, sample_fraction=1.0, plan=plan)
+        assert plan[0].lookup_hot_keys == ("hot",) and plan[0].hot_keys == ()
+        hot = j.where("ip = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in hot) == 99_000 and len(hot) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_v1_lookup_on_the_shuffle_plan(spark):
     pre = _pre(spark, ["1.1.1.1"] * 30 + ["2.2.2.2", "3.3.3.3"])
     dim = _dim(spark, [("1.1.1.1", "P", "C", "I"), ("1.1.1.1", "DUP", "DUP", "DUP"), ("3.3.3.3", "Q", "D", "J")])

@@ -21,7 +21,17 @@ def test_counts(spark):
     assert dwd.count() == 981 and dwd.where(F.col("city").isNull()).count() == 177
     v1 = _q(spark, "dwd_lookup_default")
     assert v1.count() == 878 and v1.where(F.col("city") == "-").count() == 177
-    assert _q(spark, "ads_area_traffic").count() == 271
+    assert _q(spark, "ads_area_traffic").count() == 278
+
+
+def test_pages_used_grow_with_the_table(spark):
+    used = {}
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        urls = E.queries()["ods_access"](spark, sf).select("url").distinct()
+        pages = spark.read.parquet(f"{sf}/pages.parquet").select("url").distinct()
+        used[sf] = (urls.join(pages, "url", "left_semi").count(), pages.count())
+    (small, all_small), (large, all_large) = used.values()
+    assert small >= 0.85 * all_small and large >= 0.85 * all_large > 3 * all_small
 
 
 def test_bad_time_and_url_rows(spark):

@@ -38,14 +38,14 @@ def test_pipeline_counts(spark, landed):
     assert dwd.where("city IS NULL").count() == 177
 
     r3 = ads_job(spark, dwd_root, D, ads_root=ads_root)
-    assert r3.counts == {"input": 981, "groups": 271}
-    assert io.read_day(spark, ads_root, ADS_SCHEMA, D).count() == 271
+    assert r3.counts == {"input": 981, "groups": 278}
+    assert io.read_day(spark, ads_root, ADS_SCHEMA, D).count() == 278
 
     # re-run of the same day: same rows, no duplicates
     ods_job(spark, raw, ods_root, D)
     dwd_job(spark, ip, ods_root, dwd_root, D)
     ads_job(spark, dwd_root, D, ads_root=ads_root)
-    assert io.read_days(spark, ads_root, ADS_SCHEMA).count() == 271
+    assert io.read_days(spark, ads_root, ADS_SCHEMA).count() == 278
 
 
 def test_lookup_default_and_shuffle_plans(spark, landed):
@@ -68,13 +68,13 @@ def test_table_target_and_report(spark, landed):
     table = "ads_job_test"
     io.create_day_table(spark, table, ADS_SCHEMA, f"{base}/ads_table")
     ads_job(spark, dwd_root, D, table=table)
-    assert spark.table(table).where(f"d = '{D}'").count() == 241
+    assert spark.table(table).where(f"d = '{D}'").count() == 248
 
     tsv = f"{base}/dwd_tsv"
     io.write_text(ads.dwd_lines(io.read_day(spark, dwd_root, DWD_SCHEMA, D).drop("d")), tsv, compression=None)
-    assert report_job(spark, tsv, f"{base}/report").counts == {"input": 878, "rows": 241}
+    assert report_job(spark, tsv, f"{base}/report").counts == {"input": 878, "rows": 248}
     lines = io.read_lines(spark, f"{base}/report").collect()
-    assert len(lines) == 241 and all(len(r[0].split("\t")) == 3 for r in lines)
+    assert len(lines) == 248 and all(len(r[0].split("\t")) == 3 for r in lines)
 
 
 def _executed(df):
@@ -96,8 +96,8 @@ def test_ads_scan_is_pruned(spark, landed):
 def test_no_python_in_any_query_plan(spark):
     import __spark_entry__ as E
 
-    for name in ("ods_access", "dwd_access", "dwd_lookup_default", "ads_area_traffic", "ads_preview"):
-        plan = _executed(E.queries()[name](spark, SF_SMALL))
+    for name, query in E._QUERIES.items():
+        plan = _executed(query(spark, SF_SMALL))
         assert "EvalPython" not in plan and "PythonUDF" not in plan, name
 
 
@@ -146,7 +146,7 @@ def test_v1_text_chain(spark, landed):
     r2 = dwd_text_job(spark, ip, f"{base}/v1_ods", f"{base}/v1_dwd")
     assert r2.counts == {"rows": 878}
     r3 = ads_from_text_job(spark, f"{base}/v1_dwd", f"{base}/v1_ads", D)
-    assert r3.counts == {"input": 878, "groups": 241}
+    assert r3.counts == {"input": 878, "groups": 248}
 
 
 def test_no_rejects_no_second_scan(spark, scratch):
@@ -193,6 +193,42 @@ def test_dwd_broadcast_plan_never_shuffles_the_logs(spark, landed):
     assert "hashpartitioning" not in plan  # no shuffle exchange anywhere
 
 
+def _lost(monkeypatch):
+    from pyspark.sql import Observation
+
+    def get(self):
+        raise RuntimeError("metrics lost")
+
+    monkeypatch.setattr(Observation, "get", property(get))
+
+
+def test_lost_metrics_leave_the_day_whole(spark, landed, scratch, monkeypatch):
+    base, raw, ip = landed
+    ods_root, dwd_root, ads_root, table = f"{scratch}/ods", f"{scratch}/dwd", f"{scratch}/ads", "lost_metrics"
+    io.create_day_table(spark, table, ADS_SCHEMA, f"{scratch}/table")
+    good = {"ods": ods_job(spark, raw, ods_root, D).counts["good"], "dwd": dwd_job(spark, ip, ods_root, dwd_root, D).counts["rows"]}
+    with monkeypatch.context() as m:
+        _lost(m)
+        for job in (lambda: ods_job(spark, raw, ods_root, D), lambda: dwd_job(spark, ip, ods_root, dwd_root, D),
+                    lambda: ads_job(spark, dwd_root, D, ads_root=ads_root), lambda: ads_job(spark, dwd_root, D, table=table)):
+            with pytest.raises(RuntimeError, match="lost; the rows are written"):
+                job()
+    assert io.read_day(spark, ods_root, ODS_SCHEMA, D).count() == good["ods"]
+    assert io.read_day(spark, dwd_root, DWD_SCHEMA, D).count() == good["dwd"]
+    assert io.read_day(spark, ads_root, ADS_SCHEMA, D).count() == spark.table(table).count() > 0
+
+
+def test_ads_job_registers_its_day(spark, landed, scratch):
+    base, raw, ip = landed
+    ods_job(spark, raw, f"{scratch}/ods", D)
+    dwd_job(spark, ip, f"{scratch}/ods", f"{scratch}/dwd", D)
+    io.create_day_table(spark, "registered_days", ADS_SCHEMA, f"{scratch}/other")
+    report = ads_job(spark, f"{scratch}/dwd", D, ads_root=f"{scratch}/ads", register_in="registered_days")
+    assert spark.table("registered_days").where(f"d = '{D}'").count() == report.counts["groups"] > 0
+    with pytest.raises(ValueError, match="rows_per_file"):
+        ads_job(spark, f"{scratch}/dwd", D, table="registered_days", rows_per_file=5)
+
+
 def test_dwd_job_on_an_empty_ods_day(spark, landed, scratch):
     base, raw, ip = landed
     ods_root, dwd_root = f"{scratch}/ods", f"{scratch}/dwd"

@@ -75,13 +75,16 @@ def test_day_of_path():
     assert io.day_of_path("d=20240101") == "20240101"
 
 
-def test_text_gzip_single_file(spark, scratch):
+def test_text_gzip_parts(spark, scratch):
     lines = spark.createDataFrame([("a\tb\t1",), ("c\tnull\t2",)], "value string").repartition(2)
-    io.write_text(lines, scratch, compression="gzip", single_file=True)
+    io.write_text(lines, scratch, compression="gzip")
     files = [f for f in os.listdir(_local(scratch)) if f.startswith("part-")]
-    assert len(files) == 1 and files[0].endswith(".txt.gz")
-    with gzip.open(os.path.join(_local(scratch), files[0]), "rt") as fh:
-        assert sorted(fh.read().splitlines()) == ["a\tb\t1", "c\tnull\t2"]
+    assert files and all(f.endswith(".txt.gz") for f in files)
+    read = []
+    for f in files:
+        with gzip.open(os.path.join(_local(scratch), f), "rt") as fh:
+            read += fh.read().splitlines()
+    assert sorted(read) == ["a\tb\t1", "c\tnull\t2"]
 
 
 class _Recorder:
@@ -104,17 +107,17 @@ class _FakeFrame:
 def test_jdbc_options_are_honoured():
     # No database may be started here, so this checks the writer wiring only.
     df = _FakeFrame()
-    io.write_jdbc(df, url="jdbc:mysql://db:3306/bigdata", dbtable="bigdata.test", user="u", password="p",
-                  batchsize="5000")
+    io.write_jdbc(df, url="jdbc:any://host/shop", dbtable="shop.traffic", user="u", password="p",
+                  batchsize="5000", num_partitions=7)
     calls = df.write.calls
     opts = {a[0]: a[1] for n, a in calls if n == "option"}
     assert ("format", ("jdbc",)) in calls and ("mode", ("overwrite",)) in calls and calls[-1][0] == "save"
-    assert opts == {"url": "jdbc:mysql://db:3306/bigdata", "dbtable": "bigdata.test", "user": "u",
-                    "password": "p", "truncate": "true", "batchsize": "5000", "numPartitions": "16"}
+    assert opts == {"url": "jdbc:any://host/shop", "dbtable": "shop.traffic", "user": "u",
+                    "password": "p", "truncate": "true", "batchsize": "5000", "numPartitions": "7"}
     df2 = _FakeFrame()
     io.write_jdbc(df2, url="jdbc:x", dbtable="t", mode="append")
     opts2 = {a[0]: a[1] for n, a in df2.write.calls if n == "option"}
-    assert opts2 == {"url": "jdbc:x", "dbtable": "t", "numPartitions": "16"}
+    assert opts2 == {"url": "jdbc:x", "dbtable": "t"}
 
 
 def test_clear_day_empties_only_that_day(spark, scratch):
@@ -157,15 +160,6 @@ def test_jdbc_reaches_spark_writer_without_a_database(spark):
         io.write_jdbc(df, url="jdbc:nothing-here://none/db", dbtable="t", user="u", password="p")
 
 
-def test_spread_small_input_only_when_few_splits(spark):
-    target = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    spread = io.spread_small_input(one)
-    assert spread.rdd.getNumPartitions() == target and spread.count() == 100
-    many = spark.range(0, 100, 1, target * 2)
-    assert io.spread_small_input(many) is many  # enough splits: no shuffle added
-
-
 def test_day_filter_prunes_folders(spark, scratch):
     for d in ("20240101", "20240102", "20240103"):
         io.write_day(_ads(spark, d), scratch, d)
@@ -178,7 +172,7 @@ def test_day_filter_prunes_folders(spark, scratch):
 def test_day_tables_overwrite_by_day_without_session_setting(spark, scratch):
     table = f"t_{uuid.uuid4().hex[:8]}"
     io.create_day_table(spark, table, ADS_SCHEMA, scratch)
-    assert io._overwrites_by_day(spark, table)  # insert_day writes without touching the session
+    assert io.overwrites_by_day(spark, table)  # insert_day writes without touching the session
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
     spark.conf.set(key, "static")  # the table's own option must win
@@ -192,17 +186,26 @@ def test_day_tables_overwrite_by_day_without_session_setting(spark, scratch):
     assert _rows(spark.table(table)) == [("20240101", "h-c", 5), ("20240102", "h-b", 1), ("20240102", "h-b", 2)]
 
 
-def test_insert_day_into_a_table_without_the_option(spark, scratch):
+def test_table_without_the_option_is_refused(spark, scratch):
     from accesslake.schemas import ddl, with_day
 
     table = f"t_{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE TABLE {table} ({ddl(with_day(ADS_SCHEMA))}) USING parquet PARTITIONED BY (d) "
               f"LOCATION '{scratch}'")
-    assert not io._overwrites_by_day(spark, table)  # the session-setting path
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    io.insert_day(_ads(spark, "a"), table, "20240101")
-    io.insert_day(_ads(spark, "b"), table, "20240102")
-    io.insert_day(_ads(spark, "c"), table, "20240101")
-    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    assert not io.overwrites_by_day(spark, table)
+    with pytest.raises(ValueError, match="SERDEPROPERTIES"):
+        io.insert_day(_ads(spark, "a"), table, "20240101")
+    spark.sql(f"ALTER TABLE {table} SET SERDEPROPERTIES ('partitionOverwriteMode'='dynamic')")
+    for tag, d in (("a", "20240101"), ("b", "20240102"), ("c", "20240101")):
+        io.insert_day(_ads(spark, tag), table, d)
     assert _rows(spark.table(table)) == [("20240101", "h-c", 1), ("20240101", "h-c", 2), ("20240102", "h-b", 1),
                                          ("20240102", "h-b", 2)]
+
+
+def test_table_files_hold_the_tables_rows_per_file(spark, scratch):
+    table = f"t_{uuid.uuid4().hex[:8]}"
+    io.create_day_table(spark, table, ADS_SCHEMA, scratch, rows_per_file=3)
+    df = spark.range(10).select(F.col("id").cast("string").alias("city"), F.lit("h").alias("host"), F.col("id").alias("count")).coalesce(1)
+    io.insert_day(df, table, "20240101")
+    files = [f for f in os.listdir(_local(io.day_path(scratch, "20240101"))) if f.endswith(".parquet")]
+    assert len(files) == 4 and spark.table(table).count() == 10

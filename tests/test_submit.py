@@ -37,8 +37,8 @@ def test_submit_chain(spark, scratch, app_conf, capsys):
     app_conf(inputPath=ods, outputPath=dwd, ipResourcePath=ip)
     assert submit.run(spark, "dwd").counts == {"input": 878, "rows": 981}
     app_conf(inputPath=dwd, outputPath=ads_root)
-    assert submit.run(spark, "ads").counts == {"input": 981, "groups": 271}
-    assert io.read_day(spark, f"{scratch}/ads", ADS_SCHEMA, D).count() == 271
+    assert submit.run(spark, "ads").counts == {"input": 981, "groups": 278}
+    assert io.read_day(spark, f"{scratch}/ads", ADS_SCHEMA, D).count() == 278
     app_conf(printSchema="true")
     submit.run(spark, "ads")
     out = capsys.readouterr().out
@@ -80,7 +80,7 @@ def test_submit_report_and_export(spark, scratch, app_conf):
     dwd_rows = dwd_ops.enrich_lookup(pre, dwd_ops.ip_dim(fixtures.ip_lines(spark, SF_SMALL)))
     io.write_text(ads.dwd_lines(dwd_rows), f"{scratch}/dwd_text", compression=None)
     app_conf(inputPath=f"{scratch}/dwd_text", outputPath=f"{scratch}/report")
-    assert submit.run(spark, "report").counts == {"input": 878, "rows": 241}
+    assert submit.run(spark, "report").counts == {"input": 878, "rows": 248}
 
     table = "submit_export_src"
     io.create_day_table(spark, table, ADS_SCHEMA, f"{scratch}/export_src")

@@ -50,8 +50,16 @@ def _urls(n, seed=11):
     return out
 
 
+ODD = [
+    "url:http://h/p", "URL:HTTP://h/p?q", "url:url:http://h/p", " url:http://h", "\x01\thttp://h/p?a=1\x1f ", "http://h/p\x00",
+    "http://[::1]:80/p", "http://[::1]/p", "http://[::1]:x/p", "http://[1:2:3:4:5:6:7:8]:/p?x", "http://u@[fe80::1]:8080", "http://[1:2:3]/p",
+    "http://[::1]x/p", "http://[]/p", "http://[::1", "http://[1::2::3]/", "http://[1:2:3:4:5:6:7::]/", "http://[1:2:3:4:5:6:7:8::]/",
+    "http://[12345::]/", "jar:http://h/p",
+]
+
+
 def test_url_parts_equal_java_net_url(spark):
-    urls = _urls(1500)
+    urls = _urls(1500) + ODD
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     ours = [tuple(r) for r in df.select(*parse.url_parts(F.col("u"))).collect()]
     jvm = spark.sparkContext._jvm
