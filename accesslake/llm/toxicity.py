@@ -25,7 +25,7 @@ from accesslake.llm.common import carried, in_fold, restored, text_or_empty
 HELD_OUT = (5, 0)
 # Labelled rows of each label that are trained on (chosen by a hash of the id);
 # texts longer than this teach nothing.
-MAX_TRAIN_ROWS = 3_000
+MAX_TRAIN_ROWS = 1_500
 MAX_TRAIN_CHARS = 200_000
 FEATURE_BITS = 18
 PREFIXES = (3, 4, 5)
