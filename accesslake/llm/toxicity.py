@@ -1,7 +1,8 @@
 """Toxicity by multiple-instance learning (operator 3).
 
 Only documents have labels; their sentences are scored. A sentence's
-probability p is logistic in its words and their beginnings, and a document's
+probability p is logistic in its words and their beginnings, with weights that
+are never negative (harmless words do not make up for others), and a document's
 is the noisy-or of its sentences, 1 - prod(1 - p). Training on document labels
 thus finds the sentences that explain them, and `offending` returns those.
 
@@ -12,6 +13,8 @@ and weighs them back to the labels' true shares.
 from __future__ import annotations
 
 import re
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +30,8 @@ HELD_OUT = (5, 0)
 # texts longer than this teach nothing.
 MAX_TRAIN_ROWS = 1_500
 MAX_TRAIN_CHARS = 200_000
-FEATURE_BITS = 18
+# A feature in fewer sampled texts than this says nothing.
+MIN_TEXTS = 4
 PREFIXES = (3, 4, 5)
 ROUNDS, RATE, RIDGE = 120, 0.15, 2e-5
 START_BIAS = -6.0
@@ -38,10 +42,9 @@ _SENTENCE = re.compile(r"[^.!?\n]+(?:[.!?]+|\n|$)")
 _WORD = re.compile(r"\w+")
 
 
-def features(word: str) -> list[int]:
-    """Hashed features of a word: itself and its beginnings."""
-    names = ["=" + word] + ["^" + word[:n] for n in PREFIXES if len(word) > n]
-    return [xxhash.xxh3_64_intdigest(x) & ((1 << FEATURE_BITS) - 1) for x in names]
+def features(word: str) -> list[str]:
+    """A word itself and its beginnings."""
+    return ["=" + word] + ["^" + word[:n] for n in PREFIXES if len(word) > n]
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -54,10 +57,10 @@ def words(sentence: str) -> list[str]:
 
 
 class Model:
-    """Weights of the hashed features and the bias."""
+    """Weights of the features that training kept, and the bias."""
 
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias = weights.astype(np.float32), bias
+    def __init__(self, weights: dict[str, float], bias: float):
+        self.weights, self.bias = weights, bias
         self.known: dict[str, float] = {}
 
     def __getstate__(self):
@@ -68,7 +71,7 @@ class Model:
         if z is None:
             if len(self.known) >= KEPT_WORDS:
                 self.known.clear()
-            z = self.known[w] = float(self.weights[features(w)].sum())
+            z = self.known[w] = sum(self.weights.get(f, 0.0) for f in features(w))
         return z
 
     def sentence_scores(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
@@ -86,10 +89,24 @@ def noisy_or(p: np.ndarray) -> float:
     return float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-15)).sum())) if len(p) else 0.0
 
 
+def common_features(texts: list[str]) -> dict[str, int]:
+    """Features of at least MIN_TEXTS texts, numbered; counted by hash first, so
+    that the many rare ones are never held as strings."""
+    slots = 1 << 22
+    rough = np.zeros(slots, dtype=np.int32)
+    for text in texts:
+        rough[np.unique(np.array([xxhash.xxh3_64_intdigest(f) % slots for w in set(words(text)) for f in features(w)], dtype=np.int64))] += 1
+    exact: Counter[str] = Counter()
+    for text in texts:
+        exact.update({f for w in set(words(text)) for f in features(w) if rough[xxhash.xxh3_64_intdigest(f) % slots] >= MIN_TEXTS})
+    return {f: i for i, f in enumerate(sorted(f for f, n in exact.items() if n >= MIN_TEXTS))}
+
+
 def fit(texts: list[str], labels: list[int], weights: list[float]) -> Model:
     """Full-batch Adam on the noisy-or likelihood of the document labels."""
+    index = common_features(texts)
     cache: dict[str, list[int]] = {}
-    feats: list[int] = []
+    feats = array("i")
     sentence_sizes: list[int] = []
     doc_sizes: list[int] = []
     for text in texts:
@@ -99,31 +116,29 @@ def fit(texts: list[str], labels: list[int], weights: list[float]) -> Model:
             for w in dict.fromkeys(words(text[a:b])):
                 f = cache.get(w)
                 if f is None:
-                    f = cache[w] = features(w)
-                feats += f
+                    f = cache[w] = [index[x] for x in features(w) if x in index]
+                feats.extend(f)
             sentence_sizes.append(len(feats) - before)
         doc_sizes.append(len(spans))
     f = np.array(feats, dtype=np.int32)
     of_sentence = np.repeat(np.arange(len(sentence_sizes)), sentence_sizes).astype(np.int32)
     of_doc = np.repeat(np.arange(len(doc_sizes)), doc_sizes)
     y, n = np.array(labels, dtype=float), np.array(weights, dtype=float)
-    used, f = np.unique(f, return_inverse=True)
-    theta = np.zeros(len(used) + 1)
+    theta = np.zeros(len(index) + 1)
     theta[-1] = START_BIAS
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    for step in range(1, ROUNDS + 1 if len(f) else 1):
+    for step in range(1, ROUNDS + 1 if len(sentence_sizes) else 1):
         z = np.bincount(of_sentence, weights=theta[f], minlength=len(sentence_sizes)) + theta[-1]
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         clean = np.exp(np.bincount(of_doc, weights=np.log1p(-p), minlength=len(y)))
         slope = np.where(y > 0, -clean / np.maximum(1 - clean, 1e-9), 1.0) * n
         dz = slope[of_doc] * p
-        grad = np.append(np.bincount(f, weights=dz[of_sentence], minlength=len(used)), dz.sum()) / n.sum()
+        grad = np.append(np.bincount(f, weights=dz[of_sentence], minlength=len(index)), dz.sum()) / n.sum()
         grad[:-1] += RIDGE * theta[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         theta -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    table = np.zeros(1 << FEATURE_BITS)
-    table[used] = theta[:-1]
-    return Model(table, float(theta[-1]))
+        np.maximum(theta[:-1], 0, out=theta[:-1])
+    return Model({x: float(theta[i]) for x, i in index.items() if theta[i]}, float(theta[-1]))
 
 
 def train(documents: DataFrame, labels: DataFrame, *, held_out: tuple[int, int] = HELD_OUT, max_rows: int = MAX_TRAIN_ROWS) -> Model:
