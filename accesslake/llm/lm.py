@@ -32,7 +32,7 @@ from accesslake.llm.minhash import mixed
 HELD_OUT = (7, 2)
 # The part of the training documents that the weights are learned on.
 DELETED = (7, 3)
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 EM_ROUNDS = 40
 MAX_BUCKET = 48
 # Histogram cells: steps of log2 of the two probabilities.
@@ -46,14 +46,10 @@ class Tables:
 
     def __init__(self, texts: list[str]):
         index: dict[bytes, int] = {b"\n": 0}
-        ids: list[int] = []
-        ends = []
-        for t in texts:
-            ids += [index.setdefault(w, len(index)) for w in t.encode().lower().split()]
-            ids.append(0)
-            ends.append(len(ids))
-        w = np.array(ids, dtype=np.int64)
-        self.ends = np.array(ends, dtype=np.int64)
+        each = [np.array([index.setdefault(w, len(index)) for w in t.encode().lower().split()] + [0], dtype=np.int32) for t in texts]
+        w = np.concatenate(each).astype(np.int64) if each else np.zeros(0, np.int64)
+        self.ends = np.cumsum([len(x) for x in each], dtype=np.int64)
+        del each
         v = np.concatenate([np.zeros(1, np.int64), w[:-1]]) if len(w) else w
         hashes = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in index), dtype=np.uint64, count=len(index))
         order = np.argsort(hashes, kind="stable")
