@@ -136,7 +136,7 @@ def main(argv: list[str] | None = None) -> None:
     if len(argv) != 1:
         raise SystemExit(f"usage: submit.py {'|'.join(JOBS)}  (settings via --conf spark.app.*)")
     spark = SparkSession.builder.appName(f"accesslake-{argv[0]}").getOrCreate()
-    apply_cluster_conf(spark)
+    apply_cluster_conf(spark, argv[0])
     report = run(spark, argv[0])
     if report is not None:
         print(report)

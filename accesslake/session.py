@@ -32,10 +32,15 @@ CLUSTER_CONF = {
 }
 
 
-def apply_cluster_conf(spark: SparkSession) -> None:
-    """Set CLUSTER_CONF entries the user did not pass with --conf."""
+# Initial shuffle partitions by job, where the job's shuffle is far smaller than
+# the salted DWD join: the ADS count shuffles one row per task and group.
+JOB_CONF = {job: {"spark.sql.shuffle.partitions": "2000"} for job in ("ads", "ads_text", "report")}
+
+
+def apply_cluster_conf(spark: SparkSession, job: str | None = None) -> None:
+    """Set CLUSTER_CONF (and the job's JOB_CONF) entries the user did not pass with --conf."""
     given = spark.sparkContext.getConf()
-    for key, value in CLUSTER_CONF.items():
+    for key, value in (CLUSTER_CONF | JOB_CONF.get(job, {})).items():
         if not given.contains(key):
             spark.conf.set(key, value)
 

@@ -32,7 +32,7 @@ NOTES = {
     "then broadcast: the ODS side is never shuffled, so its ip skew cannot hurt. The ODS scan "
     "reads only the day's folder.",
     "DWD job, IP library too big to broadcast": "Sort-merge join on (ip, _salt): both sides are "
-    "shuffled once. The salt count of each hot ip (sampled; at most 1000 of them) is attached by "
+    "shuffled once. The salt count of each hot ip (sampled; all that hold four times a reducer's share) is attached by "
     "a broadcast join with a small (ip, _nsalts) table, so a row pays one hash probe. Hot ips "
     "get ~share x partitions salts, their library rows are replicated per salt (Generate "
     "explode), and NULL ips spread over all partitions.",

@@ -105,3 +105,49 @@ def test_cluster_conf_fills_only_missing_settings(spark):
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def test_submit_v1_chain_registration_and_preview(spark, scratch, app_conf, capsys):
+    raw, ip = f"{scratch}/raw", f"{scratch}/ip"
+    io.write_text(fixtures.raw_access(spark, SF_SMALL), raw, compression=None)
+    io.write_text(fixtures.ip_lines(spark, SF_SMALL), ip, compression=None)
+    app_conf(inputPath=raw, outputPath=f"{scratch}/ods_text", ipResourcePath=ip)
+    assert submit.run(spark, "ods_text").counts["good"] == 878
+    app_conf(inputPath=f"{scratch}/ods_text", outputPath=f"{scratch}/dwd_text")
+    assert submit.run(spark, "dwd_text").counts == {"rows": 878}
+    app_conf(inputPath=f"{scratch}/dwd_text", outputPath=f"{scratch}/ads_text/d={D}", printSchema="true")
+    assert submit.run(spark, "ads_text").counts == {"input": 878, "groups": 248}
+    shown = capsys.readouterr().out
+    assert "|-- host: string" in shown and shown.count("\n|") == 56  # the header and the 55 busiest groups
+    app_conf(printSchema="false")
+
+    wide = spark.createDataFrame([tuple("x" if f.dataType.simpleString() == "string" else 1 for f in DWD_SCHEMA.fields)], DWD_SCHEMA)
+    io.write_day(wide, f"{scratch}/dwd", D)
+    io.create_day_table(spark, "submit_registered", ADS_SCHEMA, f"{scratch}/table")
+    app_conf(inputPath=f"{scratch}/dwd/d={D}", outputPath=f"{scratch}/ads/d={D}", registerIn="submit_registered")
+    submit.run(spark, "ads")
+    assert spark.table("submit_registered").where(f"d = '{D}'").count() == 1
+
+
+def test_submit_passes_jdbc_options(spark, app_conf, monkeypatch):
+    got = {}
+    monkeypatch.setattr(submit.jobs, "export_job", lambda spark, table, **jdbc: got.update(table=table, **jdbc))
+    app_conf(table="t", url="jdbc:any://h/db", dbtable="x", truncate="false", numPartitions="9", batchsize="500", createTableOptions="o",
+             createTableColumnTypes="c string", customSchema="c string", isolationLevel="NONE", mode="append")
+    submit.run(spark, "export")
+    assert got == {"table": "t", "url": "jdbc:any://h/db", "dbtable": "x", "user": None, "password": None, "mode": "append", "truncate": False,
+                   "num_partitions": 9, "batchsize": "500", "createTableOptions": "o", "createTableColumnTypes": "c string",
+                   "customSchema": "c string", "isolationLevel": "NONE"}
+
+
+def test_a_jobs_own_shuffle_size(spark):
+    from accesslake.session import CLUSTER_CONF, apply_cluster_conf
+
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    try:
+        given = spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions")
+        apply_cluster_conf(spark, "ads")
+        assert given or spark.conf.get("spark.sql.shuffle.partitions") == "2000"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
