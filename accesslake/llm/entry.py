@@ -56,7 +56,7 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_size=3, percent=85)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_size=3, percent=85).drop("row_hash")
 
 
 QUERIES = {
@@ -75,4 +75,6 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op1_licenses": licenses.oracle_sql(),
     "op4_decontam": decontam.ORACLE_SQL,
+    "op7_quality": quality.oracle_sql(),
+    "op10_minhash": minhash.ORACLE_SQL,
 }

@@ -256,3 +256,21 @@ def near_duplicates(
     return named.select(
         F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "row_hash"
     )
+
+
+# DuckDB: all pairs that share a shingle, and what each document reaches.
+ORACLE_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x20\x09-\x0D]+') AS w FROM documents),
+ws AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+ls AS (SELECT doc_id, n, i, word, lead(word, 1) OVER p AS w2, lead(word, 2) OVER p AS w3 FROM ws WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+sh AS (SELECT DISTINCT doc_id, concat_ws(' ', word, w2, w3) AS s FROM ls WHERE i + 2 <= n OR (n < 3 AND i = 1)),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT u, v FROM pairs JOIN size x ON x.doc_id = u JOIN size y ON y.doc_id = v WHERE 100 * c >= 85 * (x.n + y.n - c)),
+ends AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, ends.v FROM reach JOIN ends ON ends.u = reach.r),
+least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN size USING (doc_id) JOIN least USING (doc_id)
+"""

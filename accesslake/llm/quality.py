@@ -135,3 +135,39 @@ def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     reasons = F.array_compact(F.array(F.when(base, F.lit("base")), *[F.when(F.col(s) > x, F.lit(s)) for s, x in limits.items()]))
     judged = measured.withColumn("base_failed", base).withColumn("reasons", reasons).withColumn("kept", F.size("reasons") == 0)
     return restored(judged, id_col, docs)
+
+
+def oracle_sql() -> str:
+    """The query's rows in DuckDB (reasons joined by commas)."""
+    sizes = sorted({BASE_WINDOW, *COVERAGE_LIMITS})
+    leads = {k: f"lead(word, {k}) OVER (PARTITION BY rid ORDER BY i)" for k in range(1, max(sizes))}
+    grams = ", ".join(f"CASE WHEN i + {n - 1} <= n THEN concat_ws(' ', word, {', '.join(f'l{k}' for k in range(1, n))}) END AS g{n}" for n in sizes)
+    twice = ", ".join(f"g{n} IS NOT NULL AND count(*) OVER (PARTITION BY rid, g{n}) > 1 AS d{n}" for n in sizes)
+    covered = ", ".join(f"coalesce(bool_or(d{n}) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW), false) AS c{n}" for n in sizes)
+    chars = ", ".join(f"sum(CASE WHEN c{n} THEN length(word) ELSE 0 END) AS ch{n}" for n in sizes)
+    shares = {"dup_line_share": "CASE WHEN word_chars > 0 THEN dup_line_chars / word_chars ELSE 0 END"} | {
+        f"dup_{n}gram_share": f"CASE WHEN word_chars > 0 THEN ch{n} / word_chars ELSE 0 END" for n in COVERAGE_LIMITS}
+    limits = dict(zip(shares, [LINE_COVERAGE_LIMIT, *COVERAGE_LIMITS.values()]))
+    base = f"(n_words < {MIN_WORDS} OR 100 * n_repeat_words > {BASE_PERCENT} * n_words)"
+    blank = r"[\x20\x09-\x0D]"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+ws AS (SELECT rid, len(w) AS n, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+ls AS (SELECT *, {', '.join(f'{x} AS l{k}' for k, x in leads.items())} FROM ws),
+gs AS (SELECT rid, i, word, {grams} FROM ls),
+ts AS (SELECT rid, i, word, {twice} FROM gs),
+cs AS (SELECT rid, word, {covered} FROM ts),
+per AS (SELECT rid, count(*) AS n_words, sum(length(word)) AS word_chars, count(*) FILTER (WHERE c{BASE_WINDOW}) AS n_repeat_words, {chars} FROM cs GROUP BY rid),
+li AS (SELECT rid, line, row_number() OVER (PARTITION BY rid, line) AS k FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d)
+       WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dl AS (SELECT rid, count(*) AS n_dup_lines, sum(length(regexp_replace(line, '{blank}', '', 'g'))) AS dup_line_chars FROM li WHERE k > 1 GROUP BY rid),
+m AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+        length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(dup_line_chars, 0) AS dup_line_chars, {', '.join(f'coalesce(ch{n}, 0) AS ch{n}' for n in sizes)}
+      FROM d LEFT JOIN per USING (rid) LEFT JOIN dl USING (rid)),
+s AS (SELECT *, {', '.join(f'CAST({x} AS DOUBLE) AS {k}' for k, x in shares.items())}, {base} AS base_failed FROM m),
+r AS (SELECT *, concat_ws(',', CASE WHEN base_failed THEN 'base' END, {', '.join(f"CASE WHEN {k} > {x} THEN '{k}' END" for k, x in limits.items())}) AS reasons FROM s)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, {', '.join(shares)}, base_failed, reasons, reasons = '' AS kept FROM r
+"""

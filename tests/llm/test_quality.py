@@ -4,6 +4,10 @@ import random
 import re
 from collections import Counter
 
+import duckdb
+import pandas as pd
+from pyspark.sql import functions as F
+
 from accesslake.llm import quality
 
 
@@ -45,3 +49,16 @@ def test_rows(spark):
                                            (None, True, False), (7, False, True), (7, False, True), (8, True, False)], key=str) or got
     assert {r.doc_id: r.kept for r in out} == {1: True, 2: False, 3: False, 4: False, 5: False, 6: False, None: False, 7: True, 8: False}
     assert quality.quality(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_same_as_sql(spark):
+    rng = random.Random(9)
+    texts = ["", None, "x " * 40, "é\xa0b  c\x1cd " * 12, "one\ntwo\none \none\n\none"]
+    texts += ["".join(rng.choice(["a ", "b ", "cc ", "d\n", "| "]) for _ in range(rng.randint(0, 150))) for _ in range(80)]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = quality.quality(df).withColumn("reasons", F.array_join("reasons", ","))
+    expected = con.execute(quality.oracle_sql()).df()
+    got = out.toPandas()[list(expected)].sort_values("doc_id").reset_index(drop=True)
+    pd.testing.assert_frame_equal(got, expected.sort_values("doc_id").reset_index(drop=True), check_exact=True)
