@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -32,9 +33,12 @@ EM_ROUNDS = 2
 # Added to every expected count.
 SMOOTHING = 0.01
 # Longer words are scored as consecutive words of this many characters.
-MAX_WORD_CHARS = 64
-KEPT_WORDS = 300_000
-WORDS_AT_ONCE = 4_000
+MAX_WORD_CHARS = 32
+KEPT_WORDS = 800_000
+WORDS_AT_ONCE = 16_000
+# Probabilities are multiplied by this for each character, so that a word's stay
+# far from the ends of the floating-point range; it is divided out at the end.
+SCALE = 64.0
 ROWS_AT_ONCE = 500
 WORD_START = "▁"
 
@@ -73,7 +77,7 @@ class Lattice:
         """(word, start, end, piece) of every match, grouped by end, then by length."""
         matcher = self.matcher
         joined = "\n".join(words) + "\n"
-        found = np.array(list(matcher.iter(joined)), dtype=np.int64).reshape(-1, 2)
+        found = np.fromiter(chain.from_iterable(matcher.iter(joined)), dtype=np.int64).reshape(-1, 2)
         end, piece = found[:, 0] + 1, found[:, 1]
         strange = [i for i, c in enumerate(joined) if c != "\n" and c not in self.single] if not set(joined) <= self.single | {"\n"} else []
         if strange:
@@ -81,10 +85,10 @@ class Lattice:
             piece = np.concatenate([piece, np.full(len(strange), self.unknown)])
         sizes = np.array([len(w) for w in words], dtype=np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
-        word = np.searchsorted(starts, end - 1, side="right") - 1
+        word = np.repeat(np.arange(len(words)), sizes + 1)[end - 1]
         end = end - starts[word]
         length = self.lengths[piece]
-        order = np.lexsort((length, end))
+        order = np.argsort((end * (MAX_WORD_CHARS + 1) + length).astype(np.int16), kind="stable")
         return word[order], (end - length)[order], end[order], piece[order]
 
     @staticmethod
@@ -94,42 +98,48 @@ class Lattice:
         cuts = [0, *cuts.tolist(), len(end)]
         return [slice(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
 
-    def forward(self, words: list[str], logp: np.ndarray, edges=None) -> np.ndarray:
-        """log of the sum over segmentations up to each place: (word, place, language)."""
+    def scaled(self, logp: np.ndarray) -> np.ndarray:
+        """Piece probabilities, times SCALE for each character."""
+        return np.exp(logp + self.lengths[:, None] * np.log(SCALE))
+
+    def forward(self, words: list[str], p: np.ndarray, edges=None) -> np.ndarray:
+        """Scaled sums over segmentations up to each place: (place, word, language)."""
         word, start, end, piece = edges or self.edges(words)
-        alpha = np.full((len(words), max(map(len, words), default=0) + 1, logp.shape[1]), -np.inf)
-        alpha[:, 0] = 0
+        alpha = np.zeros((max(map(len, words), default=0) + 1, len(words), p.shape[1]))
+        alpha[0] = 1
         for s in self._steps(start, end):
-            w, a, b = word[s], start[s.start], end[s.start]
-            alpha[w, b] = np.logaddexp(alpha[w, b], alpha[w, a] + logp[piece[s]])
+            w = word[s]
+            alpha[end[s.start]][w] += alpha[start[s.start]][w] * p[piece[s]]
         return alpha
 
-    def log_probability(self, words: list[str], logp: np.ndarray) -> np.ndarray:
+    def log_probability(self, words: list[str], p: np.ndarray) -> np.ndarray:
         sizes = np.array([len(w) for w in words])
-        return self.forward(words, logp)[np.arange(len(words)), sizes]
+        return np.log(self.forward(words, p)[sizes, np.arange(len(words))]) - sizes[:, None] * np.log(SCALE)
 
-    def expected(self, words: list[str], weights: np.ndarray, logp: np.ndarray) -> np.ndarray:
-        """Expected count of each piece in one language (`logp`: one column)."""
+    def expected(self, words: list[str], weights: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Expected count of each piece in one language (`p`: one column)."""
         edges = self.edges(words)
         word, start, end, piece = edges
-        alpha = self.forward(words, logp, edges)[:, :, 0]
+        alpha = self.forward(words, p, edges)[:, :, 0]
         sizes = np.array([len(w) for w in words])
-        beta = np.full(alpha.shape, -np.inf)
-        beta[np.arange(len(words)), sizes] = 0
+        beta = np.zeros(alpha.shape)
+        beta[sizes, np.arange(len(words))] = 1
         for s in reversed(self._steps(start, end)):
-            w, a, b = word[s], start[s.start], end[s.start]
-            beta[w, a] = np.logaddexp(beta[w, a], beta[w, b] + logp[piece[s], 0])
-        total = alpha[np.arange(len(words)), sizes]
-        share = np.exp(alpha[word, start] + logp[piece, 0] + beta[word, end] - total[word]) * weights[word]
+            w = word[s]
+            beta[start[s.start]][w] += beta[end[s.start]][w] * p[piece[s], 0]
+        total = alpha[sizes, np.arange(len(words))]
+        share = alpha[start, word] * p[piece, 0] * beta[end, word] / total[word] * weights[word]
         return np.bincount(piece, weights=share, minlength=len(self.lengths))
 
 
 def words_of(text: str) -> list[str]:
-    out = []
-    for w in text.lower().split():
-        w = WORD_START + w
-        out += [w] if len(w) <= MAX_WORD_CHARS else [w[i : i + MAX_WORD_CHARS] for i in range(0, len(w), MAX_WORD_CHARS)]
-    return out
+    return text.lower().split()
+
+
+def units_of(word: str) -> list[str]:
+    """What the model scores of a word: it with its start mark, in runs of MAX_WORD_CHARS."""
+    w = WORD_START + word
+    return [w] if len(w) <= MAX_WORD_CHARS else [w[i : i + MAX_WORD_CHARS] for i in range(0, len(w), MAX_WORD_CHARS)]
 
 
 def has_letter(text: str) -> bool:
@@ -147,7 +157,7 @@ def _bounded_sample(labelled: DataFrame, limit: int) -> DataFrame:
 
 class Model:
     def __init__(self, lattice: Lattice, languages: list[str], logp: np.ndarray):
-        self.lattice, self.languages, self.logp = lattice, languages, logp
+        self.lattice, self.languages, self.scaled = lattice, languages, lattice.scaled(logp)
 
 
 def train(documents: DataFrame, pieces: list[str], *, held_out: tuple[int, int] = HELD_OUT, max_rows: int = MAX_TRAIN_ROWS, rounds: int = EM_ROUNDS) -> Model:
@@ -161,15 +171,22 @@ def train(documents: DataFrame, pieces: list[str], *, held_out: tuple[int, int]
     languages: list[str] = []
     logp = np.full((len(pieces) + 1, 1), -np.log(len(pieces) + 1))
     for _ in range(rounds):
-        shared = documents.sparkSession.sparkContext.broadcast((lattice, languages, logp))
+        shared = documents.sparkSession.sparkContext.broadcast((lattice, languages, lattice.scaled(logp)))
 
         def count(it: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            lattice, languages, logp = shared.value
+            lattice, languages, p = shared.value
             totals: dict[str, np.ndarray] = {}
             for pdf in it:
                 for lang, part in pdf.groupby("lang"):
-                    table = logp[:, [languages.index(lang)]] if languages else logp
-                    counts = Counter(w for t in part["text"] if has_letter(t) for w in words_of(t))
+                    table = p[:, [languages.index(lang)]] if languages else p
+                    words: Counter[str] = Counter()
+                    for t in part["text"]:
+                        if has_letter(t):
+                            words.update(words_of(t))
+                    counts: Counter[str] = Counter()
+                    for w, n in words.items():
+                        for unit in units_of(w):
+                            counts[unit] += n
                     found = sorted(counts)
                     for at in range(0, len(found), WORDS_AT_ONCE):
                         some = found[at : at + WORDS_AT_ONCE]
@@ -212,12 +229,13 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
                 words = [words_of(t) if t else [] for t in texts]
                 if len(index) > KEPT_WORDS:
                     index, table = {}, table[:0]
-                new = [w for w in dict.fromkeys(w for ws in words for w in ws) if w not in index]
+                new = list(set().union(*words).difference(index))
                 found = [table]
                 for k in range(0, len(new), WORDS_AT_ONCE):
-                    found.append(m.lattice.log_probability(new[k : k + WORDS_AT_ONCE], m.logp))
-                for w in new:
-                    index[w] = len(index)
+                    units = [units_of(w) for w in new[k : k + WORDS_AT_ONCE]]
+                    each = m.lattice.log_probability(list(chain.from_iterable(units)), m.scaled)
+                    found.append(np.add.reduceat(each, np.cumsum([0, *map(len, units)])[:-1], axis=0))
+                index.update(zip(new, range(len(index), len(index) + len(new))))
                 table = np.concatenate(found)
                 langs, scores = [], []
                 for t, ws in zip(texts, words):
@@ -225,7 +243,7 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
                         langs.append(UNDETERMINED)
                         scores.append(0.0)
                         continue
-                    total = table[np.fromiter((index[w] for w in ws), dtype=np.int64, count=len(ws))].sum(axis=0)
+                    total = table[np.fromiter(map(index.__getitem__, ws), dtype=np.int64, count=len(ws))].sum(axis=0)
                     best = int(np.argmax(total))
                     langs.append(m.languages[best])
                     scores.append(float(1 / np.exp(total - total[best]).sum()))
