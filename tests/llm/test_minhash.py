@@ -3,6 +3,7 @@
 import random
 from itertools import combinations
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,9 @@ def test_whole_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     out = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(df, shingle_size=3, percent=85).collect()}
     assert out == brute_force([(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()], 3, 85)
+    con = duckdb.connect()
+    con.execute("create view documents as select * from '/root/testdata/sf0.001/documents.parquet'")
+    assert {i: (n, c) for i, n, c, _ in con.execute(minhash.ORACLE_SQL).fetchall()} == out
 
 
 def test_odd_rows(spark):
