@@ -2,12 +2,19 @@
 
 Only documents have labels; their sentences are scored. A sentence's
 probability p is logistic in its words and their beginnings, with weights that
-are never negative (harmless words do not make up for others), and a document's
-is the noisy-or of its sentences, 1 - prod(1 - p). Training on document labels
-thus finds the sentences that explain them, and `offending` returns those.
-
-Training takes a bounded sample of labelled rows, MAX_TRAIN_ROWS of each label,
-and weighs them back to the labels' true shares.
+are never negative (harmless words do not make up for others), and taken above a
+base rate: p = (s(z) - s(base)) / (1 - s(base)). In training that is a sentence
+without any weighted feature (base = bias); scores take one half-way from there
+to an even chance (bias / 2), so that words that merely begin like a toxic one
+add up to nothing in long texts. A sentence below the base has p = 0. A
+document's is the noisy-or of its sentences, 1 - prod(1 - p), whatever its
+length. Training on document labels thus finds the sentences that explain them,
+and `offending` returns those. Toxic labels that no sentence explains go to a leak, one
+probability for each document whatever its length, which scores leave out.
+
+Training takes a bounded sample of labelled rows, MAX_TRAIN_ROWS of each label
+and fewer if they hold much more than MAX_TRAIN_CHARS, chosen whatever their
+length, and weighs them back to the labels' true shares.
 """
 
 from __future__ import annotations
@@ -26,15 +33,20 @@ from pyspark.sql import functions as F
 from accesslake.llm.common import carried, in_fold, restored, text_or_empty
 
 HELD_OUT = (5, 0)
-# Labelled rows of each label that are trained on (chosen by a hash of the id);
-# texts longer than this teach nothing.
+# Labelled rows of each label that are trained on (chosen by a hash of the id),
+# and about how many characters their texts hold together, whole texts.
 MAX_TRAIN_ROWS = 1_500
-MAX_TRAIN_CHARS = 200_000
+MAX_TRAIN_CHARS = 20_000_000
 # A feature in fewer sampled texts than this says nothing.
 MIN_TEXTS = 4
 PREFIXES = (3, 4, 5)
 ROUNDS, RATE, RIDGE = 120, 0.15, 2e-5
-START_BIAS = -6.0
+START_BIAS = START_LEAK = -6.0
+# What a weight of 1 costs, in log-likelihood of one toxic row: words that stand
+# in a toxic text or two by chance get no weight, and so add nothing to long texts.
+SPARSITY = 1.0
+# Sentence features whose gradient is worked at once.
+FEATURES_AT_ONCE = 4_000_000
 KEPT_WORDS = 300_000
 ROWS_AT_ONCE = 500
 
@@ -76,8 +88,10 @@ class Model:
 
     def sentence_scores(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
         spans = sentences(text)
-        z = np.array([sum(map(self.word, words(text[a:b]))) for a, b in spans], dtype=np.float64) + self.bias
-        return spans, 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+        above = np.array([sum(map(self.word, words(text[a:b]))) for a, b in spans], dtype=np.float64)
+        base = max(self.bias, self.bias / 2)
+        above = np.maximum(above + self.bias - base, 0)
+        return spans, -np.expm1(-above) / (1 + np.exp(-np.clip(above + base, -50, 50)))
 
     def text_score(self, text: str) -> float:
         _, p = self.sentence_scores(text)
@@ -86,7 +100,7 @@ class Model:
 
 def noisy_or(p: np.ndarray) -> float:
     """1 - prod(1 - p); 0 without sentences."""
-    return float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-15)).sum())) if len(p) else 0.0
+    return float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-15)).sum())) + 0.0 if len(p) else 0.0
 
 
 def common_features(texts: list[str]) -> dict[str, int]:
@@ -120,44 +134,65 @@ def fit(texts: list[str], labels: list[int], weights: list[float]) -> Model:
                 feats.extend(f)
             sentence_sizes.append(len(feats) - before)
         doc_sizes.append(len(spans))
-    f = np.array(feats, dtype=np.int32)
-    of_sentence = np.repeat(np.arange(len(sentence_sizes)), sentence_sizes).astype(np.int32)
-    of_doc = np.repeat(np.arange(len(doc_sizes)), doc_sizes)
+    f = np.frombuffer(feats, dtype=np.int32) if feats else np.zeros(0, dtype=np.int32)
+    sizes, per_doc = np.array(sentence_sizes, dtype=np.int64), np.array(doc_sizes, dtype=np.int64)
+    of_doc = np.repeat(np.arange(len(per_doc)), per_doc)
+    # Runs of whole sentences, worked one after another: (sentences, features).
+    ends = np.cumsum(sizes)
+    cuts = [0, *(np.nonzero(np.diff(ends // FEATURES_AT_ONCE))[0] + 1).tolist(), len(sizes)]
+    runs = [(slice(a, b), slice(int(ends[a] - sizes[a]), int(ends[b - 1]))) for a, b in zip(cuts, cuts[1:]) if b > a]
     y, n = np.array(labels, dtype=float), np.array(weights, dtype=float)
-    theta = np.zeros(len(index) + 1)
-    theta[-1] = START_BIAS
+    cost = SPARSITY * float(n[y > 0].mean()) if y.any() else 0.0
+    theta = np.zeros(len(index) + 2)  # features, bias, leak
+    theta[-2:] = START_BIAS, START_LEAK
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    for step in range(1, ROUNDS + 1 if len(sentence_sizes) else 1):
-        z = np.bincount(of_sentence, weights=theta[f], minlength=len(sentence_sizes)) + theta[-1]
+    for step in range(1, ROUNDS + 1 if len(sizes) else 1):
+        bias, leak = 1 / (1 + np.exp(-np.clip(theta[-2:], -30, 30)))
+        z = np.full(len(sizes), theta[-2])
+        for of, own in runs:
+            here = np.repeat(np.arange(of.stop - of.start), sizes[of])
+            z[of] += np.bincount(here, weights=theta[f[own]], minlength=of.stop - of.start)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        clean = np.exp(np.bincount(of_doc, weights=np.log1p(-p), minlength=len(y)))
+        # The logarithms of 1 - p above the bias's, and of no leak.
+        clean = (1 - leak) * np.exp(np.bincount(of_doc, weights=np.log1p(-p) - np.log1p(-bias), minlength=len(y)))
         slope = np.where(y > 0, -clean / np.maximum(1 - clean, 1e-9), 1.0) * n
         dz = slope[of_doc] * p
-        grad = np.append(np.bincount(f, weights=dz[of_sentence], minlength=len(index)), dz.sum()) / n.sum()
-        grad[:-1] += RIDGE * theta[:-1]
+        grad = np.zeros_like(theta)
+        for of, own in runs:
+            grad[:-2] += np.bincount(f[own], weights=np.repeat(dz[of], sizes[of]), minlength=len(index))
+        grad[-2:] = (dz - slope[of_doc] * bias).sum(), slope.sum() * leak
+        grad[:-2] += cost
+        grad /= n.sum()
+        grad[:-2] += RIDGE * theta[:-2]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         theta -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        np.maximum(theta[:-1], 0, out=theta[:-1])
-    return Model({x: float(theta[i]) for x, i in index.items() if theta[i]}, float(theta[-1]))
+        np.maximum(theta[:-2], 0, out=theta[:-2])
+    return Model({x: float(theta[i]) for x, i in index.items() if theta[i]}, float(theta[-2]))
 
 
-def train(documents: DataFrame, labels: DataFrame, *, held_out: tuple[int, int] = HELD_OUT, max_rows: int = MAX_TRAIN_ROWS) -> Model:
-    """Learns from labelled documents outside the held-out fold.
+def train(documents: DataFrame, labels: DataFrame, *, held_out: tuple[int, int] = HELD_OUT, max_rows: int = MAX_TRAIN_ROWS, max_chars: int = MAX_TRAIN_CHARS) -> Model:
+    """Learns from labelled documents outside the held-out fold, whole texts.
 
     A document with several labels is toxic if one says so; null labels, ids
-    and texts teach nothing. Without any label the model says START_BIAS for
-    every sentence.
+    and texts teach nothing. Without any label every sentence scores 0.
     """
     given = labels.where("doc_id is not null and toxic is not null").where(~in_fold(F.col("doc_id"), *held_out))
     given = given.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in given.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     rate = {k: min(1.0, max_rows / n) for k, n in counts.items()}
-    keep: Column = F.lit(False)
-    for k, r in sorted(rate.items()):
-        keep = keep | ((F.col("toxic") == k) & (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < r * 1_000_000))
-    # The sample's ids are bounded by max_rows, so they go to every task.
-    sample = documents.select("doc_id", "text").join(F.broadcast(given.where(keep)), "doc_id")
-    rows = sample.where((F.length("text") > 0) & (F.length("text") <= MAX_TRAIN_CHARS)).orderBy("doc_id", "text").collect()
+
+    def sample() -> DataFrame:
+        keep: Column = F.lit(False)
+        for k, r in sorted(rate.items()):
+            keep = keep | ((F.col("toxic") == k) & (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < r * 1_000_000))
+        # The sample's ids are bounded by max_rows, so they go to every task.
+        return documents.select("doc_id", "text").join(F.broadcast(given.where(keep)), "doc_id").where(F.length("text") > 0)
+
+    # Long texts lower the share of rows, long and short alike.
+    chars = {r["toxic"]: r["n"] for r in sample().groupBy("toxic").agg(F.sum(F.length("text")).alias("n")).collect()}
+    for k, n in chars.items():
+        rate[k] *= min(1.0, max_chars / 2 / n)
+    rows = sample().orderBy("doc_id", "text").collect()
     return fit([r["text"] for r in rows], [r["toxic"] for r in rows], [1 / rate[r["toxic"]] for r in rows])
 
 

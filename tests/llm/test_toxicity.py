@@ -64,3 +64,32 @@ def test_training_without_labels_and_odd_labels(spark):
     assert none.text_score("a b.") < 0.01
     odd = spark.createDataFrame([(1, None), (None, 1), (3, 1), (4, 0), (4, 1)], "doc_id long, toxic int")
     assert 0 <= toxicity.train(docs, odd).text_score("x") <= 1
+
+
+def test_length_alone_is_not_toxic(model):
+    clean = " ".join(t for _, t, y in make(12000, 7) if not y)
+    spans, p = model.sentence_scores(clean)
+    assert len(spans) > 40000 and model.text_score(clean) < 0.1
+    at = spans[len(spans) // 2][0]
+    assert model.text_score(clean[:at] + "you scumbag word2. " + clean[at:]) >= 0.5
+    assert model.text_score("Nothing to say. " * 100000) == 0
+
+
+def test_clean_given_texts_joined_stay_clean(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    given = toxicity.train(docs, labels)
+    texts = [r.text for r in docs.join(labels.where("toxic = 0"), "doc_id").where("text is not null").orderBy("doc_id", "text").collect()]
+    joined = "\n".join(t for t in texts if given.text_score(t) < 0.02) * 5
+    assert len(toxicity.sentences(joined)) > 20000 and given.text_score(joined) < 0.5
+
+
+def test_long_texts_are_trained_on(spark):
+    # "odd" stands in every toxic text, but the long clean ones say that it is harmless.
+    rows = [(i, "odd scumbag here.", 1) for i in range(60)] + [(100 + i, "odd word here. " * 20000, 0) for i in range(10)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert model.text_score("odd scumbag here.") >= 0.5 and model.text_score("odd here.") < 0.01
+    few = toxicity.train(docs, labels, max_chars=1_000_000)  # fewer rows, not shorter ones
+    assert few.text_score("odd here.") < 0.01
