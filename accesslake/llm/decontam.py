@@ -197,7 +197,7 @@ def _with_size(documents: DataFrame, items: DataFrame, k: int, n_shingles: int,
     weights = counted.groupBy(*window_key, "x.h").agg(F.sum("x.w").alias("w"), F.sum("x.i").alias("i"))
     similar = weights.groupBy(*window_key).agg((F.sum(F.least("w", "i")) / F.sum(F.greatest("w", "i"))).alias("similarity"))
     return similar.where(F.col("similarity") >= threshold).select(
-        "doc_id", "item_id", "similarity", F.col("start").cast("bigint").alias("start_word"), (F.col("n_window") + k - 1).cast("bigint").alias("n_words")
+        "doc_id", "row_key", "item_id", "similarity", F.col("start").cast("bigint").alias("start_word"), (F.col("n_window") + k - 1).cast("bigint").alias("n_words")
     )
 
 
@@ -208,9 +208,12 @@ def leaks(
     threshold: float = THRESHOLD,
     shingle_words: int = SHINGLE_WORDS,
     radius: int = RADIUS,
+    by_text: bool = False,
 ) -> DataFrame:
     """One row for each document and benchmark item it holds: doc_id, item_id,
     similarity and place (start_word, n_words; the first among the best windows).
+    With `by_text`, one row for each document id, text and item: column row_hash,
+    the text's xxhash64, follows doc_id.
 
     Null and blank texts, of documents or items, match nothing. An item of
     fewer words than a shingle is one shingle of its own length. A document
@@ -230,11 +233,12 @@ def leaks(
         of_k = _once(items.where(F.col("k") == k), "hashes", shingles("words", k)).select("item_id", "hashes", F.size("hashes").alias("m"))
         found.append(_with_size(docs, of_k, k, sum(r["n"] * r["m"] for r in own), sorted(r["m"] for r in own), threshold, radius))
     if not found:
-        kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c, df in (("doc_id", documents), ("item_id", benchmark)))
-        return documents.sparkSession.createDataFrame([], f"{kinds}, similarity double, start_word long, n_words long")
+        doc, item = (f"{c} {df.schema[c].dataType.simpleString()}" for c, df in (("doc_id", documents), ("item_id", benchmark)))
+        return documents.sparkSession.createDataFrame([], f"{doc}, {'row_hash long, ' if by_text else ''}{item}, similarity double, start_word long, n_words long")
     every = reduce(DataFrame.unionByName, found)
     best = F.max_by(F.struct("similarity", "start_word", "n_words"), F.struct("similarity", -F.col("start_word")))
-    return every.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
+    key = ["doc_id", *(["row_hash"] if by_text else []), "item_id"]
+    return every.withColumnRenamed("row_key", "row_hash").groupBy(*key).agg(best.alias("best")).select(*key, "best.*")
 
 
 # DuckDB: every window of each document that shares a shingle with an item,

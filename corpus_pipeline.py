@@ -66,8 +66,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without a passage of the benchmark."""
-    leaks = decontam.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return _minus(docs, leaks, {"doc_id": F.col("doc_id")})
+    leaks = decontam.leaks(docs, table(spark, sf_dir, "benchmark"), by_text=True).select("doc_id", "row_hash").distinct()
+    return _minus(docs, leaks, {"doc_id": F.col("doc_id"), "row_hash": F.xxhash64("text")})
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,12 @@ def test_empty_tables(spark, tmp_path):
     for t, schema in (("documents", docs.schema), ("labels", "doc_id long, toxic int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_leaks_are_dropped_by_id_and_text(spark, tmp_path):
+    leak = " ".join(f"item{i}" for i in range(30))
+    clean = [(None, "clean text of no id that stays here"), (None, None), (7, "another clean text of a repeated id"), (8, "alone")]
+    docs = spark.createDataFrame([(None, "so " + leak), (7, leak + " end"), (9, leak), *clean], "doc_id long, text string").repartition(3)
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = corpus_pipeline.drop_benchmark(spark, docs, str(tmp_path)).collect()
+    assert sorted(map(tuple, left), key=str) == sorted(clean, key=str)
