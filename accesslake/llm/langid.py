@@ -32,8 +32,11 @@ MAX_TRAIN_ROWS = 2_000
 EM_ROUNDS = 2
 # Added to every expected count.
 SMOOTHING = 0.01
-# Longer words are scored as consecutive words of this many characters.
+# Longer words are worked apart, by logarithms, this many characters of so many
+# words (or of so many characters in all, when every place is kept) at once.
 MAX_WORD_CHARS = 32
+CHARS_AT_ONCE = 512
+LONG_WORDS_AT_ONCE, LONG_CHARS_AT_ONCE = 500, 4_000_000
 KEPT_WORDS = 800_000
 WORDS_AT_ONCE = 16_000
 # Probabilities are multiplied by this for each character, so that a word's stay
@@ -88,7 +91,9 @@ class Lattice:
         word = np.repeat(np.arange(len(words)), sizes + 1)[end - 1]
         end = end - starts[word]
         length = self.lengths[piece]
-        order = np.argsort((end * (MAX_WORD_CHARS + 1) + length).astype(np.int16), kind="stable")
+        base = int(self.lengths.max()) + 1
+        key = end * base + length
+        order = np.argsort(key.astype(np.int16) if (max(map(len, words), default=0) + 1) * base < 1 << 15 else key, kind="stable")
         return word[order], (end - length)[order], end[order], piece[order]
 
     @staticmethod
@@ -112,12 +117,89 @@ class Lattice:
             alpha[end[s.start]][w] += alpha[start[s.start]][w] * p[piece[s]]
         return alpha
 
+    def _long(self, words: list[str], limit: int) -> Iterator[tuple[list[int], np.ndarray]]:
+        """Numbers and sizes of the words over MAX_WORD_CHARS, longest first, some at a time."""
+        left = sorted((i for i, w in enumerate(words) if len(w) > MAX_WORD_CHARS), key=lambda i: -len(words[i]))
+        while left:
+            n = max(1, min(LONG_WORDS_AT_ONCE, limit // len(words[left[0]])))
+            yield left[:n], np.array([len(words[i]) for i in left[:n]])
+            left = left[n:]
+
+    def _edges_from(self, words: list[str], at: int) -> tuple[np.ndarray, ...]:
+        """Edges that end at the next CHARS_AT_ONCE places after `at`; words come longest first."""
+        low = max(0, at - int(self.lengths.max()))
+        some = [w[low : at + CHARS_AT_ONCE] for w in words if len(w) > at]
+        word, start, end, piece = self.edges(some)
+        own = end + low > at
+        return word[own], start[own] + low, end[own] + low, piece[own]
+
+    def _logs(self, p: np.ndarray) -> np.ndarray:
+        return np.log(p) - self.lengths[:, None] * np.log(SCALE)
+
+    def _long_log_probability(self, words: list[str], sizes: np.ndarray, logp: np.ndarray) -> np.ndarray:
+        """As `log_probability` for long words: only the places that a piece reaches back to are kept."""
+        back = int(self.lengths.max())
+        out = np.zeros((len(words), logp.shape[1]))
+        alpha = np.full((back + CHARS_AT_ONCE + 1, len(words), logp.shape[1]), -np.inf)
+        alpha[back] = 0
+        for at in range(0, int(sizes[0]), CHARS_AT_ONCE):  # row `back` is place `at`
+            word, start, end, piece = self._edges_from(words, at)
+            start, end = start - at + back, end - at + back
+            for s in self._steps(start, end):
+                w = word[s]
+                alpha[end[s.start]][w] = np.logaddexp(alpha[end[s.start]][w], alpha[start[s.start]][w] + logp[piece[s]])
+            done = np.nonzero((sizes > at) & (sizes <= at + CHARS_AT_ONCE))[0]
+            out[done] = alpha[sizes[done] - at + back, done]
+            alpha[: back + 1] = alpha[CHARS_AT_ONCE:].copy()
+            alpha[back + 1 :] = -np.inf
+        return out
+
+    def _long_expected(self, words: list[str], sizes: np.ndarray, weights: np.ndarray, logp: np.ndarray) -> np.ndarray:
+        """As `expected` for long words."""
+        alpha = np.full((int(sizes[0]) + 1, len(words)), -np.inf)
+        beta = alpha.copy()
+        alpha[0] = 0
+        beta[sizes, np.arange(len(words))] = 0
+        places = range(0, int(sizes[0]), CHARS_AT_ONCE)
+        for at in places:
+            word, start, end, piece = self._edges_from(words, at)
+            for s in self._steps(start, end):
+                w = word[s]
+                alpha[end[s.start]][w] = np.logaddexp(alpha[end[s.start]][w], alpha[start[s.start]][w] + logp[piece[s]])
+        total = alpha[sizes, np.arange(len(words))]
+        out = np.zeros(len(self.lengths))
+        for at in reversed(places):
+            word, start, end, piece = self._edges_from(words, at)
+            for s in reversed(self._steps(start, end)):
+                w = word[s]
+                beta[start[s.start]][w] = np.logaddexp(beta[start[s.start]][w], beta[end[s.start]][w] + logp[piece[s]])
+            share = np.exp(alpha[start, word] + logp[piece] + beta[end, word] - total[word]) * weights[word]
+            out += np.bincount(piece, weights=share, minlength=len(out))
+        return out
+
     def log_probability(self, words: list[str], p: np.ndarray) -> np.ndarray:
+        """Logarithm of the sum over all segmentations of each word: (word, language)."""
+        if any(len(w) > MAX_WORD_CHARS for w in words):
+            out = np.zeros((len(words), p.shape[1]))
+            short = [i for i, w in enumerate(words) if len(w) <= MAX_WORD_CHARS]
+            if short:
+                out[short] = self.log_probability([words[i] for i in short], p)
+            logp = self._logs(p)
+            for some, sizes in self._long(words, 1 << 62):
+                out[some] = self._long_log_probability([words[i] for i in some], sizes, logp)
+            return out
         sizes = np.array([len(w) for w in words])
         return np.log(self.forward(words, p)[sizes, np.arange(len(words))]) - sizes[:, None] * np.log(SCALE)
 
     def expected(self, words: list[str], weights: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Expected count of each piece in one language (`p`: one column)."""
+        if any(len(w) > MAX_WORD_CHARS for w in words):
+            short = [i for i, w in enumerate(words) if len(w) <= MAX_WORD_CHARS]
+            out = self.expected([words[i] for i in short], weights[short], p) if short else np.zeros(len(self.lengths))
+            logp = self._logs(p)[:, 0]
+            for some, sizes in self._long(words, LONG_CHARS_AT_ONCE):
+                out = out + self._long_expected([words[i] for i in some], sizes, weights[some], logp)
+            return out
         edges = self.edges(words)
         word, start, end, piece = edges
         alpha = self.forward(words, p, edges)[:, :, 0]
@@ -136,12 +218,6 @@ def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
-def units_of(word: str) -> list[str]:
-    """What the model scores of a word: it with its start mark, in runs of MAX_WORD_CHARS."""
-    w = WORD_START + word
-    return [w] if len(w) <= MAX_WORD_CHARS else [w[i : i + MAX_WORD_CHARS] for i in range(0, len(w), MAX_WORD_CHARS)]
-
-
 def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
@@ -183,14 +259,10 @@ def train(documents: DataFrame, pieces: list[str], *, held_out: tuple[int, int]
                     for t in part["text"]:
                         if has_letter(t):
                             words.update(words_of(t))
-                    counts: Counter[str] = Counter()
-                    for w, n in words.items():
-                        for unit in units_of(w):
-                            counts[unit] += n
-                    found = sorted(counts)
+                    found = sorted(words)
                     for at in range(0, len(found), WORDS_AT_ONCE):
                         some = found[at : at + WORDS_AT_ONCE]
-                        got = lattice.expected(some, np.array([counts[w] for w in some], dtype=float), table)
+                        got = lattice.expected([WORD_START + w for w in some], np.array([words[w] for w in some], dtype=float), table)
                         totals[lang] = totals.get(lang, 0) + got
             for lang, got in totals.items():
                 seen = np.nonzero(got)[0]
@@ -232,9 +304,7 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
                 new = list(set().union(*words).difference(index))
                 found = [table]
                 for k in range(0, len(new), WORDS_AT_ONCE):
-                    units = [units_of(w) for w in new[k : k + WORDS_AT_ONCE]]
-                    each = m.lattice.log_probability(list(chain.from_iterable(units)), m.scaled)
-                    found.append(np.add.reduceat(each, np.cumsum([0, *map(len, units)])[:-1], axis=0))
+                    found.append(m.lattice.log_probability([WORD_START + w for w in new[k : k + WORDS_AT_ONCE]], m.scaled))
                 index.update(zip(new, range(len(index), len(index) + len(new))))
                 table = np.concatenate(found)
                 langs, scores = [], []

@@ -61,3 +61,44 @@ def test_nothing_to_learn_from(spark, pieces):
     docs = spark.createDataFrame([(1, "word", None), (2, None, "en")], "doc_id long, text string, lang string")
     model = langid.train(docs, pieces)
     assert [r.lang_pred for r in langid.identify(docs, model).collect()] == ["und", "und"]
+
+
+def test_long_words_are_whole(pieces, monkeypatch):
+    lattice = langid.Lattice(["▁", "a", "b", "ab", "aba", "▁a", "ba", "bab"])
+    rng = np.random.default_rng(2)
+    scaled = lattice.scaled(np.log(rng.dirichlet(np.ones(9), 2).T))
+    words = ["▁" + "".join(rng.choice(list("abc"), n)) for n in (31, 32, 33, 40, 70, 200, 3, 513, 1100)]
+    weights = np.arange(1.0, len(words) + 1)
+    got, counts = lattice.log_probability(words, scaled), lattice.expected(words, weights, scaled[:, :1])
+    # Word by word, by plain sums with exact integers in place of floats.
+    from fractions import Fraction
+    p = [[Fraction(float(x / langid.SCALE ** int(n))) for x in row] for row, n in zip(scaled, lattice.lengths)]
+    for w, row in zip(words, got):
+        for lang in range(2):
+            alpha = [Fraction(1)]
+            for e in range(1, len(w) + 1):
+                alpha.append(sum((alpha[e - len(x)] * p[i][lang] for i, x in enumerate(lattice.pieces) if len(x) <= e and w[e - len(x) : e] == x), alpha[e - 1] * p[-1][lang] if w[e - 1] == "c" else Fraction(0)))
+            top, bottom = alpha[-1].numerator, alpha[-1].denominator
+            assert abs(row[lang] - (float(np.log(top >> max(0, top.bit_length() - 60))) + max(0, top.bit_length() - 60) * np.log(2)
+                                    - float(np.log(bottom >> max(0, bottom.bit_length() - 60))) - max(0, bottom.bit_length() - 60) * np.log(2))) < 1e-6
+    # The pieces of all segmentations cover each word once.
+    assert np.isclose((counts * lattice.lengths).sum(), sum(len(w) * n for w, n in zip(words, weights)))
+    # The two ways agree on short words.
+    short = [w[:20] for w in words]
+    plain = lattice.log_probability(short, scaled), lattice.expected(short, weights, scaled[:, :1])
+    monkeypatch.setattr(langid, "MAX_WORD_CHARS", 0)
+    monkeypatch.setattr(langid, "CHARS_AT_ONCE", 7)
+    assert np.allclose(lattice.log_probability(short, scaled), plain[0]) and np.allclose(lattice.expected(short, weights, scaled[:, :1]), plain[1])
+
+
+def test_a_word_over_a_cut_is_not_cut(spark, pieces):
+    docs = spark.createDataFrame([(i, t, x) for i in range(20) for t, x in (("the man and the house", "en"), ("der mann und das haus", "de"))], "doc_id long, text string, lang string")
+    model = langid.train(docs, pieces)
+    word = "theman" * 9
+    out = langid.identify(spark.createDataFrame([(1, word)], "doc_id long, text string"), model).collect()[0]
+    alpha = [np.zeros(2)]
+    w, logp = "▁" + word, np.log(model.scaled) - model.lattice.lengths[:, None] * np.log(langid.SCALE)
+    known = {x: i for i, x in enumerate(pieces)}
+    for e in range(1, len(w) + 1):
+        alpha.append(np.logaddexp.reduce([alpha[e - n] + logp[known[w[e - n : e]]] for n in range(1, e + 1) if w[e - n : e] in known], axis=0))
+    assert out.lang_pred == "en" and np.isclose(1 - out.score, 1 - 1 / np.exp(alpha[-1] - alpha[-1].max()).sum(), rtol=1e-3)
