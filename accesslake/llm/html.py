@@ -3,12 +3,19 @@
 Tokens are elements and runs of text, told apart by the path of elements around
 them, so that a token occurs only inside its ancestors. Over the pages of a
 host, tokens with the same occurrence vector (how often each occurs on each
-page) form an equivalence class. Classes that are frequent (a share of the
-host's pages) and large enough are the host's template; being told apart by
-path they nest. Text runs of the template are its fixed words; what is left are
-slots. A page's main text is what stands in the slots of its article: named so
-by an element (article, main), or else the template's container that holds most
-running text. Slots inside menus, adverts, forms and the like are left out.
+page) form an equivalence class. A class is part of a template when it holds an
+element and its pages differ in content; any two pages can share one, and a
+host has as many templates as its pages have designs. Being told apart by path,
+classes nest. Text runs of a class are fixed words; what is left are slots. A
+page's main text is what stands in the container that holds most varying running
+text, on average over its pages. Names of elements and classes label slots:
+parts inside the container that are menus, adverts, forms and the like are left
+out, and a container inside an article (or main) stands for all of that. Only a
+page without a template's container goes by names alone.
+
+Pages that copy one another share their text as pages of one design share
+fixed text. Each page has SKETCHES drawn text runs, long ones likelier; tokens
+whose pages agree on most of them are on copies of one content, and no template.
 
 Occurrence vectors are never gathered: each is kept as the sum of one hash per
 page and count, so a host with a third of all pages is a sum like any other.
@@ -17,8 +24,10 @@ page and count, so a host with a third of all pages is a sum like any other.
 from __future__ import annotations
 
 import html
+import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -28,11 +37,10 @@ from pyspark.sql import functions as F
 
 from accesslake.llm.common import carried, materialize, restored
 
-# A class is part of the template when it has at least this many tokens, on at
-# least this many pages, and on this share of the host's pages.
+# A class with fixed text has at least this many tokens.
 MIN_CLASS_TOKENS = 3
-MIN_PAGES = 20
-MIN_SHARE = 0.8
+# Text runs drawn for each page, and how many agree on copies of one content.
+SKETCHES, COPIES_AGREE = 4, 3
 # Template rows (one a host) that are broadcast: up to this many template tokens.
 MAX_BROADCAST_TOKENS = 2_000_000
 
@@ -77,17 +85,19 @@ def token(path: str, text: str | None = None) -> int:
 class Block:
     """A run of text between block borders."""
 
-    __slots__ = ("path", "text", "region", "dropped", "link_chars")
+    __slots__ = ("path", "text", "region", "dropped", "link_chars", "labels")
 
-    def __init__(self, path: str, text: str, region: str, dropped: bool, link_chars: int):
-        self.path, self.text, self.region, self.dropped, self.link_chars = path, text, region, dropped, link_chars
+    def __init__(self, path: str, text: str, region: str, dropped: bool, link_chars: int, labels: tuple):
+        self.path, self.text, self.region, self.dropped, self.link_chars, self.labels = path, text, region, dropped, link_chars, labels
 
 
 def parse(source: str) -> tuple[list[Block], list[str]]:
     """Blocks of a page in order, and the paths of its block elements."""
     # Open block elements: name, path, region (article, main or ''), dropped,
     # and whether that is for good (an element's kind or comments, not a class name).
-    stack: list[tuple[str, str, str, bool, bool]] = [("", "", "", False, False)]
+    # Last, the labels: (path, opens a region, named as no article text, for good)
+    # of the elements that have one.
+    stack: list[tuple[str, str, str, bool, bool, tuple]] = [("", "", "", False, False, ())]
     blocks: list[Block] = []
     paths: list[str] = []
     parts: list[str] = []
@@ -98,8 +108,8 @@ def parse(source: str) -> tuple[list[Block], list[str]]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                _, path, region, dropped, _ = stack[-1]
-                blocks.append(Block(path, text, region, dropped, links))
+                _, path, region, dropped, _, labels = stack[-1]
+                blocks.append(Block(path, text, region, dropped, links, labels))
             parts.clear()
         links = 0
 
@@ -148,7 +158,7 @@ def parse(source: str) -> tuple[list[Block], list[str]]:
         closes = CLOSED_BY.get(name, ())
         while stack[-1][0] == "p" or stack[-1][0] in closes:
             stack.pop()
-        _, above, region, dropped, final = stack[-1]
+        _, above, region, dropped, final, labels = stack[-1]
         named = {k.lower(): (a or b or c or "").lower() for k, a, b, c in _NAMED.findall(m["attrs"] or "")}
         words = set(_NAME_WORD.findall(" ".join((named.get("class", ""), named.get("id", ""), named.get("role", "")))))
         label = name + "".join("." + w for w in sorted(words))
@@ -159,9 +169,12 @@ def parse(source: str) -> tuple[list[Block], list[str]]:
         if opens and not final:
             dropped = False  # a wrapper's class says nothing about the article in it
             region = "article" if name == "article" or region == "article" else "main"
-        final = final or name in DROPPED or "hidden" in named or bool(words & COMMENT_NAMES) or (name == "header" and not region)
+        own = name in DROPPED or "hidden" in named or bool(words & COMMENT_NAMES) or (name == "header" and not region)
+        final = final or own
         inside = words & PART_NAMES - ({"header"} if region else set())
-        stack.append((name, path, region, dropped or final or bool(inside), final))
+        if opens or own or inside:
+            labels = (*labels, (path, opens, bool(own or inside), own))
+        stack.append((name, path, region, dropped or final or bool(inside), final, labels))
         paths.append(path)
     flush()
     return blocks, paths
@@ -171,71 +184,123 @@ def _vector_hash(page: int, count: int) -> int:
     return xxhash.xxh3_64_intdigest(f"{page}:{count}")
 
 
+def _sketch(blocks: list[Block]) -> list[int]:
+    """SKETCHES text runs, each drawn with a chance by its length and alike on every page."""
+    drawn = [(math.inf, 0)] * SKETCHES
+    for text in {b.text for b in blocks}:
+        for k in range(SKETCHES):
+            h = xxhash.xxh3_64_intdigest(text, seed=k)
+            drawn[k] = min(drawn[k], (-math.log((h + 1) / 2.0**64) / len(text), h >> 1))
+    return [h for _, h in drawn]
+
+
+def _final(b: Block) -> bool:
+    """Whether an element around the block is no article text for good, and no wrapper by its class."""
+    return any(final for *_, final in b.labels)
+
+
 def _tokens(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per batch and host: each token's occurrence-vector sums."""
+    """Per batch and host: each token's occurrence-vector sums, and the least and
+    greatest of its pages' sketches. `holder` is the nearest element above a text
+    run's element that stands once on the page; running text (`chars`) counts to it."""
     for pdf in it:
         sums: dict[tuple, list] = {}
         for host, page, source in zip(pdf["host"], pdf["page"], pdf["html"]):
             blocks, paths = parse(source if isinstance(source, str) else "")
-            counts: dict[tuple[int, bool, int], list[int]] = {}
-            for p in paths:
-                counts.setdefault((token(p), False, 0), [0, 0])[0] += 1
+            on_page = Counter(paths)
+            counts: dict[tuple[int, bool], list[int]] = {(token(p), False): [n, 0, 0] for p, n in on_page.items()}
             for b in blocks:
-                here = counts.setdefault((token(b.path, b.text), True, 0), [0, 0])
+                holder = b.path.rpartition("/")[0]
+                while on_page[holder] > 1:
+                    holder = holder.rpartition("/")[0]
+                above = token(holder)
+                chars = 0 if _final(b) else len(b.text) - 2 * b.link_chars
+                here = counts.setdefault((token(b.path, b.text), True), [0, 0, above])
                 here[0] += 1
-                if not b.dropped:  # running text of the element that holds the block's element
-                    above = b.path.rpartition("/")[0]
-                    holder = counts.setdefault((token(above), False, 0), [0, 0])
-                    holder[1] += len(b.text) - 2 * b.link_chars
-            counts[0, False, 0] = [1, 0]
-            for key, (n, chars) in counts.items():
+                here[1] += chars
+                if (above, False) in counts:
+                    counts[above, False][1] += chars
+            sketch = _sketch(blocks)
+            for key, (n, chars, above) in counts.items():
                 v = _vector_hash(page, n)
-                s = sums.setdefault((host, *key[:2]), [0, 0, 0, 0, 0])
+                s = sums.setdefault((host, *key), [0, 0, 0, 0, 0, sketch, sketch, above])
                 s[0] += v >> 32
                 s[1] += v & 0xFFFFFFFF
-                s[2] += n > 0
+                s[2] += 1
                 s[3] += n
                 s[4] += chars
-        rows = [(h, t, x, *s) for (h, t, x), s in sums.items()]
-        yield pd.DataFrame(rows, columns=["host", "token", "is_text", "high", "low", "pages", "total", "chars"])
+                s[7] = max(s[7], above)
+                if s[5] != sketch or s[6] != sketch:
+                    s[5], s[6] = list(map(min, s[5], sketch)), list(map(max, s[6], sketch))
+        rows = [(*key, s[7], *s[:5], *s[5], *s[6]) for key, s in sums.items()]
+        yield pd.DataFrame(rows, columns=["host", "token", "is_text", "holder", *_SUMS, *_LEAST, *_GREATEST])
+
+
+_SUMS = ["high", "low", "pages", "total", "chars"]
+_LEAST, _GREATEST = [f"least_{k}" for k in range(SKETCHES)], [f"greatest_{k}" for k in range(SKETCHES)]
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """One row per host with a template: host, `fixed` (tokens of fixed text) and
-    `container` (the element that holds most running text, or null).
+    `containers` (elements that hold varying running text, most first).
 
     `pages`: host, page (a number unlike that of any other page), html.
     """
-    counted = pages.mapInPandas(_tokens, "host string, token long, is_text boolean, high long, low long, pages long, total long, chars long")
-    tokens = counted.groupBy("host", "token", "is_text").agg(*[F.sum(c).alias(c) for c in ("high", "low", "pages", "total", "chars")])
-    tokens = materialize(tokens.where(F.col("pages") >= MIN_PAGES), "tokens")
-    of_host = tokens.where("token = 0").select("host", F.col("pages").alias("host_pages"))
-    frequent = tokens.where("token != 0").join(of_host, "host").where(F.col("pages") >= MIN_SHARE * F.col("host_pages"))
+    columns = ", ".join(f"{c} long" for c in ("holder", *_SUMS, *_LEAST, *_GREATEST))
+    counted = pages.mapInPandas(_tokens, f"host string, token long, is_text boolean, {columns}")
+    tokens = counted.groupBy("host", "token", "is_text").agg(
+        F.max("holder").alias("holder"), *[F.sum(c).alias(c) for c in _SUMS], *[F.min(c).alias(c) for c in _LEAST], *[F.max(c).alias(c) for c in _GREATEST]
+    )
+    agree = sum((F.col(a) == F.col(b)).cast("int") for a, b in zip(_LEAST, _GREATEST))
+    tokens = tokens.where((F.col("pages") >= 2) & (agree < COPIES_AGREE)).select("host", "token", "is_text", "holder", *_SUMS)
+    tokens = materialize(tokens, "tokens")
     vector = ["host", "high", "low", "pages", "total"]
-    classes = frequent.groupBy(*vector).agg(F.count("*").alias("size")).where(F.col("size") >= MIN_CLASS_TOKENS)
-    valid = frequent.join(classes.drop("size"), vector)
-    container = F.max_by(F.when((F.col("chars") > 0) & ~F.col("is_text"), F.col("token")), F.when(~F.col("is_text"), F.struct("chars", "token")))
-    return valid.groupBy("host").agg(F.collect_set(F.when(F.col("is_text"), F.col("token"))).alias("fixed"), container.alias("container"))
-
-
-def main_text(source: str, fixed: frozenset[int] = frozenset(), container: int | None = None) -> str:
+    classes = tokens.groupBy(*vector).agg(F.count("*").alias("size"), F.sum((~F.col("is_text")).cast("int")).alias("elements"))
+    classes = classes.where(F.col("elements") > 0)
+    fixed = tokens.where("is_text").join(classes.where(F.col("size") >= MIN_CLASS_TOKENS).select(*vector), vector)
+    of_holder = fixed.groupBy("host", F.col("holder").alias("token")).agg(F.sum("chars").alias("fixed_chars"))
+    # An element that stands once on each of its pages is a place of the template.
+    held = tokens.where(~F.col("is_text") & (F.col("pages") == F.col("total"))).join(of_holder, ["host", "token"], "left")
+    varying = F.col("chars") - F.coalesce("fixed_chars", F.lit(0))
+    held = held.where(varying > 0).groupBy("host").agg(F.sort_array(F.collect_list(F.struct((varying / F.col("pages")).alias("chars"), "token")), asc=False)["token"].alias("containers"))
+    return held.join(fixed.groupBy("host").agg(F.collect_set("token").alias("fixed")), "host", "left")
+
+
+def main_text(source: str, fixed: frozenset[int] = frozenset(), containers: Sequence[int] = ()) -> str:
     """The article's blocks joined by a blank line.
 
-    Fixed text of the template is left out, unless nothing else is there.
+    Fixed text of the template is left out, unless nothing else is there. The
+    first of `containers` that the page holds decides the place; without one,
+    the names of elements and classes do.
     """
     blocks, _ = parse(source)
-    blocks = [b for b in blocks if not b.dropped]
-    for region in ("article", "main"):
-        if own := [b for b in blocks if b.region == region]:
-            blocks = own
-            break
-    else:
-        if container is not None:
-            inside = [b for b in blocks if any(token(p) == container for p in _above(b.path))]
-            blocks = inside or blocks
+    own = _inside(blocks, fixed, containers)
+    if not own:
+        own = [b for b in blocks if not b.dropped]
+        for region in ("article", "main"):
+            if of_region := [b for b in own if b.region == region]:
+                own = of_region
+                break
     if fixed:
-        blocks = [b for b in blocks if token(b.path, b.text) not in fixed] or blocks
-    return "\n\n".join(b.text for b in blocks)
+        own = [b for b in own if token(b.path, b.text) not in fixed] or own
+    return "\n\n".join(b.text for b in own)
+
+
+def _inside(blocks: list[Block], fixed: frozenset[int], containers: Sequence[int]) -> list[Block]:
+    """Blocks in the page's container, or in the article around it, without the parts labelled within."""
+    if not len(containers):
+        return []
+    above = {path: {token(p): p for p in _above(path)} for path in {b.path for b in blocks}}
+    for c in containers:
+        holding = [b for b in blocks if c in above[b.path] and not _final(b)]
+        if all(token(b.path, b.text) in fixed for b in holding):
+            continue
+        place = above[holding[0].path][c]
+        regions = [path for path, opens, *_ in holding[0].labels if opens and (place == path or place.startswith(path + "/"))]
+        place = regions[-1] if regions else place
+        within = [b for b in blocks if b.path == place or b.path.startswith(place + "/")]
+        return [b for b in within if not any(part and path.startswith(place + "/") for path, _, part, _ in b.labels)]
+    return []
 
 
 def _above(path: str) -> Iterator[str]:
@@ -255,16 +320,16 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     host = F.lower(F.regexp_extract(F.coalesce(url_col, F.lit("")), _HOST, 1))
     rows = pages.select(carried(id_col), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
     found = materialize(templates(rows.select("host", F.xxhash64("id", "url").alias("page"), "html")), "templates")
-    size = found.agg(F.sum(F.size("fixed") + 10)).first()[0] or 0
+    size = found.agg(F.sum(F.size(F.coalesce("fixed", F.array().cast("array<bigint>"))) + F.size("containers") + 10)).first()[0] or 0
     joined = rows.join(F.broadcast(found) if size <= MAX_BROADCAST_TOKENS else found, "host", "left")
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             texts = []
-            for source, fixed, container in zip(pdf["html"], pdf["fixed"], pdf["container"]):
+            for source, fixed, containers in zip(pdf["html"], pdf["fixed"], pdf["containers"]):
                 known = frozenset(fixed.tolist()) if isinstance(fixed, np.ndarray) else frozenset()
-                texts.append(main_text(source if isinstance(source, str) else "", known, None if pd.isna(container) else int(container)))
+                texts.append(main_text(source if isinstance(source, str) else "", known, containers.tolist() if isinstance(containers, np.ndarray) else ()))
             yield pd.DataFrame({"id": pdf["id"].to_numpy(), "url": pdf["url"].to_numpy(), "text": texts, "n_chars": [len(t) for t in texts]})
 
-    out = joined.select("id", "url", "html", "fixed", F.col("container").cast("string")).mapInPandas(run, "id string, url string, text string, n_chars long")
+    out = joined.select("id", "url", "html", "fixed", "containers").mapInPandas(run, "id string, url string, text string, n_chars long")
     return restored(out, id_col, pages).withColumnRenamed("url", url_col)

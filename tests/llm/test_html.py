@@ -49,3 +49,47 @@ def test_odd_rows(spark):
 def test_given_pages(spark):
     out = html.extract(spark.read.parquet("/root/testdata/sf0.001/pages.parquet")).collect()
     assert all(r.text and r.n_chars == len(r.text) and "<p>" not in r.text for r in out)
+
+
+def extracted(spark, sources, host="h.example.com"):
+    rows = [(k, f"https://{host}/{k}", x) for k, x in enumerate(sources)]
+    return {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+
+
+def story(k):
+    return f"Story {k} tells of thing {k * 7} at length, and goes on for some time."
+
+
+def test_template_decides_over_class_words(spark):
+    shell = "<html><body><div class='top'><p>Our site</p></div><div class='content has-sidebar'><p>{}</p><p>It ends in {}.</p><div class='related'><p>See also {} there</p></div></div><div class='end'><p>bye</p></div></body></html>"
+    out = extracted(spark, [shell.format(story(k), k, k) for k in range(6)])
+    assert out == {k: f"{story(k)}\n\nIt ends in {k}." for k in range(6)}
+
+
+def test_template_decides_over_article_cards(spark):
+    shell = "<html><body><div class='text'><p>{}</p><p>{}</p></div><div class='cards'><article><p>card {}</p></article></div></body></html>"
+    out = extracted(spark, [shell.format(story(k), story(k + 50), k) for k in range(6)])
+    assert out == {k: f"{story(k)}\n\n{story(k + 50)}" for k in range(6)}
+
+
+@pytest.mark.parametrize("n", [2, 5, 25])
+def test_small_and_large_hosts_alike(spark, n):
+    out = extracted(spark, [page(k)[2] for k in range(n)])
+    assert out == {k: f"Story {k} tells of thing {k * 7} at length, and goes on.\n\nIt ends in {k}." for k in range(n)}
+
+
+def test_two_designs_and_copies(spark):
+    listing = "<html><body><div class='list'><h2>Latest</h2><p>Found {} things: {}</p></div></body></html>"
+    copied = "<html><body><div class='body'><div class='col'><p>" + "</p><p>".join(f"Paragraph {j} of the copied story, {'long ' * 12}text." for j in range(6)) + "</p><p>Seen {} times</p></div></div></body></html>"
+    sources = [page(k)[2] for k in range(12)] + [listing.format(k, story(k)) for k in range(8)]
+    out = extracted(spark, sources)
+    assert all(out[k] == f"Story {k} tells of thing {k * 7} at length, and goes on.\n\nIt ends in {k}." for k in range(12))
+    assert all(out[12 + k] == f"Found {k} things: {story(k)}" for k in range(8))
+    out = extracted(spark, [copied.format(k) for k in range(40)] + [page(k)[2] for k in range(10)])
+    assert all(out[k].startswith("Paragraph 0 of") and "Paragraph 5 of" in out[k] for k in range(40))
+
+
+def test_repeated_sections_count_to_what_holds_them(spark):
+    shell = "<html><body><div class='text'>{}</div><div class='more'><p>teaser {}</p></div></body></html>"
+    out = extracted(spark, [shell.format("".join(f"<div><p>{story(k * 10 + j)}</p></div>" for j in range(3)), k) for k in range(5)])
+    assert out == {k: "\n\n".join(story(k * 10 + j) for j in range(3)) for k in range(5)}
