@@ -6,9 +6,6 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():

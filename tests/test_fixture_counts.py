@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
-from conftest import SF_SMALL
+from sfdirs import SF_SMALL
 
 
 def _q(spark, name):

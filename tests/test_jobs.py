@@ -9,7 +9,7 @@ from accesslake.schemas import ADS_SCHEMA, DWD_SCHEMA, ODS_SCHEMA, REJECTS_SCHEM
 from accesslake.sources import fixtures, io
 from accesslake.operators import ads
 
-from conftest import SF_SMALL
+from sfdirs import SF_SMALL
 
 D = "20240101"
 

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as E
 from oracle_compare import compare
 
-from conftest import SF_SMALL
+from sfdirs import SF_SMALL
 
 
 def test_every_query_has_an_oracle():

@@ -7,7 +7,7 @@ from accesslake.plans import submit
 from accesslake.schemas import ADS_SCHEMA, DWD_SCHEMA
 from accesslake.sources import fixtures, io
 
-from conftest import SF_SMALL
+from sfdirs import SF_SMALL
 
 D = "20240103"
 
