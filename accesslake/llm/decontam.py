@@ -10,9 +10,11 @@ five-word shingles.
    with too few marked shingles to reach the threshold are passed over; as the
    bitmaps have false marks but never miss one, no window that could match is.
 2. Every other window, sized as the items of that length, gets a 64-bit SimHash
-   of its shingles. Fingerprints are cut into radius + 1 blocks: two within the
-   radius agree on some block, so an equi-join on length, block and value
-   finds every item fingerprint within the radius.
+   of its shingles, each repeat told apart by its number: weighted similarity is
+   then plain similarity, and one repeated shingle cannot swing many bits.
+   Fingerprints are cut into radius + 1 blocks: two within the radius agree on
+   some block, so an equi-join on length, block and value finds every item
+   fingerprint within the radius.
 3. The pairs' similarity is computed on their full shingle multisets.
 
 No document is shuffled: only windows found near the benchmark are.
@@ -26,21 +28,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from accesslake.operators.joins import fits_broadcast
+
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 # At a similarity of 0.8 two fingerprints differ in 10 bits on average (standard
 # deviation 2.9): beyond 19 bits with probability 3e-4, and less for closer texts.
 RADIUS = 19
-# Bitmap bits for each benchmark shingle (each sets two), and the most bits (a
-# fuller bitmap lets more windows through and never loses one).
-BITS_PER_SHINGLE = 64
-MAX_BITS = 1 << 20
-# Item fingerprint blocks are broadcast up to this many rows (under 100 bytes each).
+# Bitmap bits for each benchmark shingle (each sets two in one word), and the most
+# bits (a fuller bitmap lets more windows through and never loses one).
+BITS_PER_SHINGLE = 32
+MAX_BITS = 1 << 18
+# Item fingerprint blocks, and item shingles, are broadcast up to these sizes.
 MAX_BROADCAST_BLOCKS = 1_000_000
-# Three counters share a 64-bit sum; the highest has 20 bits.
-_FIELDS = (0, 22, 44)
-_MASK = sum(1 << f for f in _FIELDS)
-MAX_ITEM_SHINGLES = (1 << 20) - 1
+MAX_BROADCAST_BYTES = 128 << 20
+# Three counters of 22 bits (the last of 20) share a 64-bit sum up to so many hashes, two of 32 beyond.
+SHORT_MOST = (1 << 20) - 1
 
 
 def words(text: Column) -> Column:
@@ -67,28 +70,43 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def counters(hashes: Column) -> Column:
-    """How many hashes have each bit, three counters to a 64-bit sum."""
+def numbered(df: DataFrame, hashes: str, name: str) -> DataFrame:
+    """Adds the hashes with each repeat hashed once more with its number: all distinct."""
+    h = F.col(hashes)
+    repeats = F.size(F.array_distinct(h)) < F.size(h)
+    df = _once(df, "ordered", F.when(repeats, F.sort_array(h)))
+    number = lambda x, i: i + 1 - F.array_position("ordered", x)
+    apart = F.transform("ordered", lambda x, i: F.when(number(x, i) == 0, x).otherwise(F.xxhash64(x, number(x, i))))
+    return _once(df, name, F.when(F.col("ordered").isNull(), h).otherwise(apart)).drop("ordered")
+
 
-    def total(g: int) -> Column:
-        return F.aggregate(hashes, F.lit(0).cast("bigint"), lambda acc, h: acc + F.shiftrightunsigned(h, g).bitwiseAND(F.lit(_MASK)))
+def counters(hashes: Column, width: int) -> Column:
+    """How many hashes have each bit, counters of `width` bits side by side in 64-bit sums."""
+    mask = sum(1 << f for f in range(0, 64, width))
 
-    return F.array(*[total(g) for g in range(_FIELDS[1])])
+    def total(g: Column) -> Column:
+        one = lambda acc, h: acc + F.call_function("shiftrightunsigned", h, g).bitwiseAND(F.lit(mask))
+        return F.aggregate(hashes, F.lit(0).cast("bigint"), one)
 
+    return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), total)
 
-def fingerprint(totals: Column, n: Column) -> Column:
+
+def fingerprint(totals: Column, n: Column, width: int) -> Column:
     """64-bit SimHash of n hashes: a bit is set when more than half of them have it."""
-    out = []
-    for f, width in zip(_FIELDS, (22, 22, 20)):
-        for g in range(width):
-            count = F.shiftrightunsigned(F.get(totals, F.lit(g)), f).bitwiseAND(F.lit((1 << width) - 1))
-            out.append(F.when(count * 2 > n, F.lit(1 << (g + f) if g + f < 63 else -(1 << 63)).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
-    return reduce(lambda a, b: a.bitwiseOR(b), out)
 
+    def with_bit(acc: Column, b: Column) -> Column:
+        sum_of = F.get(totals, b % width)
+        count = F.call_function("shiftrightunsigned", sum_of, (b - b % width).cast("int")).bitwiseAND(F.lit((1 << width) - 1))
+        return acc.bitwiseOR(F.when(count * 2 > n, F.call_function("shiftleft", F.lit(1).cast("bigint"), b)).otherwise(F.lit(0).cast("bigint")))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("bigint"), with_bit)
 
-def with_fingerprint(df: DataFrame, hashes: str, name: str) -> DataFrame:
-    counted = _once(df, "totals", counters(F.col(hashes)))
-    return counted.withColumn(name, fingerprint(F.col("totals"), F.size(hashes))).drop("totals")
+
+def with_fingerprint(df: DataFrame, hashes: str, name: str, most: int) -> DataFrame:
+    """Adds the SimHash of a column of `most` hashes at most."""
+    width = 22 if most <= SHORT_MOST else 32
+    counted = _once(numbered(df, hashes, "apart"), "totals", counters(F.col("apart"), width))
+    return counted.withColumn(name, fingerprint(F.col("totals"), F.size(hashes), width)).drop("totals", "apart")
 
 
 def block_layout(radius: int) -> list[tuple[int, int]]:
@@ -102,27 +120,29 @@ def block_values(fp: Column, radius: int) -> list[Column]:
     return [F.shiftrightunsigned(fp, o).bitwiseAND(F.lit((1 << w) - 1)) for o, w in block_layout(radius)]
 
 
-def _places(h: Column, bits: int) -> list[Column]:
-    return [h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1))]
+def _word_and_bits(h: Column, bits: int) -> tuple[Column, Column]:
+    """Place of a hash's 64-bit word in a bitmap, and the two bits that it sets there."""
+
+    def bit(at: int) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, at).bitwiseAND(F.lit(63)).cast("int"))
+
+    return h.bitwiseAND(F.lit(bits // 64 - 1)).cast("int"), bit(40).bitwiseOR(bit(52))
 
 
 def _bitmap(hashes: DataFrame, bits: int) -> Column:
-    """Array literal of `bits` bits (at most MAX_BITS) in which column `h` of `hashes` is marked."""
-    places = hashes.select(F.explode(F.array(*_places(F.col("h"), bits))).alias("p"))
-    rows = places.groupBy(F.shiftrightunsigned("p", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("mask")).collect()
+    """`bits` bits (at most MAX_BITS) in which column `h` of `hashes` is marked, as one
+    constant: an expression that the optimizer folds to a single value."""
+    word, mask = _word_and_bits(F.col("h"), bits)
+    rows = hashes.select(word.alias("at"), mask.alias("mask")).groupBy("at").agg(F.bit_or("mask").alias("mask")).collect()
     masks = [0] * (bits // 64)
     for r in rows:
         masks[r["at"]] = r["mask"]
-    return F.expr(f"array({', '.join(f'bigint({str(x)!r})' if x else '0L' for x in masks)})")
+    return F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")
 
 
 def _marked(bitmap: Column, h: Column, bits: int) -> Column:
-    def bit(p: Column) -> Column:
-        word = F.get(bitmap, F.shiftrightunsigned(p, 6).cast("int"))
-        return F.call_function("shiftrightunsigned", word, p.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
-
-    low, high = _places(h, bits)
-    return bit(low) & bit(high)
+    word, mask = _word_and_bits(h, bits)
+    return mask.bitwiseAND(F.bitwise_not(F.get(bitmap, word))) == 0
 
 
 def _bits_for(n: int) -> int:
@@ -132,7 +152,7 @@ def _bits_for(n: int) -> int:
     return bits
 
 
-def _with_size(documents: DataFrame, items: DataFrame, k: int, n_shingles: int, lengths: list[int], threshold: float, radius: int) -> DataFrame:
+def _with_size(documents: DataFrame, items: DataFrame, k: int, n_items: int, n_shingles: int, lengths: list[int], threshold: float, radius: int) -> DataFrame:
     """Leaks of the items whose shingles have k words."""
     of_items = items.select(F.explode("hashes").alias("h"), "m")
     bits = _bits_for(n_shingles)
@@ -170,14 +190,16 @@ def _with_size(documents: DataFrame, items: DataFrame, k: int, n_shingles: int,
     runs = runs.select("doc_id", "row_key", "m", "size", "hashes", low.alias("low"), high.alias("high")).where("low <= high")
     windows = runs.select("doc_id", "row_key", "m", "size", "hashes", F.explode(F.sequence("low", "high")).alias("start"))
     windows = windows.select("doc_id", "row_key", "m", "start", F.slice("hashes", F.col("start") + 1, F.col("size")).alias("window"))
-    windows = with_fingerprint(windows, "window", "fp")
+    windows = with_fingerprint(windows, "window", "fp", max(lengths))
 
     def blocks(df: DataFrame, fp: str) -> DataFrame:
         values = [F.struct(F.lit(b).alias("block"), v.alias("value")) for b, v in enumerate(block_values(F.col(fp), radius))]
         return df.select("*", F.inline(F.array(*values)))
 
-    item_blocks = blocks(with_fingerprint(items, "hashes", "item_fp").withColumnRenamed("hashes", "item_hashes"), "item_fp")
-    if item_blocks.count() <= MAX_BROADCAST_BLOCKS:
+    item_key = F.xxhash64("item_id", "hashes").alias("item_key")
+    keyed = items.select("item_id", "m", "hashes", item_key)
+    item_blocks = blocks(with_fingerprint(keyed, "hashes", "item_fp", max(lengths)).drop("hashes"), "item_fp")
+    if fits_broadcast(item_blocks, MAX_BROADCAST_BLOCKS, MAX_BROADCAST_BYTES)[0]:
         item_blocks = F.broadcast(item_blocks)
     pairs = blocks(windows, "fp").join(item_blocks, ["m", "block", "value"])
     pairs = pairs.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
@@ -186,14 +208,17 @@ def _with_size(documents: DataFrame, items: DataFrame, k: int, n_shingles: int,
     first_same = F.coalesce(*[F.when(s, F.lit(b)) for b, s in enumerate(same)])
     pairs = pairs.where(F.col("block") == first_same)
 
-    counted = pairs.select(
-        "doc_id", "row_key", "start", "item_id", F.size("window").alias("n_window"),
+    item_hashes = keyed.select("item_key", F.col("hashes").alias("item_hashes"))
+    if 8 * n_shingles + 256 * n_items <= MAX_BROADCAST_BYTES:
+        item_hashes = F.broadcast(item_hashes)
+    counted = pairs.join(item_hashes, "item_key").select(
+        "doc_id", "row_key", "start", "item_id", "item_key", F.size("window").alias("n_window"),
         F.explode(F.concat(
             F.transform("window", lambda h: F.struct(h.alias("h"), F.lit(1).alias("w"), F.lit(0).alias("i"))),
             F.transform("item_hashes", lambda h: F.struct(h.alias("h"), F.lit(0).alias("w"), F.lit(1).alias("i"))),
         )).alias("x"),
     )
-    window_key = ["doc_id", "row_key", "start", "item_id", "n_window"]
+    window_key = ["doc_id", "row_key", "start", "item_id", "item_key", "n_window"]
     weights = counted.groupBy(*window_key, "x.h").agg(F.sum("x.w").alias("w"), F.sum("x.i").alias("i"))
     similar = weights.groupBy(*window_key).agg((F.sum(F.least("w", "i")) / F.sum(F.greatest("w", "i"))).alias("similarity"))
     return similar.where(F.col("similarity") >= threshold).select(
@@ -225,13 +250,11 @@ def leaks(
     items = items.withColumn("k", F.least(F.size("words"), F.lit(shingle_words)))
     docs = documents.select("doc_id", F.xxhash64("text").alias("row_key"), F.explode(F.array(words(F.col("text")))).alias("words"))
     lengths = items.groupBy("k", (F.size("words") - F.col("k") + 1).alias("m")).agg(F.count("*").alias("n")).collect()
-    if any(r["m"] > MAX_ITEM_SHINGLES for r in lengths):
-        raise ValueError("an item has too many words for the fingerprint's counters")
     found = []
     for k in sorted({r["k"] for r in lengths}):
         own = [r for r in lengths if r["k"] == k]
         of_k = _once(items.where(F.col("k") == k), "hashes", shingles("words", k)).select("item_id", "hashes", F.size("hashes").alias("m"))
-        found.append(_with_size(docs, of_k, k, sum(r["n"] * r["m"] for r in own), sorted(r["m"] for r in own), threshold, radius))
+        found.append(_with_size(docs, of_k, k, sum(r["n"] for r in own), sum(r["n"] * r["m"] for r in own), sorted(r["m"] for r in own), threshold, radius))
     if not found:
         doc, item = (f"{c} {df.schema[c].dataType.simpleString()}" for c, df in (("doc_id", documents), ("item_id", benchmark)))
         return documents.sparkSession.createDataFrame([], f"{doc}, {'row_hash long, ' if by_text else ''}{item}, similarity double, start_word long, n_words long")

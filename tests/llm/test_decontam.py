@@ -56,6 +56,43 @@ def test_same_as_all_windows(spark):
     assert {(r.doc_id, r.item_id): r.similarity for r in out.collect()} == pytest.approx(brute_force(docs, items))
 
 
+@pytest.mark.parametrize("repeats", [8, 14, 20])
+def test_repeated_words_at_the_threshold(spark, repeats):
+    """Windows of 162 shingles at a similarity near 0.8, one word repeated in the document."""
+    rng = random.Random(repeats)
+    items, docs = [], []
+    for i in range(40):
+        w = [f"i{i}w{j}" for j in range(166)]
+        items.append((i, " ".join(w)))
+        at = rng.randrange(0, 140 - repeats)
+        edge = 18 - repeats - 4 if repeats < 14 else 0
+        changed = w[:at] + ["again"] * repeats + w[at + repeats :]
+        for j in range(max(0, edge)):
+            changed[-1 - j] = f"x{j}"
+        docs.append((i, " ".join(["lead"] * 3 + changed)))
+    expected = brute_force(docs, items)
+    found = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): r.similarity for r in found.collect()}
+    assert set(got) <= set(expected) and len(got) >= 0.99 * len(expected)
+    assert all(v == pytest.approx(expected[k]) for k, v in got.items())
+    if repeats < 20:
+        assert len(expected) == 40
+
+
+def test_bitmaps_are_single_values(spark):
+    """The plan stays small whatever the benchmark's size."""
+    items = spark.range(3000).selectExpr("id as item_id", "array_join(transform(sequence(0, 59), i -> concat('w', id * 60 + i)), ' ') as text")
+    out = decontam.leaks(spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string"), items)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("CAST(") + plan.count("cast(") < 200 and out.collect() == []
+
+
+def test_counters_of_long_windows(spark):
+    df = spark.createDataFrame([([(j * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63) for j in range(500)],)], "h array<long>")
+    short, long = (decontam.with_fingerprint(df, "h", "fp", most).first().fp for most in (500, 1 << 21))
+    assert short == long
+
+
 def test_odd_rows(spark):
     item = "one two three four five six seven eight nine ten"
     docs = [(1, None, 0), (2, "", 0), (3, "x " + item + " y", 0), (3, "x " + item + " y", 0), (None, item, 1), (4, ("zz " * 30000) + item, 2), (5, "ten nine eight", 0)]
