@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accesslake.llm import bpe, decontam, html, langid, licenses, lm, minhash, quality, sharding, toxicity
+from accesslake.llm import align, anchors, audit, bpe, decontam, html, langid, licenses, lm, minhash, quality, sharding, toxicity
 from accesslake.llm.common import in_fold, table
 
 
@@ -59,6 +59,19 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_size=3, percent=85).drop("row_hash")
 
 
+def op11_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchors.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align.link_sums(table(spark, sf_dir, "documents"), *paths)
+
+
+def op13_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_html": op2_html,
@@ -70,6 +83,9 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_lm": op9_lm,
     "op10_minhash": op10_minhash,
+    "op11_anchors": op11_anchors,
+    "op12_align": op12_align,
+    "op13_audit": op13_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -77,4 +93,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_decontam": decontam.ORACLE_SQL,
     "op7_quality": quality.oracle_sql(),
     "op10_minhash": minhash.ORACLE_SQL,
+    "op13_audit": audit.ORACLE_SQL,
 }

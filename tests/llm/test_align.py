@@ -1,0 +1,124 @@
+"""Alignment against plain loops over the same public tokenizers."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from accesslake.llm import align
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+ODD = [None, "", " ", "  two  spaces ", "tabs\tand\nlines\r\n", "<|endoftext|> <s> </s> <unk> <0x41>", "naïve café 東京 \U0001f600‍▁", " 　x", "ﬁ ½ Å",
+       "a\x00b", "é", "word " * 50, "x" * 3000, " " * 2000 + "y", "!?" * 700]
+
+
+@pytest.fixture(scope="module")
+def tokenizers():
+    t = Tokenizer.from_file(A)
+    t.encode_special_tokens = True
+    return t, sentencepiece.SentencePieceProcessor(model_file=B)
+
+
+def plain(rows, tokenizers):
+    t, sp = tokenizers
+    letters = align.byte_level_alphabet()
+    texts = []
+    for i, text in rows:
+        if not text:
+            texts.append((i, [], [], [], []))
+            continue
+        a = t.encode(" " + text, add_special_tokens=False).ids
+        b = sp.encode(text)
+        a_bytes = [bytes(letters[c] for c in t.id_to_token(x)) for x in a]
+        b_bytes = [bytes([int(sp.id_to_piece(x)[3:-1], 16)]) if sp.is_byte(x) else sp.id_to_piece(x).replace("▁", " ").encode() for x in b]
+        if b"".join(a_bytes) != (" " + text).encode() or b"".join(b_bytes) != (" " + text).encode():
+            a, b, a_bytes, b_bytes = [], [], [], []
+        a_ends, b_ends = (list(np.cumsum([len(x) for x in y])) for y in (a_bytes, b_bytes))
+        both = sorted(set(a_ends) & set(b_ends))
+        links = [(a[a_ends.index(x)], b[b_ends.index(x)]) for x in both]
+        groups, last = [], 0
+        for end in both:
+            groups.append(([x for x, e in zip(a, a_ends) if last < e <= end], [x for x, e in zip(b, b_ends) if last < e <= end]))
+            last = end
+        texts.append((i, a, b, groups, links))
+    count = Counter(x for *_, links in texts for x in links)
+    highest = Counter()
+    for (_, y), n in count.items():
+        highest[y] = max(highest[y], n)
+    out = []
+    for i, a, b, groups, links in texts:
+        text = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        out.append((i, len(a), len(b), len(groups), len(links), sum(count[x] == highest[x[1]] for x in links), sum(count[x] for x in links),
+                    hashlib.sha256(text.encode()).hexdigest() if a else ""))
+    return sorted(out, key=str)
+
+
+def sums(spark, rows, **options):
+    df = spark.createDataFrame([(t, i, 0, 1, 2) for i, t in rows], "text string, doc_id long, row int, pairs int, n_a int").repartition(3)
+    return sorted(map(tuple, align.link_sums(df, A, B, **options).collect()), key=str)
+
+
+def sample(n, seed):
+    rng = random.Random(seed)
+    words = ["the", "access", "lake", "naïve", "données", "东京", "x1", "it's", "unbelievably", "2024", "--", "é", "\U0001f680", "Größe"]
+    return [(i, rng.choice(["", " "]).join([rng.choice(words) + rng.choice(["", "", ".", "\n", "  "]) + rng.choice(["", " "]) for _ in range(rng.randint(1, 30))])) for i in range(n)]
+
+
+def test_same_as_plain_loops(spark, tokenizers):
+    rows = sample(60, 1) + list(enumerate(ODD, 100)) + [(7, "the access lake")] * 3 + [(None, "the lake"), (None, None)]
+    assert sums(spark, rows) == plain(rows, tokenizers)
+
+
+@pytest.mark.parametrize("held", [0, 5, 40])
+def test_rare_pairs_are_joined(spark, tokenizers, held):
+    rows = sample(40, 2)
+    assert sums(spark, rows, max_broadcast_pairs=held) == plain(rows, tokenizers)
+
+
+def test_spans_give_the_tokens_back(spark, tokenizers):
+    t, sp = tokenizers
+    rows = sample(20, 3) + [(50, None)]
+    out = align.align(spark.createDataFrame(rows, "doc_id long, text string"), A, B)
+    for r in out.collect():
+        text = dict(rows)[r.doc_id]
+        a, b, a_ends, b_ends = (np.frombuffer(x, dtype="<u4").tolist() for x in (r.a_ids, r.b_ids, r.a_ends, r.b_ends))
+        assert len(a_ends) == len(b_ends) == r.n_groups and (len(a), len(b)) == (r.n_a, r.n_b)
+        if a:
+            assert a == t.encode(" " + text, add_special_tokens=False).ids and b == sp.encode(text)
+            assert (a_ends[-1], b_ends[-1]) == (len(a), len(b))
+
+
+def test_cuts_against_sets():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        texts = [(np.append(rng.choice(n - 1, rng.integers(0, n), replace=False) + 1, n), np.append(rng.choice(n - 1, rng.integers(0, n), replace=False) + 1, n)) for n in rng.integers(2, 40, 5)]
+        base, a, b, first, last = 0, [], [], [], []
+        for x, y in texts:
+            first.append(len(a))
+            a += sorted({int(v) + base for v in x})
+            b += sorted({int(v) + base for v in y})
+            last.append(len(a) - 1)
+            base += int(x[-1])
+        a, b = np.array(a), np.array(b)
+        i, j = align.shared_cuts(a, b, np.array(first), np.array(last))
+        assert a[i].tolist() == b[j].tolist() == sorted(set(a.tolist()) & set(b.tolist()))
+
+
+def test_byte_level_encoder_is_the_tokenizers(tokenizers):
+    with open(A, encoding="utf-8") as f:
+        own = align.ByteLevel(f.read())
+    rng = random.Random(8)
+    assert own.ranked is not None
+    for _ in range(3000):
+        text = " " + "".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(160, 0x3000), rng.randrange(0x1F300, 0x1F700), 9, 10, 32, 0x2028])) for _ in range(rng.randint(0, 25)))
+        assert own.encode(text) == tokenizers[0].encode(text, add_special_tokens=False).ids
+
+
+def test_empty_table(spark):
+    out = align.link_sums(spark.createDataFrame([], "doc_id long, text string"), A, B)
+    assert out.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"] and out.collect() == []
