@@ -31,14 +31,16 @@ from pyspark.sql import functions as F
 from accesslake.functions.parse import long_or
 from accesslake.operators import ads, dwd, ods
 from accesslake.plans import jobs
-from accesslake.schemas import ADS_SCHEMA, ODS_SCHEMA
-from accesslake.sources import fixtures, io
+from accesslake.schemas import ADS_SCHEMA, GOOD, ODS_SCHEMA, REJECTED, REJECTS_SCHEMA
+from accesslake.sources import fixtures, io, versions
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 # Days used by the sink round trips.
 DAY_1 = "20240101"
 DAY_2 = "20240102"
 PREVIEW_ROWS = 55
+# An ip of no customer, for the join with a key hot on both sides.
+BUSY_IP = "10.200.0.1"
 
 
 # ----------------------------------------------------------------- building blocks
@@ -170,6 +172,67 @@ def q_ods_job_counts(spark, sf):
     return spark.read.text(raw).limit(1).select(*[F.lit(counts[c]).cast("bigint").alias(c) for c in ("total", "good", "short", "dirty_size")])
 
 
+def q_ods_split_day(spark, sf):
+    """Good and rejected lines of a day from one scan, both read back; a first
+    run over other lines is replaced."""
+    raw, split = io.scratch_dir(spark, "raw"), io.scratch_dir(spark, "ods_split")
+    roots = [io.kind_root(split, kind) for kind in (GOOD, REJECTED)]
+    lines = _raw(spark, sf)
+    for n, part in enumerate((lines.where("length(value) % 2 = 0"), lines)):
+        io.write_text(part, f"{raw}/{n}", compression=None)
+        jobs.ods_job(spark, f"{raw}/{n}", roots[0], DAY_1, rejects_root=roots[1])
+    good, rejected = (io.read_day(spark, root, schema, DAY_1) for root, schema in zip(roots, (ODS_SCHEMA, REJECTS_SCHEMA)))
+    return good.unionByName(rejected, allowMissingColumns=True)
+
+
+def q_ods_table_day(spark, sf):
+    """The days of the ODS and the rejects table, swapped after one scan."""
+    raw, good, bad = io.scratch_dir(spark, "raw"), f"ods_{uuid.uuid4().hex[:8]}", f"rejects_{uuid.uuid4().hex[:8]}"
+    io.write_text(_raw(spark, sf), raw, compression=None)
+    io.create_day_table(spark, good, ODS_SCHEMA, io.scratch_dir(spark, "ods_table"))
+    io.create_day_table(spark, bad, REJECTS_SCHEMA, io.scratch_dir(spark, "rejects_table"))
+    jobs.ods_table_job(spark, raw, good, bad, DAY_1)
+    return spark.table(good).unionByName(spark.table(bad), allowMissingColumns=True)
+
+
+def q_ods_days_by_glob(spark, sf):
+    """Two of three days by a glob over their part files, the day from each file's path."""
+    root = io.scratch_dir(spark, "ods")
+    good = _ods(spark, sf)
+    for d, rows in ((DAY_1, good), (DAY_2, good.where("httpCode = '200'")), ("20240201", good.where("httpCode = '404'"))):
+        io.write_day(rows, root, d)
+    return io.read_part_files(spark, f"{root}/d=202401*/part*", ODS_SCHEMA)
+
+
+def q_ads_partition_swap(spark, sf):
+    """A day published and then replaced by an atomic swap; what a reader sees
+    with the new version written but not yet shown, and after the swap."""
+    table = f"ads_swap_{uuid.uuid4().hex[:8]}"
+    io.create_day_table(spark, table, ADS_SCHEMA, io.scratch_dir(spark, "ads_swap"))
+    result = ads.area_traffic(_dwd(spark, sf)).persist()
+    try:
+        old = versions.publish_day(result.where("count > 1"), table, DAY_1)
+        new = versions.write_version(result, table, DAY_1)
+    finally:
+        result.unpersist()
+    # The day's folder as the catalog names it before the swap: still the old version.
+    before = spark.read.schema(ADS_SCHEMA).parquet(versions.day_location(spark, table, DAY_1))
+    versions.swap_day(spark, table, DAY_1, new.path)
+    versions.drop_old_versions(spark, table, DAY_1, keep=1)
+    seen = [(F.lit("before"), before, old.rows), (F.lit("after"), spark.table(table).drop("d"), new.rows)]
+    return seen[0][1].select("*", seen[0][0].alias("seen"), F.lit(seen[0][2]).cast("bigint").alias("n_rows")).unionByName(
+        seen[1][1].select("*", seen[1][0].alias("seen"), F.lit(seen[1][2]).cast("bigint").alias("n_rows"))
+    )
+
+
+def q_dwd_access_grid(spark, sf):
+    """J1 with an ip that many log lines and many library lines have (grid of salts)."""
+    pre, dim = _pre(spark, sf), _dim(spark, sf)
+    busy = dim.where("city = 'DUP'").select(F.lit(BUSY_IP).alias("ip"), F.col("ip").alias("province"), "city", "isp")
+    busy_pre = pre.withColumn("ip", F.when(F.col("responseSize") % 50 == 0, F.lit(BUSY_IP)).otherwise(F.col("ip")))
+    return dwd.enrich(busy_pre, dim.unionByName(busy), max_broadcast_rows=0, hot_share=0.01, sample_fraction=0.5)
+
+
 def q_ads_from_tsv(spark, sf):
     """V1 DWD written as tab-separated text, read back, counted."""
     path = io.scratch_dir(spark, "dwd_tsv")
@@ -243,6 +306,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ads_from_dwd_day": q_ads_from_dwd_day,
     "ads_from_day_view": q_ads_from_day_view,
     "ods_job_counts": q_ods_job_counts,
+    "ods_split_day": q_ods_split_day,
+    "ods_table_day": q_ods_table_day,
+    "ods_days_by_glob": q_ods_days_by_glob,
+    "ads_partition_swap": q_ads_partition_swap,
+    "dwd_access_grid": q_dwd_access_grid,
     "ads_from_tsv": q_ads_from_tsv,
     "ads_preview": q_ads_preview,
     "ods_parquet_roundtrip": q_ods_parquet_roundtrip,
@@ -473,6 +541,9 @@ _ALL_CTES = "WITH " + ",".join([_RAW_CTE, _PRE_CTE, _DIM_CTE, _DWD_CTE]) + "\n"
 _ODS_SEL = """"time", ip, "proxyIp", "responseTime", referer, method, url, "httpCode", "requestSize",
   "responseSize", cache"""
 
+_SPLIT_SEL = ", ".join(f"""CASE WHEN reason IS NULL THEN {c.strip()} END AS {c.strip()}""" for c in _ODS_SEL.split(",")) + \
+    ", CASE WHEN reason IS NOT NULL THEN value END AS value, reason"
+
 _ORACLE_BODIES = {
     "raw_fields": """SELECT value, len(f) AS n_fields, f[1] AS "time", f[2] AS ip, f[3] AS "proxyIp",
   f[4] AS "responseTime", f[5] AS referer, f[6] AS method, f[7] AS url, f[8] AS "httpCode",
@@ -503,6 +574,15 @@ _ORACLE_BODIES = {
     "ods_job_counts": """SELECT count(*) AS total, count(*) FILTER (WHERE reason IS NULL) AS good,
   count(*) FILTER (WHERE reason = 'short') AS short,
   count(*) FILTER (WHERE reason = 'dirty_size') AS dirty_size FROM tagged2""",
+    "ods_split_day": f"SELECT {_SPLIT_SEL}, '{DAY_1}' AS d FROM tagged2",
+    "ods_table_day": f"SELECT {_SPLIT_SEL}, '{DAY_1}' AS d FROM tagged2",
+    "ods_days_by_glob": f"""SELECT {_ODS_SEL}, '{DAY_1}' AS d FROM ods
+  UNION ALL SELECT {_ODS_SEL}, '{DAY_2}' AS d FROM ods WHERE "httpCode" = '200'""",
+    "ads_partition_swap": """SELECT city, host, "count", 'before' AS seen, count(*) OVER () AS n_rows FROM ads WHERE "count" > 1
+  UNION ALL SELECT city, host, "count", 'after' AS seen, count(*) OVER () AS n_rows FROM ads""",
+    "dwd_access_grid": """SELECT """ + _DWD_COLS_SQL.format(prov="i.province", city="i.city", isp="i.isp").replace("a.ip", "a.busy_ip AS ip") + f"""
+  FROM (SELECT *, CASE WHEN "responseSize" % 50 = 0 THEN '{BUSY_IP}' ELSE ip END AS busy_ip FROM pre) a LEFT JOIN (
+    SELECT ip, province, city, isp FROM ipdim UNION ALL SELECT '{BUSY_IP}', ip, city, isp FROM ipdim WHERE city = 'DUP') i ON a.busy_ip = i.ip""",
     "ads_from_tsv": """SELECT city, host, count(*) AS "count" FROM dwd1 GROUP BY city, host""",
     "ads_preview": """SELECT * FROM ads ORDER BY "count" DESC, city ASC NULLS FIRST, host ASC NULLS FIRST
   LIMIT """ + str(PREVIEW_ROWS),

@@ -64,11 +64,12 @@ URL_QUERY = r"^[^?#]*[?]([^#]*)"
 URL_PROTOCOLS = ["http", "https", "ftp", "file", "jar", "mailto", "netdoc"]
 # `scheme:////...` is a UNC name to java.net.URL: no authority is read and the
 # path keeps all four slashes.
+URL_UNC_SLASHES = ":////"
 URL_UNC = r"^[A-Za-z][A-Za-z0-9+.-]*:////"
 # java.net.URL drops characters up to the space at both ends, then one leading
 # `url:` in any case.
-URL_TRIM = "^[\\x00-\\x20]+|[\\x00-\\x20]+$"
-URL_PREFIX = "^[uU][rR][lL]:"
+URL_TRIM = "".join(map(chr, range(0x21)))
+URL_PREFIX = "url:"
 # A host in brackets is an IPv6 address: eight groups, or fewer around one `::`.
 URL_BRACKETS = r"^(\[[^\]]*\])(.*)$"
 IPV6_FULL = r"^\[([0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}\]$"
@@ -137,7 +138,8 @@ def url_parts(url: Column) -> tuple[Column, Column, Column, Column]:
     host that is no IPv6 address, or a `jar:` without an entry. The protocol is
     lower-cased; a missing path is ''; a missing or empty query is '-'.
     """
-    u = F.regexp_replace(F.regexp_replace(url, URL_TRIM, ""), URL_PREFIX, "")
+    trimmed = F.btrim(url, F.lit(URL_TRIM))
+    u = F.when(F.lower(F.left(trimmed, F.lit(len(URL_PREFIX)))) == URL_PREFIX, F.substr(trimmed, F.lit(len(URL_PREFIX) + 1), F.length(trimmed))).otherwise(trimmed)
     scheme = F.regexp_extract(u, URL_SCHEME, 1)
     hostport = F.regexp_extract(F.regexp_extract(u, URL_AUTHORITY, 1), URL_HOSTPORT, 1)
     bracketed = hostport.startswith("[")
@@ -163,7 +165,7 @@ def url_parts(url: Column) -> tuple[Column, Column, Column, Column]:
     return (
         F.when(valid, F.lower(scheme)).otherwise(missing),
         F.when(valid, host).otherwise(missing),
-        F.when(valid & u.rlike(URL_UNC), F.concat(F.lit("//"), path)).when(valid, path).otherwise(missing),
+        F.when(valid & F.contains(u, F.lit(URL_UNC_SLASHES)) & u.rlike(URL_UNC), F.concat(F.lit("//"), path)).when(valid, path).otherwise(missing),
         F.when(valid & (query != F.lit("")), query).otherwise(missing),
     )
 
@@ -183,3 +185,8 @@ def text_line(*cols: Column | str, sep: str = FIELD_SEP) -> Column:
 def day_from_path(path: Column) -> Column:
     """`YYYYMMDD` from a path ending in `d=YYYYMMDD` (optional trailing slash)."""
     return F.regexp_extract(path, r"(?:^|/)d=([^/]+)/?$", 1)
+
+
+def day_of_file(path: Column) -> Column:
+    """`YYYYMMDD` from the path of a file in a day folder; '' outside of one."""
+    return F.regexp_extract(path, r"/d=([^/]+)/[^/]+$", 1)

@@ -14,6 +14,11 @@ Two physical strategies, chosen per call:
   of landing in one. Fact rows with a NULL key (which can never match) are
   spread over all partitions instead of the single one NULL hashes to. AQE's
   skew-join split stays on for whatever skew is left.
+* **Grid** for keys that many rows of *both* sides have, or that are hot on the
+  lookup side: their fact rows are dealt over the grid's rows and their lookup
+  rows over its columns, each copied along the other way, so every pair meets in
+  one cell. Rows and columns follow from the key's rows on either side and from
+  the pairs it makes, so no cell holds much more than an average task.
 
 The salt is a hash of the row and of the input partition id. It is the same
 when a task is re-run after an executor loss, so no row is lost or duplicated
@@ -38,6 +43,9 @@ DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 48
 # Hot key: at least HOT_FACTOR times an average partition's share of the rows.
 HOT_FACTOR = 4
+# Grid cells of a key for each average task's worth of its pairs: cells are dealt to
+# tasks by hash, and many small ones even out.
+CELLS_PER_TASK = 16
 DEFAULT_SAMPLE_FRACTION = 0.01
 SALT = "_salt"
 NSALTS = "_nsalts"
@@ -53,6 +61,7 @@ class JoinPlan:
     hot_keys: tuple = ()
     salts: tuple = ()
     lookup_hot_keys: tuple = ()
+    grids: tuple = ()  # (rows, columns) of each key that is joined on a grid
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -97,22 +106,8 @@ def shuffle_partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(
-    fact: DataFrame,
-    key: str,
-    *,
-    share: float | None = None,
-    fraction: float = DEFAULT_SAMPLE_FRACTION,
-    seed: int = 7,
-) -> list[tuple]:
-    """(key, share of rows) of the keys holding at least `share` of the fact rows.
-
-    `share` defaults to HOT_FACTOR / shuffle partitions. Estimated on a
-    sample of the key column only. No more than 1 / share keys can each hold
-    `share` of the sample, so the list that comes back to the driver is bounded
-    whatever the data, and complete. The sample only decides the plan; every row
-    still goes through the join.
-    """
+def _sampled(fact: DataFrame, key: str, share: float | None, fraction: float, seed: int = 7, also: tuple = ()) -> tuple[list[tuple], dict, float]:
+    """(key, share) of the hot keys, sampled shares of the keys in `also`, rows of the frame."""
     if share is None:
         share = HOT_FACTOR / shuffle_partitions(fact.sparkSession)
     max_keys = int(1 / share) + 1
@@ -123,16 +118,36 @@ def hot_keys(
         .sample(withReplacement=False, fraction=fraction, seed=seed)
         .rollup("k")
         .agg(F.count(F.lit(1)).alias("c"), F.grouping("k").alias("g"))
-        .orderBy(F.desc("c"))
-        .limit(max_keys + 2)  # bounds the candidate list sent to the driver; no join row is dropped
+        .orderBy(F.desc(F.coalesce(F.col("k").isin(*also), F.lit(False)) if also else F.lit(False)), F.desc("c"))
+        .limit(max_keys + 2 + len(also))  # bounds the candidate list sent to the driver; no join row is dropped
         .collect()
     )
     n = next((r["c"] for r in top if r["g"] == 1), 0)
     if n == 0:
-        return []
+        return [], {}, 0.0
     # With a tiny sample, a key needs a few hits before it counts as hot.
     need = max(share * n, 3)
-    return [(r["k"], r["c"] / n) for r in top if r["g"] == 0 and r["k"] is not None and r["c"] >= need]
+    shares = {r["k"]: r["c"] / n for r in top if r["g"] == 0 and r["k"] is not None}
+    return [(k, x) for k, x in shares.items() if x * n >= need], {k: shares.get(k, 0.0) for k in also}, n / fraction
+
+
+def hot_keys(
+    fact: DataFrame,
+    key: str,
+    *,
+    share: float | None = None,
+    fraction: float = DEFAULT_SAMPLE_FRACTION,
+    seed: int = 7,
+) -> list[tuple]:
+    """(key, share of rows) of the keys holding at least `share` of the fact rows.
+
+    `share` defaults to HOT_FACTOR / shuffle partitions. Estimated on a
+    sample of the key column only. No more than 1 / share keys can each hold
+    `share` of the sample, so the list that comes back to the driver is bounded
+    whatever the data, and complete. The sample only decides the plan; every row
+    still goes through the join.
+    """
+    return sorted(_sampled(fact, key, share, fraction, seed)[0], key=lambda x: -x[1])
 
 
 def salts_for(key_share: float, partitions: int) -> int:
@@ -172,21 +187,64 @@ def _salted(fact: DataFrame, dim: DataFrame, key: str, how: str, salts: dict, nu
     return fact_s.join(dim_s, on=[key, SALT], how=how).drop(SALT)
 
 
-def _lookup_heavy(fact: DataFrame, dim: DataFrame, key: str, salts: dict) -> DataFrame:
-    """Inner join on the hot keys of the lookup side.
+def grids(rows_of: dict, fact_total: float, dim_total: float, partitions: int) -> dict:
+    """{key: (rows, columns)} for keys with (fact rows, lookup rows) in `rows_of`.
 
-    The lookup rows of a key are dealt over its salts and its fact rows go to
-    each. Every key here has lookup rows, so "left" and "inner" are the same.
+    A side's rows are cut so that no part holds more than an average task reads, and
+    cells are as many as `CELLS_PER_TASK` for each average task's worth of the key's
+    pairs; copies stay within that many cells for each shuffle partition.
+    """
+    load = max((fact_total + dim_total) / partitions, 1)
+    pairs = {k: f * d for k, (f, d) in rows_of.items()}
+    every = max(fact_total + sum(pairs.values()), 1)
+    out = {}
+    for k, (f, d) in rows_of.items():
+        r, c = max(1, math.ceil(f / load)), max(1, math.ceil(d / load))
+        cells = max(1, math.ceil(CELLS_PER_TASK * partitions * pairs[k] / every))
+        if r * c < cells:
+            # Cut the side with more rows first: its parts are what the other side's
+            # rows are copied to.
+            r = max(r, min(math.ceil(f) or 1, math.ceil(math.sqrt(cells * max(f, 1) / max(d, 1)))))
+            c = max(c, min(math.ceil(d) or 1, math.ceil(cells / r)))
+        if r * c > CELLS_PER_TASK * partitions:
+            shrink = math.sqrt(CELLS_PER_TASK * partitions / (r * c))
+            c = max(1, int(c * shrink))
+            r = max(1, min(r, CELLS_PER_TASK * partitions // c))
+        out[k] = (r, c)
+    return out
+
+
+def _on_grid(fact: DataFrame, dim: DataFrame, key: str, cells: dict) -> DataFrame:
+    """Inner join on the keys of `cells` ({key: (rows, columns)}).
+
+    A fact row has one grid row and goes to each of its columns, a lookup row one
+    column and goes to each of its rows. Every key here has lookup rows, so "left"
+    and "inner" are the same.
     """
-    counts = F.broadcast(fact.sparkSession.createDataFrame(
-        list(salts.items()),
-        T.StructType([T.StructField(key, dim.schema[key].dataType), T.StructField(NSALTS, T.LongType())]),
+    r, c = F.col("_grid_rows"), F.col("_grid_cols")
+    sizes = F.broadcast(fact.sparkSession.createDataFrame(
+        [(k, *size) for k, size in cells.items()],
+        T.StructType([T.StructField(key, dim.schema[key].dataType), T.StructField("_grid_rows", T.LongType()), T.StructField("_grid_cols", T.LongType())]),
     ))
-    row_hash = F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id(), *[F.col(f"`{c}`") for c in dim.columns])
-    dim_s = dim.join(counts, on=key).withColumn(SALT, F.pmod(row_hash, F.col(NSALTS))).drop(NSALTS)
-    every = F.sequence(F.lit(0).cast("bigint"), F.col(NSALTS) - 1)
-    fact_s = fact.join(counts, on=key).withColumn(SALT, F.explode(every)).drop(NSALTS)
-    return fact_s.join(dim_s.hint("shuffle_merge"), on=[key, SALT], how="inner").drop(SALT)
+    zero = F.lit(0).cast("bigint")
+
+    def dealt(df: DataFrame, parts: Column) -> Column:
+        return F.pmod(F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id(), *[F.col(f"`{x}`") for x in df.columns]), parts)
+
+    fact_s = fact.join(sizes, on=key).withColumn(SALT, dealt(fact, r))
+    fact_s = fact_s.withColumn(SALT, F.explode(F.transform(F.sequence(zero, c - 1), lambda j: F.col(SALT) * c + j)))
+    dim_s = dim.join(sizes, on=key).withColumn(SALT, dealt(dim, c))
+    dim_s = dim_s.withColumn(SALT, F.explode(F.transform(F.sequence(zero, r - 1), lambda i: i * c + F.col(SALT))))
+    drop = ("_grid_rows", "_grid_cols")
+    return fact_s.drop(*drop).join(dim_s.drop(*drop).hint("shuffle_merge"), on=[key, SALT], how="inner").drop(SALT)
+
+
+def _rows_with(dim: DataFrame, key: str, keys: list) -> dict:
+    """{key: rows} of the given keys in `dim`: a row a task and key, then their sums."""
+    if not keys:
+        return {}
+    names = dim.sparkSession.createDataFrame([(k,) for k in keys], T.StructType([T.StructField(key, dim.schema[key].dataType)]))
+    return {r["k"]: r["n"] for r in dim.select(F.col(key)).join(F.broadcast(names), key).groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
 def lookup_join(
@@ -214,9 +272,8 @@ def lookup_join(
     and is cheaper to size (the rows `dim` aggregates). If `plan` is a list, the
     chosen JoinPlan is appended.
 
-    Keys that are hot on the lookup side alone (their rows would meet in one
-    task, whatever the fact side holds) are joined apart, their lookup rows
-    dealt over salts.
+    Keys that are hot on the lookup side, or hot on the fact side with several lookup
+    rows, are joined apart on a grid (see `grids`).
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join supports left and inner joins, not {how!r}")
@@ -230,18 +287,24 @@ def lookup_join(
         return fact.join(F.broadcast(dim), on=key, how=how)
 
     partitions = shuffle_partitions(fact.sparkSession)
-    hot = hot_keys(fact, key, share=hot_share, fraction=sample_fraction)
-    salts = {k: salt_buckets or salts_for(sh, partitions) for k, sh in hot}
-    heavy = {
-        k: salt_buckets or salts_for(sh, partitions)
-        for k, sh in hot_keys(dim, key, share=hot_share, fraction=sample_fraction)
-        if k not in salts
-    }
+    share = hot_share if hot_share is not None else HOT_FACTOR / partitions
+    dim_hot, _, dim_rows = _sampled(dim, key, share, sample_fraction)
+    hot, of_lookup, fact_rows = _sampled(fact, key, share, sample_fraction, also=tuple(k for k, _ in dim_hot))
+    # Lookup rows of the fact's hot keys are counted exactly: a few make many pairs there.
+    lookup_rows = _rows_with(dim, key, [k for k, _ in hot])
+    both = {k: (sh * fact_rows, lookup_rows[k]) for k, sh in hot if lookup_rows.get(k, 0) > 1}
+    alone = {k: (of_lookup[k] * fact_rows, sh * dim_rows) for k, sh in dim_hot if k not in both}
+    cells = grids({**both, **alone}, fact_rows, dim_rows, partitions)
+    if salt_buckets:
+        cells = {k: (salt_buckets if k in both else 1, salt_buckets if k in alone or lookup_rows[k] >= salt_buckets else 1) for k in cells}
+    # A key whose grid has one column is a salted key.
+    cells = {k: size for k, size in cells.items() if size[1] > 1}
+    salts = {k: salt_buckets or salts_for(sh, partitions) for k, sh in hot if k not in cells}
     if plan is not None:
-        plan.append(JoinPlan("shuffle", rows, size, tuple(salts), tuple(salts.values()), tuple(heavy)))
-    if not heavy:
+        plan.append(JoinPlan("shuffle", rows, size, tuple(salts), tuple(salts.values()), tuple(cells), tuple(cells.values())))
+    if not cells:
         return _salted(fact, dim, key, how, salts, salt_buckets or partitions)
-    names = fact.sparkSession.createDataFrame([(k,) for k in heavy], T.StructType([T.StructField(key, dim.schema[key].dataType)]))
+    names = fact.sparkSession.createDataFrame([(k,) for k in cells], T.StructType([T.StructField(key, dim.schema[key].dataType)]))
     rest_fact, rest_dim = (df.join(F.broadcast(names), on=key, how="left_anti") for df in (fact, dim))
-    apart = _lookup_heavy(fact, dim, key, heavy)
+    apart = _on_grid(fact, dim, key, cells)
     return _salted(rest_fact, rest_dim, key, how, salts, salt_buckets or partitions).unionByName(apart)

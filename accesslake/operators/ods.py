@@ -22,7 +22,7 @@ from accesslake.functions.parse import (
     split_fields,
     text_line,
 )
-from accesslake.schemas import N_RAW_FIELDS, ODS_COLS, RAW_FIELDS
+from accesslake.schemas import GOOD, KIND, N_RAW_FIELDS, ODS_COLS, RAW_FIELDS, REJECTED
 
 REASON = "reason"
 N_FIELDS = "n_fields"
@@ -65,6 +65,18 @@ def rejects(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.col(REASON).isNotNull()).select("value", REASON)
 
 
+def by_kind(tagged: DataFrame) -> DataFrame:
+    """Every tagged row with its kind, for one write of both kinds.
+
+    A good row has its ODS columns and no line, a rejected one its line and reason
+    and no ODS columns.
+    """
+    is_good = F.col(REASON).isNull()
+    kind = F.when(is_good, F.lit(GOOD)).otherwise(F.lit(REJECTED))
+    fields = [F.when(is_good, F.col(c)).alias(c) for c in ODS_COLS]
+    return tagged.select(*fields, F.when(~is_good, F.col("value")).alias("value"), REASON, kind.alias(KIND))
+
+
 def clean(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """(ods rows, rejected lines `value, reason`)."""
     t = tag(raw, value)

@@ -7,10 +7,15 @@
 Paths that end in `d=YYYYMMDD` give the day and the table root; otherwise set
 `spark.app.day`. Jobs:
 
-* `ods`:   inputPath (raw text) -> outputPath (ODS day); optional spark.app.rejectsPath (root)
+* `ods`:   inputPath (raw text) -> outputPath (ODS day); optional spark.app.rejectsPath (root;
+  with outputPath <root>/kind=good/d=<day> and rejectsPath <root>/kind=rejected both come from
+  one scan). Or spark.app.table and spark.app.rejectsTable (catalog tables, swapped atomically)
 * `dwd`:   ipResourcePath, inputPath (ODS day) -> outputPath (DWD day); spark.app.lookup=join|default
 * `ads`:   inputPath (DWD day) -> outputPath (ADS day; with spark.app.registerIn the
-  day is added to that catalog table), or spark.app.table (catalog table)
+  day is added to that catalog table), spark.app.table (catalog table; with
+  spark.app.swap=true its day is swapped atomically), or both, which needs
+  spark.app.storageLevel (the result is computed once and kept at that level)
+* `drop_versions`: old versions of a swapped day (spark.app.table, day, keep=1)
 * `report`: inputPath (V1 DWD text) -> outputPath (gzip text report)
 * `export`: spark.app.table -> JDBC (spark.app.url, dbtable, user, password, mode,
   truncate, numPartitions, batchsize, isolationLevel, createTableOptions,
@@ -34,10 +39,10 @@ from accesslake.operators import ads
 from accesslake.plans import jobs
 from accesslake.schemas import ADS_SCHEMA, DWD_SCHEMA, ODS_SCHEMA
 from accesslake.session import apply_cluster_conf
-from accesslake.sources import io
+from accesslake.sources import io, versions
 
 PREFIX = "spark.app."
-JOBS = ("ods", "dwd", "ads", "report", "export", "ods_text", "dwd_text", "ads_text")
+JOBS = ("ods", "dwd", "ads", "report", "export", "ods_text", "dwd_text", "ads_text", "drop_versions")
 OUTPUT_SCHEMAS = {"ods": ODS_SCHEMA, "dwd": DWD_SCHEMA, "ads": ADS_SCHEMA, "ads_text": ADS_SCHEMA}
 ADS_PREVIEW_ROWS = 55
 # JDBC writer options by the name of their setting.
@@ -81,7 +86,9 @@ def _show(out, schema) -> None:
 def run(spark: SparkSession, job: str) -> jobs.JobReport | None:
     report = _run(spark, job)
     if _conf(spark, "printSchema", "false").lower() == "true" and job in OUTPUT_SCHEMAS:
-        if job == "ads" and _conf(spark, "table"):
+        if job == "ods" and _conf(spark, "table"):
+            _show(spark.table(_need(spark, "table")).where(F.col("d") == _need(spark, "day")), ODS_SCHEMA)
+        elif job == "ads" and _conf(spark, "table") and not _conf(spark, "outputPath"):
             _, d = _root_and_day(spark, _need(spark, "inputPath"))
             _show(spark.table(_need(spark, "table")).where(F.col("d") == d), ADS_SCHEMA)
         else:
@@ -91,6 +98,12 @@ def run(spark: SparkSession, job: str) -> jobs.JobReport | None:
 
 def _run(spark: SparkSession, job: str) -> jobs.JobReport | None:
     rows = int(_conf(spark, "perBlockRowsForSnappy", str(io.DEFAULT_ROWS_PER_FILE)))
+    if job == "drop_versions":
+        versions.drop_old_versions(spark, _need(spark, "table"), _need(spark, "day"), keep=int(_conf(spark, "keep", "1")))
+        return None
+    if job == "ods" and _conf(spark, "table"):
+        return jobs.ods_table_job(spark, _need(spark, "inputPath"), _need(spark, "table"), _need(spark, "rejectsTable"),
+                                  _need(spark, "day"), rows_per_file=rows)
     if job == "ods":
         out_root, d = _root_and_day(spark, _need(spark, "outputPath"))
         return jobs.ods_job(spark, _need(spark, "inputPath"), out_root, d,
@@ -105,12 +118,14 @@ def _run(spark: SparkSession, job: str) -> jobs.JobReport | None:
     if job == "ads":
         in_root, d = _root_and_day(spark, _need(spark, "inputPath"))
         table = _conf(spark, "table")
-        if table:
-            return jobs.ads_job(spark, in_root, d, table=table)
+        swap = _conf(spark, "swap", "false").lower() == "true"
+        if table and not _conf(spark, "outputPath"):
+            return jobs.ads_job(spark, in_root, d, table=table, swap=swap, **({"rows_per_file": rows} if swap else {}))
         out_root, d_out = _root_and_day(spark, _need(spark, "outputPath"))
         if d_out != d:
             raise ValueError(f"input day {d} and output day {d_out} differ")
-        return jobs.ads_job(spark, in_root, d, ads_root=out_root, register_in=_conf(spark, "registerIn"), rows_per_file=rows)
+        return jobs.ads_job(spark, in_root, d, ads_root=out_root, table=table, swap=swap, persist=_conf(spark, "storageLevel"),
+                            register_in=_conf(spark, "registerIn"), rows_per_file=rows)
     if job == "ods_text":
         return jobs.ods_text_job(spark, _need(spark, "inputPath"), _need(spark, "outputPath"))
     if job == "dwd_text":

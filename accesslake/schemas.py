@@ -69,6 +69,10 @@ ADS_COLS = ADS_SCHEMA.fieldNames()
 
 REJECTS_SCHEMA = T.StructType([T.StructField("value", S), T.StructField("reason", S)])
 
+# The kinds of lines that one ODS write deals out.
+KIND = "kind"
+GOOD, REJECTED = "good", "rejected"
+
 # The day partition column; always a string such as '20240101'.
 DAY = "d"
 

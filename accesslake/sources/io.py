@@ -15,16 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from accesslake.schemas import ADS_SCHEMA, DAY, DWD_SCHEMA, ODS_SCHEMA, ddl, with_day
+from accesslake.functions.parse import day_of_file
+from accesslake.schemas import ADS_SCHEMA, DAY, DWD_SCHEMA, KIND, ODS_SCHEMA, ddl, with_day
 
 # Rows per output file by default (5,000,000 is the other usual setting).
 DEFAULT_ROWS_PER_FILE = 2_500_000
-_DAY_DIR = re.compile(r"(?:^|/)d=([^/]+)/?$")
+# Rows are merged into fewer files when a day has at least so many files, and so many
+# times more than its rows fill.
+MERGE_MIN_FILES = 32
+MERGE_FACTOR = 4
+# The day folder, with a glob of part files after it or none.
+_DAY_DIR = re.compile(r"(?:^|/)d=([^/]+)(?:/part[^/]*|/?)$")
 
 
 # --------------------------------------------------------------------- paths
 def day_of_path(path: str) -> str:
-    """`YYYYMMDD` from a path whose last segment is `d=YYYYMMDD`."""
+    """`YYYYMMDD` from a path whose last segment, but for part files, is `d=YYYYMMDD`."""
     m = _DAY_DIR.search(path)
     if not m:
         raise ValueError(f"no d=<day> segment at the end of {path!r}")
@@ -35,6 +41,11 @@ def day_path(root: str, d: str) -> str:
     return f"{root.rstrip('/')}/{DAY}={d}"
 
 
+def kind_root(root: str, kind: str) -> str:
+    """Root of the days of one kind of rows below `root` (see `write_kinds`)."""
+    return f"{root.rstrip('/')}/{KIND}={kind}"
+
+
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
@@ -45,7 +56,33 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return f"{base.rstrip('/')}/accesslake/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/accesslake/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove this application's scratch folders (results that read them must be done with)."""
+    remove_folder(spark, scratch_dir(spark).rsplit("/", 1)[0])
+
+
+def _folder(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names in a folder; none if it does not exist."""
+    fs, p = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def data_files(spark: SparkSession, path: str) -> int:
+    """Data files directly in a folder (0 if it does not exist)."""
+    return sum(not name.startswith(("_", ".")) for name in names_in(spark, path))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _folder(spark, path)
+    fs.delete(p, True)
 
 
 # ------------------------------------------------------------------- readers
@@ -68,7 +105,28 @@ def read_days(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(with_day(schema)).parquet(root)
 
 
+def read_part_files(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFrame:
+    """Parquet files by glob (`<root>/d=2024*/part*`), of one day or of many.
+
+    Only the files that match are listed. The day is taken from each file's own
+    path, in the hidden file-path column, so it needs no partition discovery; a file
+    outside a day folder has the day ''.
+    """
+    rows = spark.read.schema(schema).parquet(pattern)
+    return rows.select("*", day_of_file(F.col("_metadata.file_path")).alias(DAY))
+
+
 # ------------------------------------------------------------------- writers
+def files_for(rows: int, rows_per_file: int) -> int:
+    """Files that so many rows fill."""
+    return max(1, -(-rows // rows_per_file))
+
+
+def too_many_files(files: int, rows: int, rows_per_file: int = DEFAULT_ROWS_PER_FILE) -> bool:
+    """Whether counted rows lie in far more files than they fill."""
+    return files >= MERGE_MIN_FILES and files > MERGE_FACTOR * files_for(rows, rows_per_file)
+
+
 def write_day(
     df: DataFrame,
     root: str,
@@ -80,7 +138,8 @@ def write_day(
     """Replace day `d` of the table at `root` with `df` (other days untouched).
 
     No repartition: files come out of the tasks that produce the rows, each
-    capped at `rows_per_file` rows, so the write adds no shuffle.
+    capped at `rows_per_file` rows, so the write adds no shuffle. `merge_day` joins
+    the files of a day that got few rows from many tasks.
     """
     (
         df.withColumn(DAY, F.lit(d))
@@ -93,6 +152,43 @@ def write_day(
     )
 
 
+def write_kinds(df: DataFrame, kind_col: str, root: str, d: str, *, rows_per_file: int = DEFAULT_ROWS_PER_FILE) -> None:
+    """Replace day `d` below `<root>/kind=<kind>/` for every kind that `df` has rows of.
+
+    One pass over `df` fills all of them: the rows are computed once and dealt by kind
+    into a folder a kind and day. `kind_root` names a kind's own table root, which
+    `read_day` takes. A kind without rows keeps its old day; `clear_day` empties it.
+    """
+    (
+        df.withColumnRenamed(kind_col, KIND).withColumn(DAY, F.lit(d))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", rows_per_file)
+        .partitionBy(KIND, DAY)
+        .parquet(root)
+    )
+
+
+def merge_day(spark: SparkSession, root: str, schema: T.StructType, d: str, rows: int, *, rows_per_file: int = DEFAULT_ROWS_PER_FILE) -> bool:
+    """Merge the files of day `d` if its counted rows lie in far more files than they fill.
+
+    A filter that leaves few rows of many tasks leaves as many small files. The day's
+    rows (few, or there would be no need) are rebalanced into partitions of AQE's
+    advisory size, written aside and then put in the day's place by the same dynamic
+    overwrite as any day, so a failure leaves a whole day. Returns whether it merged.
+    """
+    if not too_many_files(data_files(spark, day_path(root, d)), rows, rows_per_file):
+        return False
+    aside = f"{root.rstrip('/')}/_merged/{DAY}={d}-{uuid.uuid4().hex[:8]}"
+    try:
+        small = read_day(spark, root, schema, d).drop(DAY).hint("rebalance")
+        small.write.option("maxRecordsPerFile", rows_per_file).parquet(aside)
+        write_day(spark.read.schema(schema).parquet(aside), root, d, rows_per_file=rows_per_file)
+    finally:
+        remove_folder(spark, aside)
+    return True
+
+
 def clear_day(spark: SparkSession, root: str, schema: T.StructType, d: str) -> None:
     """Make day `d` of the table at `root` empty (other days untouched).
 

@@ -238,3 +238,60 @@ def test_v1_lookup_on_the_shuffle_plan(spark):
     s = dwd.enrich_lookup(pre, dim, max_broadcast_rows=0, hot_share=0.05, sample_fraction=1.0)
     assert rows(b) == rows(s) and len(rows(s)) == 32
     assert {r[1] for r in rows(s) if r[0] == "2.2.2.2"} == {"-"}
+
+
+def _spread(spark, fact, dim, **opts):
+    """Rows that each task of the join makes, AQE's own merging and splitting off."""
+    keys = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        plan = []
+        j = joins.lookup_join(fact, dim, "ip", "left", max_broadcast_rows=0, plan=plan, **opts)
+        per_task = [r["count"] for r in j.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        sums = j.agg(F.count("*"), F.sum("id"), F.sum("city"), F.count("city")).first()
+        return plan[0], per_task, tuple(sums)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_key_hot_on_both_sides_is_dealt_over_a_grid(spark):
+    fact = spark.range(12_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("ip"), "id").repartition(4)
+    dim = spark.range(1_500).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("ip"), F.col("id").alias("city")).repartition(3)
+    plan, per_task, sums = _spread(spark, fact, dim, sample_fraction=0.5)
+    assert plan.lookup_hot_keys == ("hot",) and min(plan.grids[0]) > 1
+    expected = fact.join(dim, "ip", "left").agg(F.count("*"), F.sum("id"), F.sum("city"), F.count("city")).first()
+    assert sums == tuple(expected)
+    mean = sum(per_task) / 16
+    assert max(per_task) <= 2 * mean, (max(per_task), mean)
+
+
+def test_a_few_lookup_rows_of_a_hot_key_make_a_grid(spark):
+    """Not hot among the lookup rows, but many pairs together."""
+    fact = spark.range(8_000).select(F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("ip"), "id").repartition(4)
+    dim = spark.range(40_000).select(F.when(F.col("id") < 200, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("ip"), F.col("id").alias("city"))
+    plan, per_task, sums = _spread(spark, fact, dim, sample_fraction=0.5)
+    assert plan.lookup_hot_keys == ("hot",)
+    assert sums == tuple(fact.join(dim, "ip", "left").agg(F.count("*"), F.sum("id"), F.sum("city"), F.count("city")).first())
+    assert max(per_task) <= 2 * sum(per_task) / 16
+
+
+def test_grids_are_bounded():
+    for f, d, nf, nd in ((3e9, 3e6, 1e10, 1e7), (1e9, 0, 1e10, 1e7), (0, 5e6, 1e10, 1e7), (4, 4, 10, 10), (1e9, 2, 1e10, 1e7)):
+        for parts in (8, 200, 20_000):
+            (r, c), = joins.grids({"k": (f, d)}, nf, nd, parts).values()
+            assert r >= 1 and c >= 1 and r * c <= max(joins.CELLS_PER_TASK * parts, 1)
+    (r, c), = joins.grids({"k": (3e6, 1e4)}, 1e7, 3e4, 200).values()
+    assert 3e6 / r <= 1e7 / 200 * 2 and r * c >= 200
+
+
+def test_grid_in_an_inner_join_with_typed_keys(spark):
+    fact = spark.range(600).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    dim = spark.range(300).select((F.col("id") % 2).alias("k"), F.col("id").alias("w"))
+    for how in ("left", "inner"):
+        plan = []
+        got = joins.lookup_join(fact, dim, "k", how, max_broadcast_rows=0, hot_share=0.2, sample_fraction=1.0, plan=plan)
+        assert plan[0].grids and got.columns == ["k", "v", "w"]
+        assert sorted(map(str, got.collect())) == sorted(map(str, fact.join(dim, "k", how).collect()))

@@ -52,6 +52,38 @@ def test_submit_chain(spark, scratch, app_conf, capsys):
         submit.run(spark, "nope")
 
 
+def test_submit_tables_swapped(spark, scratch, app_conf):
+    import uuid
+
+    from accesslake.schemas import ODS_SCHEMA, REJECTS_SCHEMA
+    from accesslake.sources import versions
+
+    raw, ip = f"{scratch}/raw", f"{scratch}/ip"
+    io.write_text(fixtures.raw_access(spark, SF_SMALL), raw, compression=None)
+    io.write_text(fixtures.ip_lines(spark, SF_SMALL), ip, compression=None)
+    names = {k: f"{k}_{uuid.uuid4().hex[:8]}" for k in ("ods", "rejects", "ads")}
+    for (k, name), schema in zip(names.items(), (ODS_SCHEMA, REJECTS_SCHEMA, ADS_SCHEMA)):
+        io.create_day_table(spark, name, schema, f"{scratch}/{k}_table")
+    app_conf(inputPath=raw, table=names["ods"], rejectsTable=names["rejects"], day=D, printSchema="true")
+    assert submit.run(spark, "ods").counts["good"] == spark.table(names["ods"]).count() == 878
+    assert spark.table(names["rejects"]).count() == 122
+    app_conf(printSchema="false")
+    spark.conf.unset(submit.PREFIX + "table")
+
+    split = f"{scratch}/split"
+    app_conf(inputPath=raw, outputPath=f"{split}/kind=good/d={D}", rejectsPath=f"{split}/kind=rejected")
+    assert submit.run(spark, "ods").counts["good"] == 878
+    app_conf(inputPath=f"{split}/kind=good/d={D}", outputPath=f"{scratch}/dwd/d={D}", ipResourcePath=ip)
+    submit.run(spark, "dwd")
+    app_conf(inputPath=f"{scratch}/dwd/d={D}", outputPath=f"{scratch}/ads/d={D}", table=names["ads"], swap="true", storageLevel="DISK_ONLY")
+    for _ in range(3):
+        assert submit.run(spark, "ads").counts["groups"] == spark.table(names["ads"]).count() == 278
+    assert io.read_day(spark, f"{scratch}/ads", ADS_SCHEMA, D).count() == 278
+    app_conf(keep="0")
+    submit.run(spark, "drop_versions")
+    assert len(versions.versions_of(spark, names["ads"], D)) == 1 and spark.table(names["ads"]).count() == 278
+
+
 def test_sql_over_day_views_equals_dataframe(spark, scratch):
     rows = [tuple(f"v{i}" if c not in ("responseTime", "requestSize", "responseSize") else i
                   for c in DWD_SCHEMA.fieldNames()) for i in range(3)]
