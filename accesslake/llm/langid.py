@@ -239,7 +239,9 @@ class Model:
 def train(documents: DataFrame, pieces: list[str], *, held_out: tuple[int, int] = HELD_OUT, max_rows: int = MAX_TRAIN_ROWS, rounds: int = EM_ROUNDS) -> Model:
     """Learns from the rows outside the held-out fold that have a language.
 
-    A null text or one without a letter teaches nothing.
+    A null text or one without a letter teaches nothing, and a language all of whose
+    texts are such is not learned. Repeated rows teach as often as they occur in the
+    sample; an empty table teaches no language.
     """
     rows = documents.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~in_fold(F.col("doc_id"), *held_out))
     rows = _bounded_sample(rows, max_rows)
@@ -254,6 +256,8 @@ def train(documents: DataFrame, pieces: list[str], *, held_out: tuple[int, int]
             totals: dict[str, np.ndarray] = {}
             for pdf in it:
                 for lang, part in pdf.groupby("lang"):
+                    if languages and lang not in languages:  # no text of it has a letter
+                        continue
                     table = p[:, [languages.index(lang)]] if languages else p
                     words: Counter[str] = Counter()
                     for t in part["text"]:
@@ -280,43 +284,61 @@ def train(documents: DataFrame, pieces: list[str], *, held_out: tuple[int, int]
     return Model(lattice, languages, logp)
 
 
+class Identifier:
+    """A model with the words scored so far, for one task."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.index: dict[str, int] = {}
+        self.table = np.zeros((0, len(model.languages)))
+
+    def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
+        """Language and posterior of each text."""
+        langs, scores = [], []
+        for at in range(0, len(texts), ROWS_AT_ONCE):
+            self._predict(texts[at : at + ROWS_AT_ONCE], langs, scores)
+        return langs, scores
+
+    def _predict(self, texts: list[str], langs: list[str], scores: list[float]) -> None:
+        m = self.model
+        known = [t if m.languages and has_letter(t) else None for t in texts]
+        words = [words_of(t) if t else [] for t in known]
+        if len(self.index) > KEPT_WORDS:
+            self.index, self.table = {}, self.table[:0]
+        new = list(set().union(*words).difference(self.index))
+        found = [self.table]
+        for k in range(0, len(new), WORDS_AT_ONCE):
+            found.append(m.lattice.log_probability([WORD_START + w for w in new[k : k + WORDS_AT_ONCE]], m.scaled))
+        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+        self.table = np.concatenate(found)
+        for t, ws in zip(known, words):
+            if t is None:
+                langs.append(UNDETERMINED)
+                scores.append(0.0)
+                continue
+            total = self.table[np.fromiter(map(self.index.__getitem__, ws), dtype=np.int64, count=len(ws))].sum(axis=0)
+            best = int(np.argmax(total))
+            langs.append(m.languages[best])
+            scores.append(float(1 / np.exp(total - total[best]).sum()))
+
+
 def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, lang_pred and score (posterior of the prediction).
 
     A null text, one without a letter, and any text when no language was
     learned are `und` with score 0. Equal posteriors go to the language that
-    sorts first. Rows are independent; columns besides the two named are not
-    looked at.
+    sorts first. Rows are independent, repeated ones give repeated result rows;
+    columns besides the two named are not looked at. An empty table gives an empty
+    result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
-        index: dict[str, int] = {}
-        table = np.zeros((0, len(m.languages)))
+        found = Identifier(shared.value)
         for pdf in it:
             for at in range(0, len(pdf), ROWS_AT_ONCE):
                 part = pdf.iloc[at : at + ROWS_AT_ONCE]
-                texts = [t if m.languages and has_letter(t) else None for t in text_or_empty(part["text"])]
-                words = [words_of(t) if t else [] for t in texts]
-                if len(index) > KEPT_WORDS:
-                    index, table = {}, table[:0]
-                new = list(set().union(*words).difference(index))
-                found = [table]
-                for k in range(0, len(new), WORDS_AT_ONCE):
-                    found.append(m.lattice.log_probability([WORD_START + w for w in new[k : k + WORDS_AT_ONCE]], m.scaled))
-                index.update(zip(new, range(len(index), len(index) + len(new))))
-                table = np.concatenate(found)
-                langs, scores = [], []
-                for t, ws in zip(texts, words):
-                    if t is None:
-                        langs.append(UNDETERMINED)
-                        scores.append(0.0)
-                        continue
-                    total = table[np.fromiter(map(index.__getitem__, ws), dtype=np.int64, count=len(ws))].sum(axis=0)
-                    best = int(np.argmax(total))
-                    langs.append(m.languages[best])
-                    scores.append(float(1 / np.exp(total - total[best]).sum()))
+                langs, scores = found.predict(text_or_empty(part["text"]))
                 yield pd.DataFrame({"id": part["id"].to_numpy(), "lang_pred": langs, "score": scores})
 
     out = docs.select(carried(id_col), F.col(text_col).alias("text")).mapInPandas(run, "id string, lang_pred string, score double")

@@ -170,8 +170,10 @@ def learn_weights(cells: pd.DataFrame, n_types: int, rounds: int = EM_ROUNDS) ->
 
     A bucket without events takes the weights of all events together, and
     without any events the three weights are equal. A context never seen has
-    no l2.
+    no l2. Without any training word only l0 is left.
     """
+    if not n_types:
+        return np.tile([0.0, 0.0, 1.0], (MAX_BUCKET + 1, 1))
     p = np.stack([np.where(cells[q] > 0, 0.0, np.exp2(cells[q] / STEPS)) for q in ("q2", "q1")] + [np.full(len(cells), 1 / (n_types + 1))], axis=1)
     n, bucket = cells["n"].to_numpy(np.float64), cells["bucket"].to_numpy()
 

@@ -12,9 +12,10 @@ length. Training on document labels thus finds the sentences that explain them,
 and `offending` returns those. Toxic labels that no sentence explains go to a leak, one
 probability for each document whatever its length, which scores leave out.
 
-Training takes a bounded sample of labelled rows, MAX_TRAIN_ROWS of each label
-and fewer if they hold much more than MAX_TRAIN_CHARS, chosen whatever their
-length, and weighs them back to the labels' true shares.
+Training takes a bounded sample of the different labelled texts, the first by hash:
+MAX_TRAIN_ROWS of each label, and fewer if they hold more than half of MAX_TRAIN_CHARS;
+it weighs them back to the labels' true shares. A text that alone holds more is not
+learned from.
 """
 
 from __future__ import annotations
@@ -27,16 +28,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accesslake.llm.common import carried, in_fold, restored, text_or_empty
+from accesslake.llm.common import carried, in_fold, materialize, restored, text_or_empty
+from accesslake.operators.joins import lookup_join
 
 HELD_OUT = (5, 0)
-# Labelled rows of each label that are trained on (chosen by a hash of the id),
-# and about how many characters their texts hold together, whole texts.
+# Labelled rows of each label that are trained on (chosen by a hash of the row),
+# and the most characters that their texts hold together, whole texts.
 MAX_TRAIN_ROWS = 1_500
 MAX_TRAIN_CHARS = 20_000_000
+# Labels are broadcast up to so many (and 256 MB, checked), and joined by a salted shuffle beyond.
+MAX_BROADCAST_LABELS = 500_000
 # A feature in fewer sampled texts than this says nothing.
 MIN_TEXTS = 4
 PREFIXES = (3, 4, 5)
@@ -174,26 +178,33 @@ def train(documents: DataFrame, labels: DataFrame, *, held_out: tuple[int, int]
     """Learns from labelled documents outside the held-out fold, whole texts.
 
     A document with several labels is toxic if one says so; null labels, ids
-    and texts teach nothing. Without any label every sentence scores 0.
+    and texts teach nothing. Rows that repeat an id and text teach once. Without any
+    label every sentence scores 0. The driver gets at most `max_rows` rows of each
+    label and `max_chars` characters, however often rows repeat.
     """
     given = labels.where("doc_id is not null and toxic is not null").where(~in_fold(F.col("doc_id"), *held_out))
     given = given.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    counts = {r["toxic"]: r["n"] for r in given.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    rate = {k: min(1.0, max_rows / n) for k, n in counts.items()}
-
-    def sample() -> DataFrame:
-        keep: Column = F.lit(False)
-        for k, r in sorted(rate.items()):
-            keep = keep | ((F.col("toxic") == k) & (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < r * 1_000_000))
-        # The sample's ids are bounded by max_rows, so they go to every task.
-        return documents.select("doc_id", "text").join(F.broadcast(given.where(keep)), "doc_id").where(F.length("text") > 0)
-
-    # Long texts lower the share of rows, long and short alike.
-    chars = {r["toxic"]: r["n"] for r in sample().groupBy("toxic").agg(F.sum(F.length("text")).alias("n")).collect()}
-    for k, n in chars.items():
-        rate[k] *= min(1.0, max_chars / 2 / n)
-    rows = sample().orderBy("doc_id", "text").collect()
-    return fit([r["text"] for r in rows], [r["toxic"] for r in rows], [1 / rate[r["toxic"]] for r in rows])
+    hashed = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row")).where(F.length("text") > 0)
+    labelled = lookup_join(hashed, given, "doc_id", "inner", max_broadcast_rows=MAX_BROADCAST_LABELS)
+    # A row for each different labelled text, by a hash of it; only ids, hashes and lengths.
+    distinct = materialize(labelled.groupBy("row", "toxic").agg(F.min(F.length("text")).alias("chars")), "labelled")
+    counts = {r["toxic"]: r["n"] for r in distinct.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    chosen: list[int] = []
+    weight = {}
+    for label, n in sorted(counts.items()):
+        fits = distinct.where((F.col("toxic") == label) & (F.col("chars") <= max_chars // 2))
+        # The first rows by hash: at most max_rows of them, and of max_chars / 2 characters.
+        first = fits.orderBy(F.xxhash64("row"), "row").limit(max_rows).collect()
+        ends = np.cumsum([r["chars"] for r in first])
+        own = [r["row"] for r, end in zip(first, ends) if end <= max_chars // 2]
+        chosen += own
+        weight[label] = n / max(1, len(own))
+    if not chosen:
+        return fit([], [], [])
+    names = F.broadcast(documents.sparkSession.createDataFrame([(r,) for r in chosen], "row long"))
+    texts = labelled.join(names, "row").groupBy("row", "toxic").agg(F.min("text").alias("text"))
+    rows = texts.orderBy("row").collect()
+    return fit([r["text"] for r in rows], [r["toxic"] for r in rows], [weight[r["toxic"]] for r in rows])
 
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,8 +212,9 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     the worst sentence (worst_start, worst_end: characters; worst_score).
 
     A null or wordless text has no sentence and score 0. Of equally bad
-    sentences the first is named. Rows are independent; columns besides the two
-    named are not looked at.
+    sentences the first is named. Rows are independent, repeated ones give repeated
+    result rows; columns besides the two named are not looked at. An empty table gives
+    an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -102,3 +102,12 @@ def test_a_word_over_a_cut_is_not_cut(spark, pieces):
     for e in range(1, len(w) + 1):
         alpha.append(np.logaddexp.reduce([alpha[e - n] + logp[known[w[e - n : e]]] for n in range(1, e + 1) if w[e - n : e] in known], axis=0))
     assert out.lang_pred == "en" and np.isclose(1 - out.score, 1 - 1 / np.exp(alpha[-1] - alpha[-1].max()).sum(), rtol=1e-3)
+
+
+def test_a_language_without_letters_is_not_learned(spark, pieces):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("12345", "xx"), ("the house and the man", "en"), ("das haus und der mann", "de"), (None, "yy"), ("67 89", "xx")] * 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, pieces, rounds=3)
+    assert model.languages == ["de", "en"]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, model).collect()}
+    assert got[0] == got[3] == "und" and (got[1], got[2]) == ("en", "de")

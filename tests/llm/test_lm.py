@@ -76,3 +76,11 @@ def test_better_than_unigrams_on_held_out(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     held = [r for r in lm.score(df).collect() if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_without_training_text_probabilities_are_one(spark):
+    import zlib
+
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2][:5]
+    got = lm.score(spark.createDataFrame([(i, "a b c") for i in held], "doc_id long, text string")).collect()
+    assert [(r.held_out, r.n_tokens, r.train_tokens, r.base_score, r.score) for r in got] == [(True, 4, 0, 0.0, 0.0)] * 5

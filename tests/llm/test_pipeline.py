@@ -44,6 +44,19 @@ def test_stages_keep_columns_and_odd_rows(spark, tmp_path):
     assert {r.doc_id for r in docs.collect()} == {None, 1}
 
 
+def test_columns_with_clashing_names(spark, tmp_path):
+    text = " ".join(f"word{i}" for i in range(40))
+    names = ["_id", "_hash", "_dropped_0", "_dropped_1", "row", "row_hash", "kept", "id", "node", "fp"]
+    rows = [(i, t, "en", *range(len(names))) for i, t in ((1, text), (1, text), (2, text + " end"), (3, "of the man and the house"), (None, "the cat"), (4, "the dog"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, " + ", ".join(f"{n} int" for n in names))
+    for t, schema, some in (("labels", "doc_id long, toxic int", [(3, 0)]), ("benchmark", "item_id long, text string", [(1, "of the man and the house")])):
+        spark.createDataFrame(some, schema).write.parquet(f"{tmp_path}/{t}.parquet")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        before, docs = docs, stage(spark, docs, str(tmp_path))
+        assert docs.columns == before.columns
+    assert sorted(map(tuple, docs.collect()), key=str) == sorted((rows[0], rows[4], rows[5]), key=str)
+
+
 def test_empty_tables(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for t, schema in (("documents", docs.schema), ("labels", "doc_id long, toxic int"), ("benchmark", "item_id long, text string")):

@@ -93,3 +93,22 @@ def test_long_texts_are_trained_on(spark):
     assert model.text_score("odd scumbag here.") >= 0.5 and model.text_score("odd here.") < 0.01
     few = toxicity.train(docs, labels, max_chars=1_000_000)  # fewer rows, not shorter ones
     assert few.text_score("odd here.") < 0.01
+
+
+def test_the_driver_gets_a_bounded_sample(spark, monkeypatch):
+    """However often rows repeat, and whatever their length."""
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels, weights: seen.append((texts, labels, weights)) or toxicity.Model({}, -6.0))
+    base = spark.createDataFrame([(i, f"word{i} text", i % 2) for i in range(1, 60) if i % 5], "doc_id long, text string, toxic int")
+    ids = base.select("doc_id", "text")
+    many = ids.where("doc_id = 1").crossJoin(spark.range(20_000)).select("doc_id", "text")
+    long = spark.range(1).selectExpr("1001L as doc_id", "repeat('long ', 5000) as text")
+    docs = ids.unionByName(many).unionByName(long)
+    labels = base.select("doc_id", "toxic").unionByName(spark.createDataFrame([(1001, 1)], "doc_id long, toxic int"))
+    toxicity.train(docs, labels, max_rows=7, max_chars=20_000)
+    texts, marks, weights = seen[0]
+    assert len(texts) == len(set(texts)) == 14 and marks.count(1) == 7 and all(len(t) < 100 for t in texts)
+    assert all(w > 1 for w in weights)
+    toxicity.train(docs, labels, max_rows=100, max_chars=600)
+    texts, marks, _ = seen[1]
+    assert sum(map(len, texts)) <= 600 and sum(len(t) for t, y in zip(texts, marks) if y) <= 300
