@@ -47,6 +47,10 @@ HOT_FACTOR = 4
 # tasks by hash, and many small ones even out.
 CELLS_PER_TASK = 16
 DEFAULT_SAMPLE_FRACTION = 0.01
+# Keys of a day's heavy-key list, and keys that its sketch tracks in each task: a key is
+# in the list if it has about 1 in HEAVY_TRACKED of the rows or more.
+HEAVY_KEYS = 200
+HEAVY_TRACKED = 1_000
 SALT = "_salt"
 NSALTS = "_nsalts"
 
@@ -150,6 +154,15 @@ def hot_keys(
     return sorted(_sampled(fact, key, share, fraction, seed)[0], key=lambda x: -x[1])
 
 
+def heavy_keys_metric(key: Column) -> Column:
+    """Aggregate for an observation: the heaviest keys and their counts, from a sketch.
+
+    Every task sends a sketch of HEAVY_TRACKED keys at most, and sketches merge, so a
+    pass that reads the rows anyway finds them; no pass of its own is needed.
+    """
+    return F.call_function("approx_top_k", key, F.lit(HEAVY_KEYS), F.lit(HEAVY_TRACKED))
+
+
 def salts_for(key_share: float, partitions: int) -> int:
     """Salts of a hot key: about one average partition of rows per salt."""
     return max(2, min(partitions, math.ceil(key_share * partitions)))
@@ -260,6 +273,7 @@ def lookup_join(
     sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
     salt_buckets: int | None = None,
     size_of: DataFrame | None = None,
+    known_heavy: tuple[list[tuple], int] | None = None,
     plan: list | None = None,
 ) -> DataFrame:
     """`fact JOIN dim USING (key)` with a size-checked broadcast or a salted shuffle.
@@ -272,6 +286,9 @@ def lookup_join(
     and is cheaper to size (the rows `dim` aggregates). If `plan` is a list, the
     chosen JoinPlan is appended.
 
+    `known_heavy`, (key, rows) pairs and the rows of the fact side, replaces the sample
+    of the fact side, which is then read once, by the join itself.
+
     Keys that are hot on the lookup side, or hot on the fact side with several lookup
     rows, are joined apart on a grid (see `grids`).
     """
@@ -289,7 +306,12 @@ def lookup_join(
     partitions = shuffle_partitions(fact.sparkSession)
     share = hot_share if hot_share is not None else HOT_FACTOR / partitions
     dim_hot, _, dim_rows = _sampled(dim, key, share, sample_fraction)
-    hot, of_lookup, fact_rows = _sampled(fact, key, share, sample_fraction, also=tuple(k for k, _ in dim_hot))
+    if known_heavy is None:
+        hot, of_lookup, fact_rows = _sampled(fact, key, share, sample_fraction, also=tuple(k for k, _ in dim_hot))
+    else:
+        rows_of, fact_rows = dict(known_heavy[0]), max(known_heavy[1], 1)
+        hot = [(k, n / fact_rows) for k, n in rows_of.items() if k is not None and n >= share * fact_rows]
+        of_lookup = {k: rows_of.get(k, 0) / fact_rows for k, _ in dim_hot}
     # Lookup rows of the fact's hot keys are counted exactly: a few make many pairs there.
     lookup_rows = _rows_with(dim, key, [k for k, _ in hot])
     both = {k: (sh * fact_rows, lookup_rows[k]) for k, sh in hot if lookup_rows.get(k, 0) > 1}

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from accesslake.operators import ads, dwd, ods
+from accesslake.operators.joins import heavy_keys_metric
 from accesslake.schemas import ADS_SCHEMA, DWD_SCHEMA, GOOD, KIND, ODS_SCHEMA, REJECTED, REJECTS_SCHEMA
 from accesslake.sources import io, versions
 
@@ -61,6 +62,7 @@ def ods_job(
     d: str,
     *,
     rejects_root: str | None = None,
+    heavy_keys: bool = False,
     rows_per_file: int = io.DEFAULT_ROWS_PER_FILE,
 ) -> JobReport:
     """Raw lines of day `d` -> ODS day partition.
@@ -71,10 +73,13 @@ def ods_job(
     `io.kind_root(root, REJECTED)`), both come out of the same pass; for other roots
     the lines are a second scan of the raw text, made only if the counts show any.
 
-    A day whose rows come out in many small files is merged (`io.merge_day`).
+    A day whose rows come out in many small files is merged (`io.merge_day`). With
+    `heavy_keys`, the ips with the most good rows are found in the same pass and kept
+    with the day, for the join of the DWD job.
     """
     tagged = ods.tag(io.read_lines(spark, raw_path))
-    observed, obs = _observed(tagged, f"ods_{d}", *ods.count_columns())
+    heavy = [heavy_keys_metric(F.when(F.col(ods.REASON).isNull(), F.col("ip"))).alias("heavy")] if heavy_keys else []
+    observed, obs = _observed(tagged, f"ods_{d}", *ods.count_columns(), *heavy)
     split = ods_root.removesuffix(f"/{KIND}={GOOD}")
     together = rejects_root is not None and (ods_root, rejects_root) == (io.kind_root(split, GOOD), io.kind_root(split, REJECTED))
     if together:
@@ -82,6 +87,9 @@ def ods_job(
     else:
         io.write_day(ods.good(observed), ods_root, d, rows_per_file=rows_per_file)
     report = JobReport("ods", d, _metrics(obs, tagged, "total", "good", "short", "dirty_size"))
+    top = report.counts.pop("heavy", 0) or []
+    if heavy_keys:
+        io.write_heavy_keys(spark, ods_root, d, [(r["item"], r["count"]) for r in top], report.counts["good"])
     rejected = report.counts["total"] - report.counts["good"]
     if report.counts["good"] == 0:
         io.clear_day(spark, ods_root, ODS_SCHEMA, d)
@@ -127,8 +135,10 @@ def dwd_job(
     """ODS day -> DWD day: typed, parsed and enriched with the IP library.
 
     `lookup="join"` is the V2 rule (NULL on a miss, duplicates fan out);
-    `lookup="default"` the V1 rule (one row per ip, '-' on a miss).
+    `lookup="default"` the V1 rule (one row per ip, '-' on a miss). If the ODS day has a
+    list of its heavy ips, a shuffle join goes by that and does not sample the day.
     """
+    join_opts.setdefault("known_heavy", io.read_heavy_keys(spark, ods_root, d))
     dim = dwd.ip_dim(io.read_lines(spark, ip_path))
     day = io.read_day(spark, ods_root, ODS_SCHEMA, d).drop("d")
     pre = dwd.widen(day)

@@ -9,7 +9,8 @@ Paths that end in `d=YYYYMMDD` give the day and the table root; otherwise set
 
 * `ods`:   inputPath (raw text) -> outputPath (ODS day); optional spark.app.rejectsPath (root;
   with outputPath <root>/kind=good/d=<day> and rejectsPath <root>/kind=rejected both come from
-  one scan). Or spark.app.table and spark.app.rejectsTable (catalog tables, swapped atomically)
+  one scan;. spark.app.heavyKeys=true keeps the day's heavy ips
+  for the DWD join). Or spark.app.table and spark.app.rejectsTable (catalog tables, swapped atomically)
 * `dwd`:   ipResourcePath, inputPath (ODS day) -> outputPath (DWD day); spark.app.lookup=join|default
 * `ads`:   inputPath (DWD day) -> outputPath (ADS day; with spark.app.registerIn the
   day is added to that catalog table), spark.app.table (catalog table; with
@@ -107,7 +108,8 @@ def _run(spark: SparkSession, job: str) -> jobs.JobReport | None:
     if job == "ods":
         out_root, d = _root_and_day(spark, _need(spark, "outputPath"))
         return jobs.ods_job(spark, _need(spark, "inputPath"), out_root, d,
-                            rejects_root=_conf(spark, "rejectsPath"), rows_per_file=rows)
+                            rejects_root=_conf(spark, "rejectsPath"), heavy_keys=_conf(spark, "heavyKeys", "false").lower() == "true",
+                            rows_per_file=rows)
     if job == "dwd":
         in_root, d = _root_and_day(spark, _need(spark, "inputPath"))
         out_root, d_out = _root_and_day(spark, _need(spark, "outputPath"))

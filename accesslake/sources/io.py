@@ -105,6 +105,26 @@ def read_days(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(with_day(schema)).parquet(root)
 
 
+def _heavy_path(root: str, d: str) -> str:
+    return f"{root.rstrip('/')}/_heavy/{DAY}={d}"
+
+
+def write_heavy_keys(spark: SparkSession, root: str, d: str, keys: list[tuple[str, int]], total: int) -> None:
+    """Keep a day's heaviest keys and its row count (a row without a key) beside the day."""
+    rows = [(None, total), *((k, n) for k, n in keys if k is not None)]
+    spark.createDataFrame(rows, "key string, rows bigint").coalesce(1).write.mode("overwrite").parquet(_heavy_path(root, d))
+
+
+def read_heavy_keys(spark: SparkSession, root: str, *days: str) -> tuple[list[tuple[str, int]], int] | None:
+    """The heaviest keys of some days and their row count, days added up; None if one
+    of them has no list. A list holds a few hundred keys, whatever the day's size."""
+    paths = [_heavy_path(root, d) for d in days]
+    if not days or not all(names_in(spark, p) for p in paths):
+        return None
+    sums = spark.read.parquet(*paths).groupBy("key").agg(F.sum("rows").alias("rows")).collect()
+    return sorted(((r["key"], r["rows"]) for r in sums if r["key"] is not None), key=lambda x: (-x[1], x[0])), next(r["rows"] for r in sums if r["key"] is None)
+
+
 def read_part_files(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFrame:
     """Parquet files by glob (`<root>/d=2024*/part*`), of one day or of many.
 

@@ -13,6 +13,9 @@ def spark():
 
     s = local_session("*", shuffle_partitions=8, app="accesslake-tests")
     yield s
+    from accesslake.sources import io
+
+    io.drop_scratch(s)
     s.stop()
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from accesslake.operators import ods
 from accesslake.plans import ads_job, dwd_job, ods_job, ods_table_job
-from accesslake.schemas import ADS_SCHEMA, GOOD, ODS_SCHEMA, REJECTED, REJECTS_SCHEMA
+from accesslake.schemas import ADS_SCHEMA, DWD_SCHEMA, GOOD, ODS_SCHEMA, REJECTED, REJECTS_SCHEMA
 from accesslake.sources import fixtures, io, versions
 
 from sfdirs import SF_SMALL
@@ -179,3 +179,39 @@ def test_folder_and_table_from_one_pass(spark, raw, scratch, table):
     with pytest.raises(Exception):
         ads_job(spark, f"{scratch}/dwd", D, ads_root=f"{scratch}/ads", table="no_such_table", persist="DISK_ONLY")
     assert len(spark.sparkContext._jsc.getPersistentRDDs()) == 0  # and after a failure
+
+
+def test_heavy_keys_come_from_the_ods_pass(spark, scratch, monkeypatch):
+    from accesslake.operators import joins
+
+    line = "\t".join(["[2022/04/22 10:11:12 +0800]", "{}", "-", "1", "2", "GET", "http://h/p", "200", "3", "{}", "HIT"])
+    rows = [(line.format("9.9.9.9" if i % 3 == 0 else f"10.0.{i // 256}.{i % 256}", "-" if i % 10 == 9 else i + 1),) for i in range(3000)]
+    io.write_text(spark.createDataFrame(rows, "value string").repartition(4), f"{scratch}/raw", compression=None)
+    io.write_text(spark.createDataFrame([("9.9.9.9||||||p|c||i",), ("10.0.0.1||||||q|c||i",)], "value string"), f"{scratch}/ip", compression=None)
+    assert io.read_heavy_keys(spark, f"{scratch}/ods", D) is None
+    for d in (D, D2):
+        # Still one job for the day; the list is a second, small one.
+        assert _stages(spark, f"t-heavy-{d}", lambda: ods_job(spark, f"{scratch}/raw", f"{scratch}/ods", d, heavy_keys=True))[0] == 2
+    keys, total = io.read_heavy_keys(spark, f"{scratch}/ods", D)
+    assert keys[0] == ("9.9.9.9", 900) and total == 2700
+    assert io.read_heavy_keys(spark, f"{scratch}/ods", D, D2)[0][0] == ("9.9.9.9", 1800)
+    assert io.read_days(spark, f"{scratch}/ods", ODS_SCHEMA).count() == 5400  # the lists are no days
+
+    sampled = []
+    plain = joins._sampled
+    monkeypatch.setattr(joins, "_sampled", lambda df, *a, **k: sampled.append(df.columns) or plain(df, *a, **k))
+    opts = {"max_broadcast_rows": 0, "hot_share": 0.1}
+    report = dwd_job(spark, f"{scratch}/ip", f"{scratch}/ods", f"{scratch}/dwd", D, **opts)
+    assert report.joins[0].hot_keys == ("9.9.9.9",) and report.counts == {"input": 2700, "rows": 2700}
+    assert sampled == [["ip", "province", "city", "isp"]]  # the library only
+    assert io.read_day(spark, f"{scratch}/dwd", DWD_SCHEMA, D).where("city = 'c'").count() == 901
+
+
+def test_input_is_counted_from_the_files_on_the_shuffle_plan(spark, raw, scratch, monkeypatch):
+    """An observation before the shuffle counts the rows of a repeated map stage twice."""
+    from accesslake.plans import jobs
+
+    ods_job(spark, raw, f"{scratch}/ods", D)
+    plain = jobs._metrics
+    monkeypatch.setattr(jobs, "_metrics", lambda obs, df, *names: {k: v * 2 if k == "input" else v for k, v in plain(obs, df, *names).items()})
+    assert dwd_job(spark, raw, f"{scratch}/ods", f"{scratch}/dwd", D, max_broadcast_rows=0).counts["input"] == 878
