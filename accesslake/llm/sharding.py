@@ -17,10 +17,11 @@ import heapq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from accesslake.llm.common import materialize
+from accesslake.operators.joins import lookup_join
 
 # Groups that one task differences, and partial partitions that one task joins
 # further up. Each holds as many sums as there are shards.
@@ -28,6 +29,9 @@ GROUPS_PER_BUCKET = 20_000
 FAN_IN = 2_000
 # Rows that one task numbers: a shard is numbered in pieces.
 ROWS_PER_PIECE = 200_000
+# Groups and their shards are broadcast up to this size (checked).
+MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 64 << 20
 OVERHEAD_BYTES = 16
 
 
@@ -149,7 +153,7 @@ def shard(docs: DataFrame, shards: int = 40, *, groups_per_bucket: int = GROUPS_
     """
     text = F.coalesce("text", F.lit("")).cast("binary")
     rows = materialize(
-        docs.select("doc_id", (F.octet_length(text) + OVERHEAD_BYTES).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"), F.unhex(F.md5(text)).alias("key")),
+        docs.select("doc_id", (F.octet_length(text) + OVERHEAD_BYTES).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"), F.md5(text).alias("key")),
         "sizes",
     )
     by_text = rows.groupBy("key").agg(F.sum("size").alias("bytes"))
@@ -157,7 +161,7 @@ def shard(docs: DataFrame, shards: int = 40, *, groups_per_bucket: int = GROUPS_
     n_buckets = -(-n_groups // groups_per_bucket) or 1
     dealt = by_text.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(n_buckets)))
     placed = materialize(
-        dealt.groupBy("bucket").applyInPandas(lambda pdf: _bucket(pdf, shards), "node long, key binary, part long").join(by_text, "key"), "placed"
+        dealt.groupBy("bucket").applyInPandas(lambda pdf: _bucket(pdf, shards), "node long, key string, part long").join(by_text, "key"), "placed"
     )
     # Up the tree: `where` maps each bucket's parts to those of the level reached.
     where = sums = None
@@ -178,15 +182,20 @@ def shard(docs: DataFrame, shards: int = 40, *, groups_per_bucket: int = GROUPS_
         where.select("bucket", "start", F.col("part").alias("shard")), ["bucket", "start"]
     )
     pieces = max(1, -(-n_rows // (rows_per_piece * shards)) * 4)
-    located = materialize(
-        rows.join(groups.select("key", F.col("shard").cast("int").alias("shard")), "key").withColumn("piece", F.pmod(F.xxhash64("doc_id", "key"), F.lit(pieces))), "located"
-    )
-    before = located.groupBy("shard", "piece").agg(F.count("*").alias("n"))
-    counts = before.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("piece", "n"))).alias("all"))
-    before = before.join(counts, "shard").select(
-        "shard", "piece", F.aggregate(F.filter("all", lambda x: x["piece"] < F.col("piece")), F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"]).alias("before")
-    )
-    numbered = located.selectExpr("*", "row_number() over (partition by shard, piece order by doc_id, key) as rn")
-    return numbered.join(before, ["shard", "piece"]).select(
-        "doc_id", "size", "text_crc32", "shard", (F.col("before") + F.col("rn") - 1).cast("bigint").alias("slot")
-    )
+    # Rows that repeat an id and text are one row with its copies from here on: a sum, not
+    # a hot group. A hot text's rows find their shard by a broadcast or a salted join.
+    distinct = rows.groupBy("doc_id", "size", "text_crc32", "key").agg(F.count(F.lit(1)).alias("copies"))
+    shard_of = groups.select("key", F.col("shard").cast("int").alias("shard"))
+    found = lookup_join(distinct, shard_of, "key", "inner", max_broadcast_rows=MAX_BROADCAST_ROWS, max_broadcast_bytes=MAX_BROADCAST_BYTES)
+    located = materialize(found.withColumn("piece", F.pmod(F.xxhash64("doc_id", "key"), F.lit(pieces))), "located")
+    sizes = located.groupBy("shard", "piece").agg(F.sum("copies").alias("n"))
+    before = sizes.select("shard", "piece", (F.sum("n").over(Window.partitionBy("shard").orderBy("piece")) - F.col("n")).alias("before"))
+    inside = F.sum("copies").over(Window.partitionBy("shard", "piece").orderBy("doc_id", "key")) - F.col("copies")
+    placed_rows = located.withColumn("inside", inside).join(before, ["shard", "piece"]).withColumn("first", F.col("before") + F.col("inside"))
+    # Many copies are laid out in parts, each of which any task may take.
+    part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1, F.lit(rows_per_piece).cast("bigint")))
+    parts = placed_rows.select("doc_id", "size", "text_crc32", "shard", "first", "copies", part.alias("from"))
+    if not located.where(F.col("copies") > rows_per_piece).isEmpty():
+        parts = parts.repartition("shard", "first", "from")
+    slot = F.explode(F.sequence(F.col("first") + F.col("from"), F.col("first") + F.least(F.col("from") + rows_per_piece, F.col("copies")) - 1))
+    return parts.select("doc_id", "size", "text_crc32", "shard", slot.alias("slot"))

@@ -61,3 +61,16 @@ def test_odd_rows(spark):
     load = check(spark, [(1, None, ""), (1, "", ""), (None, "a", ""), (5, "a", ""), (5, "a", ""), (6, "b " * 100000, None)], 40)
     assert load.max() == 200016 and (load > 0).sum() == 3
     assert sharding.shard(spark.createDataFrame([], "doc_id long, text string"), 40).collect() == []
+
+
+def test_rows_repeated_very_often(spark, monkeypatch):
+    """One row 100,000 times: a sum until its slots are laid out in parts."""
+    many = spark.range(100_000).selectExpr("cast(null as long) as doc_id", "cast(null as string) as text")
+    rest = spark.range(500).selectExpr("id as doc_id", "repeat(cast(id as string), 40) as text")
+    for limits, broadcast in (({}, 500_000), ({"rows_per_piece": 1000}, 0)):
+        monkeypatch.setattr(sharding, "MAX_BROADCAST_ROWS", broadcast)
+        out = sharding.shard(many.unionByName(rest), 4, **limits)
+        per_shard = out.groupBy("shard").agg({"slot": "max", "*": "count"}).toPandas()
+        slots = out.select("shard", "slot").distinct().count()
+        assert slots == 100_500 and (per_shard["max(slot)"] + 1 == per_shard["count(1)"]).all()
+        assert out.where("doc_id is null").select("shard").distinct().count() == 1
