@@ -6,7 +6,9 @@ expectation-maximisation on a deleted part of the training documents, each
 event counted with itself taken out of the corpus.
 
 Counts are gathered over the whole corpus in chunks of documents (dealt by a
-hash of the row, of about CHUNK_BYTES of text). Each chunk asks for the distinct
+hash of the row, of about CHUNK_BYTES of text). Rows that repeat an id and text are
+one row with a number from the first task on, so copies fill no chunk. Each chunk
+asks for the distinct
 words and word pairs it holds, as sorted 64-bit keys cut into key ranges; a
 task per range adds up all chunks' training counts and answers each chunk with
 the totals in the order it asked. Keys of a frequent word or pair come once for
@@ -84,11 +86,12 @@ def _bounds(parts: int) -> np.ndarray:
     return np.array([(i << 64) // parts for i in range(1, parts)], dtype=np.uint64)
 
 
-def _requests(chunk: int, deleted: bool, tables: Tables, train: np.ndarray, parts: int) -> Iterator[tuple]:
-    weights = np.repeat(train.astype(np.float64), np.diff(tables.ends, prepend=0))
+def _requests(chunk: int, deleted: bool, tables: Tables, copies: np.ndarray, parts: int) -> Iterator[tuple]:
+    """`copies`: how often each text counts."""
+    weights = np.repeat(copies.astype(np.float64), np.diff(tables.ends, prepend=0))
     bounds = _bounds(parts)
     for kind, keys, places in ((0, tables.word_keys, tables.w), (1, tables.pair_keys, tables.pair)):
-        counts = np.bincount(places, weights=weights, minlength=len(keys)).astype(np.uint32)
+        counts = np.bincount(places, weights=weights, minlength=len(keys)).astype(np.uint64)
         cuts = np.concatenate([[0], np.searchsorted(keys, bounds, side="left"), [len(keys)]])
         for part in np.nonzero(np.diff(cuts))[0]:
             a, b = cuts[part], cuts[part + 1]
@@ -100,11 +103,11 @@ def _ask(parts: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         texts = _unpacked(pdf["packed"])
         chunk = int(pdf["chunk"].iloc[0])
-        rows = list(_requests(chunk, False, Tables(texts), ~pdf["held_out"].to_numpy(bool), parts))
+        rows = list(_requests(chunk, False, Tables(texts), np.where(pdf["held_out"].to_numpy(bool), 0, pdf["copies"].to_numpy()), parts))
         some = pdf["deleted"].to_numpy(bool)
         if some.any():
             texts = [t for t, d in zip(texts, some) if d]
-            rows += _requests(chunk, True, Tables(texts), np.zeros(len(texts), bool), parts)
+            rows += _requests(chunk, True, Tables(texts), np.zeros(len(texts)), parts)
         return pd.DataFrame(rows, columns=["chunk", "deleted", "kind", "part", "keys", "counts"])
 
     return run
@@ -112,7 +115,7 @@ def _ask(parts: int):
 
 def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     keys = [np.cumsum(from_planes(k, "<u8"), dtype=np.uint64) for k in pdf["keys"]]
-    counts = [np.zeros(len(k)) if c is None else from_planes(c, "<u4").astype(np.float64) for k, c in zip(keys, pdf["counts"])]
+    counts = [np.zeros(len(k)) if c is None else from_planes(c, "<u8").astype(np.float64) for k, c in zip(keys, pdf["counts"])]
     _, places = np.unique(np.concatenate(keys), return_inverse=True)
     totals = np.bincount(places, weights=np.concatenate(counts)).astype(np.int64)
     ends = np.cumsum([len(k) for k in keys])
@@ -133,7 +136,10 @@ def _totals(answers: pd.DataFrame, kind: int, expected: int) -> np.ndarray:
 def _pack(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     pack = zstandard.ZstdCompressor(level=3)
     for pdf in it:
-        yield pdf.drop(columns="text").assign(packed=[pack.compress(t.encode()) for t in text_or_empty(pdf["text"])])
+        pdf["text"] = text_or_empty(pdf["text"])
+        copies = pdf.groupby(["id", "text"], dropna=False, sort=False)["chunk"].transform("size").astype(np.int64)
+        pdf = pdf.assign(copies=copies).drop_duplicates(["id", "text"])
+        yield pdf.drop(columns="text").assign(packed=[pack.compress(t.encode()) for t in pdf["text"]])
 
 
 def _unpacked(blobs: pd.Series) -> list[str]:
@@ -158,8 +164,9 @@ def _events(n_tokens: int, n_types: int):
         p2 = np.where(context > 0, (pairs[t.pair] - 1) / np.maximum(context, 1), 0)
         p1 = (words[t.w] - 1) / max(n_tokens - 1, 1)
         cell = lambda p: np.where(p > 0, np.round(np.log2(np.maximum(p, 1e-300)) * STEPS), 1).astype(np.int64)
-        out = pd.DataFrame({"bucket": bucket_of(context), "q2": cell(p2), "q1": cell(p1)})
-        return out.groupby(["bucket", "q2", "q1"]).size().reset_index(name="n")
+        n = np.repeat(docs["copies"].to_numpy(), np.diff(t.ends, prepend=0))
+        out = pd.DataFrame({"bucket": bucket_of(context), "q2": cell(p2), "q1": cell(p1), "n": n})
+        return out.groupby(["bucket", "q2", "q1"])["n"].sum().reset_index()
 
     return run
 
@@ -196,7 +203,7 @@ def learn_weights(cells: pd.DataFrame, n_types: int, rounds: int = EM_ROUNDS) ->
 
 def _scores(weights: np.ndarray, n_tokens: int, n_types: int):
     def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        columns = ["id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+        columns = ["id", "held_out", "copies", "n_tokens", "n_known", "base_score", "score"]
         if not len(docs):
             return pd.DataFrame(columns=columns)
         t = Tables(_unpacked(docs["packed"]))
@@ -206,7 +213,7 @@ def _scores(weights: np.ndarray, n_tokens: int, n_types: int):
         w2, w1, w0 = weights[bucket_of(context)].T
         p = w2 * pairs[t.pair] / np.maximum(context, 1) + w1 * words[t.w] / max(n_tokens, 1) + w0 / (n_types + 1)
         return pd.DataFrame({
-            "id": docs["id"], "held_out": docs["held_out"], "n_tokens": np.diff(t.ends, prepend=0),
+            "id": docs["id"], "held_out": docs["held_out"], "copies": docs["copies"], "n_tokens": np.diff(t.ends, prepend=0),
             "n_known": t.per_text((words[t.w] > 0).astype(np.int64)), "base_score": t.per_text(base[t.w]), "score": t.per_text(np.log10(p)),
         })[columns]
 
@@ -228,9 +235,9 @@ def score(docs: DataFrame, *, held_out: tuple[int, int] = HELD_OUT, chunk_bytes:
     chunks = max(1, -(-n_bytes // chunk_bytes))
     dealt = docs.select(
         carried("doc_id"), in_fold(F.col("doc_id"), *held_out).alias("held_out"), in_fold(F.col("doc_id"), *DELETED).alias("deleted"),
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk"), "text",
+        F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(chunks)).alias("chunk"), "text",
     )
-    packed = dealt.mapInPandas(_pack, "id string, held_out boolean, deleted boolean, chunk long, packed binary")
+    packed = dealt.mapInPandas(_pack, "id string, held_out boolean, deleted boolean, chunk long, copies long, packed binary")
     asked = packed.groupBy("chunk").applyInPandas(_ask(chunks), "chunk long, deleted boolean, kind int, part int, keys binary, counts binary")
     answered = asked.groupBy("kind", "part").applyInPandas(_answer, "chunk long, deleted boolean, kind int, part int, totals binary, types long, tokens long")
     answers = materialize(answered, "counts")
@@ -247,6 +254,7 @@ def score(docs: DataFrame, *, held_out: tuple[int, int] = HELD_OUT, chunk_bytes:
     weights = learn_weights(cells, n_types)
     scored = with_answers(
         packed, False, _scores(weights, n_tokens, n_types),
-        "id string, held_out boolean, n_tokens long, n_known long, base_score double, score double",
+        "id string, held_out boolean, copies long, n_tokens long, n_known long, base_score double, score double",
     )
+    scored = scored.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     return restored(scored, "doc_id", docs).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("bigint").alias("train_tokens"), "base_score", "score")

@@ -84,3 +84,16 @@ def test_without_training_text_probabilities_are_one(spark):
     held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2][:5]
     got = lm.score(spark.createDataFrame([(i, "a b c") for i in held], "doc_id long, text string")).collect()
     assert [(r.held_out, r.n_tokens, r.train_tokens, r.base_score, r.score) for r in got] == [(True, 4, 0, 0.0, 0.0)] * 5
+
+
+def test_rows_repeated_very_often(spark):
+    """One row 30,000 times is scored once a batch, and counted as often as it occurs."""
+    many = spark.range(30_000).selectExpr("cast(null as long) as doc_id", "'a b a' as text")
+    rest = spark.createDataFrame([(i, f"a c{i}") for i in range(1, 60)], "doc_id long, text string")
+    df = many.unionByName(rest).repartition(4)
+    got = lm.score(df, chunk_bytes=20_000)
+    rows = got.groupBy("doc_id", "n_tokens", "train_tokens", "score").count().collect()
+    repeated = [r for r in rows if r.doc_id is None]
+    held = sum(r.held_out for r in got.where("doc_id is not null").collect())
+    assert len(repeated) == 1 and repeated[0]["count"] == 30_000 and len(rows) == 60
+    assert {r.train_tokens for r in rows} == {30_000 * 4 + (59 - held) * 3}
