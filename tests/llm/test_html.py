@@ -93,3 +93,33 @@ def test_repeated_sections_count_to_what_holds_them(spark):
     shell = "<html><body><div class='text'>{}</div><div class='more'><p>teaser {}</p></div></body></html>"
     out = extracted(spark, [shell.format("".join(f"<div><p>{story(k * 10 + j)}</p></div>" for j in range(3)), k) for k in range(5)])
     assert out == {k: "\n\n".join(story(k * 10 + j) for j in range(3)) for k in range(5)}
+
+
+def deduced(sources):
+    """Brute force: fixed texts and elements by whole occurrence vectors, no sketches."""
+    from collections import Counter, defaultdict
+
+    vectors, is_text = defaultdict(dict), {}
+    for k, source in enumerate(sources):
+        blocks, paths = html.parse(source)
+        found = Counter([(html.token(p), False) for p in paths] + [(html.token(b.path, b.text), True) for b in blocks])
+        for (t, text), n in found.items():
+            vectors[t][k] = n
+            is_text[t] = text
+    classes = defaultdict(list)
+    for t, v in vectors.items():
+        if len(v) >= 2:
+            classes[tuple(sorted(v.items()))].append(t)
+    return {t for c in classes.values() if len(c) >= html.MIN_CLASS_TOKENS and not all(is_text[t] for t in c) for t in c if is_text[t]}
+
+
+def test_classes_are_those_of_whole_vectors(spark):
+    shell = "<html><body><div class='top'><p>Our site</p></div><div class='content'><p>{}</p>{}<div class='tail'><p>See {}</p><p>Follow us</p></div></div><p>bye</p></body></html>"
+    sources = [shell.format(story(k), "<p>Only on some pages</p>" * (k % 3), k) for k in range(9)] + [page(k)[2] for k in range(7)]
+    rows = [("h", k, x) for k, x in enumerate(sources)]
+    found = html.templates(spark.createDataFrame(rows, "host string, page long, html string").repartition(3)).first()
+    expected = deduced(sources)
+    assert set(found.fixed) == expected and len(expected) >= 4
+    # The template changes what is extracted: without it names alone decide.
+    changed = [x for x in sources if html.main_text(x, frozenset(found.fixed), found.containers) != html.main_text(x)]
+    assert len(changed) == len(sources)
