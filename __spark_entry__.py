@@ -367,8 +367,16 @@ _URL_PATH = "^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/?#]*)?([^?#]*)"
 _URL_QUERY = "^[^?#]*[?]([^#]*)"
 _URL_PROTOCOLS = "'http', 'https', 'ftp', 'file', 'jar', 'mailto', 'netdoc'"
 _URL_UNC = "^[A-Za-z][A-Za-z0-9+.-]*:////"
-_IPV6_FULL = "^\\[([0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}\\]$"
-_IPV6_SHORT = "^\\[([0-9A-Fa-f]{1,4}(:[0-9A-Fa-f]{1,4})*)?::([0-9A-Fa-f]{1,4}(:[0-9A-Fa-f]{1,4})*)?\\]$"
+_IPV6_FULL = "^\\[(0*[0-9A-Fa-f]{1,4}:){7}0*[0-9A-Fa-f]{1,4}\\]$"
+_IPV6_SHORT = "^\\[(0*[0-9A-Fa-f]{1,4}(:0*[0-9A-Fa-f]{1,4})*)?::(0*[0-9A-Fa-f]{1,4}(:0*[0-9A-Fa-f]{1,4})*)?\\]$"
+_OCTET = "(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
+_IPV6_IPV4 = ":" + "\\.".join([_OCTET] * 4) + "\\]$"
+_NO_SPACE = "[^\\x09-\\x0D\\x1C-\\x20]"
+_JAR_PORT = ("(:([+]?0*([0-9]{1,9}|1[0-9]{9}|20[0-9]{8}|21[0-3][0-9]{7}|214[0-6][0-9]{6}|2147[0-3][0-9]{5}|21474[0-7][0-9]{4}"
+             "|214748[0-2][0-9]{3}|2147483[0-5][0-9]{2}|21474836[0-3][0-9]|214748364[0-7])|-0*[01])?)?")
+_JAR_AUTHORITY = ("([^@/?]*@[^@/?]*@[^/?]*|([^@/?]*@)?(([^:@/?\\[][^:@/?]*)?|\\[[0-9A-Fa-f.]*:[0-9A-Fa-f.:]*(%[^\\]/?]+)?\\])"
+                  + _JAR_PORT + ")")
+_JAR_URL = ("(?i)^[\\x00-\\x20]*(url:)?(mailto:.*" + _NO_SPACE + "|(https?|ftp|file|netdoc):(/?$|/?[^/]|//" + _JAR_AUTHORITY + "([/?]|$)))")
 
 
 def _url_sql(u: str) -> tuple[str, str, str, str]:
@@ -377,21 +385,25 @@ def _url_sql(u: str) -> tuple[str, str, str, str]:
     hp = f"regexp_extract(regexp_extract({u}, '{_URL_AUTHORITY}', 1), '{_URL_HOSTPORT}', 1)"
     colon = f"instr({hp}, ':')"
     v6, after = (f"regexp_extract({hp}, '^(\\[[^\\]]*\\])(.*)$', {g})" for g in (1, 2))
-    v6_ok = (f"(NOT starts_with({hp}, '[') OR ((regexp_matches({v6}, '{_IPV6_FULL}') OR (regexp_matches({v6}, '{_IPV6_SHORT}') "
-             f"AND len(regexp_extract_all({v6}, '[0-9A-Fa-f]+')) <= 7)) AND ({after} = '' OR starts_with({after}, ':'))))")
+    addr = f"regexp_replace(regexp_replace({v6}, '%[^\\]]+\\]$', ']'), '{_IPV6_IPV4}', ':0:0]')"
+    v6_ok = (f"(NOT starts_with({hp}, '[') OR ((regexp_matches({addr}, '{_IPV6_FULL}') OR (regexp_matches({addr}, '{_IPV6_SHORT}') "
+             f"AND len(regexp_extract_all({addr}, '[0-9A-Fa-f]+')) <= 7)) AND ({after} = '' OR starts_with({after}, ':'))))")
     host = f"(CASE WHEN starts_with({hp}, '[') THEN {v6} WHEN {colon} > 0 THEN substr({hp}, 1, {colon} - 1) ELSE {hp} END)"
     port = f"(CASE WHEN starts_with({hp}, '[') THEN substr({after}, 2) WHEN {colon} > 0 THEN substr({hp}, {colon} + 1) ELSE '' END)"
     port_ok = (f"({port} = '' OR (regexp_full_match({port}, '{_NUM}') "
                f"AND coalesce(TRY_CAST({port} AS INTEGER), -2) >= -1))")
-    jar_ok = f"(lower({scheme}) <> 'jar' OR contains({u}, '!/'))"
-    ok = f"coalesce(lower({scheme}) IN ({_URL_PROTOCOLS}) AND {port_ok} AND {v6_ok} AND {jar_ok}, false)"
+    opaque = f"lower({scheme}) IN ('mailto', 'jar')"
+    rest = f"regexp_extract({u}, '^[A-Za-z]+:([^#]*)', 1)"
+    ok = (f"coalesce(lower({scheme}) IN ({_URL_PROTOCOLS}) AND CASE lower({scheme}) "
+          f"WHEN 'jar' THEN regexp_matches(regexp_extract({u}, '^[A-Za-z]+:([^#]*)!/', 1), '{_JAR_URL}') "
+          f"WHEN 'mailto' THEN regexp_matches({rest}, '{_NO_SPACE}') ELSE {port_ok} AND {v6_ok} END, false)")
     path = f"regexp_extract({u}, '{_URL_PATH}', 1)"
-    query = f"regexp_extract({u}, '{_URL_QUERY}', 1)"
+    query = f"CASE WHEN {opaque} THEN regexp_extract({rest}, '[?]([^?]*)$', 1) ELSE regexp_extract({u}, '{_URL_QUERY}', 1) END"
     return (
         f"CASE WHEN {ok} THEN lower({scheme}) ELSE '-' END",
-        f"CASE WHEN {ok} THEN {host} ELSE '-' END",
-        f"CASE WHEN {ok} AND regexp_matches({u}, '{_URL_UNC}') THEN '//' || {path} WHEN {ok} THEN {path} ELSE '-' END",
-        f"CASE WHEN {ok} AND {query} <> '' THEN {query} ELSE '-' END",
+        f"CASE WHEN {ok} AND {opaque} THEN '' WHEN {ok} THEN {host} ELSE '-' END",
+        f"CASE WHEN {ok} AND {opaque} THEN regexp_replace({rest}, '[?][^?]*$', '') WHEN {ok} AND regexp_matches({u}, '{_URL_UNC}') THEN '//' || {path} WHEN {ok} THEN {path} ELSE '-' END",
+        f"CASE WHEN {ok} AND ({query}) <> '' THEN {query} ELSE '-' END",
     )
 
 

@@ -71,12 +71,36 @@ URL_UNC = r"^[A-Za-z][A-Za-z0-9+.-]*:////"
 URL_TRIM = "".join(map(chr, range(0x21)))
 URL_PREFIX = "url:"
 # A host in brackets is an IPv6 address: eight groups, or fewer around one `::`.
+# A zone id may follow after `%`; an IPv4 address may stand for the last two groups.
 URL_BRACKETS = r"^(\[[^\]]*\])(.*)$"
-IPV6_FULL = r"^\[([0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}\]$"
-IPV6_SHORT = r"^\[([0-9A-Fa-f]{1,4}(:[0-9A-Fa-f]{1,4})*)?::([0-9A-Fa-f]{1,4}(:[0-9A-Fa-f]{1,4})*)?\]$"
+IPV6_FULL = r"^\[(0*[0-9A-Fa-f]{1,4}:){7}0*[0-9A-Fa-f]{1,4}\]$"
+IPV6_SHORT = r"^\[(0*[0-9A-Fa-f]{1,4}(:0*[0-9A-Fa-f]{1,4})*)?::(0*[0-9A-Fa-f]{1,4}(:0*[0-9A-Fa-f]{1,4})*)?\]$"
 IPV6_GROUP = r"[0-9A-Fa-f]+"
-# A `jar:` URL names an entry after `!/`.
-JAR_ENTRY = "!/"
+IPV6_ZONE = r"%[^\]]+\]$"
+IPV4_OCTET = "(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
+IPV6_IPV4 = rf":{IPV4_OCTET}\.{IPV4_OCTET}\.{IPV4_OCTET}\.{IPV4_OCTET}\]$"
+# `mailto:` and `jar:` URLs have no authority: all up to `#` is path and, after
+# its last `?`, query.
+URL_OPAQUE = ["mailto", "jar"]
+URL_OPAQUE_FILE = r"^[A-Za-z]+:([^#]*)"
+URL_OPAQUE_QUERY = r"[?]([^?]*)$"
+# A `mailto:` URL names something that is not white space.
+MAILTO_PATH = r"[^\x09-\x0D\x1C-\x20]"
+# A `jar:` URL names an entry after its last `!/`; before that stands a URL that
+# must be well-formed (one whose handler reads an authority, or a `mailto:`).
+JAR_INNER = r"^[A-Za-z]+:([^#]*)!/"
+# A port of at most 2147483647.
+JAR_PORT = (
+    "(:([+]?0*([0-9]{1,9}|1[0-9]{9}|20[0-9]{8}|21[0-3][0-9]{7}|214[0-6][0-9]{6}|2147[0-3][0-9]{5}|21474[0-7][0-9]{4}"
+    "|214748[0-2][0-9]{3}|2147483[0-5][0-9]{2}|21474836[0-3][0-9]|214748364[0-7])|-0*[01])?)?"
+)
+JAR_USER = r"([^@/?]*@)?"
+JAR_AUTHORITY = rf"([^@/?]*@[^@/?]*@[^/?]*|{JAR_USER}([^:@/?\[][^:@/?]*)?{JAR_PORT}|{JAR_USER}\[[0-9A-Fa-f.]*:[0-9A-Fa-f.:]*(%[^\]/?]+)?\]{JAR_PORT})"
+JAR_URL = (
+    rf"^[\x00-\x20]*([uU][rR][lL]:)?([mM][aA][iI][lL][tT][oO]:.*{MAILTO_PATH}"
+    r"|([hH][tT][tT][pP][sS]?|[fF][tT][pP]|[fF][iI][lL][eE]|[nN][eE][tT][dD][oO][cC]):"
+    rf"(/?$|/?[^/]|//{JAR_AUTHORITY}([/?]|$)))"
+)
 # ---------------------------------------------------------------------------
 
 
@@ -135,7 +159,8 @@ def url_parts(url: Column) -> tuple[Column, Column, Column, Column]:
 
     A malformed URL gives '-' for all four: no scheme (or NULL / empty), a
     scheme java.net.URL has no handler for, a port it cannot read, a bracketed
-    host that is no IPv6 address, or a `jar:` without an entry. The protocol is
+    host that is no IPv6 address, a `mailto:` of nothing, or a `jar:` without an
+    entry or a well-formed URL before it. The protocol is
     lower-cased; a missing path is ''; a missing or empty query is '-'.
     """
     trimmed = F.btrim(url, F.lit(URL_TRIM))
@@ -145,8 +170,9 @@ def url_parts(url: Column) -> tuple[Column, Column, Column, Column]:
     bracketed = hostport.startswith("[")
     ipv6 = F.regexp_extract(hostport, URL_BRACKETS, 1)
     after = F.regexp_extract(hostport, URL_BRACKETS, 2)
-    groups = F.size(F.regexp_extract_all(ipv6, F.lit(IPV6_GROUP), F.lit(0)))
-    ipv6_ok = (ipv6.rlike(IPV6_FULL) | (ipv6.rlike(IPV6_SHORT) & (groups <= 7))) & ((after == "") | after.startswith(":"))
+    address = F.regexp_replace(F.regexp_replace(ipv6, IPV6_ZONE, "]"), IPV6_IPV4, ":0:0]")
+    groups = F.size(F.regexp_extract_all(address, F.lit(IPV6_GROUP), F.lit(0)))
+    ipv6_ok = (address.rlike(IPV6_FULL) | (address.rlike(IPV6_SHORT) & (groups <= 7))) & ((after == "") | after.startswith(":"))
     colon = F.instr(hostport, ":")
     host = F.when(bracketed, ipv6).when(colon > 0, F.substr(hostport, F.lit(1), colon - 1)).otherwise(hostport)
     port = (
@@ -157,15 +183,18 @@ def url_parts(url: Column) -> tuple[Column, Column, Column, Column]:
     port_ok = (port == F.lit("")) | (
         port.rlike(_LONG_TEXT) & (F.coalesce(port.try_cast("int"), F.lit(-2)) >= F.lit(-1))
     )
-    jar_ok = (F.lower(scheme) != "jar") | F.contains(u, F.lit(JAR_ENTRY))
-    valid = F.coalesce(F.lower(scheme).isin(URL_PROTOCOLS) & port_ok & (~bracketed | ipv6_ok) & jar_ok, F.lit(False))
+    protocol = F.lower(scheme)
+    opaque = protocol.isin(URL_OPAQUE)
+    file = F.regexp_extract(u, URL_OPAQUE_FILE, 1)
+    opaque_ok = F.when(protocol == "jar", F.regexp_extract(u, JAR_INNER, 1).rlike(JAR_URL)).otherwise(file.rlike(MAILTO_PATH))
+    valid = F.coalesce(protocol.isin(URL_PROTOCOLS) & F.when(opaque, opaque_ok).otherwise(port_ok & (~bracketed | ipv6_ok)), F.lit(False))
     path = F.regexp_extract(u, URL_PATH, 1)
-    query = F.regexp_extract(u, URL_QUERY, 1)
+    query = F.when(opaque, F.regexp_extract(file, URL_OPAQUE_QUERY, 1)).otherwise(F.regexp_extract(u, URL_QUERY, 1))
     missing = F.lit(MISSING)
     return (
-        F.when(valid, F.lower(scheme)).otherwise(missing),
-        F.when(valid, host).otherwise(missing),
-        F.when(valid & F.contains(u, F.lit(URL_UNC_SLASHES)) & u.rlike(URL_UNC), F.concat(F.lit("//"), path)).when(valid, path).otherwise(missing),
+        F.when(valid, protocol).otherwise(missing),
+        F.when(valid & opaque, F.lit("")).when(valid, host).otherwise(missing),
+        F.when(valid & opaque, F.regexp_replace(file, URL_OPAQUE_QUERY, "")).when(valid & F.contains(u, F.lit(URL_UNC_SLASHES)) & u.rlike(URL_UNC), F.concat(F.lit("//"), path)).when(valid, path).otherwise(missing),
         F.when(valid & (query != F.lit("")), query).otherwise(missing),
     )
 

@@ -8,8 +8,7 @@ URLs: `url_parts` against java.net.URL.
 
 Random URLs of the shapes access logs hold: schemes with and without a Java
 handler, user-info, hosts, good and bad ports, paths with spaces and pipes,
-queries, fragments, UNC-style `scheme:////`. Left out is `mailto:` (Java's
-mailto handler parses no authority), a documented gap.
+queries, fragments, UNC-style `scheme:////`, `mailto:`, and such URLs inside `jar:`.
 """
 
 import random
@@ -36,7 +35,7 @@ def _urls(n, seed=11):
 
     out = []
     for _ in range(n):
-        scheme = rnd.choice(["http", "https", "HTTP", "ftp", "file", "Https", "foo", "x-y"])
+        scheme = rnd.choice(["http", "https", "HTTP", "ftp", "file", "Https", "foo", "x-y", "mailto"])
         sep = rnd.choice(["://", "://", "://", ":", ":/", ":////"])
         user = rnd.choice(["", "", "", "u@", "u:p@", "user:pa ss@", "a@b@", "@@", "a@"])
         host = text("abcxyz0189.-_", 0, 12)
@@ -46,6 +45,8 @@ def _urls(n, seed=11):
         query = rnd.choice(["", "", "?", "?a=1", "?a=1&b=2", "?q=a?b", "?x=/y"])
         frag = rnd.choice(["", "", "#", "#top", "#a?b", "#/x"])
         url = scheme + sep + user + host + port + path + query + frag
+        if rnd.random() < 0.2:
+            url = rnd.choice(["jar:", "JAR:", "jar:url:"]) + url + rnd.choice(["!/", "!/a?b", "!", "!/x!/y#z", "#!/"])
         out.append(url)
     return out
 
@@ -55,6 +56,12 @@ ODD = [
     "http://[::1]:80/p", "http://[::1]/p", "http://[::1]:x/p", "http://[1:2:3:4:5:6:7:8]:/p?x", "http://u@[fe80::1]:8080", "http://[1:2:3]/p",
     "http://[::1]x/p", "http://[]/p", "http://[::1", "http://[1::2::3]/", "http://[1:2:3:4:5:6:7::]/", "http://[1:2:3:4:5:6:7:8::]/",
     "http://[12345::]/", "jar:http://h/p",
+    "http://[::ffff:1.2.3.4]:80/p", "http://[1:2:3:4:5:6:1.2.3.4]/", "http://[1:2:3:4:5:6:7:1.2.3.4]/", "http://[::1.2.3]/", "http://[::1.2.3.256]/",
+    "http://[1.2.3.4]/", "http://[::a1.2.3.4]/", "http://[::1.2.3.4:5]/", "http://[00001::]/", "http://[::01.002.3.4]/",
+    "http://[fe80::1%eth0]/p", "http://[fe80::1%25en0]:8080/p?q", "http://[fe80::1%]/p", "http://[%eth0]/", "http://[::1.2.3.4%a]/x",
+    "mailto:a@b.org?subject=x#f", "mailto:", "mailto: ", "mailto:#x", "mailto: #x", "mailto://h:x/p?q", "MAILTO:[x",
+    "jar:file:/a.jar!/b?c#d", "jar:http://h:x/a.jar!/b", "jar:foo:/a!/b", "jar:http://h/a#b!/c", "jar:!/x", "jar:mailto:a!/b", "jar:mailto: !/b",
+    "jar:http://u@[::1]:80/a.jar!/b", "jar:http://[::1/a.jar!/b", "jar: http://h/a !/b", "jar:http:////h:x!/y", "jar:http://a@b@c:x/!/y",
 ]
 
 
@@ -64,7 +71,7 @@ def test_url_parts_equal_java_net_url(spark):
     ours = [tuple(r) for r in df.select(*parse.url_parts(F.col("u"))).collect()]
     jvm = spark.sparkContext._jvm
     diff = [(u, j, o) for u, o in zip(urls, ours) if (j := _java_parts(jvm, u)) != o]
-    assert not diff, diff[:5]
+    assert not diff, (len(diff), diff[:12])
 
 
 def _java_long(jvm, text):
