@@ -52,11 +52,17 @@ _DMY = r"^.[0-9]{2}/[0-9]{2}/[0-9]{4}"
 # `@` give no match, so an empty host and no port, as java.net.URL reads it);
 # the path (after the authority, up to `?` or `#`); the query (after the
 # first `?`, up to `#`).
+# `mailto:` and `jar:` URLs have no authority: all up to `#` is path and, after
+# its last `?`, query.
+URL_OPAQUE = "(?i:mailto|jar):"
 URL_SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
-URL_AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
+URL_AUTHORITY = rf"^(?!{URL_OPAQUE})[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 URL_HOSTPORT = r"^(?:[^@]*@)?([^@]*)$"
-URL_PATH = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/?#]*)?([^?#]*)"
-URL_QUERY = r"^[^?#]*[?]([^#]*)"
+URL_PATH = (
+    rf"^(?:(?!{URL_OPAQUE})[A-Za-z][A-Za-z0-9+.-]*:(?://[^/?#]*)?|{URL_OPAQUE})"
+    rf"((?<=^{URL_OPAQUE})[^#]*?(?=(?:[?][^?#]*)?(?:#|\z))|(?<!^{URL_OPAQUE})[^?#]*)"
+)
+URL_QUERY = rf"^(?:{URL_OPAQUE}[^#]*|(?!{URL_OPAQUE})[^?#]*)[?]([^#]*)"
 # java.net.URL accepts a URL only when it has a handler for the scheme (these
 # are the handlers of Java 8) and the port is empty or a signed int of at
 # least -1, as Integer.parseInt reads it (a second `:` in host:port makes the
@@ -65,7 +71,7 @@ URL_PROTOCOLS = ["http", "https", "ftp", "file", "jar", "mailto", "netdoc"]
 # `scheme:////...` is a UNC name to java.net.URL: no authority is read and the
 # path keeps all four slashes.
 URL_UNC_SLASHES = ":////"
-URL_UNC = r"^[A-Za-z][A-Za-z0-9+.-]*:////"
+URL_UNC = rf"^(?!{URL_OPAQUE})[A-Za-z][A-Za-z0-9+.-]*:////"
 # java.net.URL drops characters up to the space at both ends, then one leading
 # `url:` in any case.
 URL_TRIM = "".join(map(chr, range(0x21)))
@@ -73,19 +79,16 @@ URL_PREFIX = "url:"
 # A host in brackets is an IPv6 address: eight groups, or fewer around one `::`.
 # A zone id may follow after `%`; an IPv4 address may stand for the last two groups.
 URL_BRACKETS = r"^(\[[^\]]*\])(.*)$"
-IPV6_FULL = r"^\[(0*[0-9A-Fa-f]{1,4}:){7}0*[0-9A-Fa-f]{1,4}\]$"
-IPV6_SHORT = r"^\[(0*[0-9A-Fa-f]{1,4}(:0*[0-9A-Fa-f]{1,4})*)?::(0*[0-9A-Fa-f]{1,4}(:0*[0-9A-Fa-f]{1,4})*)?\]$"
-IPV6_GROUP = r"[0-9A-Fa-f]+"
-IPV6_ZONE = r"%[^\]]+\]$"
-IPV4_OCTET = "(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
-IPV6_IPV4 = rf":{IPV4_OCTET}\.{IPV4_OCTET}\.{IPV4_OCTET}\.{IPV4_OCTET}\]$"
-# `mailto:` and `jar:` URLs have no authority: all up to `#` is path and, after
-# its last `?`, query.
-URL_OPAQUE = ["mailto", "jar"]
-URL_OPAQUE_FILE = r"^[A-Za-z]+:([^#]*)"
-URL_OPAQUE_QUERY = r"[?]([^?]*)$"
+_HEX, _OCTET = "[0-9A-Fa-f]+", "(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
+_GROUP, _IPV4 = "0*[0-9A-Fa-f]{1,4}", rf"{_OCTET}(?:\.{_OCTET}){{3}}"
+IPV6 = (
+    rf"^\[(?:(?:{_GROUP}:){{7}}{_GROUP}|(?:{_GROUP}:){{6}}{_IPV4}"
+    rf"|(?!:*{_HEX}(?::+{_HEX}){{7}})(?:{_GROUP}(?::{_GROUP})*)?::(?:{_GROUP}(?::{_GROUP})*)?"
+    rf"|(?!:*{_HEX}(?::+{_HEX}){{5}}:)(?:{_GROUP}(?::{_GROUP})*)?::(?:{_GROUP}:)*{_IPV4})(?:%[^\]]+)?\]$"
+)
 # A `mailto:` URL names something that is not white space.
-MAILTO_PATH = r"[^\x09-\x0D\x1C-\x20]"
+MAILTO_TEXT = r"[^#\x09-\x0D\x1C-\x20]"
+MAILTO = rf"^[A-Za-z]+:[^#]*?{MAILTO_TEXT}"
 # A `jar:` URL names an entry after its last `!/`; before that stands a URL that
 # must be well-formed (one whose handler reads an authority, or a `mailto:`).
 JAR_INNER = r"^[A-Za-z]+:([^#]*)!/"
@@ -97,7 +100,7 @@ JAR_PORT = (
 JAR_USER = r"([^@/?]*@)?"
 JAR_AUTHORITY = rf"([^@/?]*@[^@/?]*@[^/?]*|{JAR_USER}([^:@/?\[][^:@/?]*)?{JAR_PORT}|{JAR_USER}\[[0-9A-Fa-f.]*:[0-9A-Fa-f.:]*(%[^\]/?]+)?\]{JAR_PORT})"
 JAR_URL = (
-    rf"^[\x00-\x20]*([uU][rR][lL]:)?([mM][aA][iI][lL][tT][oO]:.*{MAILTO_PATH}"
+    rf"^[\x00-\x20]*([uU][rR][lL]:)?([mM][aA][iI][lL][tT][oO]:.*{MAILTO_TEXT}"
     r"|([hH][tT][tT][pP][sS]?|[fF][tT][pP]|[fF][iI][lL][eE]|[nN][eE][tT][dD][oO][cC]):"
     rf"(/?$|/?[^/]|//{JAR_AUTHORITY}([/?]|$)))"
 )
@@ -170,9 +173,7 @@ def url_parts(url: Column) -> tuple[Column, Column, Column, Column]:
     bracketed = hostport.startswith("[")
     ipv6 = F.regexp_extract(hostport, URL_BRACKETS, 1)
     after = F.regexp_extract(hostport, URL_BRACKETS, 2)
-    address = F.regexp_replace(F.regexp_replace(ipv6, IPV6_ZONE, "]"), IPV6_IPV4, ":0:0]")
-    groups = F.size(F.regexp_extract_all(address, F.lit(IPV6_GROUP), F.lit(0)))
-    ipv6_ok = (address.rlike(IPV6_FULL) | (address.rlike(IPV6_SHORT) & (groups <= 7))) & ((after == "") | after.startswith(":"))
+    ipv6_ok = ipv6.rlike(IPV6) & ((after == "") | after.startswith(":"))
     colon = F.instr(hostport, ":")
     host = F.when(bracketed, ipv6).when(colon > 0, F.substr(hostport, F.lit(1), colon - 1)).otherwise(hostport)
     port = (
@@ -184,17 +185,17 @@ def url_parts(url: Column) -> tuple[Column, Column, Column, Column]:
         port.rlike(_LONG_TEXT) & (F.coalesce(port.try_cast("int"), F.lit(-2)) >= F.lit(-1))
     )
     protocol = F.lower(scheme)
-    opaque = protocol.isin(URL_OPAQUE)
-    file = F.regexp_extract(u, URL_OPAQUE_FILE, 1)
-    opaque_ok = F.when(protocol == "jar", F.regexp_extract(u, JAR_INNER, 1).rlike(JAR_URL)).otherwise(file.rlike(MAILTO_PATH))
-    valid = F.coalesce(protocol.isin(URL_PROTOCOLS) & F.when(opaque, opaque_ok).otherwise(port_ok & (~bracketed | ipv6_ok)), F.lit(False))
+    opaque_ok = (
+        F.when(protocol == "jar", F.regexp_extract(u, JAR_INNER, 1).rlike(JAR_URL)).when(protocol == "mailto", u.rlike(MAILTO)).otherwise(True)
+    )
+    valid = F.coalesce(protocol.isin(URL_PROTOCOLS) & port_ok & (~bracketed | ipv6_ok) & opaque_ok, F.lit(False))
     path = F.regexp_extract(u, URL_PATH, 1)
-    query = F.when(opaque, F.regexp_extract(file, URL_OPAQUE_QUERY, 1)).otherwise(F.regexp_extract(u, URL_QUERY, 1))
+    query = F.regexp_extract(u, URL_QUERY, 1)
     missing = F.lit(MISSING)
     return (
         F.when(valid, protocol).otherwise(missing),
-        F.when(valid & opaque, F.lit("")).when(valid, host).otherwise(missing),
-        F.when(valid & opaque, F.regexp_replace(file, URL_OPAQUE_QUERY, "")).when(valid & F.contains(u, F.lit(URL_UNC_SLASHES)) & u.rlike(URL_UNC), F.concat(F.lit("//"), path)).when(valid, path).otherwise(missing),
+        F.when(valid, host).otherwise(missing),
+        F.when(valid & F.contains(u, F.lit(URL_UNC_SLASHES)) & u.rlike(URL_UNC), F.concat(F.lit("//"), path)).when(valid, path).otherwise(missing),
         F.when(valid & (query != F.lit("")), query).otherwise(missing),
     )
 
