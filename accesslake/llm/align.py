@@ -22,9 +22,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,12 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from accesslake.llm.common import carried, materialize, restored, text_or_empty
+from accesslake.llm.common import carried, materialize, restored, small_batches, text_or_empty
 
 # Pairs of ids whose counts every task holds (17 bytes each).
 MAX_BROADCAST_PAIRS = 500_000
-# Texts are worked together up to so many characters (one text at least).
-BATCH_CHARS = 2_000_000
+# Texts are worked together up to so many characters (one text at least): their arrays
+# stay in a core's cache and a worker small.
+BATCH_CHARS = 200_000
 _PAIR = 1 << 32
 # Fixed pattern of the byte-level pre-tokenizer that `tokenizers` names "ByteLevel".
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -56,16 +58,23 @@ class ByteLevel:
     """Tokenizer A: ids of texts without special tokens, and the bytes of each id."""
 
     def __init__(self, spec: str):
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True
+        self.spec = spec
+        parsed = json.loads(spec)
         alphabet = byte_level_alphabet()
-        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        vocab = parsed["model"]["vocab"] if parsed["model"]["type"] == "BPE" else self.tokenizer.get_vocab(with_added_tokens=False)
         self.bytes = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             if all(c in alphabet for c in token):
                 self.bytes[i] = bytes(alphabet[c] for c in token)
         self.sizes = np.array([len(x) for x in self.bytes], dtype=np.int64)
-        self.ranked = self._ranked(json.loads(spec))
+        self.ranked = self._ranked(parsed)
+
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        """Made when a text first needs it: it takes several times the memory of the ranks."""
+        tokenizer = Tokenizer.from_str(self.spec)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
 
     def _ranked(self, spec: dict) -> tiktoken.Encoding | None:
         """The same encoder over ranks, several times faster, if ids follow the order of the merges."""
@@ -165,7 +174,7 @@ class Aligned:
         closes[at_a[self.a_cuts]] = ord("|")
         closes[at_b[self.b_cuts]] = ord(";")
         digits = np.ones(len(out_ids), dtype=np.int64)
-        for power in range(1, 10):
+        for power in range(1, len(str(out_ids.max(initial=0)))):
             digits += out_ids >= 10**power
         ends = np.cumsum(digits + 1)
         chars = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.uint8)
@@ -192,8 +201,8 @@ def align_texts(texts: list[str], a: ByteLevel, b: Pieces) -> Aligned:
                 y = b.encode(text)
             if not y or b"".join([b.bytes[i] for i in y]) != spelled:
                 x, y = [], []
-        a_ids.append(np.array(x, dtype=np.int64))
-        b_ids.append(np.array(y, dtype=np.int64))
+        a_ids.append(np.array(array("q", x)))
+        b_ids.append(np.array(array("q", y)))
         n_a.append(len(x))
         n_b.append(len(y))
     ids_a, ids_b = np.concatenate(a_ids), np.concatenate(b_ids)
@@ -206,6 +215,12 @@ def align_texts(texts: list[str], a: ByteLevel, b: Pieces) -> Aligned:
     return Aligned(ids_a, ids_b, a_bounds, b_bounds, a_cuts, b_cuts, np.searchsorted(a_cuts, a_bounds))
 
 
+def text_parts(texts: list[str]) -> Iterator[np.ndarray]:
+    """Positions of texts that are worked together, in order."""
+    part = np.cumsum([len(t) for t in texts], dtype=np.int64) // BATCH_CHARS
+    yield from np.split(np.arange(len(texts)), np.flatnonzero(np.diff(part)) + 1) if texts else ()
+
+
 @lru_cache(maxsize=2)
 def tokenizers_of(a_spec: str, b_spec: bytes) -> tuple[ByteLevel, Pieces]:
     """Both tokenizers, made once a Python worker."""
@@ -232,6 +247,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, *, id_col: str = "doc_id",
     give repeated result rows. Columns besides the two named are not looked at. An
     empty table gives an empty result. A text is worked whole, whatever its length.
     """
+    small_batches(docs.sparkSession)
     with open(a_path, encoding="utf-8") as f:
         a_spec = f.read()
     with open(b_path, "rb") as f:
@@ -260,9 +276,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, *, id_col: str = "doc_id",
         a, b = tokenizers_of(*shared.value)
         for pdf in it:
             texts = text_or_empty(pdf["text"])
-            part = (np.cumsum([len(t) for t in texts]) // BATCH_CHARS) if texts else np.empty(0)
-            for p in np.unique(part):
-                own = np.flatnonzero(part == p)
+            for own in text_parts(texts):
                 yield rows(pdf["id"].iloc[own].reset_index(drop=True), [texts[i] for i in own], a, b)
 
     out = docs.select(carried(id_col), F.col(text_col).alias("text")).mapInPandas(run, f"id string, {SUMS}{', ' + SPANS if spans else ''}")

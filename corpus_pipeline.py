@@ -15,23 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accesslake.llm import bpe, decontam, langid, minhash, toxicity
-from accesslake.llm.common import materialize, table
+from accesslake.llm.common import materialize, small_batches, table
 
 TOXIC_FROM = 0.5
 LANGUAGE_FROM = 0.5
 # Texts that a filtering stage holds as strings at a time.
 ROWS_AT_ONCE = 500
-ARROW_BATCH, ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
-
-
-def _small_batches(spark: SparkSession) -> None:
-    """Arrow batches of ARROW_ROWS rows in this session, unless it has a size of its own.
-
-    Spark's default of 10,000 whole documents a batch is tens of MB on either side of
-    each Python worker, and what the batches took stays with the executor.
-    """
-    if spark.conf.get(ARROW_BATCH) == "10000":
-        spark.conf.set(ARROW_BATCH, str(ARROW_ROWS))
 
 
 def _fresh(docs: DataFrame, name: str) -> str:
@@ -71,7 +60,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Repeated rows and rows with a null id are judged one by one; an empty table gives
     an empty one. All columns stay, whatever their names.
     """
-    _small_batches(spark)
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(toxicity.train(docs, table(spark, sf_dir, "labels")))
     return _kept(docs, lambda: lambda texts: [shared.value.text_score(t) < TOXIC_FROM for t in texts])
 
@@ -83,7 +72,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     be learned. Repeated rows and rows with a null id are judged one by one; an empty
     table gives an empty one. All columns stay, whatever their names.
     """
-    _small_batches(spark)
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(langid.train(docs, langid.public_pieces(public_tokenizers.path("piece_bpe_32k.model"))))
 
     def judge() -> Callable[[list[str]], list[bool]]:
@@ -108,7 +97,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     they are near a row with one. An empty table gives an empty one. All columns stay,
     whatever their names.
     """
-    _small_batches(spark)
+    small_batches(spark)
     found = materialize(minhash.near_duplicates(docs).select("doc_id", "row_hash", "kept"), "near")
     key = {"doc_id": F.col("doc_id"), "row_hash": F.xxhash64("text")}
     kept = _minus(docs, found.where("not kept").distinct(), key)
@@ -135,7 +124,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, the digests of ids and decoded text, and the packed ids: a row
     for each row, null texts as empty ones."""
-    _small_batches(spark)
+    small_batches(spark)
     encoded = bpe.encode(docs, bpe.load(public_tokenizers.path("word_bpe_49k.json")))
     return bpe.digests(encoded, keep=("ids_le",))
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -11,6 +12,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from accesslake.llm import align
+from accesslake.llm.common import ARROW_BATCH, ARROW_ROWS
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 ODD = [None, "", " ", "  two  spaces ", "tabs\tand\nlines\r\n", "<|endoftext|> <s> </s> <unk> <0x41>", "naïve café 東京 \U0001f600‍▁", " 　x", "ﬁ ½ Å",
@@ -122,3 +124,44 @@ def test_byte_level_encoder_is_the_tokenizers(tokenizers):
 def test_empty_table(spark):
     out = align.link_sums(spark.createDataFrame([], "doc_id long, text string"), A, B)
     assert out.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"] and out.collect() == []
+
+
+def test_texts_worked_together_take_little_memory(tokenizers):
+    with open(A, encoding="utf-8") as f:
+        own = align.ByteLevel(f.read())
+    b = align.Pieces(tokenizers[1].serialized_model_proto())
+    texts = [t for _, t in sample(12_000, 5)] + ["the lake " * 40_000]
+    groups = [g for part in align.text_parts(texts) for g in align.align_texts([texts[i] for i in part], own, b).group_texts()]
+    assert [hashlib.sha256(g).hexdigest() for g in groups[:50]] == [x[7] for x in sorted(plain(list(enumerate(texts[:50])), tokenizers), key=lambda x: x[0])]
+    tracemalloc.start()
+    for part in align.text_parts(texts[:-1]):
+        align.align_texts([texts[i] for i in part], own, b).group_texts()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 30e6
+
+
+def test_parts_hold_each_text_once():
+    for sizes in ([], [0], [0, 0], [1, 0, 10**6, 1], [10**5] * 7, [1] * 1000):
+        parts = list(align.text_parts(["x" * n for n in sizes]))
+        assert [i for p in parts for i in p] == list(range(len(sizes)))
+        assert all(len(p) == 1 or sum(sizes[i] for i in p[1:]) <= align.BATCH_CHARS for p in parts)
+
+
+def test_library_tokenizer_is_made_when_needed(tokenizers):
+    with open(A, encoding="utf-8") as f:
+        own = align.ByteLevel(f.read())
+    assert own.encode(" the lake") == tokenizers[0].encode(" the lake", add_special_tokens=False).ids and "tokenizer" not in vars(own)
+    own.ranked = None
+    assert own.encode(" <|endoftext|> x") == tokenizers[0].encode(" <|endoftext|> x", add_special_tokens=False).ids and "tokenizer" in vars(own)
+
+
+def test_arrow_batches_are_small(spark):
+    before = spark.conf.get(ARROW_BATCH)
+    try:
+        for given, held in (("10000", str(ARROW_ROWS)), ("77", "77")):
+            spark.conf.set(ARROW_BATCH, given)
+            align.align(spark.createDataFrame([(1, "x")], "doc_id long, text string"), A, B)
+            assert spark.conf.get(ARROW_BATCH) == held
+    finally:
+        spark.conf.set(ARROW_BATCH, before)
