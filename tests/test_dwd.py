@@ -295,3 +295,21 @@ def test_grid_in_an_inner_join_with_typed_keys(spark):
         got = joins.lookup_join(fact, dim, "k", how, max_broadcast_rows=0, hot_share=0.2, sample_fraction=1.0, plan=plan)
         assert plan[0].grids and got.columns == ["k", "v", "w"]
         assert sorted(map(str, got.collect())) == sorted(map(str, fact.join(dim, "k", how).collect()))
+
+
+def test_cells_of_a_grid_are_not_merged_into_few_tasks(spark):
+    """A cell reads few rows and makes many: AQE, which goes by what is read, put all of them in one task."""
+    fact = spark.range(3_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("ip"), "id")
+    dim = spark.range(3_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("ip"), F.col("id").alias("city"))
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
+    plan = []
+    got = joins.lookup_join(fact, dim, "ip", max_broadcast_rows=0, hot_share=0.1, sample_fraction=0.5, plan=plan)
+    assert plan[0].grids
+    per_task = [r["count"] for r in got.where("ip = 'hot'").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 1_000_000 and len(per_task) >= 8 and max(per_task) <= 200_000
+
+
+def test_tasks_of_a_grid_are_bounded():
+    assert joins.grid_tasks({"a": (3, 4), "b": (5, 2)}, 8) == 22
+    assert joins.grid_tasks({"a": (3, 4)}, 200) == 200
+    assert joins.grid_tasks({"a": (3_000, 400)}, 200) == joins.MAX_GRID_TASKS
