@@ -313,3 +313,29 @@ def test_tasks_of_a_grid_are_bounded():
     assert joins.grid_tasks({"a": (3, 4), "b": (5, 2)}, 8) == 22
     assert joins.grid_tasks({"a": (3, 4)}, 200) == 200
     assert joins.grid_tasks({"a": (3_000, 400)}, 200) == joins.MAX_GRID_TASKS
+
+
+def test_every_cell_of_a_grid_has_a_task_of_its_own(spark):
+    """Dealt by hash, some tasks had several cells and a third had none."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.lit("warm")).otherwise(F.col("id").cast("string"))
+    fact, dim = spark.range(6_000).select(hot.alias("ip"), "id"), spark.range(3_000).select(hot.alias("ip"), F.col("id").alias("city"))
+    plan = []
+    got = joins.lookup_join(fact, dim, "ip", max_broadcast_rows=0, hot_share=0.1, sample_fraction=0.5, plan=plan)
+    assert sorted(plan[0].lookup_hot_keys) == ["hot", "warm"]
+    per_task = [r["count"] for r in got.where("ip IN ('hot', 'warm')").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 2 * 2_000 * 1_000
+    assert len(per_task) == sum(r * c for r, c in plan[0].grids)
+    assert max(per_task) <= 2 * sum(per_task) / len(per_task)
+
+
+def test_cells_of_many_pairs_are_cut_further():
+    for f, d, parts in ((120_000, 128_000, 8), (3e9, 3e6, 8), (1e5, 20, 8), (3e9, 3e6, 20_000), (10, 10, 8)):
+        total = (50 * f, 9 * d, parts)
+        (r0, c0), = joins.grids({"k": (f, d)}, *total).values()
+        (r, c), = joins.grids({"k": (f, d)}, *total, joins.MAX_CELL_PAIRS).values()
+        assert r * c <= max(joins.CELLS_PER_TASK * parts, joins.MAX_GRID_TASKS)
+        assert (r, c) == (r0, c0) or f * d / (r0 * c0) > joins.MAX_CELL_PAIRS
+        assert f * d / (r * c) <= 1.1 * joins.MAX_CELL_PAIRS or r * c >= 0.8 * joins.MAX_GRID_TASKS
+    # Of two keys, each by its share of the pairs.
+    cells = joins.grids({"a": (120_000, 128_000), "b": (60_000, 64_000)}, 6e6, 1.2e6, 8, 1_000_000)
+    assert 0.8 * joins.MAX_GRID_TASKS <= sum(r * c for r, c in cells.values()) <= joins.MAX_GRID_TASKS + 2
